@@ -114,12 +114,6 @@ def last_token(text) -> Column:
 
 # Keys --------------------------------------------------------------------------------------------
 
-def stable_id(*columns) -> Column:
-    """A 60-bit id computed from the row's own values, so no row has to be counted or sorted for it."""
-    text = F.concat_ws("|", *[F.col(c).cast("string") if isinstance(c, str) else c.cast("string") for c in columns])
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
-
-
 def required(col, what: str) -> Column:
     """The column itself; the job fails on a NULL, instead of a silently empty or wrong result."""
     column = F.col(col) if isinstance(col, str) else col

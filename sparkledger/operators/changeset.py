@@ -7,22 +7,24 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkledger.operators.updates import update_from
-from sparkledger.sources.tables import empty_like
+from sparkledger.session import new_folder
+
+PARTS = ("before", "updates", "inserts", "deletes")
 
 
 @dataclass(frozen=True)
 class ChangeSet:
     """Updates, inserts and deletes of one table, with the affected rows as they were before.
 
-    `updates` holds the key and the changed columns, `inserts` whole rows, `deletes` keys, and `before` the
-    whole old rows of every updated or deleted key.
+    `before` holds the whole old rows of every updated or deleted key, `updates` the key and the changed
+    columns, `inserts` whole rows, `deletes` keys.
     """
 
     pk: list[str]
     before: DataFrame
-    updates: DataFrame
-    inserts: DataFrame
-    deletes: DataFrame
+    updates: DataFrame | None = None
+    inserts: DataFrame | None = None
+    deletes: DataFrame | None = None
 
     @staticmethod
     def capture(
@@ -31,44 +33,66 @@ class ChangeSet:
         updates: DataFrame | None = None,
         inserts: DataFrame | None = None,
         deletes: DataFrame | None = None,
+        folder: str | None = None,
     ) -> "ChangeSet":
-        """Snapshot the rows of the target that the change will touch."""
-        key_rows = target.select(*pk)
-        updates = empty_like(target) if updates is None else updates
-        inserts = empty_like(target) if inserts is None else inserts.select(*target.columns)
-        deletes = empty_like(key_rows) if deletes is None else deletes.select(*pk)
-        touched = updates.select(*pk).unionByName(deletes)
-        return ChangeSet(pk, target.join(touched, pk, "left_semi"), updates, inserts, deletes)
+        """Write the change and the rows it will touch to a folder, before anything is changed."""
+        spark = target.sparkSession
+        folder = folder or new_folder(spark, "change")
+        written = ChangeSet(pk, target, updates, inserts, deletes).save(folder, parts=PARTS[1:])
+        touched = target.where("1 = 0").select(*pk)
+        for part in (written.updates, written.deletes):
+            if part is not None:
+                touched = touched.unionByName(part.select(*pk))
+        target.join(touched, pk, "left_semi").write.mode("errorifexists").parquet(f"{folder}/before")
+        return ChangeSet(
+            pk, spark.read.schema(target.schema).parquet(f"{folder}/before"), written.updates, written.inserts, written.deletes
+        )
 
     def apply(self, target: DataFrame) -> DataFrame:
         """The table after the change."""
-        kept = target.join(self.deletes, self.pk, "left_anti")
-        return update_from(kept, self.updates, self.pk).unionByName(self.inserts)
+        if self.deletes is not None:
+            target = target.join(self.deletes, self.pk, "left_anti")
+        if self.updates is not None:
+            target = update_from(target, self.updates, self.pk)
+        if self.inserts is not None:
+            target = target.unionByName(self.inserts)
+        return target
 
     def revert(self, changed: DataFrame) -> DataFrame:
         """The table as it was before: inserted rows go, touched rows come back."""
-        gone = self.inserts.select(*self.pk).unionByName(self.before.select(*self.pk))
+        gone = self.before.select(*self.pk)
+        if self.inserts is not None:
+            gone = gone.unionByName(self.inserts.select(*self.pk))
         return changed.join(gone, self.pk, "left_anti").unionByName(self.before)
 
     def rows(self) -> DataFrame:
-        """The change as rows: the old row of each update and delete and the new row of each update and insert."""
-        after = update_from(self.before.join(self.deletes, self.pk, "left_anti"), self.updates, self.pk)
-        old = self.before.join(self.deletes, self.pk, "left_anti")
-        return (
-            old.withColumn("op", F.lit("update_before"))
-            .unionByName(after.withColumn("op", F.lit("update_after")))
-            .unionByName(self.inserts.withColumn("op", F.lit("insert")))
-            .unionByName(self.before.join(self.deletes, self.pk, "left_semi").withColumn("op", F.lit("delete")))
-        )
+        """The change as rows with an `op`: old and new row of each update, deleted rows, inserted rows."""
+        old, parts = self.before, []
+        if self.deletes is not None:
+            parts.append(old.join(self.deletes, self.pk, "left_semi").withColumn("op", F.lit("delete")))
+            old = old.join(self.deletes, self.pk, "left_anti")
+        if self.updates is not None:
+            parts.append(old.withColumn("op", F.lit("update_before")))
+            parts.append(update_from(old, self.updates, self.pk).withColumn("op", F.lit("update_after")))
+        if self.inserts is not None:
+            parts.append(self.inserts.withColumn("op", F.lit("insert")))
+        result = parts[0]
+        for part in parts[1:]:
+            result = result.unionByName(part)
+        return result
 
-    def save(self, folder: str) -> "ChangeSet":
-        """Write all parts below a new folder and return the change set that reads from there."""
-        parts = {"before": self.before, "updates": self.updates, "inserts": self.inserts, "deletes": self.deletes}
-        for name, part in parts.items():
-            part.write.mode("errorifexists").parquet(f"{folder}/{name}")
-        return ChangeSet.load(self.before.sparkSession, folder, self.pk)
+    def save(self, folder: str, parts: tuple[str, ...] = PARTS) -> "ChangeSet":
+        """Write the given parts below a folder and return the change set that reads them from there."""
+        stored = {}
+        for name in PARTS:
+            part = getattr(self, name)
+            if part is not None and name in parts:
+                part.write.mode("errorifexists").parquet(f"{folder}/{name}")
+                part = part.sparkSession.read.schema(part.schema).parquet(f"{folder}/{name}")
+            stored[name] = part
+        return ChangeSet(self.pk, **stored)
 
     @staticmethod
-    def load(spark: SparkSession, folder: str, pk: list[str]) -> "ChangeSet":
-        read = lambda name: spark.read.parquet(f"{folder}/{name}")
-        return ChangeSet(pk, read("before"), read("updates"), read("inserts"), read("deletes"))
+    def load(spark: SparkSession, folder: str, pk: list[str], parts: tuple[str, ...] = PARTS) -> "ChangeSet":
+        """Read the given parts of a saved change set."""
+        return ChangeSet(pk, **{name: spark.read.parquet(f"{folder}/{name}") for name in parts})

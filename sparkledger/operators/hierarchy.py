@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from sparkledger.session import checkpointed
+from sparkledger.session import snapshot
+
+# Links climbed between two snapshots.
+STEPS_PER_ROUND = 4
 
 
 def ancestor_pairs(
@@ -12,36 +15,44 @@ def ancestor_pairs(
 ) -> DataFrame:
     """All (root_id, descendant_id, depth) pairs below the parent links; optionally only for seed descendants.
 
-    Every node walks up one link per round, so a round has at most one row per node, and a root with many
-    descendants adds rows but no work beyond them. Each row carries the path it came along, which stops it
-    at a cycle without comparing it with the pairs found before. Rounds are checkpointed; the loop ends with
-    the first empty one. Deeper hierarchies than `max_depth` raise an error.
+    Every node walks up, one row per node with the path it came along, so a root with many descendants adds
+    rows but no work beyond them, and a path that meets itself stops there. Each link is one left join on
+    the node (a unique key); after a few links the rows are written out and those still climbing go on.
+    Hierarchies deeper than `max_depth` raise an error. Parents that are not nodes themselves are ignored.
     """
-    edges = links.select(F.col(node).alias("_at"), F.col(parent).alias("_up")).where(
-        "_up IS NOT NULL AND _at <> _up"
+    known = links.select(F.col(node).alias("_up"))
+    edges = (
+        links.select(F.col(node).alias("_at"), F.col(parent).alias("_up"))
+        .where("_up IS NOT NULL AND _at <> _up")
+        .join(known, "_up", "left_semi")
     )
     nodes = seeds.select(F.col(node)).distinct() if seeds is not None else links.select(node)
-    start = nodes.select(
-        F.col(node).alias("descendant_id"), F.col(node).alias("_at"), F.array(F.col(node)).alias("_path")
-    )
-    known = links.select(F.col(node).alias("_up"))
-    rounds: list[DataFrame] = []
-    frontier = start
-    for depth in range(1, max_depth + 2):
-        climbed = (
-            frontier.join(edges, "_at")
-            .where(~F.array_contains("_path", F.col("_up")))
-            .select("descendant_id", F.col("_up").alias("_at"), F.concat("_path", F.array("_up")).alias("_path"))
-        )
-        frontier = checkpointed(climbed)
-        if frontier.isEmpty():
+    climbing = nodes.select(F.col(node).alias("_at"), F.array(F.col(node)).alias("_path"))
+    finished: list[DataFrame] = []
+    for climbed in range(0, max_depth + STEPS_PER_ROUND, STEPS_PER_ROUND):
+        for _ in range(STEPS_PER_ROUND):
+            climbing = _climb(climbing, edges)
+        climbing = snapshot(climbing)
+        finished.append(climbing.where("_at IS NULL"))
+        climbing = climbing.where("_at IS NOT NULL")
+        if climbing.isEmpty():
             break
-        if depth > max_depth:
+        if climbed + STEPS_PER_ROUND >= max_depth:
             raise ValueError(f"hierarchy deeper than {max_depth}")
-        rounds.append(frontier.select(F.col("_at").alias("root_id"), "descendant_id", F.lit(depth).alias("depth")))
-    if not rounds:
-        return frontier.select(F.col("_at").alias("root_id"), "descendant_id", F.lit(0).alias("depth"))
-    pairs = rounds[0]
-    for later in rounds[1:]:
-        pairs = pairs.unionByName(later)
-    return pairs.join(known, F.col("root_id") == F.col("_up"), "left_semi")
+    paths = finished[0]
+    for later in finished[1:]:
+        paths = paths.unionByName(later)
+    return (
+        paths.select(F.col("_path")[0].alias("descendant_id"), F.posexplode("_path").alias("depth", "root_id"))
+        .where("depth > 0")
+        .select("root_id", "descendant_id", "depth")
+    )
+
+
+def _climb(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """One link up; `_at` becomes NULL where there is no parent or the path has met it before."""
+    is_new = F.col("_up").isNotNull() & ~F.array_contains("_path", F.col("_up"))
+    return rows.join(edges, "_at", "left").select(
+        F.when(is_new, F.col("_up")).alias("_at"),
+        F.when(is_new, F.concat("_path", F.array("_up"))).otherwise(F.col("_path")).alias("_path"),
+    )

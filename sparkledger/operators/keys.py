@@ -4,26 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from sparkledger.session import checkpointed
+from sparkledger.session import snapshot
 
 # Position inside a partition, in the low bits of a monotonically increasing id.
 POSITION_BITS = 33
 
 
 def number_rows(rows: DataFrame, order: list[str], number: str = "row_no") -> tuple[DataFrame, int]:
-    """Number the rows 1..n by a unique sort key; returns the numbered, checkpointed frame and n.
+    """Number the rows 1..n by a unique sort key; returns the numbered snapshot and n.
 
     `row_number()` over the whole table would move it through one task. Instead the rows are range
-    partitioned and sorted, which gives each its position inside its partition, and checkpointed, which
-    fixes the partitioning for good (also when executors are lost). The partition sizes then give the
-    offset of each partition. Only those sizes, one per partition, come to the driver.
+    partitioned and sorted, which gives each its position inside its partition, and written out, which
+    fixes the positions for good (also when executors are lost). The partition sizes then give the
+    offset of each partition. Only those sizes, one per partition, come to the driver. The input is read
+    twice, so pass a stored frame rather than a long computation.
     """
     placed = (
         rows.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_position", F.monotonically_increasing_id())
     )
-    placed = checkpointed(placed)
+    placed = snapshot(placed)
     part = F.shiftright("_position", POSITION_BITS)
     sizes = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()
     starts, total = [], 0

@@ -10,9 +10,10 @@ from sparkledger import codes
 from sparkledger.functions.scalar import safe_ratio, total
 from sparkledger.operators.changeset import ChangeSet
 from sparkledger.operators.hierarchy import ancestor_pairs
-from sparkledger.operators.joins import semi_any
+from sparkledger.operators.joins import flag_any
 from sparkledger.operators.keys import max_key, number_rows
 from sparkledger.operators.updates import delete_for_keys, set_for_keys, update_from
+from sparkledger.session import snapshot
 
 # Reversal and replacement rules, by column. They define the booking. Columns that a flow
 # table does not have are skipped; columns without a rule are copied.
@@ -36,6 +37,7 @@ def live_matches(match: DataFrame) -> DataFrame:
 class Reversal:
     """The rows of a reversal run."""
 
+    before: DataFrame  # affected flows as they were
     original: DataFrame  # affected flows, now reversed
     reversal: DataFrame  # negated flows
     replacement: DataFrame  # new current flows
@@ -49,10 +51,10 @@ class Reversal:
             .unionByName(self.replacement.withColumn("role", F.lit("replacement")))
         )
 
-    def change_set(self, flow: DataFrame) -> ChangeSet:
+    def change_set(self) -> ChangeSet:
         """The run as a change to the flow table."""
-        return ChangeSet.capture(
-            flow, ["flow_id"], updates=self.original, inserts=self.reversal.unionByName(self.replacement)
+        return ChangeSet(
+            ["flow_id"], self.before, updates=self.original, inserts=self.reversal.unionByName(self.replacement)
         )
 
 
@@ -65,12 +67,14 @@ def reverse_flows(flow: DataFrame, affected: DataFrame, as_of: str) -> Reversal:
     """Reverse the affected flows and issue a current copy of each.
 
     New ids are (max + 1) + row number in the order of the old id; replacements number on after the
-    reversals. The affected rows are numbered and checkpointed once, and everything else derives from that
-    snapshot without a further shuffle.
+    reversals. The affected rows are written out and numbered once, and everything else derives from that
+    without a further shuffle.
     """
     columns = flow.columns
     highest = max_key(flow, "flow_id")
-    snapshot, n_affected = number_rows(affected.select(*columns), ["flow_id"])
+    # Written once: numbering reads its input twice, to sample it and to sort it.
+    before = snapshot(affected.select(*columns))
+    numbered, n_affected = number_rows(before, ["flow_id"])
     today, no_date = F.lit(as_of).cast("date"), F.lit(codes.NO_DATE).cast("date")
     zero = F.lit(0)
 
@@ -116,15 +120,16 @@ def reverse_flows(flow: DataFrame, affected: DataFrame, as_of: str) -> Reversal:
         "amt_invoice": F.col("amt_gross"),
     }
     maps = [
-        snapshot.select(
+        numbered.select(
             new_id.cast("bigint").alias("flow_id"), F.col("flow_id").alias("original_flow_id"), "contract_id", F.lit(kind).alias("kind")
         )
         for kind, new_id in (("reversal", reversal_id), ("replacement", replacement_id))
     ]
     return Reversal(
-        original=_project(snapshot, columns, reversed_rules),
-        reversal=_project(snapshot, columns, reversal_rules),
-        replacement=_project(snapshot, columns, replacement_rules),
+        before=before,
+        original=_project(numbered, columns, reversed_rules),
+        reversal=_project(numbered, columns, reversal_rules),
+        replacement=_project(numbered, columns, replacement_rules),
         key_map=maps[0].unionByName(maps[1]),
     )
 
@@ -173,7 +178,7 @@ def invalid_tax_lines(
 
     Only for current custom flows whose link number is unique in the contract and that also have a correct
     line, and only where the wrong asset belongs to the contract (itself, its owner or its owner's owner) or
-    is asset 0.
+    is asset 0. The result is a snapshot: it is what gets deleted, and what the later steps refer to.
     """
     # One aggregate both proves the link number unique and carries the only row's values along.
     destinations = (
@@ -196,27 +201,33 @@ def invalid_tax_lines(
         "flow_id", F.col("contract_id").alias("flow_contract_id"), "destination"
     )
     lines = tax.join(targets, "flow_id")
-    direct = lines.where("asset_hdr_id = destination")
-    elsewhere = lines.where("asset_hdr_id <> destination")
-    # Only the assets that occur on such lines have to be walked up.
+    # The suspects are few: a snapshot keeps the joins above from running once per use.
+    elsewhere = snapshot(lines.where("asset_hdr_id <> destination"))
+    # Only the assets that occur on them have to be walked up.
     above = ancestor_pairs(asset_hdr, "asset_hdr_id", "owner_id", seeds=elsewhere.select("asset_hdr_id")).select(
-        F.col("root_id").alias("destination"), F.col("descendant_id").alias("asset_hdr_id")
+        F.col("root_id").alias("destination"), F.col("descendant_id").alias("asset_hdr_id"), F.lit(True).alias("is_below")
     )
-    below = elsewhere.join(above, ["destination", "asset_hdr_id"], "left_semi")
-    correct = direct.select("flow_id").unionByName(below.select("flow_id")).distinct()
-    wrong = elsewhere.join(above, ["destination", "asset_hdr_id"], "left_anti").join(correct, "flow_id", "left_semi")
+    judged = elsewhere.join(above, ["destination", "asset_hdr_id"], "left")
+    wrong = judged.where("is_below IS NULL").drop("is_below")
+    # A flow has a correct line either on the destination itself or below it.
+    wrong_flows = wrong.select("flow_id", F.col("destination").alias("asset_hdr_id")).distinct()
+    direct = tax.select("flow_id", "asset_hdr_id").join(wrong_flows, ["flow_id", "asset_hdr_id"], "left_semi")
+    correct = direct.select("flow_id").unionByName(judged.where("is_below").select("flow_id"))
+    wrong = wrong.join(correct, "flow_id", "left_semi")
 
     owners = asset_hdr.select("asset_hdr_id", "owner_id", "parent_owner_id")
     placed = wrong.join(owners, "asset_hdr_id").withColumn("_own", F.col("asset_hdr_id"))
-    on_contract = semi_any(
+    on_contract = flag_any(
         placed,
         ["tax_calc_flow_id"],
         ["_own", "owner_id", "parent_owner_id"],
-        asset.select(F.col("contract_id").alias("flow_contract_id"), F.col("asset_hdr_id").alias("_asset")),
+        asset.select(F.col("contract_id").alias("flow_contract_id"), F.col("asset_hdr_id").alias("_asset"), F.lit(1).alias("one")),
         "_asset",
-        same=["flow_contract_id"],
+        ["flow_contract_id"],
+        "one",
+        "found",
     )
-    return on_contract.unionByName(placed.where("asset_hdr_id = 0")).dropDuplicates(["tax_calc_flow_id"]).select(*tax.columns)
+    return snapshot(on_contract.where("found = 1 OR asset_hdr_id = 0").select(*tax.columns))
 
 
 def deletable_tax_lines(invalid: DataFrame, flow: DataFrame) -> DataFrame:

@@ -143,10 +143,11 @@ def used_definitions(definition: DataFrame, key: str, instance: DataFrame, refer
 
 
 def invoice_flows(flow: DataFrame, tax: DataFrame, invoice: DataFrame) -> DataFrame:
-    """Flows of each invoice with their tax lines, also flows without one."""
+    """Flows of each invoice with their tax lines, also flows without one. Invoice 0 means none."""
     lines = tax.select("flow_id", "tax_calc_flow_id", "tax_type_id", "amt_tax")
     return (
-        flow.select("flow_id", "contract_id", "invoice_id", "amount")
+        flow.where("invoice_id <> 0")
+        .select("flow_id", "contract_id", "invoice_id", "amount")
         .join(invoice, "invoice_id")
         .join(lines, "flow_id", "left")
         .select("invoice_no", "flow_id", "contract_id", "amount", "tax_calc_flow_id", "tax_type_id", "amt_tax")
@@ -155,10 +156,11 @@ def invoice_flows(flow: DataFrame, tax: DataFrame, invoice: DataFrame) -> DataFr
 
 def invoice_origins(flow: DataFrame, invoice: DataFrame) -> DataFrame:
     """Flows that other invoiced flows link back to, with their own invoice."""
-    invoiced = flow.join(invoice.select("invoice_id"), "invoice_id", "left_semi")
-    origins = invoiced.where("flow_link_id <> 0").select(F.col("flow_link_id").alias("flow_id"))
+    linked = flow.where("invoice_id <> 0 AND flow_link_id <> 0")
+    origins = linked.join(invoice.select("invoice_id"), "invoice_id", "left_semi").select(F.col("flow_link_id").alias("flow_id"))
     return (
-        flow.select("flow_id", "contract_id", "calc_dt", "invoice_id")
+        flow.where("invoice_id <> 0")
+        .select("flow_id", "contract_id", "calc_dt", "invoice_id")
         .join(origins, "flow_id", "left_semi")
         .join(invoice, "invoice_id")
         .distinct()

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from sparkledger import codes
 from sparkledger.operators.hierarchy import ancestor_pairs
 from sparkledger.operators.joins import flag_any, latest_as_of, semi_any
-from sparkledger.session import checkpointed
+from sparkledger.session import snapshot
 
 OWNERS = ["_own", "owner_id", "parent_owner_id"]
 
@@ -33,7 +33,7 @@ def quotes_on_terminated_assets(quote: DataFrame, asset_hdr: DataFrame, asset: D
     open_quotes = _with_owners(quote.where(F.col("quote_status") != codes.QUOTE_TERMINATED), asset_hdr, "asset_status")
     terminated = asset.where("is_terminated = 1").select("contract_id", F.col("asset_hdr_id").alias("_asset"))
     hits = semi_any(open_quotes, ["asset_hdr_quote_id"], OWNERS, terminated, "_asset", same=["contract_id"])
-    return checkpointed(hits.select("asset_hdr_quote_id", "asset_hdr_id", "contract_id", "quote_status", "asset_status"))
+    return snapshot(hits.select("asset_hdr_quote_id", "asset_hdr_id", "contract_id", "quote_status", "asset_status"))
 
 
 def repair_terminated(affected: DataFrame, quote: DataFrame) -> DataFrame:
@@ -136,7 +136,7 @@ def classify_status(quote: DataFrame, asset_hdr: DataFrame, asset: DataFrame, co
         "terminated",
     )
     terminated = (F.col("terminated") == 1) & (F.col("contract_state") == codes.CONTRACT_TERMINATED)
-    judged = checkpointed(
+    judged = snapshot(
         flagged.select(
             "asset_hdr_quote_id", "asset_hdr_id", "quote_status", F.col("terminated").isNotNull().alias("has_asset"),
             F.when(F.col("terminated").isNull(), codes.QUOTE_EXPIRED)

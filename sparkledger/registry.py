@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,7 +11,7 @@ from sparkledger.functions.scalar import add_units, to_local
 from sparkledger.operators import export, keys, masking, retention, updates
 from sparkledger.operators.changeset import ChangeSet
 from sparkledger.plans import clock, discovery, hygiene, ledger, listing, status
-from sparkledger.session import configure, shared_folder
+from sparkledger.session import configure, new_folder
 from sparkledger.sources.fixtures import Fixtures
 from sparkledger.sources.tables import TABLES
 
@@ -41,7 +40,7 @@ def flow_reversal_keys(fx):
 
 
 def _invalid_lines(fx: Fixtures) -> DataFrame:
-    return ledger.invalid_tax_lines(fx.flow(), fx.tax(), fx.custom_flow(), fx.asset_hdr(), fx.asset())
+    return ledger.invalid_tax_lines(fx.flow(), fx.tax(), fx.custom_flow(), fx.asset_tree(), fx.asset())
 
 
 def invalid_tax_lines(fx):
@@ -183,7 +182,7 @@ def asset_address_view(fx):
 
 
 def hierarchy_descendants(fx):
-    return status.hierarchy_descendants(fx.asset_hdr())
+    return status.hierarchy_descendants(fx.asset_tree())
 
 
 def contracts_missing_assets(fx):
@@ -406,12 +405,12 @@ def changeset_apply(fx):
 def changeset_apply_revert(fx):
     """A reversal run applied to the flow table and taken back: the table as it was."""
     flow = fx.flow()
-    change = _deposit_reversal(fx).change_set(flow)
+    change = _deposit_reversal(fx).change_set()
     return change.revert(change.apply(flow))
 
 
 def backup_rotation(fx):
-    folder = f"{shared_folder(fx.spark)}/backup-{uuid.uuid4().hex}"
+    folder = new_folder(fx.spark, "backup")
     contract = fx.contract().select("contract_id", "credit_state", "approver1_id")
     hygiene.rotate_backup(contract, folder, "contract_bk", "1", None, "2002-01-01 10:00:00")
     changed = updates.set_where(contract, F.col("credit_state") == codes.CREDIT_DECLINED, {"approver1_id": 0})

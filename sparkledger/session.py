@@ -1,10 +1,14 @@
-"""Session settings the jobs rely on, and the shared folder for checkpoints."""
+"""Session settings the jobs rely on, and snapshots in the shared folder."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
+from weakref import WeakKeyDictionary
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+_LOCAL_FOLDERS: WeakKeyDictionary = WeakKeyDictionary()
 
 # Runtime SQL settings. Joins carry no broadcast hints: Spark broadcasts a side only when its measured
 # size is under the threshold, and adaptive execution splits the partitions of hot keys.
@@ -26,25 +30,32 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for checkpoints and intermediate tables: `spark.checkpoint.dir` of the session.
+    """The folder for snapshots: `spark.checkpoint.dir` of the session.
 
     A local-mode session without that setting gets a temporary folder. On a cluster the setting is
     required, because a machine-local folder is lost with its machine.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        folder = context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="sparkledger-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return folder
-
-
-def checkpointed(df):
-    """Materialise `df` reliably in the shared folder and cut its lineage."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if spark not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[spark] = tempfile.mkdtemp(prefix="sparkledger-")
+    return _LOCAL_FOLDERS[spark]
+
+
+def new_folder(spark: SparkSession, purpose: str) -> str:
+    """A path in the shared folder that nothing uses yet."""
+    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def snapshot(df: DataFrame) -> DataFrame:
+    """Write `df` to the shared folder and read it back.
+
+    Cuts the lineage, survives lost executors, keeps what it has read even if the source changes, and gives
+    Spark the true size, so that small snapshots are broadcast in later joins and large ones are not.
+    """
+    path = new_folder(df.sparkSession, "snapshot")
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

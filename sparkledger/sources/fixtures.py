@@ -3,38 +3,70 @@
 A deployment brings its own flow, tax, match, contract and asset tables. For tests and benchmarks these
 methods give the same shapes computed from the given tables, with deliberate defects (missing tax lines,
 wrong assets, deleted matches, ledger entries without a flow) so that every repair job has work to do.
-All rows of the base tables are used. Ids come from the row's own values (`stable_id`), so deriving a
-frame needs no global sort. `FIXTURES.md` states each frame as SQL.
+All rows of the base tables are used. Ids come from the row's own values (`row_id`), so deriving a
+frame needs no global sort; the defects follow the batch number, a sum of plain columns. `FIXTURES.md` states each frame as SQL.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import functools
 
-from sparkledger.functions.scalar import MONEY, stable_id
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from sparkledger.functions.scalar import MONEY
 from sparkledger.sources.tables import read_table
 
-# Above every stable id (those have 60 bits); marks ids made up to be missing or doubled.
+# Above every row id (those have 60 bits); marks ids made up to be missing or doubled.
 OFFSET = 1 << 60
 
+# Two primes just below 2^30, and the multipliers of the two id parts for each.
+ID_PRIMES = (1073741789, 1073741783)
+ID_FACTORS = ((1000003, 982451653), (15485863, 961748941))
+
+
+def row_id(first: Column, second: Column) -> Column:
+    """A 60-bit id hashed from two non-negative integers, in plain 64-bit arithmetic."""
+    halves = [
+        ((first % prime) * a + (second % prime) * b) % prime for prime, (a, b) in zip(ID_PRIMES, ID_FACTORS)
+    ]
+    return halves[0] * F.lit(1 << 30) + halves[1]
+
+
+def _once(build):
+    """Build a frame once per `Fixtures`: frames are lazy, but reading a schema and analysing a plan take time."""
+    name = build.__name__
+
+    @functools.wraps(build)
+    def cached(self):
+        if name not in self._frames:
+            self._frames[name] = build(self)
+        return self._frames[name]
+
+    return cached
+
 
 class Fixtures:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._frames: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.folder, name)
+        if f"table {name}" not in self._frames:
+            self._frames[f"table {name}"] = read_table(self.spark, self.folder, name)
+        return self._frames[f"table {name}"]
 
     # Cash flows, tax, matches ------------------------------------------------------------------
 
+    @_once
     def flow(self) -> DataFrame:
-        """Cash flows, one per line item; the stored matched amount is 0 for every sixth id."""
+        """Cash flows, one per line item; the stored matched amount is 0 for every sixth batch."""
         base = self.table("lineitem").select(
-            stable_id(
-                "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                F.col("l_shipdate").cast("date"), F.col("l_extendedprice").cast(MONEY),
+            row_id(
+                F.col("l_orderkey") * 8 + F.col("l_linenumber"),
+                F.col("l_partkey") * 16384 + F.unix_date(F.col("l_shipdate").cast("date")),
             ).alias("flow_id"),
+            (F.col("l_orderkey") + F.col("l_partkey") + F.col("l_suppkey")).alias("batch_no"),
             F.col("l_orderkey").alias("contract_id"),
             F.col("l_partkey").alias("asset_hdr_id"),
             F.col("l_suppkey").alias("party_account_id"),
@@ -51,10 +83,10 @@ class Fixtures:
             "CASE WHEN party_account_id % 4 = 0 THEN 0 ELSE contract_id END AS invoice_id",
             "CAST(amount + round(amount * rate, 2) AS DECIMAL(18,2)) AS amt_gross",
             "CAST(amount * 0.8 AS DECIMAL(18,2)) AS amt_principal",
-            "flow_id % 6 = 3 AS _unmatched",
+            "batch_no % 6 = 3 AS _unmatched",
         )
         return base.selectExpr(
-            "flow_id", "contract_id", "asset_hdr_id", "party_account_id", "link_no", "calc_dt", "amount", "rate",
+            "flow_id", "batch_no", "contract_id", "asset_hdr_id", "party_account_id", "link_no", "calc_dt", "amount", "rate",
             "reversal_status", "status", "flow_type", "invoice_id", "amt_gross", "amt_principal",
             "CAST(amount - amt_principal AS DECIMAL(18,2)) AS amt_interest",
             "1 AS image_no",
@@ -82,12 +114,13 @@ class Fixtures:
             "CAST(CASE WHEN _unmatched THEN 0 ELSE amount - amt_principal END AS DECIMAL(18,2)) AS amt_matched_interest",
             "CAST(0 AS DECIMAL(18,2)) AS amt_matched_tax",
             "CAST(CASE WHEN _unmatched THEN 0 ELSE amount END AS DECIMAL(18,2)) AS amt_matched_netted",
-            "CASE WHEN flow_id % 10 = 7 THEN 1 ELSE 0 END AS exclude_from_account_bal",
+            "CASE WHEN batch_no % 10 = 7 THEN 1 ELSE 0 END AS exclude_from_account_bal",
             "1 AS last_user_id",
             "0 AS reserve_statement_id",
             "amt_gross AS amt_invoice",
         )
 
+    @_once
     def linked_flow(self) -> DataFrame:
         """Cash flows that carry a link to the first flow of their contract (0 on that flow itself)."""
         flow = self.flow()
@@ -96,38 +129,44 @@ class Fixtures:
             "* EXCEPT (first_id)", "CASE WHEN flow_id = first_id THEN 0 ELSE first_id END AS flow_link_id"
         )
 
+    @_once
     def flow_image(self) -> DataFrame:
         """History twin of the flow table: half of the ids that the ledger knows and `flow` does not."""
-        return self.flow().where("flow_id % 58 = 0").select((F.col("flow_id") + OFFSET).alias("flow_id"))
+        return self.flow().where("batch_no % 58 = 0").select((F.col("flow_id") + OFFSET).alias("flow_id"))
 
+    @_once
     def tax(self) -> DataFrame:
-        """Tax lines: a tenth of the flows has none, every seventh is on a wrong asset, every fifth has a second."""
+        """Tax lines: a tenth of the flows has none, every fifth has a second; every seventh is on another asset,
+        half of these on the next one of the same owner, half on one owned by the flow's asset."""
         flow = self.flow()
-        first = flow.where("flow_id % 10 <> 3").selectExpr(
+        first = flow.where("batch_no % 10 <> 3").selectExpr(
             "flow_id * 2 AS tax_calc_flow_id", "flow_id", "contract_id",
-            "CASE WHEN flow_id % 7 = 0 THEN asset_hdr_id + 1 ELSE asset_hdr_id END AS asset_hdr_id",
+            "CASE WHEN batch_no % 14 = 0 THEN asset_hdr_id - asset_hdr_id % 10 + (asset_hdr_id + 1) % 10 "
+            "WHEN batch_no % 14 = 7 THEN asset_hdr_id * 10 + 1 ELSE asset_hdr_id END AS asset_hdr_id",
             "CAST(contract_id % 3 + 1 AS INT) AS tax_authority_id", "1 AS tax_type_id", "amount", "rate",
             "CAST(round(amount * rate, 2) AS DECIMAL(18,2)) AS amt_tax",
         )
-        second = flow.where("flow_id % 5 = 0").selectExpr(
+        second = flow.where("batch_no % 5 = 0").selectExpr(
             "flow_id * 2 + 1 AS tax_calc_flow_id", "flow_id", "contract_id", "asset_hdr_id",
             "CAST(contract_id % 3 + 1 AS INT) AS tax_authority_id", "2 AS tax_type_id", "amount", "rate",
             "CAST(1.50 AS DECIMAL(18,2)) AS amt_tax",
         )
         return first.unionByName(second)
 
+    @_once
     def match(self) -> DataFrame:
         """Bank matches: none for a third of the flows; some short, deleted, rejected or recovery."""
-        return self.flow().where("flow_id % 3 <> 0").selectExpr(
+        return self.flow().where("batch_no % 3 <> 0").selectExpr(
             "flow_id AS bank_flow_match_id", "contract_id AS bank_flow_id", "flow_id",
-            "CASE WHEN flow_id % 11 = 0 THEN flow_id ELSE 0 END AS recovery_flow_id",
-            "CAST(CASE WHEN flow_id % 13 = 0 THEN amount - 1 ELSE amount END AS DECIMAL(18,2)) AS amt_matched",
+            "CASE WHEN batch_no % 11 = 0 THEN flow_id ELSE 0 END AS recovery_flow_id",
+            "CAST(CASE WHEN batch_no % 13 = 0 THEN amount - 1 ELSE amount END AS DECIMAL(18,2)) AS amt_matched",
             "amt_principal AS amt_matched_principal", "amt_interest AS amt_matched_interest",
             "CAST(round(amount * rate, 2) AS DECIMAL(18,2)) AS amt_matched_tax",
-            "CASE WHEN flow_id % 17 = 0 THEN 1 ELSE 0 END AS is_deleted",
-            "CASE WHEN flow_id % 19 = 0 THEN 1 ELSE 0 END AS is_rejected",
+            "CASE WHEN batch_no % 17 = 0 THEN 1 ELSE 0 END AS is_deleted",
+            "CASE WHEN batch_no % 19 = 0 THEN 1 ELSE 0 END AS is_rejected",
         )
 
+    @_once
     def bank_flow(self) -> DataFrame:
         return self.table("orders").selectExpr(
             "o_orderkey AS bank_flow_id", "o_orderkey AS contract_id", "o_custkey AS party_account_id",
@@ -135,37 +174,42 @@ class Fixtures:
             "CASE WHEN o_orderkey % 37 = 0 THEN 1 ELSE 0 END AS is_deleted",
         )
 
+    @_once
     def invoice(self) -> DataFrame:
         return self.table("orders").where("o_orderkey <> 0").selectExpr(
             "o_orderkey AS invoice_id", "concat('INV', CAST(o_orderkey AS STRING)) AS invoice_no"
         )
 
+    @_once
     def write_off(self) -> DataFrame:
         """Current write-off flows; every ninth is booked twice."""
         flow = self.flow().where("flow_type = 1034 AND reversal_status = 4200").selectExpr(
-            "flow_id", "contract_id", "link_no AS flow_link_id", "party_account_id", "amount"
+            "flow_id", "batch_no", "contract_id", "link_no AS flow_link_id", "party_account_id", "amount"
         )
-        twice = flow.where("flow_id % 9 = 0").withColumn("flow_id", F.col("flow_id") + OFFSET)
-        return flow.unionByName(twice)
+        twice = flow.where("batch_no % 9 = 0").withColumn("flow_id", F.col("flow_id") + OFFSET)
+        return flow.unionByName(twice).drop("batch_no")
 
+    @_once
     def custom_flow(self) -> DataFrame:
         """Expected asset per custom flow; link numbers repeat inside some contracts."""
         return self.flow().where("flow_type = 1010").selectExpr(
             "flow_id AS contract_custom_flow_id", "contract_id", "link_no", "asset_hdr_id AS destination_asset_hdr_id",
-            "1 AS is_active", "CASE WHEN flow_id % 23 = 0 THEN 1 ELSE 0 END AS is_deleted",
-            "CASE WHEN flow_id % 41 = 0 THEN 1 ELSE 0 END AS is_restructure",
+            "1 AS is_active", "CASE WHEN batch_no % 23 = 0 THEN 1 ELSE 0 END AS is_deleted",
+            "CASE WHEN batch_no % 41 = 0 THEN 1 ELSE 0 END AS is_restructure",
         )
 
+    @_once
     def po_row(self) -> DataFrame:
         """Purchase-order rows that carry an asset id and a prefix as text."""
         return self.flow().where("link_no = 5").selectExpr(
             "flow_id AS po_row_cf_id", "contract_id", "CAST(asset_hdr_id AS STRING) AS destination_csv",
-            "CASE WHEN flow_id % 4 = 0 THEN 'POxROWy' ELSE 'PO_ROW_' END AS ext_reference",
-            "CAST(flow_id % 2 AS INT) AS num_assets_received",
+            "CASE WHEN batch_no % 4 = 0 THEN 'POxROWy' ELSE 'PO_ROW_' END AS ext_reference",
+            "CAST(batch_no % 2 AS INT) AS num_assets_received",
         )
 
     # Contracts, assets, quotes, addresses ------------------------------------------------------
 
+    @_once
     def contract(self) -> DataFrame:
         return self.table("orders").selectExpr(
             "o_orderkey AS contract_id", "o_custkey AS cparty_id", "CAST(o_orderdate AS DATE) AS calc_dt",
@@ -178,6 +222,7 @@ class Fixtures:
             "6510 AS approval_status1", "6520 AS approval_status2", "o_custkey AS approver1_id", "2200 AS save_status",
         )
 
+    @_once
     def product(self) -> DataFrame:
         return self.table("orders").selectExpr(
             "CASE o_orderpriority WHEN '1-URGENT' THEN 2011 WHEN '2-HIGH' THEN 2014 ELSE 2000 END AS product_style"
@@ -187,6 +232,7 @@ class Fixtures:
             "CASE WHEN product_style = 2014 THEN 1 ELSE 0 END AS is_tax_based_pricing",
         )
 
+    @_once
     def event_queue(self) -> DataFrame:
         """Past credit-state transitions, one per contract."""
         return self.table("orders").selectExpr(
@@ -195,8 +241,17 @@ class Fixtures:
             "CAST(o_orderdate AS DATE) AS input_dt",
         )
 
+    @_once
+    def asset_tree(self) -> DataFrame:
+        """The hierarchy of the physical assets, ten per owner; asset 0 is its own owner."""
+        return self.table("part").selectExpr(
+            "p_partkey AS asset_hdr_id", "CAST(floor(p_partkey / 10) AS BIGINT) AS owner_id",
+            "CAST(floor(p_partkey / 100) AS BIGINT) AS parent_owner_id",
+        )
+
+    @_once
     def asset_hdr(self) -> DataFrame:
-        """Physical assets in a ten-ary hierarchy; asset 0 is its own owner."""
+        """Physical assets with their place in the hierarchy and their contracts."""
         contracts = self.flow().groupBy("asset_hdr_id").agg(
             F.max("contract_id").alias("last_contract"), F.min("contract_id").alias("first_contract")
         )
@@ -211,16 +266,21 @@ class Fixtures:
             "CAST(p_size AS BIGINT) AS manufacturer_id",
         )
 
+    @_once
     def asset(self) -> DataFrame:
-        """Assets on contracts; some of the flows' assets are absent."""
-        return self.flow().where("link_no <= 4 AND asset_hdr_id % 31 <> 0").select("contract_id", "asset_hdr_id").distinct().select(
-            stable_id("contract_id", "asset_hdr_id").alias("asset_id"), "contract_id", "asset_hdr_id",
-            F.expr("CASE WHEN contract_id % 2 = 0 THEN 1 ELSE 0 END AS is_terminated"),
+        """Assets on contracts, some of the flows' assets absent; for custom flows also the owner of the asset."""
+        flow = self.flow()
+        own = flow.where("link_no <= 4 AND asset_hdr_id % 31 <> 0").select("contract_id", "asset_hdr_id")
+        owner = flow.where("link_no = 1").selectExpr("contract_id", "CAST(floor(asset_hdr_id / 10) AS BIGINT) AS asset_hdr_id")
+        return own.unionByName(owner).distinct().select(
+            row_id(F.col("contract_id"), F.col("asset_hdr_id")).alias("asset_id"), "contract_id", "asset_hdr_id",
+            F.expr("CASE WHEN (contract_id + asset_hdr_id) % 3 = 0 THEN 1 ELSE 0 END AS is_terminated"),
         )
 
+    @_once
     def quote(self) -> DataFrame:
         return self.flow().select("contract_id", "asset_hdr_id").distinct().select(
-            stable_id("contract_id", "asset_hdr_id").alias("asset_hdr_quote_id"), "contract_id", "asset_hdr_id",
+            row_id(F.col("contract_id"), F.col("asset_hdr_id")).alias("asset_hdr_quote_id"), "contract_id", "asset_hdr_id",
             F.expr(
                 "CASE WHEN asset_hdr_id % 5 = 0 THEN 44030 WHEN (contract_id + asset_hdr_id) % 4 = 0 THEN 44000 "
                 "WHEN (contract_id + asset_hdr_id) % 4 = 1 THEN 44020 WHEN (contract_id + asset_hdr_id) % 4 = 2 THEN 44030 "
@@ -228,6 +288,7 @@ class Fixtures:
             ),
         )
 
+    @_once
     def asset_address(self) -> DataFrame:
         """Effective-dated addresses; day resolution makes ties."""
         return self.table("events").where("event_type IN ('click', 'view', 'purchase')").selectExpr(
@@ -236,19 +297,23 @@ class Fixtures:
             "CAST(ts AS DATE) AS effective_dt", "event_id % 97 AS address_id",
         )
 
+    @_once
     def address(self) -> DataFrame:
         return self.table("customer").selectExpr(
             "c_custkey AS address_id", "c_name AS street", "CAST(c_nationkey AS STRING) AS zip_code", "c_mktsegment AS city"
         )
 
+    @_once
     def asset_type(self) -> DataFrame:
         return self.table("nation").selectExpr("n_nationkey AS asset_type_id", "n_name AS name")
 
+    @_once
     def vehicle(self) -> DataFrame:
         return self.table("part").where("p_size % 4 = 0").selectExpr(
             "p_partkey AS asset_hdr_id", "p_brand AS registration_no"
         )
 
+    @_once
     def alteration(self) -> DataFrame:
         return self.table("events").selectExpr(
             "event_id AS contract_alteration_id", "user_id AS contract_id",
@@ -257,6 +322,7 @@ class Fixtures:
 
     # Parties, ledger, audit, notes -------------------------------------------------------------
 
+    @_once
     def party(self) -> DataFrame:
         return self.table("customer").selectExpr(
             "c_custkey AS party_id", "c_custkey AS party_no", "c_name AS name", "concat(c_name, ' Ltd') AS ext_name",
@@ -270,43 +336,51 @@ class Fixtures:
             "concat(c_name, '@example.com') AS email_business", "concat('TAX', CAST(c_custkey AS STRING)) AS tax_no",
         )
 
+    @_once
     def party_account(self) -> DataFrame:
         return self.table("supplier").selectExpr(
             "s_suppkey AS party_account_id", "s_name AS name", "s_suppkey AS party_id",
             "concat('ACC', CAST(s_suppkey AS STRING)) AS account_no",
         )
 
+    @_once
     def program(self) -> DataFrame:
         return self.table("nation").selectExpr("n_nationkey AS program_id", "n_name AS program_name")
 
+    @_once
     def user(self) -> DataFrame:
         return self.table("customer").selectExpr(
             "c_custkey AS user_id", "c_name AS user_name", "concat(c_name, '@example.com') AS email",
             "CAST(16800 + c_custkey % 4 AS INT) AS external_user_type",
         )
 
+    @_once
     def gl_entry(self) -> DataFrame:
         """Ledger entries; every 29th points at a flow that does not exist."""
         return self.flow().selectExpr(
-            "flow_id AS gl_entry_id", f"CASE WHEN flow_id % 29 = 0 THEN flow_id + {OFFSET} ELSE flow_id END AS flow_id",
+            "flow_id AS gl_entry_id", f"CASE WHEN batch_no % 29 = 0 THEN flow_id + {OFFSET} ELSE flow_id END AS flow_id",
             "contract_id", "calc_dt AS post_dt", "amount", "flow_type", "reversal_status",
             "CAST(party_account_id % 25 AS INT) AS currency_id", "CAST(party_account_id % 5 AS INT) AS ledger_id",
             "CAST(contract_id % 25 AS INT) AS base_currency_id", "CAST(asset_hdr_id % 25 AS INT) AS gl_account_id",
             "CAST(asset_hdr_id % 5 AS INT) AS gl_tag_id",
-            "CASE WHEN flow_id % 3 = 0 THEN 1 ELSE 0 END AS gl_interface_id",
+            "CASE WHEN batch_no % 3 = 0 THEN 1 ELSE 0 END AS gl_interface_id",
         )
 
+    @_once
     def currency(self) -> DataFrame:
         return self.table("nation").selectExpr("n_nationkey AS currency_id", "upper(substring(n_name, 1, 3)) AS code")
 
+    @_once
     def ledger(self) -> DataFrame:
         return self.table("region").selectExpr("r_regionkey AS ledger_id", "r_name AS name")
 
+    @_once
     def gl_tag(self) -> DataFrame:
         return self.table("region").selectExpr(
             "r_regionkey AS gl_tag_id", "lower(r_name) AS ext_name", "r_regionkey % 2 AS account_class"
         )
 
+    @_once
     def gl_account(self) -> DataFrame:
         return self.table("nation").selectExpr(
             "n_nationkey AS gl_account_id",
@@ -314,6 +388,7 @@ class Fixtures:
             "concat('A', CAST(n_nationkey AS STRING)) AS code",
         )
 
+    @_once
     def lookup(self) -> DataFrame:
         """Decode table of the code sets: nine fixed rows."""
         rows = [
@@ -323,6 +398,7 @@ class Fixtures:
         ]
         return self.spark.createDataFrame(rows, "lookupset_id int, set_name string, value string")
 
+    @_once
     def audit_hdr(self) -> DataFrame:
         return self.table("events").selectExpr(
             "event_id AS audit_hdr_id", "ts AS audit_dt", "CAST(event_id % 6 AS INT) AS change_type", "user_id",
@@ -330,6 +406,7 @@ class Fixtures:
             "ELSE event_type END AS tbl_name",
         )
 
+    @_once
     def audit_key(self) -> DataFrame:
         return self.table("events").selectExpr(
             "event_id AS audit_hdr_id", "'id' AS fld_name",
@@ -337,6 +414,7 @@ class Fixtures:
             "CAST(user_id AS STRING) AS new_fld_value",
         )
 
+    @_once
     def audit_fld(self) -> DataFrame:
         """Changed fields; absent for a quarter of the headers."""
         return self.table("events").where("event_id % 4 <> 0").selectExpr(
@@ -344,11 +422,13 @@ class Fixtures:
             "props AS new_fld_value",
         )
 
+    @_once
     def note(self) -> DataFrame:
         return self.table("documents").selectExpr("doc_id AS note_id", "source AS subject", "text AS comments", "lang")
 
     # Tables with an age, for retention ---------------------------------------------------------
 
+    @_once
     def retention_tables(self) -> dict[str, DataFrame]:
         events, orders, customer = self.table("events"), self.table("orders"), self.table("customer")
         flow = self.flow()
