@@ -27,14 +27,14 @@ def ancestor_pairs(
         .join(known, "_up", "left_semi")
     )
     nodes = seeds.select(F.col(node)).distinct() if seeds is not None else links.select(node)
-    climbing = nodes.select(F.col(node).alias("_at"), F.array(F.col(node)).alias("_path"))
+    climbing = nodes.select(F.col(node).alias("_at"), F.array(F.col(node)).alias("_path"), F.lit(False).alias("_done"))
     finished: list[DataFrame] = []
     for climbed in range(0, max_depth + STEPS_PER_ROUND, STEPS_PER_ROUND):
         for _ in range(STEPS_PER_ROUND):
             climbing = _climb(climbing, edges)
         climbing = snapshot(climbing)
-        finished.append(climbing.where("_at IS NULL"))
-        climbing = climbing.where("_at IS NOT NULL")
+        finished.append(climbing.where("_done"))
+        climbing = climbing.where("NOT _done")
         if climbing.isEmpty():
             break
         if climbed + STEPS_PER_ROUND >= max_depth:
@@ -50,9 +50,13 @@ def ancestor_pairs(
 
 
 def _climb(rows: DataFrame, edges: DataFrame) -> DataFrame:
-    """One link up; `_at` becomes NULL where there is no parent or the path has met it before."""
-    is_new = F.col("_up").isNotNull() & ~F.array_contains("_path", F.col("_up"))
+    """One link up, unless there is no parent or the path has met it before.
+
+    A finished row goes on under its own id, so that finished rows stay spread over all tasks.
+    """
+    is_new = ~F.col("_done") & F.col("_up").isNotNull() & ~F.array_contains("_path", F.coalesce("_up", "_at"))
     return rows.join(edges, "_at", "left").select(
-        F.when(is_new, F.col("_up")).alias("_at"),
+        F.when(is_new, F.col("_up")).otherwise(F.col("_path")[0]).alias("_at"),
         F.when(is_new, F.concat("_path", F.array("_up"))).otherwise(F.col("_path")).alias("_path"),
+        (~is_new).alias("_done"),
     )

@@ -1,7 +1,8 @@
 """Join shapes that need more care than one `join` call.
 
 All of them shuffle on equality keys, so adaptive execution can split the partitions of a hot key, and
-none of them emits the pairs of a group.
+none of them emits the pairs of a group. Adaptive execution can split the left side of a semi, anti or left
+join, and both sides of an inner join; what it cannot split is reduced before the shuffle here.
 """
 
 from __future__ import annotations
@@ -11,6 +12,27 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sparkledger.functions.scalar import required
 
 
+def semi(rows: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key occurs among the others; a key that fills the other side is reduced to one row per task."""
+    return rows.join(others.select(*keys).distinct(), keys, "left_semi")
+
+
+def anti(rows: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key does not occur among the others, with the same reduction."""
+    return rows.join(others.select(*keys).distinct(), keys, "left_anti")
+
+
+def left_join_many(rows: DataFrame, many: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join to a side in which a key may have any number of rows.
+
+    The matches come from an inner join, whose hot partitions can be split on either side; rows without a
+    match follow with NULLs.
+    """
+    unmatched = anti(rows, many, keys)
+    extra = [F.lit(None).cast(many.schema[c].dataType).alias(c) for c in many.columns if c not in keys]
+    return rows.join(many, keys).unionByName(unmatched.select("*", *extra))
+
+
 def not_in(rows: DataFrame, excluded: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not among the excluded ones.
 
@@ -18,8 +40,7 @@ def not_in(rows: DataFrame, excluded: DataFrame, key: str) -> DataFrame:
     broadcasting. Here keys are required to be present (checked while running), which makes it an ordinary
     anti join.
     """
-    checked = excluded.select(required(key, f"excluded {key}").alias(key))
-    return rows.join(checked, key, "left_anti")
+    return anti(rows, excluded.select(required(key, f"excluded {key}").alias(key)), [key])
 
 
 def semi_any(
@@ -57,7 +78,7 @@ def _probe_any(rows, candidates, lookup, lookup_key, same, how):
     probes = rows.withColumn("_candidate", F.explode(F.array_distinct(F.array(*candidates))))
     side = lookup.withColumnRenamed(lookup_key, "_candidate")
     if how == "left_semi":
-        side = side.select(*keys)
+        side = side.select(*keys).distinct()
     return probes.join(side, keys, how).drop("_candidate")
 
 

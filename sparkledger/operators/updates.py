@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from sparkledger.operators.joins import anti
+
 
 def one_per_key(source: DataFrame, pk: list[str]) -> DataFrame:
     """The source as (pk, `_new` struct); the job fails if a key has several rows.
@@ -57,7 +59,7 @@ def set_for_keys(target: DataFrame, keys: DataFrame, pk: list[str], assignments:
 
 def delete_for_keys(target: DataFrame, keys: DataFrame, pk: list[str]) -> DataFrame:
     """DELETE ... WHERE pk IN (keys)."""
-    return target.join(keys.select(*pk), pk, "left_anti")
+    return anti(target, keys, pk)
 
 
 def insert_missing(target: DataFrame, rows: DataFrame, pk: list[str]) -> DataFrame:

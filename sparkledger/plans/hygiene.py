@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sparkledger.operators.joins import anti
 from sparkledger.operators.retention import Parent, PurgeStep
 from sparkledger.operators.updates import update_from
 from sparkledger.sources.tables import append_rows, empty_like
@@ -78,6 +79,5 @@ def rotate_backup(rows: DataFrame, folder: str, name: str, version: str, previou
 
 def backfill_children(parents: DataFrame, child: DataFrame, key: str, kind_column: str, kind: int, defaults: dict) -> DataFrame:
     """Default child rows for the parents that have none of the given kind."""
-    existing = child.where(F.col(kind_column) == kind).select(key)
-    missing = parents.select(key).distinct().join(existing, key, "left_anti")
+    missing = anti(parents.select(key).distinct(), child.where(F.col(kind_column) == kind), [key])
     return missing.select(key, F.lit(kind).alias(kind_column), *[value.alias(name) for name, value in defaults.items()])

@@ -10,9 +10,9 @@ from sparkledger import codes
 from sparkledger.functions.scalar import safe_ratio, total
 from sparkledger.operators.changeset import ChangeSet
 from sparkledger.operators.hierarchy import ancestor_pairs
-from sparkledger.operators.joins import flag_any
+from sparkledger.operators.joins import anti, flag_any, semi
 from sparkledger.operators.keys import max_key, number_rows
-from sparkledger.operators.updates import delete_for_keys, set_for_keys, update_from
+from sparkledger.operators.updates import delete_for_keys, set_for_keys, set_where, update_from
 from sparkledger.session import snapshot
 
 # Reversal and replacement rules, by column. They define the booking. Columns that a flow
@@ -163,7 +163,7 @@ def current_deposits_without_tax(flow: DataFrame, tax: DataFrame, only_invoiced:
     deposits = flow.where(f"flow_type = {codes.FLOW_DEPOSIT} AND reversal_status = {codes.CURRENT}")
     if only_invoiced:
         deposits = deposits.where("invoice_id <> 0")
-    return deposits.join(tax.select("flow_id"), "flow_id", "left_anti")
+    return anti(deposits, tax, ["flow_id"])
 
 
 def invalid_tax_lines(
@@ -196,7 +196,7 @@ def invalid_tax_lines(
         f"flow_type = {codes.FLOW_CUSTOM} AND reversal_status = {codes.CURRENT} AND custom_flow_hdr_id <> 0"
     ).select("flow_id", "contract_id", "link_no")
     if exempt_flows is not None:
-        flows = flows.join(exempt_flows, "flow_id", "left_anti")
+        flows = anti(flows, exempt_flows, ["flow_id"])
     targets = flows.join(destinations, ["contract_id", "link_no"]).select(
         "flow_id", F.col("contract_id").alias("flow_contract_id"), "destination"
     )
@@ -213,7 +213,7 @@ def invalid_tax_lines(
     wrong_flows = wrong.select("flow_id", F.col("destination").alias("asset_hdr_id")).distinct()
     direct = tax.select("flow_id", "asset_hdr_id").join(wrong_flows, ["flow_id", "asset_hdr_id"], "left_semi")
     correct = direct.select("flow_id").unionByName(judged.where("is_below").select("flow_id"))
-    wrong = wrong.join(correct, "flow_id", "left_semi")
+    wrong = semi(wrong, correct, ["flow_id"])
 
     owners = asset_hdr.select("asset_hdr_id", "owner_id", "parent_owner_id")
     placed = wrong.join(owners, "asset_hdr_id").withColumn("_own", F.col("asset_hdr_id"))
@@ -288,7 +288,7 @@ def unmatched_flows(flow: DataFrame, match: DataFrame, contract: DataFrame, styl
         "AND contract_id > 0 AND is_cash = 1 AND nett_no = 0"
     )
     contracts = contract.where(F.col("product_style") == style).select("contract_id")
-    return candidates.join(contracts, "contract_id", "left_semi").join(live_matches(match).select("flow_id"), "flow_id", "left_anti")
+    return anti(candidates.join(contracts, "contract_id", "left_semi"), live_matches(match), ["flow_id"])
 
 
 def release_flows(flow: DataFrame, affected: DataFrame) -> ChangeSet:
@@ -342,17 +342,22 @@ def recompute_matched(flow: DataFrame, match: DataFrame) -> DataFrame:
 
 
 def delete_recovery_matches(flow: DataFrame, match: DataFrame, bank_flow: DataFrame) -> DataFrame:
-    """All matches; those of flows in recovery and of promise-to-pay flows are flagged deleted."""
-    live = match.where("is_deleted = 0").join(bank_flow.select("bank_flow_id"), "bank_flow_id", "left_semi")
-    flags = flow.select("flow_id", "exclude_from_account_bal")
-    hits = live.join(flags, "flow_id").where("exclude_from_account_bal <> 0 OR flow_id <> recovery_flow_id")
-    return set_for_keys(match, hits, ["bank_flow_match_id"], {"is_deleted": 1})
+    """All matches; those of flows in recovery and of promise-to-pay flows are flagged deleted.
+
+    Flow and bank flow have one row per key, so they are joined to the matches directly.
+    """
+    joined = match.join(flow.select("flow_id", "exclude_from_account_bal"), "flow_id", "left").join(
+        bank_flow.select("bank_flow_id", F.lit(True).alias("_paid")), "bank_flow_id", "left"
+    )
+    in_recovery = (F.col("exclude_from_account_bal") != 0) | (
+        (F.col("exclude_from_account_bal") == 0) & (F.col("flow_id") != F.col("recovery_flow_id"))
+    )
+    return set_where(joined, F.col("_paid") & in_recovery, {"is_deleted": 1}).select(*match.columns)
 
 
 def unallocate_matches(match: DataFrame, reversed_flows: DataFrame) -> DataFrame:
-    """Flag the matches of reversed flows deleted, by the system user."""
-    hits = match.join(reversed_flows.select("flow_id"), "flow_id", "left_semi")
-    return set_for_keys(match, hits, ["bank_flow_match_id"], {"is_deleted": 1})
+    """Flag the matches of reversed flows deleted."""
+    return set_for_keys(match, reversed_flows, ["flow_id"], {"is_deleted": 1})
 
 
 # Codes and states --------------------------------------------------------------------------------
@@ -363,10 +368,15 @@ def code_mapping(table: DataFrame, pk: list[str], code: str, mapping: dict[str,
     return table.where(F.col(code).isin(*mapping)).select(*pk, F.col(code).alias("old_code"), rule[F.col(code)].alias("new_code"))
 
 
-def remap_codes(table: DataFrame, mapping_rows: DataFrame, pk: list[str], code: str, back: bool = False) -> DataFrame:
-    """Apply a mapping, or take it back."""
-    source = "old_code" if back else "new_code"
-    return update_from(table, mapping_rows.select(*pk, F.col(source).alias(code)), pk)
+def remap_codes(table: DataFrame, code: str, mapping: dict[str, str]) -> DataFrame:
+    """The table with new codes: a projection, since the new code follows from the old one."""
+    rule = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+    return table.withColumn(code, F.coalesce(F.try_element_at(rule, F.col(code)), F.col(code)))
+
+
+def restore_codes(table: DataFrame, mapping_rows: DataFrame, pk: list[str], code: str) -> DataFrame:
+    """Take a mapping back row by row: a row that had the new code all along keeps it."""
+    return update_from(table, mapping_rows.select(*pk, F.col("old_code").alias(code)), pk)
 
 
 def reset_credit_state(contract: DataFrame, event_queue: DataFrame) -> tuple[DataFrame, DataFrame]:

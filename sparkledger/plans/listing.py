@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sparkledger import codes
 from sparkledger.functions.scalar import equals_ignore_case, has_prefix, like_ignore_case, row_count, total
-from sparkledger.operators.joins import not_in, repeated_keys
+from sparkledger.operators.joins import left_join_many, not_in, repeated_keys, semi
 
 
 def _renamed(df: DataFrame, **names: str) -> DataFrame:
@@ -67,10 +67,8 @@ def duplicate_write_offs(write_off: DataFrame) -> DataFrame:
 
 def parties_with_duplicates(write_off: DataFrame, contract: DataFrame, party: DataFrame) -> DataFrame:
     """Parties of contracts that hold duplicate write-offs."""
-    owners = contract.join(duplicate_write_offs(write_off).select("contract_id"), "contract_id", "left_semi").select(
-        F.col("cparty_id").alias("party_id")
-    )
-    return party.join(owners, "party_id", "left_semi")
+    owners = semi(contract, duplicate_write_offs(write_off), ["contract_id"]).select(F.col("cparty_id").alias("party_id"))
+    return semi(party, owners, ["party_id"])
 
 
 def write_offs_by_party(write_off: DataFrame, account: DataFrame, party: DataFrame) -> DataFrame:
@@ -110,14 +108,11 @@ def audit_decode(
     for code, name in codes.AUDIT_CHANGES.items():
         hit = F.col("change_type") == code
         change = F.when(hit, name) if change is None else change.when(hit, name)
-    return (
-        rows.join(_renamed(keys, audit_hdr_id="audit_hdr_id", fld_name="key_name", old_fld_value="key_old", new_fld_value="key_new"), "audit_hdr_id")
-        .join(user.select("user_id", "user_name"), "user_id")
-        .join(field, "audit_hdr_id", "left")
-        .select(
-            "audit_hdr_id", "audit_dt", change.alias("change_name"), "user_name", "tbl_name", "key_name", "key_old", "key_new",
-            "fld_name", "old_fld_value", "new_fld_value",
-        )
+    keys = _renamed(keys, audit_hdr_id="audit_hdr_id", fld_name="key_name", old_fld_value="key_old", new_fld_value="key_new")
+    headers = rows.join(user.select("user_id", "user_name"), "user_id").join(keys, "audit_hdr_id")
+    return left_join_many(headers, field, ["audit_hdr_id"]).select(
+        "audit_hdr_id", "audit_dt", change.alias("change_name"), "user_name", "tbl_name", "key_name", "key_old", "key_new",
+        "fld_name", "old_fld_value", "new_fld_value",
     )
 
 
@@ -139,18 +134,19 @@ def recent_rows(table: DataFrame, key: str, text: str, exclude: str, n: int) ->
 
 def used_definitions(definition: DataFrame, key: str, instance: DataFrame, reference: str) -> DataFrame:
     """Definitions that at least one instance refers to."""
-    return definition.join(instance.select(F.col(reference).alias(key)), key, "left_semi")
+    return semi(definition, instance.select(F.col(reference).alias(key)), [key])
 
 
 def invoice_flows(flow: DataFrame, tax: DataFrame, invoice: DataFrame) -> DataFrame:
     """Flows of each invoice with their tax lines, also flows without one. Invoice 0 means none."""
     lines = tax.select("flow_id", "tax_calc_flow_id", "tax_type_id", "amt_tax")
-    return (
+    flows = (
         flow.where("invoice_id <> 0")
         .select("flow_id", "contract_id", "invoice_id", "amount")
         .join(invoice, "invoice_id")
-        .join(lines, "flow_id", "left")
-        .select("invoice_no", "flow_id", "contract_id", "amount", "tax_calc_flow_id", "tax_type_id", "amt_tax")
+    )
+    return left_join_many(flows, lines, ["flow_id"]).select(
+        "invoice_no", "flow_id", "contract_id", "amount", "tax_calc_flow_id", "tax_type_id", "amt_tax"
     )
 
 
@@ -158,13 +154,8 @@ def invoice_origins(flow: DataFrame, invoice: DataFrame) -> DataFrame:
     """Flows that other invoiced flows link back to, with their own invoice."""
     linked = flow.where("invoice_id <> 0 AND flow_link_id <> 0")
     origins = linked.join(invoice.select("invoice_id"), "invoice_id", "left_semi").select(F.col("flow_link_id").alias("flow_id"))
-    return (
-        flow.where("invoice_id <> 0")
-        .select("flow_id", "contract_id", "calc_dt", "invoice_id")
-        .join(origins, "flow_id", "left_semi")
-        .join(invoice, "invoice_id")
-        .distinct()
-    )
+    candidates = flow.where("invoice_id <> 0").select("flow_id", "contract_id", "calc_dt", "invoice_id")
+    return semi(candidates, origins, ["flow_id"]).join(invoice, "invoice_id")
 
 
 def unreceived_custom_flows(po_row: DataFrame, contract: DataFrame, asset_hdr: DataFrame, style: int = 2000) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sparkledger import codes
 from sparkledger.operators.hierarchy import ancestor_pairs
-from sparkledger.operators.joins import flag_any, latest_as_of, semi_any
+from sparkledger.operators.joins import anti, flag_any, latest_as_of, semi, semi_any
 from sparkledger.session import snapshot
 
 OWNERS = ["_own", "owner_id", "parent_owner_id"]
@@ -41,12 +41,8 @@ def repair_terminated(affected: DataFrame, quote: DataFrame) -> DataFrame:
 
     The second step looks at the quotes as the first one leaves them.
     """
-    still_open = (
-        quote.where(F.col("quote_status").isin(*codes.OPEN_QUOTES))
-        .join(affected.select("asset_hdr_quote_id"), "asset_hdr_quote_id", "left_anti")
-        .select("asset_hdr_id")
-    )
-    assets = affected.select("asset_hdr_id", "asset_status").distinct().join(still_open, "asset_hdr_id", "left_anti")
+    still_open = anti(quote.where(F.col("quote_status").isin(*codes.OPEN_QUOTES)), affected, ["asset_hdr_quote_id"])
+    assets = anti(affected.select("asset_hdr_id", "asset_status").distinct(), still_open, ["asset_hdr_id"])
     return _changes(affected, "quote", "asset_hdr_quote_id", "quote_status", codes.QUOTE_TERMINATED).unionByName(
         _changes(assets, "asset", "asset_hdr_id", "asset_status", codes.ASSET_ACTIVE)
     )
@@ -55,11 +51,9 @@ def repair_terminated(affected: DataFrame, quote: DataFrame) -> DataFrame:
 def terminated_addresses(affected: DataFrame, contract: DataFrame, address: DataFrame, date: str = "activated_dt") -> DataFrame:
     """Address rows to insert: the contract's default address from its start date, unless one starts that day."""
     start = contract.select("contract_id", F.col("default_asset_address_id").alias("address_id"), F.col(date).alias("effective_dt"))
-    current = address.where(F.col("asset_hdr_address_type") == codes.ADDRESS_CURRENT).select("asset_hdr_id", "effective_dt")
-    return (
-        affected.join(start, "contract_id")
-        .join(current, ["asset_hdr_id", "effective_dt"], "left_anti")
-        .select("asset_hdr_id", "contract_id", "address_id", "effective_dt", F.lit(codes.ADDRESS_CURRENT).alias("asset_hdr_address_type"))
+    current = address.where(F.col("asset_hdr_address_type") == codes.ADDRESS_CURRENT)
+    return anti(affected.join(start, "contract_id"), current, ["asset_hdr_id", "effective_dt"]).select(
+        "asset_hdr_id", "contract_id", "address_id", "effective_dt", F.lit(codes.ADDRESS_CURRENT).alias("asset_hdr_address_type")
     )
 
 
@@ -77,19 +71,15 @@ def quotes_on_activated_contracts(
     candidates = contract.where(
         F.col("contract_state").isin(codes.CONTRACT_ACTIVATED, codes.CONTRACT_PART_TERMINATED) & F.col("product_style").isin(*styles)
     ).select("contract_id", "calc_dt")
-    expired = event_queue.where(F.col("event_state_before") == codes.CREDIT_EXPIRED).select("contract_id")
-    candidates = candidates.join(expired, "contract_id", "left_semi")
+    expired = event_queue.where(F.col("event_state_before") == codes.CREDIT_EXPIRED)
+    candidates = semi(candidates, expired, ["contract_id"])
     held = asset_hdr.withColumnRenamed("current_contract_id", "contract_id")
-    quoting = (
-        held.where(F.col("asset_status") == codes.ASSET_QUOTING)
-        .select("contract_id", "asset_hdr_id")
-        .join(
-            quote.where(F.col("quote_status") == codes.QUOTE_QUOTING).select("contract_id", "asset_hdr_id"),
-            ["contract_id", "asset_hdr_id"],
-            "left_semi",
-        )
+    quoting = semi(
+        held.where(F.col("asset_status") == codes.ASSET_QUOTING).select("contract_id", "asset_hdr_id"),
+        quote.where(F.col("quote_status") == codes.QUOTE_QUOTING),
+        ["contract_id", "asset_hdr_id"],
     )
-    candidates = candidates.join(quoting, "contract_id", "left_semi")
+    candidates = semi(candidates, quoting, ["contract_id"])
     rows = (
         candidates.join(
             held.select(
@@ -188,16 +178,15 @@ def candidate_addresses(asset_hdr: DataFrame, contract: DataFrame, date: str = "
 def address_changes(candidates: DataFrame, address: DataFrame) -> DataFrame:
     """Per candidate: whether to update the asset's current address, and whether to insert a dated address row.
 
-    Compared with the latest dated current address. One aggregate finds the latest date and whether an
-    address of that date is the candidate's.
+    Compared with the latest dated current address. The addresses are reduced to one row per asset and
+    address, and then per asset, before they meet the candidates.
     """
-    current = address.where(F.col("asset_hdr_address_type") == codes.ADDRESS_CURRENT).select(
-        "asset_hdr_id", F.col("effective_dt").alias("_dt"), F.col("address_id").alias("_address")
-    )
-    latest = F.max(F.when(F.col("_dt").isNotNull(), F.struct("_dt", (F.col("_address") == F.col("address_id")).alias("same"))))
-    joined = candidates.join(current, "asset_hdr_id", "left").groupBy("asset_hdr_id", "address_id", "effective_dt").agg(latest.alias("_last"))
-    keep = F.col("_last").isNotNull() & (F.col("_last.same") | (F.col("_last._dt") >= F.col("effective_dt")))
-    dated = F.col("_last").isNotNull() & (F.col("_last._dt") == F.col("effective_dt"))
+    current = address.where(F.col("asset_hdr_address_type") == codes.ADDRESS_CURRENT)
+    per_address = current.groupBy("asset_hdr_id", "address_id").agg(F.max("effective_dt").alias("_address_dt"))
+    per_asset = per_address.groupBy("asset_hdr_id").agg(F.max("_address_dt").alias("_latest_dt"))
+    joined = candidates.join(per_asset, "asset_hdr_id", "left").join(per_address, ["asset_hdr_id", "address_id"], "left")
+    keep = (F.col("_address_dt") == F.col("_latest_dt")) | (F.col("_latest_dt") >= F.col("effective_dt"))
+    dated = F.col("_latest_dt") == F.col("effective_dt")
     return joined.select(
         "asset_hdr_id", "address_id", "effective_dt",
         F.when(keep, 0).otherwise(1).alias("update_current_address"),
@@ -270,7 +259,7 @@ def hierarchy_descendants(asset_hdr: DataFrame) -> DataFrame:
 
 def contracts_missing_assets(contract: DataFrame, asset_hdr: DataFrame, asset: DataFrame, as_of: str) -> DataFrame:
     """Activated, unmatured contracts of a physical asset that has no asset row."""
-    missing = asset_hdr.join(asset.select("asset_hdr_id"), "asset_hdr_id", "left_anti")
+    missing = anti(asset_hdr, asset, ["asset_hdr_id"])
     ids = (
         missing.select(F.col("current_contract_id").alias("contract_id"))
         .union(missing.select("original_contract_id"))

@@ -10,6 +10,7 @@ from sparkledger import codes
 from sparkledger.functions.scalar import add_units, to_local
 from sparkledger.operators import export, keys, masking, retention, updates
 from sparkledger.operators.changeset import ChangeSet
+from sparkledger.operators.joins import semi
 from sparkledger.plans import clock, discovery, hygiene, ledger, listing, status
 from sparkledger.session import configure, new_folder
 from sparkledger.sources.fixtures import Fixtures
@@ -54,7 +55,7 @@ def invalid_tax_lines_removed(fx):
 
 def _tax_reversal(fx: Fixtures):
     flow, invalid = fx.flow(), _invalid_lines(fx)
-    affected = ledger.invoiced(flow).join(invalid.select("flow_id"), "flow_id", "left_semi")
+    affected = semi(ledger.invoiced(flow), invalid, ["flow_id"])
     return ledger.reverse_flows(flow, affected, RUN_DATE), invalid
 
 
@@ -119,16 +120,14 @@ def match_unallocate(fx):
 
 
 def code_remap(fx):
-    orders = fx.table("orders")
-    mapping = ledger.code_mapping(orders, ["o_orderkey"], "o_orderpriority", PRIORITY_CODES)
-    return ledger.remap_codes(orders, mapping, ["o_orderkey"], "o_orderpriority")
+    return ledger.remap_codes(fx.table("orders"), "o_orderpriority", PRIORITY_CODES)
 
 
 def code_remap_back(fx):
     orders = fx.table("orders")
     mapping = ledger.code_mapping(orders, ["o_orderkey"], "o_orderpriority", PRIORITY_CODES)
-    changed = ledger.remap_codes(orders, mapping, ["o_orderkey"], "o_orderpriority")
-    return ledger.remap_codes(changed, mapping, ["o_orderkey"], "o_orderpriority", back=True)
+    changed = ledger.remap_codes(orders, "o_orderpriority", PRIORITY_CODES)
+    return ledger.restore_codes(changed, mapping, ["o_orderkey"], "o_orderpriority")
 
 
 def state_reset(fx):

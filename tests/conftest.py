@@ -1,7 +1,6 @@
 import os
 import sys
 
-
 import pytest
 from pyspark.sql import SparkSession
 
