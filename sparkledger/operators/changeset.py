@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkledger.operators.updates import update_from
 from sparkledger.session import new_folder
+from sparkledger.sources.tables import log_event, write_version
 
 PARTS = ("before", "updates", "inserts", "deletes")
 
@@ -65,6 +66,16 @@ class ChangeSet:
             gone = gone.unionByName(self.inserts.select(*self.pk))
         return changed.join(gone, self.pk, "left_anti").unionByName(self.before)
 
+    def publish(
+        self, table: DataFrame, folder: str, name: str, version: str, log: str, as_of: str, user_id: int, back: bool = False
+    ) -> str:
+        """Write the table after the change (or after taking it back) as a new version, and log the run."""
+        result = self.revert(table) if back else self.apply(table)
+        path = write_version(result, folder, name, version)
+        kind, verb = ("Script Revert", "Reverted") if back else ("Script Run", "Ran")
+        log_event(table.sparkSession, log, as_of, kind, f"{verb}: {name} to version {version}", user_id)
+        return path
+
     def rows(self) -> DataFrame:
         """The change as rows with an `op`: old and new row of each update, deleted rows, inserted rows."""
         old, parts = self.before, []

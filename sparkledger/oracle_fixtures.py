@@ -68,7 +68,8 @@ FIXTURES: dict[str, str] = {
                amt_principal AS amt_matched_principal, amt_interest AS amt_matched_interest,
                CAST(round(amount * rate, 2) AS DECIMAL(18,2)) AS amt_matched_tax,
                CASE WHEN batch_no % 17 = 0 THEN 1 ELSE 0 END AS is_deleted,
-               CASE WHEN batch_no % 19 = 0 THEN 1 ELSE 0 END AS is_rejected
+               CASE WHEN batch_no % 19 = 0 THEN 1 ELSE 0 END AS is_rejected,
+               DATE '1900-01-01' AS unallocated_dt, 0 AS unallocated_user_id
         FROM fx_flow WHERE batch_no % 3 <> 0""",
     "fx_bank_flow": """
         SELECT o_orderkey AS bank_flow_id, o_orderkey AS contract_id, o_custkey AS party_account_id,

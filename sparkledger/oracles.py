@@ -112,6 +112,12 @@ STEPS = {
     "st_latest_address": """
         SELECT a.* FROM fx_addr a WHERE a.asset_hdr_address_type = 45101
           AND a.effective_dt = (SELECT max(b.effective_dt) FROM fx_addr b WHERE b.asset_hdr_address_type = 45101 AND b.asset_hdr_id = a.asset_hdr_id)""",
+    "st_address_change": """
+        SELECT asset_hdr_id, address_id, effective_dt,
+               CASE WHEN EXISTS (SELECT 1 FROM st_latest_address l WHERE l.asset_hdr_id = c.asset_hdr_id
+                                 AND (l.address_id = c.address_id OR l.effective_dt >= c.effective_dt)) THEN 0 ELSE 1 END AS update_current_address,
+               CASE WHEN EXISTS (SELECT 1 FROM st_latest_address l WHERE l.asset_hdr_id = c.asset_hdr_id AND l.effective_dt = c.effective_dt) THEN 0 ELSE 1 END AS insert_asset_hdr_address
+        FROM st_candidate c""",
     "st_as_of": """
         SELECT asset_hdr_id, asset_hdr_address_type, address_id, effective_dt FROM fx_addr WHERE effective_dt <= DATE '2024-01-15'
         QUALIFY row_number() OVER (PARTITION BY asset_hdr_id, asset_hdr_address_type ORDER BY effective_dt DESC, asset_hdr_address_id DESC) = 1""",
@@ -293,7 +299,16 @@ QUERIES = {
         SELECT m.* REPLACE (CASE WHEN m.is_deleted = 0 AND (f.exclude_from_account_bal <> 0 OR m.flow_id <> m.recovery_flow_id) THEN 1 ELSE m.is_deleted END AS is_deleted)
         FROM fx_match m JOIN fx_flow f ON f.flow_id = m.flow_id""",
     "match_unallocate": """
-        SELECT * REPLACE (CASE WHEN flow_id IN (SELECT flow_id FROM st_deposits) THEN 1 ELSE is_deleted END AS is_deleted) FROM fx_match""",
+        SELECT * EXCLUDE (hit) REPLACE (CASE WHEN hit THEN 1 ELSE is_deleted END AS is_deleted,
+               CASE WHEN hit THEN DATE '2002-01-01' ELSE unallocated_dt END AS unallocated_dt, CASE WHEN hit THEN 3 ELSE unallocated_user_id END AS unallocated_user_id)
+        FROM (SELECT *, flow_id IN (SELECT flow_id FROM st_deposits) AS hit FROM fx_match)""",
+    "flows_to_reallocate": """
+        SELECT DISTINCT f.top + 2 + f.n + f.rn AS flow_id, f.calc_dt, f.amount, f.contract_id, b.cheque_no, b.bank_flow_id, b.batch_no
+        FROM st_numbered f JOIN fx_match m ON m.flow_id = f.flow_id JOIN fx_bank_flow b ON b.bank_flow_id = m.bank_flow_id""",
+    "unallocated_bank_flows": """
+        SELECT DISTINCT b.contract_id, b.bank_flow_id, b.batch_no, a.account_no, b.cheque_no
+        FROM fx_bank_flow b JOIN fx_party_account a ON a.party_account_id = b.party_account_id JOIN fx_match m ON m.bank_flow_id = b.bank_flow_id
+        WHERE m.flow_id IN (SELECT flow_id FROM st_deposits)""",
     "code_remap": """
         SELECT * REPLACE (CASE o_orderpriority WHEN '1-URGENT' THEN 'URGENT' WHEN '2-HIGH' THEN 'HIGH' ELSE o_orderpriority END AS o_orderpriority) FROM orders""",
     "code_remap_back": "SELECT * FROM orders",
@@ -329,12 +344,11 @@ QUERIES = {
         SELECT 'asset', asset_hdr_id, asset_status, 43040 FROM st_activated_asset h WHERE asset_status = 43030
           AND EXISTS (SELECT 1 FROM st_judged j WHERE j.asset_hdr_id = h.asset_hdr_id AND j.new_status = 44000 AND j.has_asset)
           AND NOT EXISTS (SELECT 1 FROM st_judged j WHERE j.asset_hdr_id = h.asset_hdr_id AND j.new_status = 44020 AND j.has_asset)""",
-    "effective_address_insert": """
-        SELECT asset_hdr_id, address_id, effective_dt,
-               CASE WHEN EXISTS (SELECT 1 FROM st_latest_address l WHERE l.asset_hdr_id = c.asset_hdr_id
-                                 AND (l.address_id = c.address_id OR l.effective_dt >= c.effective_dt)) THEN 0 ELSE 1 END AS update_current_address,
-               CASE WHEN EXISTS (SELECT 1 FROM st_latest_address l WHERE l.asset_hdr_id = c.asset_hdr_id AND l.effective_dt = c.effective_dt) THEN 0 ELSE 1 END AS insert_asset_hdr_address
-        FROM st_candidate c""",
+    "effective_address_insert": "SELECT * FROM st_address_change",
+    "effective_address_rows": """
+        SELECT (SELECT max(asset_hdr_address_id) FROM fx_addr) + row_number() OVER (ORDER BY asset_hdr_id, effective_dt, address_id) AS asset_hdr_address_id,
+               asset_hdr_id, 45101 AS asset_hdr_address_type, effective_dt, address_id
+        FROM st_address_change WHERE insert_asset_hdr_address = 1""",
     "as_of_address": "SELECT * FROM st_as_of",
     "asset_address_view": """
         SELECT r.row_type, r.address_id, r.contract_id, r.asset_id, r.asset_hdr_id, r.name, concat_ws(', ', d.street, d.zip_code, d.city) AS full_address,
@@ -476,6 +490,8 @@ QUERIES = {
                     UNION ALL SELECT 'sent', date_diff('hour', ts, ts + INTERVAL 11 HOUR) FROM events)
               GROUP BY column_name, offset_hours)
         QUALIFY row_number() OVER (PARTITION BY column_name ORDER BY n_rows DESC, offset_hours) = 1""",
+    "utc_or_local_latest": """
+        SELECT TIMESTAMP '2024-01-31 23:00:00' AS local_clock, TIMESTAMP '2024-01-31 12:00:00' AS utc_clock, ts FROM events ORDER BY event_id DESC LIMIT 1""",
     "profile_columns": _profile(),
     "table_row_counts": _counts(),
     "find_references": "SELECT DISTINCT source FROM documents WHERE contains(text, 'license')",

@@ -51,3 +51,17 @@ def classify_time_columns(table: DataFrame, reference: str, columns: list[str])
         "column_name", offset.alias("offset_hours"), F.col("best.n_rows").alias("n_rows"), "n_total",
         F.when(offset == 0, "UTC").otherwise("local").alias("clock"),
     )
+
+
+def latest_times(table: DataFrame, key: str, columns: list[str], as_of: str, zone: str) -> DataFrame:
+    """Time columns of the row with the greatest key, next to the clock in UTC and in the local zone."""
+    now = F.lit(as_of).cast("timestamp")
+    return (
+        table.orderBy(F.col(key).desc())
+        .limit(1)
+        .select(
+            S.to_local(now, F.lit(zone)).cast("timestamp_ntz").alias("local_clock"),
+            now.cast("timestamp_ntz").alias("utc_clock"),
+            *[F.col(c).cast("timestamp_ntz").alias(c) for c in columns],
+        )
+    )

@@ -355,9 +355,35 @@ def delete_recovery_matches(flow: DataFrame, match: DataFrame, bank_flow: DataFr
     return set_where(joined, F.col("_paid") & in_recovery, {"is_deleted": 1}).select(*match.columns)
 
 
-def unallocate_matches(match: DataFrame, reversed_flows: DataFrame) -> DataFrame:
-    """Flag the matches of reversed flows deleted."""
-    return set_for_keys(match, reversed_flows, ["flow_id"], {"is_deleted": 1})
+def unallocate_matches(match: DataFrame, reversed_flows: DataFrame, as_of: str) -> DataFrame:
+    """All matches; those of reversed flows are flagged deleted, with the day and the system user."""
+    assignments = {
+        "is_deleted": 1, "unallocated_dt": F.lit(as_of).cast("date"), "unallocated_user_id": codes.SYSTEM_USER
+    }
+    return set_for_keys(match, reversed_flows, ["flow_id"], assignments)
+
+
+def flows_to_reallocate(reversal: Reversal, match: DataFrame, bank_flow: DataFrame) -> DataFrame:
+    """New current flows whose originals had bank matches, with the bank flows to allocate to them again."""
+    new_ids = reversal.key_map.where("kind = 'replacement'").select("flow_id", "original_flow_id")
+    paid = match.select(F.col("flow_id").alias("original_flow_id"), "bank_flow_id").distinct()
+    return (
+        reversal.replacement.select("flow_id", "calc_dt", "amount", "contract_id")
+        .join(new_ids, "flow_id")
+        .join(paid, "original_flow_id")
+        .join(bank_flow.select("bank_flow_id", "cheque_no", "batch_no"), "bank_flow_id")
+        .select("flow_id", "calc_dt", "amount", "contract_id", "cheque_no", "bank_flow_id", "batch_no")
+    )
+
+
+def unallocated_bank_flows(reversed_flows: DataFrame, match: DataFrame, bank_flow: DataFrame, account: DataFrame) -> DataFrame:
+    """Bank flows that lost a match to a reversal."""
+    lost = semi(match.select("flow_id", "bank_flow_id"), reversed_flows, ["flow_id"])
+    return (
+        semi(bank_flow, lost, ["bank_flow_id"])
+        .join(account.select("party_account_id", "account_no"), "party_account_id")
+        .select("contract_id", "bank_flow_id", "batch_no", "account_no", "cheque_no")
+    )
 
 
 # Codes and states --------------------------------------------------------------------------------

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from sparkledger import codes
+from sparkledger.operators.changeset import ChangeSet
 from sparkledger.operators.hierarchy import ancestor_pairs
 from sparkledger.operators.joins import anti, flag_any, latest_as_of, semi, semi_any
+from sparkledger.operators.keys import max_key, number_rows
 from sparkledger.session import snapshot
 
 OWNERS = ["_own", "owner_id", "parent_owner_id"]
@@ -194,6 +196,20 @@ def address_changes(candidates: DataFrame, address: DataFrame) -> DataFrame:
     )
 
 
+def insert_addresses(address: DataFrame, changes: DataFrame) -> ChangeSet:
+    """The missing address rows as a change to the address table; their new ids continue after the greatest."""
+    wanted = snapshot(changes.where("insert_asset_hdr_address = 1").select("asset_hdr_id", "address_id", "effective_dt"))
+    numbered, _ = number_rows(wanted, ["asset_hdr_id", "effective_dt", "address_id"])
+    highest = max_key(address, "asset_hdr_address_id")
+    rows = numbered.withColumns(
+        {
+            "asset_hdr_address_id": F.lit(highest) + F.col("row_no"),
+            "asset_hdr_address_type": F.lit(codes.ADDRESS_CURRENT),
+        }
+    ).select(*address.columns)
+    return ChangeSet(["asset_hdr_address_id"], address.where("1 = 0"), inserts=rows)
+
+
 def address_as_of(address: DataFrame, as_of: str) -> DataFrame:
     """Per asset and address type the address in effect on a date; types without one are absent."""
     known = address.where(F.col("asset_hdr_address_type").isin(*codes.ADDRESS_TYPES))

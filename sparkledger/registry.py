@@ -116,7 +116,17 @@ def match_soft_delete(fx):
 
 def match_unallocate(fx):
     flow = fx.flow()
-    return ledger.unallocate_matches(fx.match(), ledger.current_deposits_without_tax(flow, fx.tax(), only_invoiced=True))
+    reversed_flows = ledger.current_deposits_without_tax(flow, fx.tax(), only_invoiced=True)
+    return ledger.unallocate_matches(fx.match(), reversed_flows, RUN_DATE)
+
+
+def flows_to_reallocate(fx):
+    return ledger.flows_to_reallocate(_deposit_reversal(fx), fx.match(), fx.bank_flow())
+
+
+def unallocated_bank_flows(fx):
+    reversed_flows = ledger.current_deposits_without_tax(fx.flow(), fx.tax(), only_invoiced=True)
+    return ledger.unallocated_bank_flows(reversed_flows, fx.match(), fx.bank_flow(), fx.party_account())
 
 
 def code_remap(fx):
@@ -170,6 +180,11 @@ def effective_address_insert(fx):
     return status.address_changes(status.candidate_addresses(fx.asset_hdr(), fx.contract()), fx.asset_address())
 
 
+def effective_address_rows(fx):
+    changes = status.address_changes(status.candidate_addresses(fx.asset_hdr(), fx.contract()), fx.asset_address())
+    return status.insert_addresses(fx.asset_address(), changes).inserts
+
+
 def as_of_address(fx):
     return status.address_as_of(fx.asset_address(), ADDRESS_DATE)
 
@@ -457,6 +472,10 @@ def utc_or_local(fx):
     return clock.classify_time_columns(rows, "created", ["received", "sent"])
 
 
+def utc_or_local_latest(fx):
+    return clock.latest_times(fx.table("events"), "event_id", ["ts"], "2024-01-31 12:00:00", "Australia/Sydney")
+
+
 def _all_tables(fx: Fixtures) -> dict[str, DataFrame]:
     return {name: fx.table(name) for name in TABLES}
 
@@ -480,9 +499,10 @@ def group_summary(fx):
 JOBS = (
     flow_reversal, flow_reversal_keys, flow_reversal_tax, invalid_tax_lines, invalid_tax_lines_removed, tax_rollup, tax_rollup_gross,
     tax_reconcile, tax_missing, affected_invoice_tax, release_unmatched, release_unmatched_list, match_reconcile,
-    match_reconcile_recovery, match_recompute, match_soft_delete, match_unallocate, code_remap, code_remap_back, state_reset,
+    match_reconcile_recovery, match_recompute, match_soft_delete, match_unallocate, flows_to_reallocate,
+    unallocated_bank_flows, code_remap, code_remap_back, state_reset,
     state_reset_events, save_status_reset, terminated_status_repair, terminated_address_insert, activated_status_repair,
-    status_classify, effective_address_insert, as_of_address, asset_address_view, hierarchy_descendants, contracts_missing_assets,
+    status_classify, effective_address_insert, effective_address_rows, as_of_address, asset_address_view, hierarchy_descendants, contracts_missing_assets,
     latest_revision_rows, latest_revision_deleted, gl_entries, gl_suspense, gl_orphans, duplicate_keys, duplicate_write_offs,
     writeoff_by_party, writeoff_duplicate_parties, audit_decode, audit_decode_filtered, queue_by_state, queue_backlog,
     recent_activity, used_definitions, invoice_lineage, invoice_origins, unreceived_custom_flows, lookup_contracts_by_product,
@@ -490,7 +510,7 @@ JOBS = (
     mask_coverage, mask_accounts, mask_addresses, mask_users, mask_employment, mask_bank_flows, mask_bank_accounts,
     mask_duplicate_buckets, mask_party_addresses, mask_mail_lists, scrub_history, scrub_notes, retention_purge, retention_kept,
     upsert_update_only, copy_distinct, changeset_apply, changeset_apply_revert, backup_rotation, allocate_keys, next_numbers,
-    export_inserts, backfill_child_rows, time_normalise, utc_or_local, profile_columns, table_row_counts, find_references,
+    export_inserts, backfill_child_rows, time_normalise, utc_or_local, utc_or_local_latest, profile_columns, table_row_counts, find_references,
     group_summary,
 )
 

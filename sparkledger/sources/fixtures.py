@@ -164,6 +164,7 @@ class Fixtures:
             "CAST(round(amount * rate, 2) AS DECIMAL(18,2)) AS amt_matched_tax",
             "CASE WHEN batch_no % 17 = 0 THEN 1 ELSE 0 END AS is_deleted",
             "CASE WHEN batch_no % 19 = 0 THEN 1 ELSE 0 END AS is_rejected",
+            "DATE '1900-01-01' AS unallocated_dt", "0 AS unallocated_user_id",
         )
 
     @_once

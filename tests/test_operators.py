@@ -94,10 +94,14 @@ def test_changeset_round_trip_with_all_parts(spark, tmp_path):
     assert rows(change.rows().groupBy("op").count()) == [("delete", 1), ("insert", 1), ("update_after", 2), ("update_before", 2)]
 
 
-def test_runs_and_reverts_are_logged(spark, tmp_path):
-    log = str(tmp_path / "event_log")
-    tables.log_event(spark, log, "2024-01-01 08:00:00", "Script Run", "run", codes.SYSTEM_USER)
-    tables.log_event(spark, log, "2024-01-01 09:00:00", "Script Revert", "revert", codes.SYSTEM_USER)
+def test_runs_and_reverts_are_published_and_logged(spark, tmp_path):
+    folder, log = str(tmp_path / "tables"), str(tmp_path / "event_log")
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
+    change = ChangeSet.capture(target, ["k"], updates=spark.createDataFrame([(1, "x")], "k long, v string"))
+    first = change.publish(target, folder, "t", "1", log, "2024-01-01 08:00:00", codes.SYSTEM_USER)
+    assert rows(spark.read.parquet(first)) == [(1, "x"), (2, "b")]
+    second = change.publish(spark.read.parquet(first), folder, "t", "2", log, "2024-01-01 09:00:00", codes.SYSTEM_USER, back=True)
+    assert rows(spark.read.parquet(second)) == rows(target)
     assert rows(spark.read.parquet(log).select("event_type", "src_user_id")) == [("Script Revert", 3), ("Script Run", 3)]
 
 
