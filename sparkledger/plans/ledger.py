@@ -291,10 +291,11 @@ def unmatched_flows(flow: DataFrame, match: DataFrame, contract: DataFrame, styl
     return anti(candidates.join(contracts, "contract_id", "left_semi"), live_matches(match), ["flow_id"])
 
 
-def release_flows(flow: DataFrame, affected: DataFrame) -> ChangeSet:
-    """Set all matched amounts of the affected flows to zero."""
-    zero = [F.lit(0).cast(flow.schema[c].dataType).alias(c) for c in MATCHED]
-    return ChangeSet.capture(flow, ["flow_id"], updates=affected.select("flow_id", *zero))
+def release_flows(affected: DataFrame) -> ChangeSet:
+    """Set all matched amounts of the affected flows to zero. The affected rows are the snapshot."""
+    before = snapshot(affected)
+    zero = [F.lit(0).cast(before.schema[c].dataType).alias(c) for c in MATCHED]
+    return ChangeSet(["flow_id"], before, updates=before.select("flow_id", *zero))
 
 
 def released_flow_list(affected: DataFrame, lookup: DataFrame, account: DataFrame, party: DataFrame, invoice: DataFrame) -> DataFrame:

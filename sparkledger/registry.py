@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sparkledger import codes
 from sparkledger.functions.scalar import add_units, to_local
 from sparkledger.operators import export, keys, masking, retention, updates
-from sparkledger.operators.changeset import ChangeSet
 from sparkledger.operators.joins import semi
 from sparkledger.plans import clock, discovery, hygiene, ledger, listing, status
 from sparkledger.session import configure, new_folder
@@ -89,7 +88,7 @@ def _unmatched(fx: Fixtures) -> DataFrame:
 
 
 def release_unmatched(fx):
-    return ledger.release_flows(fx.flow(), _unmatched(fx)).rows()
+    return ledger.release_flows(_unmatched(fx)).rows()
 
 
 def release_unmatched_list(fx):
@@ -406,14 +405,8 @@ def copy_distinct(fx):
     return hygiene.copy_distinct(fx.table("customer"), columns, target)
 
 
-def _release(fx: Fixtures) -> tuple[DataFrame, ChangeSet]:
-    flow = fx.flow()
-    return flow, ledger.release_flows(flow, _unmatched(fx))
-
-
 def changeset_apply(fx):
-    flow, change = _release(fx)
-    return change.apply(flow).select("flow_id", *ledger.MATCHED)
+    return ledger.release_flows(_unmatched(fx)).apply(fx.flow()).select("flow_id", *ledger.MATCHED)
 
 
 def changeset_apply_revert(fx):

@@ -138,20 +138,19 @@ class Fixtures:
     def tax(self) -> DataFrame:
         """Tax lines: a tenth of the flows has none, every fifth has a second; every seventh is on another asset,
         half of these on the next one of the same owner, half on one owned by the flow's asset."""
-        flow = self.flow()
-        first = flow.where("batch_no % 10 <> 3").selectExpr(
-            "flow_id * 2 AS tax_calc_flow_id", "flow_id", "contract_id",
-            "CASE WHEN batch_no % 14 = 0 THEN asset_hdr_id - asset_hdr_id % 10 + (asset_hdr_id + 1) % 10 "
+        lines = self.flow().where("batch_no % 10 <> 3").selectExpr(
+            "flow_id", "batch_no", "contract_id", "asset_hdr_id", "amount", "rate",
+            "explode(CASE WHEN batch_no % 5 = 0 THEN array(1, 2) ELSE array(1) END) AS tax_type_id",
+        )
+        return lines.selectExpr(
+            "flow_id * 2 + tax_type_id - 1 AS tax_calc_flow_id", "flow_id", "contract_id",
+            "CASE WHEN tax_type_id = 2 THEN asset_hdr_id "
+            "WHEN batch_no % 14 = 0 THEN asset_hdr_id - asset_hdr_id % 10 + (asset_hdr_id + 1) % 10 "
             "WHEN batch_no % 14 = 7 THEN asset_hdr_id * 10 + 1 ELSE asset_hdr_id END AS asset_hdr_id",
-            "CAST(contract_id % 3 + 1 AS INT) AS tax_authority_id", "1 AS tax_type_id", "amount", "rate",
-            "CAST(round(amount * rate, 2) AS DECIMAL(18,2)) AS amt_tax",
-        )
-        second = flow.where("batch_no % 5 = 0").selectExpr(
-            "flow_id * 2 + 1 AS tax_calc_flow_id", "flow_id", "contract_id", "asset_hdr_id",
-            "CAST(contract_id % 3 + 1 AS INT) AS tax_authority_id", "2 AS tax_type_id", "amount", "rate",
-            "CAST(1.50 AS DECIMAL(18,2)) AS amt_tax",
+            "CAST(contract_id % 3 + 1 AS INT) AS tax_authority_id", "tax_type_id", "amount", "rate",
+            "CASE WHEN tax_type_id = 2 THEN CAST(1.50 AS DECIMAL(18,2)) "
+            "ELSE CAST(round(amount * rate, 2) AS DECIMAL(18,2)) END AS amt_tax",
         )
-        return first.unionByName(second)
 
     @_once
     def match(self) -> DataFrame:
@@ -184,11 +183,11 @@ class Fixtures:
     @_once
     def write_off(self) -> DataFrame:
         """Current write-off flows; every ninth is booked twice."""
-        flow = self.flow().where("flow_type = 1034 AND reversal_status = 4200").selectExpr(
-            "flow_id", "batch_no", "contract_id", "link_no AS flow_link_id", "party_account_id", "amount"
+        copies = self.flow().where("flow_type = 1034 AND reversal_status = 4200").selectExpr(
+            "flow_id", "contract_id", "link_no AS flow_link_id", "party_account_id", "amount",
+            f"explode(CASE WHEN batch_no % 9 = 0 THEN array(0L, {OFFSET}L) ELSE array(0L) END) AS shift",
         )
-        twice = flow.where("batch_no % 9 = 0").withColumn("flow_id", F.col("flow_id") + OFFSET)
-        return flow.unionByName(twice).drop("batch_no")
+        return copies.withColumn("flow_id", F.col("flow_id") + F.col("shift")).drop("shift")
 
     @_once
     def custom_flow(self) -> DataFrame:
@@ -270,10 +269,12 @@ class Fixtures:
     @_once
     def asset(self) -> DataFrame:
         """Assets on contracts, some of the flows' assets absent; for custom flows also the owner of the asset."""
-        flow = self.flow()
-        own = flow.where("link_no <= 4 AND asset_hdr_id % 31 <> 0").select("contract_id", "asset_hdr_id")
-        owner = flow.where("link_no = 1").selectExpr("contract_id", "CAST(floor(asset_hdr_id / 10) AS BIGINT) AS asset_hdr_id")
-        return own.unionByName(owner).distinct().select(
+        held = self.flow().where("link_no <= 4").selectExpr(
+            "contract_id",
+            "explode(array_compact(array(CASE WHEN asset_hdr_id % 31 <> 0 THEN asset_hdr_id END, "
+            "CASE WHEN link_no = 1 THEN CAST(floor(asset_hdr_id / 10) AS BIGINT) END))) AS asset_hdr_id",
+        )
+        return held.distinct().select(
             row_id(F.col("contract_id"), F.col("asset_hdr_id")).alias("asset_id"), "contract_id", "asset_hdr_id",
             F.expr("CASE WHEN (contract_id + asset_hdr_id) % 3 = 0 THEN 1 ELSE 0 END AS is_terminated"),
         )

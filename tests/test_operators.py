@@ -172,7 +172,7 @@ def test_rate_of_amount_zero_is_null(spark):
 
 def test_release_is_idempotent(fx):
     flow = fx.flow()
-    change = ledger.release_flows(flow, ledger.unmatched_flows(flow, fx.match(), fx.contract()))
+    change = ledger.release_flows(ledger.unmatched_flows(flow, fx.match(), fx.contract()))
     assert change.before.count() > 0
     assert ledger.unmatched_flows(change.apply(flow), fx.match(), fx.contract()).isEmpty()
 
