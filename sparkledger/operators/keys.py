@@ -27,19 +27,16 @@ def number_rows(rows: DataFrame, order: list[str], number: str = "row_no") -> tu
     placed = snapshot(placed)
     part = F.shiftright("_position", POSITION_BITS)
     sizes = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = {size["part"]: size["n"] for size in sizes}
     starts, total = [], 0
-    for size in sorted(sizes, key=lambda r: r["part"]):
-        starts.append((size["part"], total))
-        total += size["n"]
-    offsets = rows.sparkSession.createDataFrame(starts, "_part long, _start long")
+    for index in range(max(counts, default=0) + 1):
+        starts.append(total)
+        total += counts.get(index, 0)
+    # One number per partition, as a literal array: no join, so Spark still knows the size of the result.
+    offsets = F.expr(f"array({', '.join(f'{start}L' for start in starts)})")
     inside = F.col("_position").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
-    numbered = (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")  # one row per partition
-        .withColumn(number, F.col("_start") + inside + 1)
-        .select(*rows.columns, number)
-    )
-    return numbered, total
+    row_no = F.element_at(offsets, (part + 1).cast("int")) + inside + 1
+    return placed.select(*rows.columns, row_no.alias(number)), total
 
 
 def max_key(table: DataFrame, key: str) -> int:

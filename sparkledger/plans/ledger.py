@@ -208,20 +208,20 @@ def invalid_tax_lines(
         F.col("root_id").alias("destination"), F.col("descendant_id").alias("asset_hdr_id"), F.lit(True).alias("is_below")
     )
     judged = elsewhere.join(above, ["destination", "asset_hdr_id"], "left")
-    wrong = judged.where("is_below IS NULL").drop("is_below")
+    wrong = snapshot(judged.where("is_below IS NULL").drop("is_below"))
     # A flow has a correct line either on the destination itself or below it.
-    wrong_flows = wrong.select("flow_id", F.col("destination").alias("asset_hdr_id")).distinct()
-    direct = tax.select("flow_id", "asset_hdr_id").join(wrong_flows, ["flow_id", "asset_hdr_id"], "left_semi")
+    wrong_flows = wrong.select("flow_id", F.col("destination").alias("asset_hdr_id"))
+    direct = semi(tax.select("flow_id", "asset_hdr_id"), wrong_flows, ["flow_id", "asset_hdr_id"])
     correct = direct.select("flow_id").unionByName(judged.where("is_below").select("flow_id"))
-    wrong = semi(wrong, correct, ["flow_id"])
 
     owners = asset_hdr.select("asset_hdr_id", "owner_id", "parent_owner_id")
-    placed = wrong.join(owners, "asset_hdr_id").withColumn("_own", F.col("asset_hdr_id"))
+    placed = semi(wrong, correct, ["flow_id"]).join(owners, "asset_hdr_id").withColumn("_own", F.col("asset_hdr_id"))
+    held = asset.select(F.col("contract_id").alias("flow_contract_id"), F.col("asset_hdr_id").alias("_asset"), F.lit(1).alias("one"))
     on_contract = flag_any(
         placed,
         ["tax_calc_flow_id"],
         ["_own", "owner_id", "parent_owner_id"],
-        asset.select(F.col("contract_id").alias("flow_contract_id"), F.col("asset_hdr_id").alias("_asset"), F.lit(1).alias("one")),
+        semi(held, wrong, ["flow_contract_id"]),
         "_asset",
         ["flow_contract_id"],
         "one",
