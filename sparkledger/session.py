@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_FOLDERS: WeakKeyDictionary = WeakKeyDictionary()
+# Temporary folders of local-mode sessions by application id; they go when the process ends.
+_LOCAL_FOLDERS: dict[str, tempfile.TemporaryDirectory] = {}
 
 # Runtime SQL settings. Joins carry no broadcast hints: Spark broadcasts a side only when its measured
 # size is under the threshold, and adaptive execution splits the partitions of hot keys.
@@ -40,9 +40,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if spark not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[spark] = tempfile.mkdtemp(prefix="sparkledger-")
-    return _LOCAL_FOLDERS[spark]
+    application = spark.conf.get("spark.app.id")
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.TemporaryDirectory(prefix="sparkledger-", ignore_cleanup_errors=True)
+    return _LOCAL_FOLDERS[application].name
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
