@@ -16,7 +16,7 @@ def _id(first: str, second: str) -> str:
 FIXTURES: dict[str, str] = {
     "fx_flow_base": f"""
         SELECT {_id('l_orderkey * 8 + l_linenumber', "l_partkey * 16384 + (CAST(l_shipdate AS DATE) - DATE '1970-01-01')")} AS flow_id,
-               l_orderkey + l_partkey + l_suppkey AS batch_no,
+               CAST(l_quantity AS INT) AS quantity, CAST(floor(l_discount * 100 + 0.5) AS INT) AS discount_pct,
                l_orderkey AS contract_id, l_partkey AS asset_hdr_id, l_suppkey AS party_account_id, l_linenumber AS link_no,
                CAST(l_shipdate AS DATE) AS calc_dt, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount, CAST(l_tax AS DECIMAL(4,2)) AS rate,
                CASE l_returnflag WHEN 'R' THEN 4201 ELSE 4200 END AS reversal_status,
@@ -37,40 +37,40 @@ FIXTURES: dict[str, str] = {
                CAST(asset_hdr_id % 3 AS INT) AS settlement_bank_info_id, amt_gross AS amt_gross_netted, 14801 AS collection_state,
                1 AS late_fee_upto, 1 AS is_overdue_interest_pending, calc_dt AS last_overdue_interest_dt, 0 AS statement_id,
                amount AS amt_rental, CASE WHEN status = 2101 THEN calc_dt ELSE DATE '1900-01-01' END AS settled_dt,
-               CAST(CASE WHEN batch_no % 6 = 3 THEN 0 ELSE amount END AS DECIMAL(18,2)) AS amt_matched,
-               CAST(CASE WHEN batch_no % 6 = 3 THEN 0 ELSE amt_principal END AS DECIMAL(18,2)) AS amt_matched_principal,
-               CAST(CASE WHEN batch_no % 6 = 3 THEN 0 ELSE amount - amt_principal END AS DECIMAL(18,2)) AS amt_matched_interest,
+               CAST(CASE WHEN quantity BETWEEN 41 AND 48 THEN 0 ELSE amount END AS DECIMAL(18,2)) AS amt_matched,
+               CAST(CASE WHEN quantity BETWEEN 41 AND 48 THEN 0 ELSE amt_principal END AS DECIMAL(18,2)) AS amt_matched_principal,
+               CAST(CASE WHEN quantity BETWEEN 41 AND 48 THEN 0 ELSE amount - amt_principal END AS DECIMAL(18,2)) AS amt_matched_interest,
                CAST(0 AS DECIMAL(18,2)) AS amt_matched_tax,
-               CAST(CASE WHEN batch_no % 6 = 3 THEN 0 ELSE amount END AS DECIMAL(18,2)) AS amt_matched_netted,
-               CASE WHEN batch_no % 10 = 7 THEN 1 ELSE 0 END AS exclude_from_account_bal, 1 AS last_user_id,
+               CAST(CASE WHEN quantity BETWEEN 41 AND 48 THEN 0 ELSE amount END AS DECIMAL(18,2)) AS amt_matched_netted,
+               CASE WHEN discount_pct = 7 THEN 1 ELSE 0 END AS exclude_from_account_bal, 1 AS last_user_id,
                0 AS reserve_statement_id, amt_gross AS amt_invoice
         FROM fx_flow_amounts""",
     "fx_linked_flow": """
         SELECT f.* EXCLUDE (flow_link_id), CASE WHEN f.flow_id = o.first_id THEN 0 ELSE o.first_id END AS flow_link_id
         FROM fx_flow f JOIN (SELECT contract_id, min(flow_id) AS first_id FROM fx_flow GROUP BY contract_id) o
           ON o.contract_id = f.contract_id""",
-    "fx_flow_image": f"SELECT flow_id + {OFFSET} AS flow_id FROM fx_flow WHERE batch_no % 58 = 0",
+    "fx_flow_image": f"SELECT flow_id + {OFFSET} AS flow_id FROM fx_flow WHERE discount_pct = 4 AND quantity <= 25",
     "fx_tax": """
         SELECT flow_id * 2 AS tax_calc_flow_id, flow_id, contract_id,
-               CASE WHEN batch_no % 14 = 0 THEN asset_hdr_id - asset_hdr_id % 10 + (asset_hdr_id + 1) % 10
-                    WHEN batch_no % 14 = 7 THEN asset_hdr_id * 10 + 1 ELSE asset_hdr_id END AS asset_hdr_id,
+               CASE WHEN discount_pct = 9 THEN asset_hdr_id - asset_hdr_id % 10 + (asset_hdr_id + 1) % 10
+                    WHEN discount_pct = 10 THEN asset_hdr_id * 10 + 1 ELSE asset_hdr_id END AS asset_hdr_id,
                CAST(contract_id % 3 + 1 AS INT) AS tax_authority_id, 1 AS tax_type_id, amount, rate,
                CAST(round(amount * rate, 2) AS DECIMAL(18,2)) AS amt_tax
-        FROM fx_flow WHERE batch_no % 10 <> 3
+        FROM fx_flow WHERE rate <> 0
         UNION ALL
         SELECT flow_id * 2 + 1, flow_id, contract_id, asset_hdr_id, CAST(contract_id % 3 + 1 AS INT), 2, amount, rate,
                CAST(1.50 AS DECIMAL(18,2))
-        FROM fx_flow WHERE batch_no % 5 = 0""",
+        FROM fx_flow WHERE rate <> 0 AND quantity <= 10""",
     "fx_match": """
         SELECT flow_id AS bank_flow_match_id, contract_id AS bank_flow_id, flow_id,
-               CASE WHEN batch_no % 11 = 0 THEN flow_id ELSE 0 END AS recovery_flow_id,
-               CAST(CASE WHEN batch_no % 13 = 0 THEN amount - 1 ELSE amount END AS DECIMAL(18,2)) AS amt_matched,
+               CASE WHEN discount_pct = 3 THEN flow_id ELSE 0 END AS recovery_flow_id,
+               CAST(CASE WHEN discount_pct = 2 THEN amount - 1 ELSE amount END AS DECIMAL(18,2)) AS amt_matched,
                amt_principal AS amt_matched_principal, amt_interest AS amt_matched_interest,
                CAST(round(amount * rate, 2) AS DECIMAL(18,2)) AS amt_matched_tax,
-               CASE WHEN batch_no % 17 = 0 THEN 1 ELSE 0 END AS is_deleted,
-               CASE WHEN batch_no % 19 = 0 THEN 1 ELSE 0 END AS is_rejected,
+               CASE WHEN discount_pct = 5 THEN 1 ELSE 0 END AS is_deleted,
+               CASE WHEN discount_pct = 6 THEN 1 ELSE 0 END AS is_rejected,
                DATE '1900-01-01' AS unallocated_dt, 0 AS unallocated_user_id
-        FROM fx_flow WHERE batch_no % 3 <> 0""",
+        FROM fx_flow WHERE quantity > 16""",
     "fx_bank_flow": """
         SELECT o_orderkey AS bank_flow_id, o_orderkey AS contract_id, o_custkey AS party_account_id,
                CAST(o_custkey % 50 AS INT) AS batch_no, 'CHQ' || CAST(o_orderkey AS VARCHAR) AS cheque_no,
@@ -81,15 +81,15 @@ FIXTURES: dict[str, str] = {
         FROM fx_flow WHERE flow_type = 1034 AND reversal_status = 4200
         UNION ALL
         SELECT flow_id + {OFFSET}, contract_id, link_no, party_account_id, amount
-        FROM fx_flow WHERE flow_type = 1034 AND reversal_status = 4200 AND batch_no % 9 = 0""",
+        FROM fx_flow WHERE flow_type = 1034 AND reversal_status = 4200 AND quantity >= 45""",
     "fx_custom_flow": """
         SELECT flow_id AS contract_custom_flow_id, contract_id, link_no, asset_hdr_id AS destination_asset_hdr_id, 1 AS is_active,
-               CASE WHEN batch_no % 23 = 0 THEN 1 ELSE 0 END AS is_deleted, CASE WHEN batch_no % 41 = 0 THEN 1 ELSE 0 END AS is_restructure
+               CASE WHEN discount_pct = 8 THEN 1 ELSE 0 END AS is_deleted, CASE WHEN quantity = 50 THEN 1 ELSE 0 END AS is_restructure
         FROM fx_flow WHERE flow_type = 1010""",
     "fx_po_row": """
         SELECT flow_id AS po_row_cf_id, contract_id, CAST(asset_hdr_id AS VARCHAR) AS destination_csv,
-               CASE WHEN batch_no % 4 = 0 THEN 'POxROWy' ELSE 'PO_ROW_' END AS ext_reference,
-               CAST(batch_no % 2 AS INT) AS num_assets_received
+               CASE WHEN discount_pct >= 8 THEN 'POxROWy' ELSE 'PO_ROW_' END AS ext_reference,
+               CASE WHEN quantity > 25 THEN 1 ELSE 0 END AS num_assets_received
         FROM fx_flow WHERE link_no = 5""",
     "fx_contract": """
         SELECT o_orderkey AS contract_id, o_custkey AS cparty_id, CAST(o_orderdate AS DATE) AS calc_dt,
@@ -158,11 +158,11 @@ FIXTURES: dict[str, str] = {
         SELECT c_custkey AS user_id, c_name AS user_name, c_name || '@example.com' AS email, CAST(16800 + c_custkey % 4 AS INT) AS external_user_type
         FROM customer""",
     "fx_gl": f"""
-        SELECT flow_id AS gl_entry_id, CASE WHEN batch_no % 29 = 0 THEN flow_id + {OFFSET} ELSE flow_id END AS flow_id, contract_id,
+        SELECT flow_id AS gl_entry_id, CASE WHEN discount_pct = 4 THEN flow_id + {OFFSET} ELSE flow_id END AS flow_id, contract_id,
                calc_dt AS post_dt, amount, flow_type, reversal_status, CAST(party_account_id % 25 AS INT) AS currency_id,
                CAST(party_account_id % 5 AS INT) AS ledger_id, CAST(contract_id % 25 AS INT) AS base_currency_id,
                CAST(asset_hdr_id % 25 AS INT) AS gl_account_id, CAST(asset_hdr_id % 5 AS INT) AS gl_tag_id,
-               CASE WHEN batch_no % 3 = 0 THEN 1 ELSE 0 END AS gl_interface_id
+               CASE WHEN quantity <= 16 THEN 1 ELSE 0 END AS gl_interface_id
         FROM fx_flow""",
     "fx_currency": "SELECT n_nationkey AS currency_id, upper(substr(n_name, 1, 3)) AS code FROM nation",
     "fx_ledger": "SELECT r_regionkey AS ledger_id, r_name AS name FROM region",
@@ -184,7 +184,7 @@ FIXTURES: dict[str, str] = {
         FROM events""",
     "fx_audit_fld": """
         SELECT event_id AS audit_hdr_id, 'props' AS fld_name, CAST(NULL AS VARCHAR) AS old_fld_value, props AS new_fld_value
-        FROM events WHERE event_id % 4 <> 0""",
+        FROM events WHERE event_type <> 'signup'""",
     "fx_note": "SELECT doc_id AS note_id, source AS subject, text AS comments, lang FROM documents",
     # Tables with an age, for retention.
     "rt_event_log": "SELECT event_id AS event_log_id, CAST(CAST(ts AS DATE) - INTERVAL 312 MONTH AS DATE) AS input_dt FROM events",

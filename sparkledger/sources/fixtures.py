@@ -4,7 +4,7 @@ A deployment brings its own flow, tax, match, contract and asset tables. For tes
 methods give the same shapes computed from the given tables, with deliberate defects (missing tax lines,
 wrong assets, deleted matches, ledger entries without a flow) so that every repair job has work to do.
 All rows of the base tables are used. Ids come from the row's own values (`row_id`), so deriving a
-frame needs no global sort; the defects follow the batch number, a sum of plain columns. `FIXTURES.md` states each frame as SQL.
+frame needs no global sort; the defects follow the quantity, discount and tax rate of the line item. `FIXTURES.md` states each frame as SQL.
 """
 
 from __future__ import annotations
@@ -60,13 +60,14 @@ class Fixtures:
 
     @_once
     def flow(self) -> DataFrame:
-        """Cash flows, one per line item; the stored matched amount is 0 for every sixth batch."""
+        """Cash flows, one per line item; the stored matched amount is 0 for quantities 41 to 48."""
         base = self.table("lineitem").select(
             row_id(
                 F.col("l_orderkey") * 8 + F.col("l_linenumber"),
                 F.col("l_partkey") * 16384 + F.unix_date(F.col("l_shipdate").cast("date")),
             ).alias("flow_id"),
-            (F.col("l_orderkey") + F.col("l_partkey") + F.col("l_suppkey")).alias("batch_no"),
+            F.col("l_quantity").cast("int").alias("quantity"),
+            F.floor(F.col("l_discount") * 100 + 0.5).cast("int").alias("discount_pct"),
             F.col("l_orderkey").alias("contract_id"),
             F.col("l_partkey").alias("asset_hdr_id"),
             F.col("l_suppkey").alias("party_account_id"),
@@ -83,10 +84,10 @@ class Fixtures:
             "CASE WHEN party_account_id % 4 = 0 THEN 0 ELSE contract_id END AS invoice_id",
             "CAST(amount + round(amount * rate, 2) AS DECIMAL(18,2)) AS amt_gross",
             "CAST(amount * 0.8 AS DECIMAL(18,2)) AS amt_principal",
-            "batch_no % 6 = 3 AS _unmatched",
+            "quantity BETWEEN 41 AND 48 AS _unmatched",
         )
         return base.selectExpr(
-            "flow_id", "batch_no", "contract_id", "asset_hdr_id", "party_account_id", "link_no", "calc_dt", "amount", "rate",
+            "flow_id", "quantity", "discount_pct", "contract_id", "asset_hdr_id", "party_account_id", "link_no", "calc_dt", "amount", "rate",
             "reversal_status", "status", "flow_type", "invoice_id", "amt_gross", "amt_principal",
             "CAST(amount - amt_principal AS DECIMAL(18,2)) AS amt_interest",
             "1 AS image_no",
@@ -114,7 +115,7 @@ class Fixtures:
             "CAST(CASE WHEN _unmatched THEN 0 ELSE amount - amt_principal END AS DECIMAL(18,2)) AS amt_matched_interest",
             "CAST(0 AS DECIMAL(18,2)) AS amt_matched_tax",
             "CAST(CASE WHEN _unmatched THEN 0 ELSE amount END AS DECIMAL(18,2)) AS amt_matched_netted",
-            "CASE WHEN batch_no % 10 = 7 THEN 1 ELSE 0 END AS exclude_from_account_bal",
+            "CASE WHEN discount_pct = 7 THEN 1 ELSE 0 END AS exclude_from_account_bal",
             "1 AS last_user_id",
             "0 AS reserve_statement_id",
             "amt_gross AS amt_invoice",
@@ -132,21 +133,21 @@ class Fixtures:
     @_once
     def flow_image(self) -> DataFrame:
         """History twin of the flow table: half of the ids that the ledger knows and `flow` does not."""
-        return self.flow().where("batch_no % 58 = 0").select((F.col("flow_id") + OFFSET).alias("flow_id"))
+        return self.flow().where("discount_pct = 4 AND quantity <= 25").select((F.col("flow_id") + OFFSET).alias("flow_id"))
 
     @_once
     def tax(self) -> DataFrame:
-        """Tax lines: a tenth of the flows has none, every fifth has a second; every seventh is on another asset,
-        half of these on the next one of the same owner, half on one owned by the flow's asset."""
-        lines = self.flow().where("batch_no % 10 <> 3").selectExpr(
-            "flow_id", "batch_no", "contract_id", "asset_hdr_id", "amount", "rate",
-            "explode(CASE WHEN batch_no % 5 = 0 THEN array(1, 2) ELSE array(1) END) AS tax_type_id",
+        """Tax lines: none for rate 0, two for small quantities. With 9 % discount the line is on the next asset of
+        the same owner, with 10 % on one owned by the flow's asset."""
+        lines = self.flow().where("rate <> 0").selectExpr(
+            "flow_id", "discount_pct", "contract_id", "asset_hdr_id", "amount", "rate",
+            "explode(CASE WHEN quantity <= 10 THEN array(1, 2) ELSE array(1) END) AS tax_type_id",
         )
         return lines.selectExpr(
             "flow_id * 2 + tax_type_id - 1 AS tax_calc_flow_id", "flow_id", "contract_id",
             "CASE WHEN tax_type_id = 2 THEN asset_hdr_id "
-            "WHEN batch_no % 14 = 0 THEN asset_hdr_id - asset_hdr_id % 10 + (asset_hdr_id + 1) % 10 "
-            "WHEN batch_no % 14 = 7 THEN asset_hdr_id * 10 + 1 ELSE asset_hdr_id END AS asset_hdr_id",
+            "WHEN discount_pct = 9 THEN asset_hdr_id - asset_hdr_id % 10 + (asset_hdr_id + 1) % 10 "
+            "WHEN discount_pct = 10 THEN asset_hdr_id * 10 + 1 ELSE asset_hdr_id END AS asset_hdr_id",
             "CAST(contract_id % 3 + 1 AS INT) AS tax_authority_id", "tax_type_id", "amount", "rate",
             "CASE WHEN tax_type_id = 2 THEN CAST(1.50 AS DECIMAL(18,2)) "
             "ELSE CAST(round(amount * rate, 2) AS DECIMAL(18,2)) END AS amt_tax",
@@ -154,15 +155,15 @@ class Fixtures:
 
     @_once
     def match(self) -> DataFrame:
-        """Bank matches: none for a third of the flows; some short, deleted, rejected or recovery."""
-        return self.flow().where("batch_no % 3 <> 0").selectExpr(
+        """Bank matches: none for quantities up to 16; by discount some are short, deleted, rejected or recovery."""
+        return self.flow().where("quantity > 16").selectExpr(
             "flow_id AS bank_flow_match_id", "contract_id AS bank_flow_id", "flow_id",
-            "CASE WHEN batch_no % 11 = 0 THEN flow_id ELSE 0 END AS recovery_flow_id",
-            "CAST(CASE WHEN batch_no % 13 = 0 THEN amount - 1 ELSE amount END AS DECIMAL(18,2)) AS amt_matched",
+            "CASE WHEN discount_pct = 3 THEN flow_id ELSE 0 END AS recovery_flow_id",
+            "CAST(CASE WHEN discount_pct = 2 THEN amount - 1 ELSE amount END AS DECIMAL(18,2)) AS amt_matched",
             "amt_principal AS amt_matched_principal", "amt_interest AS amt_matched_interest",
             "CAST(round(amount * rate, 2) AS DECIMAL(18,2)) AS amt_matched_tax",
-            "CASE WHEN batch_no % 17 = 0 THEN 1 ELSE 0 END AS is_deleted",
-            "CASE WHEN batch_no % 19 = 0 THEN 1 ELSE 0 END AS is_rejected",
+            "CASE WHEN discount_pct = 5 THEN 1 ELSE 0 END AS is_deleted",
+            "CASE WHEN discount_pct = 6 THEN 1 ELSE 0 END AS is_rejected",
             "DATE '1900-01-01' AS unallocated_dt", "0 AS unallocated_user_id",
         )
 
@@ -182,10 +183,10 @@ class Fixtures:
 
     @_once
     def write_off(self) -> DataFrame:
-        """Current write-off flows; every ninth is booked twice."""
+        """Current write-off flows; those of large quantities are booked twice."""
         copies = self.flow().where("flow_type = 1034 AND reversal_status = 4200").selectExpr(
             "flow_id", "contract_id", "link_no AS flow_link_id", "party_account_id", "amount",
-            f"explode(CASE WHEN batch_no % 9 = 0 THEN array(0L, {OFFSET}L) ELSE array(0L) END) AS shift",
+            f"explode(CASE WHEN quantity >= 45 THEN array(0L, {OFFSET}L) ELSE array(0L) END) AS shift",
         )
         return copies.withColumn("flow_id", F.col("flow_id") + F.col("shift")).drop("shift")
 
@@ -194,8 +195,8 @@ class Fixtures:
         """Expected asset per custom flow; link numbers repeat inside some contracts."""
         return self.flow().where("flow_type = 1010").selectExpr(
             "flow_id AS contract_custom_flow_id", "contract_id", "link_no", "asset_hdr_id AS destination_asset_hdr_id",
-            "1 AS is_active", "CASE WHEN batch_no % 23 = 0 THEN 1 ELSE 0 END AS is_deleted",
-            "CASE WHEN batch_no % 41 = 0 THEN 1 ELSE 0 END AS is_restructure",
+            "1 AS is_active", "CASE WHEN discount_pct = 8 THEN 1 ELSE 0 END AS is_deleted",
+            "CASE WHEN quantity = 50 THEN 1 ELSE 0 END AS is_restructure",
         )
 
     @_once
@@ -203,8 +204,8 @@ class Fixtures:
         """Purchase-order rows that carry an asset id and a prefix as text."""
         return self.flow().where("link_no = 5").selectExpr(
             "flow_id AS po_row_cf_id", "contract_id", "CAST(asset_hdr_id AS STRING) AS destination_csv",
-            "CASE WHEN batch_no % 4 = 0 THEN 'POxROWy' ELSE 'PO_ROW_' END AS ext_reference",
-            "CAST(batch_no % 2 AS INT) AS num_assets_received",
+            "CASE WHEN discount_pct >= 8 THEN 'POxROWy' ELSE 'PO_ROW_' END AS ext_reference",
+            "CASE WHEN quantity > 25 THEN 1 ELSE 0 END AS num_assets_received",
         )
 
     # Contracts, assets, quotes, addresses ------------------------------------------------------
@@ -358,14 +359,14 @@ class Fixtures:
 
     @_once
     def gl_entry(self) -> DataFrame:
-        """Ledger entries; every 29th points at a flow that does not exist."""
+        """Ledger entries; those with 4 % discount point at a flow that does not exist."""
         return self.flow().selectExpr(
-            "flow_id AS gl_entry_id", f"CASE WHEN batch_no % 29 = 0 THEN flow_id + {OFFSET} ELSE flow_id END AS flow_id",
+            "flow_id AS gl_entry_id", f"CASE WHEN discount_pct = 4 THEN flow_id + {OFFSET} ELSE flow_id END AS flow_id",
             "contract_id", "calc_dt AS post_dt", "amount", "flow_type", "reversal_status",
             "CAST(party_account_id % 25 AS INT) AS currency_id", "CAST(party_account_id % 5 AS INT) AS ledger_id",
             "CAST(contract_id % 25 AS INT) AS base_currency_id", "CAST(asset_hdr_id % 25 AS INT) AS gl_account_id",
             "CAST(asset_hdr_id % 5 AS INT) AS gl_tag_id",
-            "CASE WHEN batch_no % 3 = 0 THEN 1 ELSE 0 END AS gl_interface_id",
+            "CASE WHEN quantity <= 16 THEN 1 ELSE 0 END AS gl_interface_id",
         )
 
     @_once
@@ -418,8 +419,8 @@ class Fixtures:
 
     @_once
     def audit_fld(self) -> DataFrame:
-        """Changed fields; absent for a quarter of the headers."""
-        return self.table("events").where("event_id % 4 <> 0").selectExpr(
+        """Changed fields; signups have none."""
+        return self.table("events").where("event_type <> 'signup'").selectExpr(
             "event_id AS audit_hdr_id", "'props' AS fld_name", "CAST(NULL AS STRING) AS old_fld_value",
             "props AS new_fld_value",
         )
