@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from sparkledger.session import snapshot
 
 # Links climbed between two snapshots.
-STEPS_PER_ROUND = 4
+STEPS_PER_ROUND = 6
 
 
 def ancestor_pairs(
@@ -29,15 +29,19 @@ def ancestor_pairs(
     nodes = seeds.select(F.col(node)).distinct() if seeds is not None else links.select(node)
     climbing = nodes.select(F.col(node).alias("_at"), F.array(F.col(node)).alias("_path"), F.lit(False).alias("_done"))
     finished: list[DataFrame] = []
-    for climbed in range(0, max_depth + STEPS_PER_ROUND, STEPS_PER_ROUND):
-        for _ in range(STEPS_PER_ROUND):
+    climbed = 0
+    while True:
+        # A node at depth d is finished by its link d + 1, the one that finds no parent.
+        steps = min(STEPS_PER_ROUND, max_depth + 1 - climbed)
+        for _ in range(steps):
             climbing = _climb(climbing, edges)
+        climbed += steps
         climbing = snapshot(climbing)
         finished.append(climbing.where("_done"))
         climbing = climbing.where("NOT _done")
         if climbing.isEmpty():
             break
-        if climbed + STEPS_PER_ROUND >= max_depth:
+        if climbed > max_depth:
             raise ValueError(f"hierarchy deeper than {max_depth}")
     paths = finished[0]
     for later in finished[1:]:

@@ -34,6 +34,16 @@ def write_version(df: DataFrame, folder: str, name: str, version: str) -> str:
     return path
 
 
+def save_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Save as a catalog table bucketed and sorted by a key.
+
+    Tables that are joined again and again on the same key, such as flows, tax lines and matches on the flow,
+    then join and aggregate on it without a shuffle, provided they have the same number of buckets.
+    """
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def append_rows(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Append rows to a dataset."""
     writer = df.write.mode("append")

@@ -139,7 +139,8 @@ def test_hierarchy_deeper_than_one_round(spark):
     assert pairs.agg(F.max("depth")).first()[0] == 11
     assert ancestor_pairs(links, "id", "up", seeds=links.where("id = 11")).count() == 11
     with pytest.raises(ValueError, match="deeper"):
-        ancestor_pairs(links, "id", "up", max_depth=8)
+        ancestor_pairs(links, "id", "up", max_depth=10)
+    assert ancestor_pairs(links, "id", "up", max_depth=11).count() == 11 * 12 // 2
 
 
 # Ledger ------------------------------------------------------------------------------------------
@@ -207,6 +208,26 @@ def test_terminated_repair_is_idempotent(fx):
     assert status.quotes_on_terminated_assets(quote2, asset_hdr2, fx.asset()).isEmpty()
 
 
+def test_activated_repair_is_idempotent(spark):
+    contract = spark.sql("SELECT 1L AS contract_id, DATE '2024-01-01' AS calc_dt, 11130 AS contract_state, 2014 AS product_style")
+    # Assets 10 and 11 are on the contract; 11 is held there through its owner 12. Asset 13 is not held.
+    asset_hdr = spark.createDataFrame(
+        [(10, 0, 0, 43040, 1, 0, 0), (11, 12, 0, 43050, 1, 0, 0), (13, 0, 0, 43040, 1, 0, 0)],
+        "asset_hdr_id long, owner_id long, parent_owner_id long, asset_status int, current_contract_id long, delivery_address_id long, current_address_id long",
+    )
+    quote = spark.createDataFrame(
+        [(100, 1, 10, 44000), (110, 1, 11, 44020), (130, 1, 13, 44000)], "asset_hdr_quote_id long, contract_id long, asset_hdr_id long, quote_status int"
+    )
+    asset = spark.createDataFrame([(1, 10, 0), (1, 12, 0), (1, 13, 1)], "contract_id long, asset_hdr_id long, is_terminated int")
+    events = spark.createDataFrame([(1, 11030), (1, 11030), (2, 11030)], "contract_id long, event_state_before int")
+    affected = status.quotes_on_activated_contracts(contract, asset_hdr, quote, asset, events)
+    changes = status.repair_activated(affected)
+    assert rows(changes) == [("asset", 10, 43040, 43030), ("asset", 11, 43050, 43030), ("quote", 100, 44000, 44030), ("quote", 110, 44020, 44030)]
+    quote2, asset_hdr2 = _apply_status(quote, asset_hdr, changes)
+    quoting = quote2.where("asset_hdr_id <> 13")
+    assert status.quotes_on_activated_contracts(contract, asset_hdr2, quoting, asset, events).isEmpty()
+
+
 def test_classification_is_idempotent(fx):
     quote, asset_hdr = fx.quote(), fx.asset_hdr()
     changes = status.classify_status(quote, asset_hdr, fx.asset(), fx.contract())
@@ -337,6 +358,20 @@ def test_versions_are_never_overwritten(spark, tmp_path):
         tables.write_version(df, str(tmp_path), "t", "1")
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark, fx, tmp_path, capsys):
+    flow = tables.save_bucketed(fx.flow().select("flow_id", "amount", "amt_gross", "amt_gross_netted"), "bucketed_flow", str(tmp_path / "f"), "flow_id", 4)
+    tax = tables.save_bucketed(fx.tax(), "bucketed_tax", str(tmp_path / "t"), "flow_id", 4)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    corrected = ledger.correct_gross(flow, tax)
+    corrected.explain()
+    assert "Exchange" not in capsys.readouterr().out
+    assert corrected.count() == flow.count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    spark.sql("DROP TABLE bucketed_flow")
+    spark.sql("DROP TABLE bucketed_tax")
+
+
 def test_empty_like(spark):
     empty = tables.empty_like(spark.range(3), {"save_dt": "timestamp_ntz"})
     assert empty.columns == ["id", "save_dt"] and empty.isEmpty()
