@@ -20,12 +20,7 @@ def ancestor_pairs(
     the node (a unique key); after a few links the rows are written out and those still climbing go on.
     Hierarchies deeper than `max_depth` raise an error. Parents that are not nodes themselves are ignored.
     """
-    known = links.select(F.col(node).alias("_up"))
-    edges = (
-        links.select(F.col(node).alias("_at"), F.col(parent).alias("_up"))
-        .where("_up IS NOT NULL AND _at <> _up")
-        .join(known, "_up", "left_semi")
-    )
+    edges = links.select(F.col(node).alias("_at"), F.col(parent).alias("_up")).where("_up IS NOT NULL AND _at <> _up")
     nodes = seeds.select(F.col(node)).distinct() if seeds is not None else links.select(node)
     climbing = nodes.select(F.col(node).alias("_at"), F.array(F.col(node)).alias("_path"), F.lit(False).alias("_done"))
     finished: list[DataFrame] = []
@@ -46,11 +41,12 @@ def ancestor_pairs(
     paths = finished[0]
     for later in finished[1:]:
         paths = paths.unionByName(later)
-    return (
+    pairs = (
         paths.select(F.col("_path")[0].alias("descendant_id"), F.posexplode("_path").alias("depth", "root_id"))
         .where("depth > 0")
         .select("root_id", "descendant_id", "depth")
     )
+    return pairs.join(links.select(F.col(node).alias("root_id")), "root_id", "left_semi")
 
 
 def _climb(rows: DataFrame, edges: DataFrame) -> DataFrame:
