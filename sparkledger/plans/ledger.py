@@ -23,6 +23,9 @@ RESET_TO_ZERO = (
     "is_overdue_interest_pending", "statement_id", "reserve_statement_id",
 )
 NO_DATE_COLUMNS = ("settled_dt", "last_overdue_interest_dt")
+CHANGED_BY_REVERSAL = (
+    "reversal_status", "amt_matched", "amt_matched_principal", "amt_matched_interest", "amt_matched_netted", "last_user_id",
+)
 MATCHED = ("amt_matched", "amt_matched_principal", "amt_matched_interest", "amt_matched_tax", "amt_matched_netted")
 
 
@@ -53,8 +56,12 @@ class Reversal:
 
     def change_set(self) -> ChangeSet:
         """The run as a change to the flow table."""
+        changed = [c for c in CHANGED_BY_REVERSAL if c in self.original.columns]
         return ChangeSet(
-            ["flow_id"], self.before, updates=self.original, inserts=self.reversal.unionByName(self.replacement)
+            ["flow_id"],
+            self.before,
+            updates=self.original.select("flow_id", *changed),
+            inserts=self.reversal.unionByName(self.replacement),
         )
 
 
