@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry_point
 from compare import connect, duck_rows, duck_types, spark_rows
+from sparkledger.oracles import ORACLES
+from sparkledger.registry import QUERIES
 
 SPARK_TYPE = {
     "BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DATE": "date", "DOUBLE": "double", "TIMESTAMP": "timestamp_ntz",
@@ -17,14 +19,15 @@ def duck(data):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= entry_point.queries().items() and ORACLES.items() <= entry_point.oracle_sql().items()
 
 
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, data, duck, name, capsys):
     df = entry_point.queries()[name](spark, data)
     df.explain()
