@@ -131,8 +131,9 @@ def _compare(docs: DataFrame, members: DataFrame, chunk: int) -> DataFrame:
     pieces = _chunks(docs, members.select("doc_id", "text_sha256", "fp", "n_bytes", "is_rep"), chunk)
     pieces = pieces.select("doc_id", "text_sha256", "fp", "n_bytes", "is_rep", "chunk", "data")
     stored = store(pieces, "dedup-chunks")
-    # A row for each chunk of a representative: repeated input rows must not repeat it.
-    reps = stored.filter("is_rep").groupBy("fp", "n_bytes", "chunk").agg(F.first("data").alias("rep_data"))
+    # A row for each chunk of a representative: repeated input rows must not repeat it. Stored, so that adaptive
+    # execution sees a plain join and can split the members of a hot group.
+    reps = store(stored.filter("is_rep").groupBy("fp", "n_bytes", "chunk").agg(F.first("data").alias("rep_data")), "dedup-reps")
     joined = stored.filter("not is_rep").join(reps, ["fp", "n_bytes", "chunk"], "left")
     equal = F.coalesce(F.col("data") == F.col("rep_data"), F.lit(False))
     return joined.groupBy("doc_id", "text_sha256", "fp", "n_bytes").agg(F.min(equal).alias("same"))
