@@ -6,13 +6,12 @@ counted first, with a partial count in each task; equal edges have equal anchors
 `MOST_FILTER_BITS` bits at most, drops the edges of all others where the text is read; it only saves work, what it lets
 through is compared all the same.
 
-An edge's source is its occurrence in the document with the smallest id. Edges that follow each other in a document
+An edge's source is an occurrence in a document with a smaller id. Edges that follow each other in a document
 and in their source alike form a nonbranching path, which is compacted to one span with the coordinates of its source.
 Joins bring the texts of both ends of every span, and their words are compared by SHA-256, so that no span rests on
 the edges' hashes alone; should one differ, the job fails and asks for another seed.
 
-Edges whose anchor is in `HOT` documents or more get their sources by a partial aggregation and a join whose large
-side can be split; of the others all occurrences meet in a window.
+Edges whose anchor is in `HOT` documents or more are dealt to several parts, and the earliest of each part meet again.
 
 Defined results: null and empty texts have no words, and texts with fewer words than a window lose none; ids must be
 integers, a null id is smaller than all others; documents that share an id are no sources for each other, and rows that
@@ -34,6 +33,8 @@ from sparkledger.llm.common import arrow_schema, bodies, in_batches, prepare, st
 WINDOW = 13
 ANCHOR_WORDS = 6
 HOT = 1000
+SALTS = 64
+PLACE = ("doc_id", "text", "pos")
 MOST_FILTER_BITS = 27
 # Spans of one source document that one task compares.
 SPANS_AT_ONCE = 1000
@@ -129,7 +130,7 @@ def _in_bitmap(anchors: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
 
 
 def _candidates(docs: DataFrame, window: int, seed: int, hot: int) -> DataFrame:
-    """(edge, hot, doc_id, text, pos) of edges with a repeated anchor: the first place of each edge in a document."""
+    """(edge, hot, doc_id, text, pos) of edges with a repeated anchor: the first place of each edge in a document. Stored."""
     counts = _anchors(docs, window, seed).groupBy("anchor").agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n")
     )
@@ -161,19 +162,24 @@ def _candidates(docs: DataFrame, window: int, seed: int, hot: int) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=arrow)
 
-    return docs.mapInArrow(run, schema)
+    return store(docs.mapInArrow(run, schema), "repeats-edges")
 
 
 def _sourced(edges: DataFrame) -> DataFrame:
-    """Occurrences of edges in other documents than the one with the smallest id, with the source's coordinates."""
-    order = ["doc_id", "text", "pos"]
-    by_edge = Window.partitionBy("edge").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    first = [F.first(c).over(by_edge).alias(f"src_{c}") for c in order]
-    cold = edges.filter("not hot").select(*order, *first)
-    hot = edges.filter("hot")
-    sources = hot.groupBy("edge").agg(F.min(F.struct(*order)).alias("src")).select("edge", *(F.col(f"src.{c}").alias(f"src_{c}") for c in order))
-    both = cold.unionByName(hot.join(sources, "edge").drop("edge", "hot"))
-    return both.filter("doc_id > src_doc_id")
+    """Occurrences of edges with the coordinates of an earlier one, in a document with a smaller id.
+
+    Frequent edges meet in `SALTS` parts, each of which finds the earliest occurrence it has; what is earliest in its
+    part meets once more. Any earlier occurrence will do, so that no part waits for another.
+    """
+    salted = edges.withColumn("salt", F.when(F.col("hot"), F.pmod(F.hash("doc_id"), F.lit(SALTS))).otherwise(0))
+    found = _earliest(salted, "edge", "salt").filter("doc_id > src_doc_id")
+    first = _earliest(salted.filter("hot"), "edge", "salt").filter("not doc_id > src_doc_id").select("edge", *PLACE)
+    return found.drop("edge", "salt", "hot").unionByName(_earliest(first, "edge").filter("doc_id > src_doc_id").drop("edge"))
+
+
+def _earliest(rows: DataFrame, *keys: str) -> DataFrame:
+    group = Window.partitionBy(*keys).orderBy(*PLACE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumns({f"src_{c}": F.first(c).over(group) for c in PLACE})
 
 
 def _spans(matched: DataFrame) -> DataFrame:
