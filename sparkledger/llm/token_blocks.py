@@ -21,7 +21,8 @@ from __future__ import annotations
 import functools
 import re
 import struct
-import zlib
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,7 @@ BLOCK_IDS = 4096
 PAGE_IDS = 1 << 18
 PERCENTILE = 99
 SHARD_BYTES = 32 << 20
-REMEMBERED = 400_000
+REMEMBERED = 500_000
 
 
 # The format --------------------------------------------------------------------------------------
@@ -103,32 +104,41 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        assert sys.byteorder == "little" and array("I").itemsize == 4
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.model = self.tokenizer.model
-        self.words: dict[str, bytes] = {}
-        self.units: dict[str, bytes] = {}
+        self.words, self.units = Remembered(self._word), Remembered(self._unit)
 
     def _word(self, word: str) -> bytes:
-        if (ids := self.words.get(word)) is None:
-            ids = self.words[word] = np.array([t.id for t in self.model.tokenize(word)], "<u4").tobytes()
-        return ids
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def _unit(self, unit: str) -> bytes:
         if self.PLAIN.fullmatch(unit):
-            return b"".join(map(self._word, self.WORDS.findall(unit.lower())))
+            return b"".join(map(self.words.__getitem__, self.WORDS.findall(unit.lower())))
         normal = self.tokenizer.normalizer.normalize_str(unit)
-        return b"".join(self._word(word) for word, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal))
+        return b"".join([self.words[word] for word, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)])
 
     def encode(self, text: str) -> bytes:
-        units = text.replace("\n", " ").split(" ")
-        for unit in set(units).difference(self.units):
-            self.units[unit] = self._unit(unit)
-        ids = b"".join(map(self.units.__getitem__, units))
-        for memory in (self.units, self.words):
-            if len(memory) > REMEMBERED:
-                memory.clear()
-        return ids
+        self.words.trim()
+        self.units.trim()
+        return b"".join(map(self.units.__getitem__, text.replace("\n", " ").split(" ")))
+
+
+class Remembered(dict):
+    """Values of a function, kept until there are too many."""
+
+    def __init__(self, function):
+        super().__init__()
+        self.function = function
+
+    def __missing__(self, key):
+        value = self[key] = self.function(key)
+        return value
+
+    def trim(self) -> None:
+        if len(self) > REMEMBERED:
+            self.clear()
 
 
 @functools.lru_cache(maxsize=2)
