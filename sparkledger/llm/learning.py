@@ -7,6 +7,8 @@ import dataclasses
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sparkledger.llm.common import store
+
 FOLDS = 5
 
 
@@ -15,15 +17,21 @@ def fold(id_column: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % FOLDS
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """doc_id, text and y (0 or 1) of the rows to learn from: labelled, with text, and not held out.
+def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, n: int) -> tuple[DataFrame, dict[int, int]]:
+    """(doc_id, text, y) of at most n rows of each label (0 or 1), stored, and how many ids each label has.
 
-    An id that is labelled twice has the larger label. Joining brings only labelled texts together.
+    Only rows that are not held out are taken, by the hash of the id. An id that is labelled twice has the larger
+    label; labels without a document or text fall away. The ids are chosen first: as there are 2 n of them at most,
+    they can be broadcast, and no other text moves.
     """
     y = F.col(f"`{label}`").cast("int")
     given = labels.filter(F.col("doc_id").isNotNull() & y.isin(0, 1)).groupBy("doc_id").agg(F.max(y).alias("y"))
-    given = given.filter(fold() != 0)
-    return docs.filter(F.col("text").isNotNull()).join(given, "doc_id")
+    given = store(given.filter(fold() != 0), "labels")
+    shares = {r["y"]: r["n"] for r in given.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    ranked = given.withColumn("_order", F.xxhash64("doc_id"))
+    zeros, ones = (ranked.filter(F.col("y") == v).orderBy("_order", "doc_id").limit(n) for v in (0, 1))
+    chosen = zeros.unionByName(ones).drop("_order")
+    return store(docs.filter(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id"), "labelled"), shares
 
 
 @dataclasses.dataclass(frozen=True)

@@ -5,8 +5,8 @@ compressed with either dictionary and with none. The normalised difference of th
 lowest value in a piece, and the sizes per byte go into a logistic regression fitted on other labelled rows; its
 result is the score. Labels, language, source and id never go into a score.
 
-Bounds of the sample: `SAMPLE_DOCS` texts of each label for the dictionaries, at most `SAMPLE_PIECES` pieces of each,
-evenly spread, and `CALIBRATION_DOCS` texts of each label for the regression, all chosen by the hash of the text.
+Bounds of the sample: `SAMPLE_DOCS` texts of each label, chosen by the hash of the id. By the hash of the text, one half
+serves the dictionaries, with at most `SAMPLE_PIECES` evenly spread pieces of each, and the other half the regression.
 
 Defined results: null text is scored as empty; without labelled rows of both kinds every score is the share of good
 ones, 0.5 without any; repeated rows and null ids are scored row by row; empty tables give no rows; other columns
@@ -23,14 +23,13 @@ import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sparkledger.llm.common import documents, prepare
-from sparkledger.llm.learning import Linear, fit_newton, fold, labelled
+from sparkledger.llm.learning import Linear, fit_newton, fold, sample_labelled
 
 PIECE_BYTES = 512
 DICTIONARY_BYTES = 112 << 10
 LEVEL = 3
-SAMPLE_DOCS = 2000
+SAMPLE_DOCS = 4000
 SAMPLE_PIECES = 32
-CALIBRATION_DOCS = 2000
 THRESHOLD = 0.3
 
 
@@ -91,20 +90,13 @@ class QualityModel:
         return score(F.coalesce(text.cast("binary"), F.lit(b"")))
 
 
-def _sample(rows: DataFrame, n: int, seed: int) -> DataFrame:
-    """n rows of each label, by the hash of the text: as rows and order of the table change, the choice does not."""
-    by_hash = rows.withColumn("_order", F.xxhash64(F.lit(seed), "text"))
-    parts = [by_hash.filter(F.col("y") == y).orderBy("_order", "doc_id").limit(n) for y in (0, 1)]
-    return parts[0].unionByName(parts[1]).drop("_order")
-
-
 def fit_quality(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "quality",
-    sample_docs: int = SAMPLE_DOCS, sample_pieces: int = SAMPLE_PIECES, calibration_docs: int = CALIBRATION_DOCS,
+    sample_docs: int = SAMPLE_DOCS, sample_pieces: int = SAMPLE_PIECES,
 ) -> QualityModel:
     """Learn dictionaries and calibration from the labelled rows whose fold is not 0."""
     prepare(docs.sparkSession)
-    rows = labelled(documents(docs, id_col, text_col), labels, label)
+    rows, shares = sample_labelled(documents(docs, id_col, text_col), labels, label, sample_docs)
     # Texts for the dictionaries and for the calibration differ, as sizes of texts in a dictionary are too small.
     half = F.pmod(F.xxhash64(F.lit(1), "text"), F.lit(2))
 
@@ -116,7 +108,7 @@ def fit_quality(
 
         return pa.array([chosen(b) for b in bodies.to_pylist()], pa.list_(pa.binary()))
 
-    taken = _sample(rows.filter(half == 0), sample_docs, 2).select("y", spread(F.col("text").cast("binary")).alias("pieces")).collect()
+    taken = rows.filter(half == 0).select("y", spread(F.col("text").cast("binary")).alias("pieces")).collect()
     good, bad = (dictionary([bytes(p) for row in taken if row["y"] == y for p in row["pieces"]]) for y in (1, 0))
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
@@ -124,11 +116,10 @@ def fit_quality(
         sizer = Sizer(good, bad)
         return pa.array([sizer.inputs(b) for b in bodies.to_pylist()], pa.list_(pa.float64()))
 
-    shares = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    held = _sample(rows.filter(half == 1), calibration_docs, 3).select("y", inputs(F.col("text").cast("binary")).alias("x")).collect()
+    held = rows.filter(half == 1).select("y", inputs(F.col("text").cast("binary")).alias("x")).collect()
     x, y = np.array([r["x"] for r in held]).reshape(-1, 4), np.array([r["y"] for r in held], float)
     # Each row stands for as many rows of its label as the table has.
-    weight = np.array([shares[int(v)] / max(1, int((y == v).sum())) for v in y])
+    weight = np.array([shares[int(v)] / int((y == v).sum()) for v in y])
     if len(y) == 0 or y.min() == y.max():
         total = sum(shares.values())
         x, y, weight = np.zeros((0, 4)), np.array([]), None

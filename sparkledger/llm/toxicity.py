@@ -5,8 +5,8 @@ category's terms; the last link of the chain is the label itself. Each link is a
 learned vocabulary a text has, and over the probabilities of all earlier links. It is trained on out-of-fold
 probabilities, those of models that have not seen the row, so that later links see what they will see on new texts.
 
-The vocabulary is counted in Spark over all rows to learn from: the words whose document counts tell toxic texts from
-others best. Bounds, all parameters: `WORDS` words and `SAMPLE_DOCS` rows of each label, chosen by the hash of the text.
+The vocabulary is the words, and beginnings of words, whose document counts in the sample tell toxic texts from others
+best. Bounds, all parameters: `WORDS` words, and a sample of `SAMPLE_DOCS` rows of each label, chosen by the hash of the id.
 
 Defined results: null and empty texts have no words and get the score of such texts; without labelled rows of both
 kinds every score is the share of toxic ones, 0 without any; categories without enough examples are left out of the
@@ -24,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from sparkledger.llm.common import documents, prepare
-from sparkledger.llm.learning import FOLDS, Linear, constant, fit_gradient, labelled
+from sparkledger.llm.learning import FOLDS, Linear, constant, fit_gradient, sample_labelled
 
 WORDS = 512
-SAMPLE_DOCS = 2000
+SAMPLE_DOCS = 3000
 LEAST_EXAMPLES = 20
 
 # Terms that place a labelled toxic text in a category.
@@ -86,7 +86,7 @@ def best_threshold(p: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
 
 
 def vocabulary(rows: DataFrame, n: int) -> list[str]:
-    """The n words whose document counts differ most between the labels, by the G statistic over all rows."""
+    """The n words whose document counts differ most between the labels, by the G statistic."""
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def words(texts: pa.Array) -> pa.Array:
@@ -114,7 +114,7 @@ def fit_chain(
 ) -> Chain:
     """Learn the chain from the labelled rows whose fold is not 0."""
     prepare(docs.sparkSession)
-    rows = labelled(documents(docs, id_col, text_col), labels, label)
+    rows, shares = sample_labelled(documents(docs, id_col, text_col), labels, label, sample_docs)
     places = {w: i for i, w in enumerate(vocabulary(rows, n_words))}
     terms = {t: i for i, group in enumerate(CATEGORIES.values()) for t in group}
 
@@ -125,13 +125,9 @@ def fit_chain(
             out.append({"x": sorted(places[w] for w in words.intersection(places)), "categories": sorted({terms[w] for w in words.intersection(terms)})})
         return pa.array(out, pa.struct([("x", pa.list_(pa.int32())), ("categories", pa.list_(pa.int32()))]))
 
-    by_hash = rows.withColumn("_order", F.xxhash64("text"))
-    shares = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    sample = []
-    for y in (0, 1):
-        chosen = by_hash.filter(F.col("y") == y).orderBy("_order", "doc_id").limit(sample_docs)
-        # Copies of a text share its fold.
-        sample += chosen.select("y", F.pmod("_order", F.lit(FOLDS)).alias("fold"), inputs("text").alias("i")).select("y", "fold", "i.*").collect()
+    # Copies of a text share its fold.
+    folds_ = F.pmod(F.xxhash64("text"), F.lit(FOLDS)).alias("fold")
+    sample = rows.select("doc_id", "y", folds_, inputs("text").alias("i")).select("doc_id", "y", "fold", "i.*").orderBy("doc_id").collect()
     n = len(places)
     y = np.array([r["y"] for r in sample], float)
     if not len(y) or y.min() == y.max():
