@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 MONEY = "decimal(18,2)"
+MONEY_TOTAL = "decimal(38,2)"
 
 
 def money(col) -> Column:
@@ -16,8 +17,8 @@ def money(col) -> Column:
 
 
 def total(col) -> Column:
-    """Sum of a money column, back in money precision."""
-    return F.sum(col).cast(MONEY)
+    """Sum of a money column, as wide as decimals go: totals of many rows outgrow the precision of one."""
+    return F.sum(col).cast(MONEY_TOTAL)
 
 
 def safe_ratio(numerator, denominator, digits: int) -> Column:

@@ -72,6 +72,7 @@ class ChangeSet:
         """Write the table after the change (or after taking it back) as a new version, and log the run."""
         result = self.revert(table) if back else self.apply(table)
         path = write_version(result, folder, name, version)
+        # The event kinds of script runs.
         kind, verb = ("Script Revert", "Reverted") if back else ("Script Run", "Ran")
         log_event(table.sparkSession, log, as_of, kind, f"{verb}: {name} to version {version}", user_id)
         return path
@@ -101,9 +102,14 @@ class ChangeSet:
                 part.write.mode("errorifexists").parquet(f"{folder}/{name}")
                 part = part.sparkSession.read.schema(part.schema).parquet(f"{folder}/{name}")
             stored[name] = part
+        # Written last: which parts there are. `before` follows in a folder of its own when a change is captured.
+        spark = self.before.sparkSession
+        kept = [(name,) for name in PARTS if stored[name] is not None]
+        spark.createDataFrame(kept, "part string").coalesce(1).write.mode("errorifexists").parquet(f"{folder}/parts")
         return ChangeSet(self.pk, **stored)
 
     @staticmethod
-    def load(spark: SparkSession, folder: str, pk: list[str], parts: tuple[str, ...] = PARTS) -> "ChangeSet":
-        """Read the given parts of a saved change set."""
-        return ChangeSet(pk, **{name: spark.read.parquet(f"{folder}/{name}") for name in parts})
+    def load(spark: SparkSession, folder: str, pk: list[str]) -> "ChangeSet":
+        """Read a saved change set: the parts that it has."""
+        kept = [row["part"] for row in spark.read.parquet(f"{folder}/parts").collect()]
+        return ChangeSet(pk, **{name: spark.read.parquet(f"{folder}/{name}") for name in kept})

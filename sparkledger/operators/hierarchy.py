@@ -6,57 +6,45 @@ from pyspark.sql import DataFrame, functions as F
 
 from sparkledger.session import snapshot
 
-# Links climbed between two snapshots.
-STEPS_PER_ROUND = 6
+# Fixed value: the id that stands for no parent.
+NO_PARENT = 0
 
 
-def ancestor_pairs(
-    links: DataFrame, node: str, parent: str, seeds: DataFrame | None = None, max_depth: int = 100
-) -> DataFrame:
+def ancestor_pairs(links: DataFrame, node: str, parent: str, seeds: DataFrame | None = None) -> DataFrame:
     """All (root_id, descendant_id, depth) pairs below the parent links; optionally only for seed descendants.
 
-    Every node walks up, one row per node with the path it came along, so a root with many descendants adds
-    rows but no work beyond them, and a path that meets itself stops there. Each link is one left join on
-    the node (a unique key); after a few links the rows are written out and those still climbing go on.
-    Hierarchies deeper than `max_depth` raise an error. Parents that are not nodes themselves are ignored.
+    Each round doubles the depth that is known: a node's ancestors beyond its 2^k-th one are the known ancestors
+    of that one. That is one join a round, in which only nodes that still have an ancestor at 2^k take part, so
+    that a hierarchy of depth d takes log2(d) joins and depth is not limited. A path that meets itself stops
+    there. A parent that is 0, the node itself or not a node is none.
     """
-    edges = links.select(F.col(node).alias("_at"), F.col(parent).alias("_up")).where("_up IS NOT NULL AND _at <> _up")
-    nodes = seeds.select(F.col(node)).distinct() if seeds is not None else links.select(node)
-    climbing = nodes.select(F.col(node).alias("_at"), F.array(F.col(node)).alias("_path"), F.lit(False).alias("_done"))
-    finished: list[DataFrame] = []
-    climbed = 0
-    while True:
-        # A node at depth d is finished by its link d + 1, the one that finds no parent.
-        steps = min(STEPS_PER_ROUND, max_depth + 1 - climbed)
-        for _ in range(steps):
-            climbing = _climb(climbing, edges)
-        climbed += steps
-        climbing = snapshot(climbing)
-        finished.append(climbing.where("_done"))
-        climbing = climbing.where("NOT _done")
-        if climbing.isEmpty():
-            break
-        if climbed > max_depth:
-            raise ValueError(f"hierarchy deeper than {max_depth}")
-    paths = finished[0]
-    for later in finished[1:]:
-        paths = paths.unionByName(later)
-    pairs = (
-        paths.select(F.col("_path")[0].alias("descendant_id"), F.posexplode("_path").alias("depth", "root_id"))
-        .where("depth > 0")
-        .select("root_id", "descendant_id", "depth")
-    )
-    return pairs.join(links.select(F.col(node).alias("root_id")), "root_id", "left_semi")
-
-
-def _climb(rows: DataFrame, edges: DataFrame) -> DataFrame:
-    """One link up, unless there is no parent or the path has met it before.
-
-    A finished row goes on under its own id, so that finished rows stay spread over all tasks.
-    """
-    is_new = ~F.col("_done") & F.col("_up").isNotNull() & ~F.array_contains("_path", F.coalesce("_up", "_at"))
-    return rows.join(edges, "_at", "left").select(
-        F.when(is_new, F.col("_up")).otherwise(F.col("_path")[0]).alias("_at"),
-        F.when(is_new, F.concat("_path", F.array("_up"))).otherwise(F.col("_path")).alias("_path"),
-        (~is_new).alias("_done"),
+    nodes = links.select(F.col(node).alias("root_id"))
+    edges = links.select(F.col(node).alias("descendant_id"), F.col(parent).alias("root_id")).where(
+        (F.col("root_id") != NO_PARENT) & (F.col("root_id") != F.col("descendant_id"))
     )
+    known = snapshot(edges.join(nodes, "root_id", "left_semi").select("root_id", "descendant_id", F.lit(1).alias("depth")))
+    reach, jumps = 1, known
+    while not jumps.isEmpty():
+        beyond = _beyond(jumps, known, reach)
+        # A node that meets itself is on a cycle; from there on, paths have to be cut where they repeat.
+        if not beyond.where("root_id = descendant_id").isEmpty():
+            beyond = snapshot(_without_repeats(beyond, known))
+        reach *= 2
+        known, jumps = known.unionByName(beyond), beyond.where(F.col("depth") == reach)
+    if seeds is not None:
+        known = known.join(seeds.select(F.col(node).alias("descendant_id")).distinct(), "descendant_id", "left_semi")
+    return known.select("root_id", "descendant_id", "depth")
+
+
+def _beyond(jumps: DataFrame, known: DataFrame, reach: int) -> DataFrame:
+    """Pairs of a depth over `reach` and up to twice that. A snapshot."""
+    first = jumps.select("descendant_id", F.col("root_id").alias("_at"))
+    second = known.select(F.col("descendant_id").alias("_at"), "root_id", (F.col("depth") + reach).alias("depth"))
+    return snapshot(first.join(second, "_at").select("root_id", "descendant_id", "depth"))
+
+
+def _without_repeats(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs at their least depth, less those known before and those of a node with itself."""
+    keys = ["root_id", "descendant_id"]
+    least = pairs.where("root_id <> descendant_id").groupBy(*keys).agg(F.min("depth").alias("depth"))
+    return least.join(known, keys, "left_anti").select(*keys, "depth")

@@ -95,8 +95,8 @@ def mark_expired(tables: dict[str, DataFrame], steps: list[PurgeStep], as_of: st
             middle = tables[link.table].select(F.col(link.parent_key).alias("_next"), F.col(child_key).alias("_key"))
             expired = middle.join(expired, "_key", "left_semi").select(F.col("_next").alias("_key"))
             child_key = link.child_key
-        # Parent keys are unique, so the left join keeps the number of child rows.
-        expired = expired.withColumn(flag, F.lit(True)).withColumnRenamed("_key", child_key)
+        # One row per key: a parent key that repeats must not repeat its child rows.
+        expired = expired.distinct().withColumn(flag, F.lit(True)).withColumnRenamed("_key", child_key)
         hit = F.coalesce(F.col(flag), F.lit(False))
         for key in step.nonzero:
             hit = hit & (F.col(key) != 0)

@@ -75,7 +75,7 @@ FIXTURES: dict[str, str] = {
         SELECT o_orderkey AS bank_flow_id, o_orderkey AS contract_id, o_custkey AS party_account_id,
                CAST(o_custkey % 50 AS INT) AS batch_no, 'CHQ' || CAST(o_orderkey AS VARCHAR) AS cheque_no,
                CASE WHEN o_orderkey % 37 = 0 THEN 1 ELSE 0 END AS is_deleted FROM orders""",
-    "fx_invoice": "SELECT o_orderkey AS invoice_id, 'INV' || CAST(o_orderkey AS VARCHAR) AS invoice_no FROM orders WHERE o_orderkey <> 0",
+    "fx_invoice": "SELECT o_orderkey AS invoice_id, 'INV' || CAST(CASE WHEN o_orderkey % 8 = 1 THEN o_orderkey + 1 ELSE o_orderkey END AS VARCHAR) AS invoice_no FROM orders WHERE o_orderkey <> 0",
     "fx_writeoff": f"""
         SELECT flow_id, contract_id, link_no AS flow_link_id, party_account_id, amount
         FROM fx_flow WHERE flow_type = 1034 AND reversal_status = 4200
@@ -84,13 +84,21 @@ FIXTURES: dict[str, str] = {
         FROM fx_flow WHERE flow_type = 1034 AND reversal_status = 4200 AND quantity >= 45""",
     "fx_custom_flow": """
         SELECT flow_id AS contract_custom_flow_id, contract_id, link_no, asset_hdr_id AS destination_asset_hdr_id, 1 AS is_active,
-               CASE WHEN discount_pct = 8 THEN 1 ELSE 0 END AS is_deleted, CASE WHEN quantity = 50 THEN 1 ELSE 0 END AS is_restructure
-        FROM fx_flow WHERE flow_type = 1010""",
+               CASE WHEN discount_pct = 8 THEN 1 ELSE 0 END AS is_deleted, CASE WHEN quantity = 50 THEN 1 ELSE 0 END AS is_restructure,
+               1 AS custom_flow_hdr_id
+        FROM fx_flow WHERE flow_type = 1010
+        UNION ALL
+        SELECT flow_id, contract_id, link_no, asset_hdr_id + 1, 1, 0, CASE WHEN quantity = 50 THEN 1 ELSE 0 END, 2
+        FROM fx_flow WHERE flow_type = 1010 AND discount_pct = 1""",
     "fx_po_row": """
-        SELECT flow_id AS po_row_cf_id, contract_id, CAST(asset_hdr_id AS VARCHAR) AS destination_csv,
-               CASE WHEN discount_pct >= 8 THEN 'POxROWy' ELSE 'PO_ROW_' END AS ext_reference,
+        SELECT flow_id AS po_row_cf_id, contract_id,
+               CASE WHEN quantity % 3 = 0 THEN CAST(asset_hdr_id AS VARCHAR) || ', ' || CAST(asset_hdr_id + 1 AS VARCHAR)
+                    WHEN quantity % 10 = 1 THEN CAST(asset_hdr_id AS VARCHAR) || ',n/a' ELSE CAST(asset_hdr_id AS VARCHAR) END AS destination_csv,
                CASE WHEN quantity > 25 THEN 1 ELSE 0 END AS num_assets_received
         FROM fx_flow WHERE link_no = 5""",
+    "fx_expected_row": """
+        SELECT flow_id AS contract_custom_flow_id, contract_id, CASE WHEN discount_pct >= 8 THEN 'POxROWy' ELSE 'PO_ROW_' END AS ext_reference
+        FROM fx_flow WHERE link_no = 5 AND discount_pct > 0""",
     "fx_contract": """
         SELECT o_orderkey AS contract_id, o_custkey AS cparty_id, CAST(o_orderdate AS DATE) AS calc_dt,
                DATE '2024-01-01' + CAST(o_orderkey % 30 AS INT) AS activated_dt,
@@ -99,7 +107,7 @@ FIXTURES: dict[str, str] = {
                CASE o_orderstatus WHEN 'F' THEN 11130 WHEN 'O' THEN 11140 ELSE 11150 END AS contract_state,
                CASE o_orderpriority WHEN '1-URGENT' THEN 2011 WHEN '2-HIGH' THEN 2014 ELSE 2000 END AS product_style,
                CASE WHEN o_orderkey % 4 = 2 THEN 12040 ELSE 12030 END AS credit_state,
-               6510 AS approval_status1, 6520 AS approval_status2, o_custkey AS approver1_id, 2200 AS save_status
+               6510 AS approval_status1, 6520 AS approval_status2, o_custkey AS approver1_id, o_custkey % 7 AS approver2_id, 2200 AS save_status
         FROM orders""",
     "fx_product": """
         SELECT product_style, CASE product_style WHEN 2011 THEN 'Loan' WHEN 2014 THEN 'Operating Lease' ELSE 'Hire' END AS name,
@@ -140,8 +148,13 @@ FIXTURES: dict[str, str] = {
     "fx_vehicle": "SELECT p_partkey AS asset_hdr_id, p_brand AS registration_no FROM part WHERE p_size % 4 = 0",
     "fx_alteration": """
         SELECT event_id AS contract_alteration_id, user_id AS contract_id,
-               CAST(floor(event_id / 1000) AS BIGINT) AS contract_restructure_id, CAST(545 + event_id % 9 AS INT) AS fld_id
+               CAST(floor(event_id / 1000) AS BIGINT) AS contract_restructure_id, CAST(545 + event_id % 9 AS INT) AS fld_id,
+               event_id % 50 AS obj_id
         FROM events""",
+    "fx_restructure": """
+        SELECT DISTINCT contract_id, contract_restructure_id FROM fx_alteration
+        UNION ALL
+        SELECT contract_id, max(contract_restructure_id) + 1 FROM fx_alteration WHERE contract_id % 3 = 0 GROUP BY contract_id""",
     "fx_party": """
         SELECT c_custkey AS party_id, c_custkey AS party_no, c_name AS name, c_name || ' Ltd' AS ext_name, c_acctbal AS gross_income, c_nationkey AS program_id,
                CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 4 WHEN 'BUILDING' THEN 16 WHEN 'FURNITURE' THEN 64 WHEN 'MACHINERY' THEN 256 ELSE 8 END AS party_type,
@@ -173,7 +186,8 @@ FIXTURES: dict[str, str] = {
     "fx_lookup": """
         SELECT * FROM (VALUES (1001, 'FlowType', 'Rental'), (1010, 'FlowType', 'Custom'), (1014, 'FlowType', 'Security Deposit'),
             (1034, 'FlowType', 'Write Off'), (4200, 'ReversalStatus', 'Current'), (4201, 'ReversalStatus', 'Reversed'),
-            (4202, 'ReversalStatus', 'Reversal'), (2100, 'FlowStatus', 'Pending'), (2101, 'FlowStatus', 'Settled')) AS t(lookupset_id, set_name, value)""",
+            (4202, 'ReversalStatus', 'Reversal'), (2100, 'FlowStatus', 'Pending'), (2101, 'FlowStatus', 'Settled'),
+            (5101, 'FlowMethod', 'Direct Debit'), (5102, 'FlowMethod', 'Cheque'), (5103, 'FlowMethod', 'Bank Transfer')) AS t(lookupset_id, set_name, value)""",
     "fx_audit_hdr": """
         SELECT event_id AS audit_hdr_id, ts AS audit_dt, CAST(event_id % 6 AS INT) AS change_type, user_id,
                CASE event_type WHEN 'click' THEN 'party' WHEN 'view' THEN 'address' WHEN 'purchase' THEN 'party_account' ELSE event_type END AS tbl_name

@@ -45,21 +45,23 @@ STEPS = {
         FROM st_numbered""",
     "st_up": """
         SELECT asset_hdr_id AS descendant_id, owner_id AS root_id, 1 AS depth, [asset_hdr_id, owner_id] AS path
-        FROM fx_asset_hdr WHERE owner_id <> asset_hdr_id
+        FROM fx_asset_hdr WHERE owner_id <> asset_hdr_id AND owner_id <> 0
+          AND owner_id IN (SELECT asset_hdr_id FROM fx_asset_hdr)
         UNION ALL
         SELECT u.descendant_id, h.owner_id, u.depth + 1, list_append(u.path, h.owner_id)
         FROM st_up u JOIN fx_asset_hdr h ON h.asset_hdr_id = u.root_id
-        WHERE h.owner_id <> h.asset_hdr_id AND NOT list_contains(u.path, h.owner_id)""",
+        WHERE h.owner_id <> h.asset_hdr_id AND h.owner_id <> 0 AND NOT list_contains(u.path, h.owner_id)
+          AND h.owner_id IN (SELECT asset_hdr_id FROM fx_asset_hdr)""",
     "st_closure": "SELECT root_id, descendant_id FROM st_up UNION SELECT asset_hdr_id, asset_hdr_id FROM fx_asset_hdr",
     "st_destination": """
-        SELECT contract_id, link_no, destination_asset_hdr_id AS destination FROM fx_custom_flow c
+        SELECT contract_id, link_no, custom_flow_hdr_id, destination_asset_hdr_id AS destination FROM fx_custom_flow c
         WHERE is_active = 1 AND is_deleted = 0 AND is_restructure = 0
           AND (SELECT count(*) FROM fx_custom_flow d WHERE d.contract_id = c.contract_id AND d.link_no = c.link_no
-               AND d.is_active = 1 AND d.is_deleted = 0) = 1""",
+               AND d.custom_flow_hdr_id = c.custom_flow_hdr_id AND d.is_active = 1 AND d.is_deleted = 0) = 1""",
     "st_line": """
         SELECT t.*, f.contract_id AS flow_contract_id, d.destination,
                (t.asset_hdr_id = d.destination OR EXISTS (SELECT 1 FROM st_closure k WHERE k.root_id = d.destination AND k.descendant_id = t.asset_hdr_id)) AS is_correct
-        FROM fx_flow f JOIN st_destination d ON d.contract_id = f.contract_id AND d.link_no = f.link_no
+        FROM fx_flow f JOIN st_destination d ON d.contract_id = f.contract_id AND d.link_no = f.link_no AND d.custom_flow_hdr_id = f.custom_flow_hdr_id
         JOIN fx_tax t ON t.flow_id = f.flow_id
         WHERE f.flow_type = 1010 AND f.reversal_status = 4200 AND f.custom_flow_hdr_id <> 0""",
     "st_invalid": """
@@ -132,7 +134,7 @@ STEPS = {
         FROM fx_asset_hdr h JOIN st_as_of o ON o.asset_hdr_id = h.asset_hdr_id WHERE h.asset_hdr_id > 0""",
     "st_latest_rows": """
         SELECT a.* FROM fx_alteration a WHERE a.fld_id IN (548, 549, 550, 552, 553)
-          AND a.contract_restructure_id = (SELECT max(b.contract_restructure_id) FROM fx_alteration b WHERE b.contract_id = a.contract_id)""",
+          AND a.contract_restructure_id = (SELECT max(b.contract_restructure_id) FROM fx_restructure b WHERE b.contract_id = a.contract_id)""",
     "st_gl": """
         SELECT g.contract_id, g.gl_interface_id, g.gl_entry_id, g.post_dt, c.code AS currency_code, b.code AS base_currency_code,
                a.name AS account_name, a.code AS account_code, g.amount, g.flow_id, l1.value AS flow_type_name, l2.value AS reversal_status_name,
@@ -214,7 +216,7 @@ KEY_COLUMNS = {
 def _profile() -> str:
     return "\nUNION ALL\n".join(
         f"SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls, "
-        f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM {table}"
+        f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value, count(DISTINCT {c}) AS n_distinct FROM {table}"
         for table, columns in KEY_COLUMNS.items()
         for c in columns
     )
@@ -257,13 +259,13 @@ QUERIES = {
         FROM fx_flow f LEFT JOIN (SELECT flow_id, sum(amt_tax) AS s FROM fx_tax GROUP BY flow_id) t ON t.flow_id = f.flow_id""",
     "tax_reconcile": """
         SELECT f.flow_id, f.contract_id, f.amount, f.amt_gross, t.total_tax FROM fx_flow f
-        JOIN (SELECT flow_id, CAST(sum(amt_tax) AS DECIMAL(18,2)) AS total_tax FROM fx_tax GROUP BY flow_id) t ON t.flow_id = f.flow_id
+        JOIN (SELECT flow_id, CAST(sum(amt_tax) AS DECIMAL(38,2)) AS total_tax FROM fx_tax GROUP BY flow_id) t ON t.flow_id = f.flow_id
         WHERE f.reversal_status = 4200 AND round(f.amt_gross - f.amount, 2) <> t.total_tax""",
     "tax_missing": """
         SELECT flow_id, contract_id, amount, invoice_id FROM fx_flow f WHERE flow_type = 1014 AND reversal_status = 4200
           AND NOT EXISTS (SELECT 1 FROM fx_tax t WHERE t.flow_id = f.flow_id)""",
     "affected_invoice_tax": """
-        SELECT v.invoice_no, CAST(sum(i.amt_tax) AS DECIMAL(18,2)) AS correct_total_tax
+        SELECT v.invoice_no, CAST(sum(i.amt_tax) AS DECIMAL(38,2)) AS correct_total_tax
         FROM st_invalid i JOIN fx_flow f ON f.flow_id = i.flow_id JOIN fx_invoice v ON v.invoice_id = f.invoice_id
         WHERE f.invoice_id <> 0 GROUP BY v.invoice_no""",
     "release_unmatched": """
@@ -278,12 +280,12 @@ QUERIES = {
         JOIN fx_party p ON p.party_id = a.party_id JOIN fx_invoice i ON i.invoice_id = f.invoice_id""",
     "match_reconcile": """
         SELECT f.flow_id, f.contract_id, f.amt_matched, m.amt_match_rows FROM fx_flow f
-        JOIN (SELECT flow_id, CAST(sum(amt_matched) AS DECIMAL(18,2)) AS amt_match_rows FROM st_live
+        JOIN (SELECT flow_id, CAST(sum(amt_matched) AS DECIMAL(38,2)) AS amt_match_rows FROM st_live
               WHERE bank_flow_id IN (SELECT bank_flow_id FROM fx_bank_flow WHERE is_deleted = 0) GROUP BY flow_id) m ON m.flow_id = f.flow_id
         WHERE f.reversal_status = 4200 AND f.amt_matched <> m.amt_match_rows""",
     "match_reconcile_recovery": """
         SELECT f.flow_id, f.contract_id, f.amt_matched, m.amt_match_rows FROM fx_flow f
-        JOIN (SELECT flow_id, CAST(sum(amt_matched) AS DECIMAL(18,2)) AS amt_match_rows FROM st_live
+        JOIN (SELECT flow_id, CAST(sum(amt_matched) AS DECIMAL(38,2)) AS amt_match_rows FROM st_live
               WHERE bank_flow_id IN (SELECT bank_flow_id FROM fx_bank_flow WHERE is_deleted = 0) AND flow_id <> recovery_flow_id
               GROUP BY flow_id) m ON m.flow_id = f.flow_id
         WHERE f.reversal_status <> 4200 AND f.amt_matched <> m.amt_match_rows""",
@@ -314,7 +316,8 @@ QUERIES = {
     "code_remap_back": "SELECT * FROM orders",
     "state_reset": """
         SELECT contract_id, CASE WHEN hit THEN 12020 ELSE credit_state END AS credit_state, CASE WHEN hit THEN 6500 ELSE approval_status1 END AS approval_status1,
-               CASE WHEN hit THEN 6500 ELSE approval_status2 END AS approval_status2, CASE WHEN hit THEN 0 ELSE approver1_id END AS approver1_id
+               CASE WHEN hit THEN 6500 ELSE approval_status2 END AS approval_status2, CASE WHEN hit THEN 0 ELSE approver1_id END AS approver1_id,
+               CASE WHEN hit THEN 0 ELSE approver2_id END AS approver2_id
         FROM (SELECT *, contract_id IN (SELECT contract_id FROM st_reset) AS hit FROM fx_contract)""",
     "state_reset_events": "SELECT * FROM fx_event_queue WHERE event_queue_id NOT IN (SELECT event_queue_id FROM st_reset)",
     "save_status_reset": """
@@ -361,7 +364,8 @@ QUERIES = {
           AND contract_id IN (SELECT current_contract_id FROM fx_asset_hdr h WHERE NOT EXISTS (SELECT 1 FROM fx_asset a WHERE a.asset_hdr_id = h.asset_hdr_id)
                               UNION SELECT original_contract_id FROM fx_asset_hdr h WHERE NOT EXISTS (SELECT 1 FROM fx_asset a WHERE a.asset_hdr_id = h.asset_hdr_id))""",
     "latest_revision_rows": "SELECT * FROM st_latest_rows",
-    "latest_revision_deleted": "SELECT * FROM fx_alteration WHERE contract_alteration_id NOT IN (SELECT contract_alteration_id FROM st_latest_rows)",
+    "latest_revision_of_objects": "SELECT * FROM st_latest_rows WHERE obj_id % 5 = 0",
+    "latest_revision_deleted":"SELECT * FROM fx_alteration WHERE contract_alteration_id NOT IN (SELECT contract_alteration_id FROM st_latest_rows)",
     "gl_entries": "SELECT * FROM st_gl",
     "gl_suspense": "SELECT * FROM st_gl WHERE account_name = 'System Suspense'",
     "gl_orphans": """
@@ -370,7 +374,7 @@ QUERIES = {
     "duplicate_keys": "SELECT contract_id, link_no, count(*) AS n_rows FROM fx_custom_flow WHERE is_deleted = 0 GROUP BY contract_id, link_no HAVING count(*) > 1",
     "duplicate_write_offs": "SELECT * FROM st_dup_writeoff",
     "writeoff_by_party": """
-        SELECT p.party_no, p.name, CAST(sum(w.amount) AS DECIMAL(18,2)) AS total_amount, count(*) AS n_rows
+        SELECT p.party_no, p.name, CAST(sum(w.amount) AS DECIMAL(38,2)) AS total_amount, count(*) AS n_rows
         FROM fx_writeoff w JOIN fx_party_account a ON a.party_account_id = w.party_account_id JOIN fx_party p ON p.party_id = a.party_id
         GROUP BY p.party_no, p.name HAVING count(*) > 1""",
     "writeoff_duplicate_parties": """
@@ -391,10 +395,12 @@ QUERIES = {
         FROM fx_linked_flow f JOIN fx_invoice i ON i.invoice_id = f.invoice_id
         WHERE f.flow_id IN (SELECT flow_link_id FROM fx_linked_flow WHERE invoice_id IN (SELECT invoice_id FROM fx_invoice))""",
     "unreceived_custom_flows": """
-        SELECT r.contract_id, r.po_row_cf_id, r.destination_csv, r.ext_reference FROM fx_po_row r
-        JOIN fx_contract c ON c.contract_id = r.contract_id JOIN fx_asset_hdr h ON h.asset_hdr_id = CAST(r.destination_csv AS BIGINT)
-        JOIN fx_contract k ON k.contract_id = h.current_contract_id
-        WHERE starts_with(r.ext_reference, 'PO_ROW_') AND r.num_assets_received = 0 AND c.product_style = 2000 AND k.contract_state = 11140""",
+        SELECT r.contract_id, r.po_row_cf_id, r.destination_csv, e.ext_reference FROM fx_po_row r
+        JOIN fx_expected_row e ON e.contract_custom_flow_id = r.po_row_cf_id AND e.contract_id = r.contract_id
+        JOIN fx_contract c ON c.contract_id = r.contract_id
+        WHERE starts_with(e.ext_reference, 'PO_ROW_') AND r.num_assets_received = 0 AND c.product_style = 2000
+          AND EXISTS (SELECT 1 FROM fx_asset_hdr h JOIN fx_contract k ON k.contract_id = h.current_contract_id
+                      WHERE k.contract_state = 11140 AND ',' || replace(r.destination_csv, ' ', '') || ',' LIKE '%,' || CAST(h.asset_hdr_id AS VARCHAR) || ',%')""",
     "lookup_contracts_by_product": """
         SELECT c.contract_id, p.name AS product_name, c.contract_state FROM fx_contract c JOIN fx_product p ON p.product_style = c.product_style
         WHERE p.name = 'Operating Lease' AND c.contract_id > 0 AND c.contract_state = 11140""",
@@ -402,6 +408,10 @@ QUERIES = {
     "lookup_flows_by_type": """
         SELECT f.contract_id, f.flow_id, f.expected_dt, f.amount, l.value AS flow_type_name FROM fx_lookup l JOIN fx_flow f ON f.flow_type = l.lookupset_id
         WHERE l.set_name = 'FlowType' AND l.value = 'Security Deposit'""",
+    "lookup_flows_by_method": """
+        SELECT f.contract_id, f.flow_id, f.expected_dt, f.amount, l.value AS flow_method_name FROM fx_lookup l JOIN fx_flow f ON f.flow_method_id = l.lookupset_id
+        WHERE l.set_name = 'FlowMethod' AND l.value = 'Direct Debit'""",
+    "lookup_suspense_accounts": "SELECT * FROM fx_gl_account WHERE name ILIKE '%suspense%'",
     "lookup_programs_and_units": """
         SELECT p.party_id, p.name AS unit_name, p.program_id, g.program_name FROM fx_party p JOIN fx_program g ON g.program_id = p.program_id
         WHERE p.is_business_unit = 1""",
@@ -499,7 +509,7 @@ QUERIES = {
         SELECT flow_type, reversal_status,
                CAST(((2 * CAST(sum(amount) * 100 AS HUGEINT) * 10000 + count(*)) // (2 * count(*))) / 1000000.0 AS DECIMAL(18,6)) AS avg_value,
                count(*) AS n_rows, arg_min(amount, flow_id) AS first_value, arg_max(amount, flow_id) AS last_value, max(amount) AS max_value,
-               min(amount) AS min_value, CAST(sum(amount) AS DECIMAL(18,2)) AS sum_value
+               min(amount) AS min_value, CAST(sum(amount) AS DECIMAL(38,2)) AS sum_value
         FROM fx_flow GROUP BY flow_type, reversal_status""",
 }
 

@@ -15,7 +15,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def profile_columns(tables: dict[str, DataFrame], pattern: str) -> DataFrame:
-    """Columns whose name matches a pattern (with * and ?), with row and null counts and the value range.
+    """Columns whose name matches a pattern (with * and ?), with row, null and distinct counts and the value range.
 
     One aggregate per table covers all its matching columns.
     """
@@ -29,11 +29,12 @@ def profile_columns(tables: dict[str, DataFrame], pattern: str) -> DataFrame:
             *[F.count(c).alias(f"count_{c}") for c in names],
             *[F.min(c).cast("string").alias(f"min_{c}") for c in names],
             *[F.max(c).cast("string").alias(f"max_{c}") for c in names],
+            *[F.count_distinct(c).alias(f"distinct_{c}") for c in names],
         )
         lines = [
             F.struct(
                 F.lit(c).alias("column_name"), F.col("n").alias("n_rows"), (F.col("n") - F.col(f"count_{c}")).alias("n_nulls"),
-                F.col(f"min_{c}").alias("min_value"), F.col(f"max_{c}").alias("max_value"),
+                F.col(f"min_{c}").alias("min_value"), F.col(f"max_{c}").alias("max_value"), F.col(f"distinct_{c}").alias("n_distinct"),
             )
             for c in names
         ]

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from sparkledger import codes
-from sparkledger.functions.scalar import safe_ratio, total
+from sparkledger.functions.scalar import money, safe_ratio, total
 from sparkledger.operators.changeset import ChangeSet
 from sparkledger.operators.hierarchy import ancestor_pairs
 from sparkledger.operators.joins import anti, flag_any, semi
@@ -188,23 +188,24 @@ def invalid_tax_lines(
     is asset 0. The result is a snapshot: it is what gets deleted, and what the later steps refer to.
     """
     # One aggregate both proves the link number unique and carries the only row's values along.
+    keys = ["contract_id", "link_no", "custom_flow_hdr_id"]
     destinations = (
         custom_flow.where("is_active = 1 AND is_deleted = 0")
-        .groupBy("contract_id", "link_no")
+        .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.max("destination_asset_hdr_id").alias("destination"),
             F.max("is_restructure").alias("is_restructure"),
         )
         .where("n = 1 AND is_restructure = 0")
-        .select("contract_id", "link_no", "destination")
+        .select(*keys, "destination")
     )
     flows = flow.where(
         f"flow_type = {codes.FLOW_CUSTOM} AND reversal_status = {codes.CURRENT} AND custom_flow_hdr_id <> 0"
-    ).select("flow_id", "contract_id", "link_no")
+    ).select("flow_id", *keys)
     if exempt_flows is not None:
         flows = anti(flows, exempt_flows, ["flow_id"])
-    targets = flows.join(destinations, ["contract_id", "link_no"]).select(
+    targets = flows.join(destinations, keys).select(
         "flow_id", F.col("contract_id").alias("flow_contract_id"), "destination"
     )
     lines = tax.join(targets, "flow_id")
@@ -248,7 +249,8 @@ def deletable_tax_lines(invalid: DataFrame, flow: DataFrame) -> DataFrame:
 def tax_rollup(tax: DataFrame) -> DataFrame:
     """Tax per flow, authority and type, with the effective rate (NULL for amount 0)."""
     keys = ["amount", "contract_id", "flow_id", "tax_authority_id", "tax_type_id"]
-    summed = tax.groupBy(*keys).agg(total("amt_tax").alias("amt_tax"))
+    # A line to be stored, so it has the precision of stored amounts.
+    summed = tax.groupBy(*keys).agg(money(total("amt_tax")).alias("amt_tax"))
     return summed.select(
         "flow_id", "contract_id", "tax_authority_id", F.col("tax_type_id").alias("tax_type_hdr_id"),
         F.col("amt_tax").alias("amount"), F.col("amt_tax").alias("amt_financed"), F.col("amt_tax").alias("amt_invoice"),
@@ -268,22 +270,26 @@ def correct_gross(flow: DataFrame, tax: DataFrame) -> DataFrame:
     return joined.withColumns({"amt_gross": gross, "amt_gross_netted": gross}).select(*flow.columns)
 
 
-def tax_mismatches(flow: DataFrame, tax: DataFrame) -> DataFrame:
-    """Current flows whose gross minus amount is not the sum of their tax lines. Flows without lines do not show."""
+def tax_mismatches(flow: DataFrame, tax: DataFrame, exempt_flows: DataFrame | None = None) -> DataFrame:
+    """Current flows whose gross minus amount is not the sum of their tax lines. Flows without lines do not show.
+
+    `exempt_flows` lists flows that are known to differ and are left out.
+    """
     current = flow.where(f"reversal_status = {codes.CURRENT}")
+    if exempt_flows is not None:
+        current = anti(current, exempt_flows, ["flow_id"])
     return current.join(tax_per_flow(tax), "flow_id").where(F.round(F.col("amt_gross") - F.col("amount"), 2) != F.col("total_tax"))
 
 
 def affected_invoice_tax(invalid: DataFrame, flow: DataFrame, invoice: DataFrame) -> DataFrame:
-    """Tax total of the affected lines per invoice number."""
-    return (
+    """Tax total of the affected lines per invoice number; several invoices may share a number."""
+    per_invoice = (
         invalid.select("flow_id", "amt_tax")
         .join(flow.where("invoice_id <> 0").select("flow_id", "invoice_id"), "flow_id")
         .groupBy("invoice_id")
-        .agg(total("amt_tax").alias("correct_total_tax"))
-        .join(invoice, "invoice_id")
-        .select("invoice_no", "correct_total_tax")
+        .agg(total("amt_tax").alias("_tax"))
     )
+    return per_invoice.join(invoice, "invoice_id").groupBy("invoice_no").agg(total("_tax").alias("correct_total_tax"))
 
 
 # Bank matches ------------------------------------------------------------------------------------
@@ -413,11 +419,18 @@ def restore_codes(table: DataFrame, mapping_rows: DataFrame, pk: list[str], code
     return update_from(table, mapping_rows.select(*pk, F.col("old_code").alias(code)), pk)
 
 
-def reset_credit_state(contract: DataFrame, event_queue: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Contracts that were pending or declined go back to pending; those transitions are dropped."""
+def reset_credit_state(
+    contract: DataFrame, event_queue: DataFrame, chosen: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Contracts that were pending or declined go back to pending; those transitions are dropped.
+
+    Both approvers are cleared. `chosen` limits the run to some contracts.
+    """
     events = event_queue.where(
         f"event_type = {codes.EVENT_CREDIT_STATE} AND event_state_before IN ({codes.CREDIT_PENDING}, {codes.CREDIT_DECLINED})"
     )
+    if chosen is not None:
+        events = semi(events, chosen, ["contract_id"])
     contracts = set_for_keys(
         contract,
         events,
@@ -427,6 +440,7 @@ def reset_credit_state(contract: DataFrame, event_queue: DataFrame) -> tuple[Dat
             "approval_status1": codes.APPROVAL_PENDING,
             "approval_status2": codes.APPROVAL_PENDING,
             "approver1_id": 0,
+            "approver2_id": 0,
         },
     )
     return contracts, delete_for_keys(event_queue, events, ["event_queue_id"])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sparkledger import codes
 from sparkledger.functions.scalar import equals_ignore_case, has_prefix, like_ignore_case, row_count, total
-from sparkledger.operators.joins import left_join_many, not_in, repeated_keys, semi
+from sparkledger.operators.joins import not_in, repeated_keys, semi
 
 
 def _renamed(df: DataFrame, **names: str) -> DataFrame:
@@ -79,7 +79,7 @@ def write_offs_by_party(write_off: DataFrame, account: DataFrame, party: DataFra
     return (
         per_account.join(owner, "party_account_id")
         .groupBy("party_no", "name")
-        .agg(F.sum("s").cast("decimal(18,2)").alias("total_amount"), F.sum("n").cast("bigint").alias("n_rows"))
+        .agg(total("s").alias("total_amount"), F.sum("n").cast("bigint").alias("n_rows"))
         .where("n_rows > 1")
     )
 
@@ -110,7 +110,8 @@ def audit_decode(
         change = F.when(hit, name) if change is None else change.when(hit, name)
     keys = _renamed(keys, audit_hdr_id="audit_hdr_id", fld_name="key_name", old_fld_value="key_old", new_fld_value="key_new")
     headers = rows.join(user.select("user_id", "user_name"), "user_id").join(keys, "audit_hdr_id")
-    return left_join_many(headers, field, ["audit_hdr_id"]).select(
+    # A header has a row for each column of its table at most, so that a plain join does.
+    return headers.join(field, "audit_hdr_id", "left").select(
         "audit_hdr_id", "audit_dt", change.alias("change_name"), "user_name", "tbl_name", "key_name", "key_old", "key_new",
         "fld_name", "old_fld_value", "new_fld_value",
     )
@@ -137,15 +138,18 @@ def used_definitions(definition: DataFrame, key: str, instance: DataFrame, refer
     return semi(definition, instance.select(F.col(reference).alias(key)), [key])
 
 
-def invoice_flows(flow: DataFrame, tax: DataFrame, invoice: DataFrame) -> DataFrame:
-    """Flows of each invoice with their tax lines, also flows without one. Invoice 0 means none."""
+def invoice_flows(flow: DataFrame, tax: DataFrame, invoice: DataFrame, invoice_no: str = "") -> DataFrame:
+    """Flows of each invoice, or of one number, with their tax lines, also flows without one. Invoice 0 means none."""
+    if invoice_no:
+        invoice = invoice.where(F.col("invoice_no") == invoice_no)
     lines = tax.select("flow_id", "tax_calc_flow_id", "tax_type_id", "amt_tax")
     flows = (
         flow.where("invoice_id <> 0")
         .select("flow_id", "contract_id", "invoice_id", "amount")
         .join(invoice, "invoice_id")
     )
-    return left_join_many(flows, lines, ["flow_id"]).select(
+    # A flow has a handful of tax lines, so that a plain join does.
+    return flows.join(lines, "flow_id", "left").select(
         "invoice_no", "flow_id", "contract_id", "amount", "tax_calc_flow_id", "tax_type_id", "amt_tax"
     )
 
@@ -158,20 +162,27 @@ def invoice_origins(flow: DataFrame, invoice: DataFrame) -> DataFrame:
     return semi(candidates, origins, ["flow_id"]).join(invoice, "invoice_id")
 
 
-def unreceived_custom_flows(po_row: DataFrame, contract: DataFrame, asset_hdr: DataFrame, style: int = 2000) -> DataFrame:
-    """Purchase-order rows not received whose asset sits on a partially terminated contract."""
-    rows = po_row.where((F.col("num_assets_received") == 0) & has_prefix("ext_reference", "PO_ROW_"))
+def unreceived_custom_flows(
+    po_row: DataFrame, custom_flow: DataFrame, contract: DataFrame, asset_hdr: DataFrame, style: int = 2000
+) -> DataFrame:
+    """Purchase-order rows not received of which an asset sits on a partially terminated contract.
+
+    `destination_csv` lists asset ids; pieces that are no id match nothing. The prefix is that of the custom flow
+    which the row belongs to.
+    """
+    expected = custom_flow.where(has_prefix("ext_reference", "PO_ROW_")).select(
+        F.col("contract_custom_flow_id").alias("po_row_cf_id"), "contract_id", "ext_reference"
+    )
+    rows = po_row.where(F.col("num_assets_received") == 0).join(expected, ["po_row_cf_id", "contract_id"])
     own = contract.where(F.col("product_style") == style).select("contract_id")
     target = contract.where(F.col("contract_state") == codes.CONTRACT_PART_TERMINATED).select(
         F.col("contract_id").alias("current_contract_id")
     )
     assets = asset_hdr.select("asset_hdr_id", "current_contract_id").join(target, "current_contract_id", "left_semi")
-    return (
-        rows.join(own, "contract_id", "left_semi")
-        .withColumn("asset_hdr_id", F.col("destination_csv").cast("bigint"))
-        .join(assets.select("asset_hdr_id"), "asset_hdr_id", "left_semi")
-        .select("contract_id", "po_row_cf_id", "destination_csv", "ext_reference")
-    )
+    ids = F.transform(F.split("destination_csv", ","), lambda piece: F.trim(piece).try_cast("bigint"))
+    found = ["contract_id", "po_row_cf_id", "destination_csv", "ext_reference"]
+    probes = rows.join(own, "contract_id", "left_semi").select(*found, F.explode(F.array_distinct(ids)).alias("asset_hdr_id"))
+    return probes.join(assets.select("asset_hdr_id"), "asset_hdr_id", "left_semi").select(*found).distinct()
 
 
 # Small decode lists ------------------------------------------------------------------------------
@@ -196,6 +207,19 @@ def flows_by_type(flow: DataFrame, lookup: DataFrame, set_name: str, value: str)
     return flow.join(kinds, "flow_type").select("contract_id", "flow_id", "expected_dt", "amount", "flow_type_name")
 
 
+def flows_by_method(flow: DataFrame, lookup: DataFrame, set_name: str, value: str) -> DataFrame:
+    """Flows whose payment method decodes to a value."""
+    methods = lookup.where((F.col("set_name") == set_name) & (F.col("value") == value)).select(
+        F.col("lookupset_id").alias("flow_method_id"), F.col("value").alias("flow_method_name")
+    )
+    return flow.join(methods, "flow_method_id").select("contract_id", "flow_id", "expected_dt", "amount", "flow_method_name")
+
+
+def accounts_like(gl_account: DataFrame, pattern: str) -> DataFrame:
+    """Accounts whose name matches a pattern, case ignored."""
+    return gl_account.where(like_ignore_case(F.col("name"), pattern))
+
+
 def programs_and_units(unit: DataFrame, program: DataFrame) -> DataFrame:
     """Business units with the program they belong to."""
     return unit.where("is_business_unit = 1").select("party_id", F.col("name").alias("unit_name"), "program_id").join(program, "program_id")

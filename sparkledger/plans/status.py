@@ -69,7 +69,7 @@ def quotes_on_activated_contracts(
     event_queue: DataFrame,
     styles: tuple[int, ...] = (codes.STYLE_RENTAL,),
 ) -> DataFrame:
-    """Quotes and assets of activated contracts that have a quoting asset and once left the expired state."""
+    """Quotes and assets of activated contracts that have a quoting asset and once left the expired state. A snapshot."""
     candidates = contract.where(
         F.col("contract_state").isin(codes.CONTRACT_ACTIVATED, codes.CONTRACT_PART_TERMINATED) & F.col("product_style").isin(*styles)
     ).select("contract_id", "calc_dt")
@@ -94,7 +94,8 @@ def quotes_on_activated_contracts(
     )
     live = asset.where("is_terminated = 0").select("contract_id", F.col("asset_hdr_id").alias("_asset"))
     hits = semi_any(rows, ["asset_hdr_quote_id"], OWNERS, live, "_asset", same=["contract_id"])
-    return hits.drop("_own", "owner_id", "parent_owner_id")
+    # Quotes and assets are both changed from these rows.
+    return snapshot(hits.drop("_own", "owner_id", "parent_owner_id"))
 
 
 def repair_activated(affected: DataFrame) -> DataFrame:
@@ -232,7 +233,8 @@ def asset_address_view(
 
     The full address is street, zip code and city joined by commas.
     """
-    in_effect = address_as_of(dated_address, as_of).select("asset_hdr_id", "asset_hdr_address_type", "address_id")
+    # Aggregated once, as two branches read it with different filters.
+    in_effect = snapshot(address_as_of(dated_address, as_of).select("asset_hdr_id", "asset_hdr_address_type", "address_id"))
     current = in_effect.where(F.col("asset_hdr_address_type") == codes.ADDRESS_CURRENT).select("asset_hdr_id", "address_id")
     details = asset_hdr.select("asset_hdr_id", "name", "model", "asset_type_id", "manufacturer_id", "asset_status")
     on_contract = (
@@ -285,7 +287,16 @@ def contracts_missing_assets(contract: DataFrame, asset_hdr: DataFrame, asset: D
     return wanted.join(ids, "contract_id", "left_semi")
 
 
-def latest_revision_rows(alteration: DataFrame, fields: tuple[int, ...] = codes.BLOCKING_ALTERATIONS) -> DataFrame:
-    """Alteration rows of the latest restructure of their contract, for the given fields."""
-    latest = alteration.groupBy("contract_id").agg(F.max("contract_restructure_id").alias("contract_restructure_id"))
-    return alteration.where(F.col("fld_id").isin(*fields)).join(latest, ["contract_id", "contract_restructure_id"], "left_semi")
+def latest_revision_rows(
+    alteration: DataFrame, restructure: DataFrame, fields: tuple[int, ...], objects: DataFrame | None = None
+) -> DataFrame:
+    """Alteration rows of the latest restructure of their contract, for the given fields and, if given, objects.
+
+    The latest restructure is that of the restructure table: one without alterations has no rows, and those of the
+    restructures before it stay out.
+    """
+    latest = restructure.groupBy("contract_id").agg(F.max("contract_restructure_id").alias("contract_restructure_id"))
+    rows = alteration.where(F.col("fld_id").isin(*fields))
+    if objects is not None:
+        rows = semi(rows, objects, ["obj_id"])
+    return rows.join(latest, ["contract_id", "contract_restructure_id"], "left_semi")

@@ -11,7 +11,7 @@ from sparkledger.functions.scalar import add_units, to_local
 from sparkledger.operators import export, keys, masking, retention, updates
 from sparkledger.operators.joins import semi
 from sparkledger.plans import clock, discovery, hygiene, ledger, listing, status
-from sparkledger.session import configure, new_folder
+from sparkledger.session import configure, new_folder, snapshot
 from sparkledger.sources.fixtures import Fixtures
 from sparkledger.sources.tables import TABLES
 
@@ -141,7 +141,7 @@ def code_remap_back(fx):
 
 def state_reset(fx):
     return ledger.reset_credit_state(fx.contract(), fx.event_queue())[0].select(
-        "contract_id", "credit_state", "approval_status1", "approval_status2", "approver1_id"
+        "contract_id", "credit_state", "approval_status1", "approval_status2", "approver1_id", "approver2_id"
     )
 
 
@@ -205,12 +205,19 @@ def contracts_missing_assets(fx):
 
 
 def latest_revision_rows(fx):
-    return status.latest_revision_rows(fx.alteration())
+    return status.latest_revision_rows(fx.alteration(), fx.restructure(), codes.BLOCKING_ALTERATIONS)
 
 
 def latest_revision_deleted(fx):
     alteration = fx.alteration()
-    return updates.delete_for_keys(alteration, status.latest_revision_rows(alteration), ["contract_alteration_id"])
+    blocking = status.latest_revision_rows(alteration, fx.restructure(), codes.BLOCKING_ALTERATIONS)
+    return updates.delete_for_keys(alteration, blocking, ["contract_alteration_id"])
+
+
+def latest_revision_of_objects(fx):
+    """Only the alterations of one kind of object: those of the first type of event."""
+    objects = fx.alteration().where("obj_id % 5 = 0").select("obj_id").distinct()
+    return status.latest_revision_rows(fx.alteration(), fx.restructure(), codes.BLOCKING_ALTERATIONS, objects)
 
 
 # Listings ----------------------------------------------------------------------------------------
@@ -282,7 +289,7 @@ def invoice_origins(fx):
 
 
 def unreceived_custom_flows(fx):
-    return listing.unreceived_custom_flows(fx.po_row(), fx.contract(), fx.asset_hdr())
+    return listing.unreceived_custom_flows(fx.po_row(), fx.expected_row(), fx.contract(), fx.asset_hdr())
 
 
 def lookup_contracts_by_product(fx):
@@ -297,6 +304,14 @@ def lookup_flows_by_type(fx):
     return listing.flows_by_type(fx.flow(), fx.lookup(), "FlowType", "Security Deposit")
 
 
+def lookup_flows_by_method(fx):
+    return listing.flows_by_method(fx.flow(), fx.lookup(), "FlowMethod", "Direct Debit")
+
+
+def lookup_suspense_accounts(fx):
+    return listing.accounts_like(fx.gl_account(), "%suspense%")
+
+
 def lookup_programs_and_units(fx):
     return listing.programs_and_units(fx.party(), fx.program())
 
@@ -426,7 +441,7 @@ def backup_rotation(fx):
 
 def allocate_keys(fx):
     flow = fx.flow()
-    deposits = flow.where(f"flow_type = {codes.FLOW_DEPOSIT}").select("flow_id", "contract_id")
+    deposits = snapshot(flow.where(f"flow_type = {codes.FLOW_DEPOSIT}").select("flow_id", "contract_id"))
     numbered, _ = keys.number_rows(deposits, ["flow_id"])
     first = keys.max_key(flow, "flow_id") + 1
     return numbered.select((F.lit(first) + F.col("row_no")).alias("new_id"), F.col("flow_id").alias("old_id"), "contract_id")
@@ -496,10 +511,10 @@ JOBS = (
     unallocated_bank_flows, code_remap, code_remap_back, state_reset,
     state_reset_events, save_status_reset, terminated_status_repair, terminated_address_insert, activated_status_repair,
     status_classify, effective_address_insert, effective_address_rows, as_of_address, asset_address_view, hierarchy_descendants, contracts_missing_assets,
-    latest_revision_rows, latest_revision_deleted, gl_entries, gl_suspense, gl_orphans, duplicate_keys, duplicate_write_offs,
+    latest_revision_rows, latest_revision_deleted, latest_revision_of_objects, gl_entries, gl_suspense, gl_orphans, duplicate_keys, duplicate_write_offs,
     writeoff_by_party, writeoff_duplicate_parties, audit_decode, audit_decode_filtered, queue_by_state, queue_backlog,
     recent_activity, used_definitions, invoice_lineage, invoice_origins, unreceived_custom_flows, lookup_contracts_by_product,
-    lookup_products_with_tax_pricing, lookup_flows_by_type, lookup_programs_and_units, lookup_bank_flow_pairs, mask_parties,
+    lookup_products_with_tax_pricing, lookup_flows_by_type, lookup_flows_by_method, lookup_suspense_accounts, lookup_programs_and_units, lookup_bank_flow_pairs, mask_parties,
     mask_coverage, mask_accounts, mask_addresses, mask_users, mask_employment, mask_bank_flows, mask_bank_accounts,
     mask_duplicate_buckets, mask_party_addresses, mask_mail_lists, scrub_history, scrub_notes, retention_purge, retention_kept,
     upsert_update_only, copy_distinct, changeset_apply, changeset_apply_revert, backup_rotation, allocate_keys, next_numbers,

@@ -178,7 +178,9 @@ class Fixtures:
     @_once
     def invoice(self) -> DataFrame:
         return self.table("orders").where("o_orderkey <> 0").selectExpr(
-            "o_orderkey AS invoice_id", "concat('INV', CAST(o_orderkey AS STRING)) AS invoice_no"
+            "o_orderkey AS invoice_id",
+            # Neighbouring orders share a number now and then.
+            "concat('INV', CAST(CASE WHEN o_orderkey % 8 = 1 THEN o_orderkey + 1 ELSE o_orderkey END AS STRING)) AS invoice_no",
         )
 
     @_once
@@ -197,17 +199,30 @@ class Fixtures:
             "flow_id AS contract_custom_flow_id", "contract_id", "link_no", "asset_hdr_id AS destination_asset_hdr_id",
             "1 AS is_active", "CASE WHEN discount_pct = 8 THEN 1 ELSE 0 END AS is_deleted",
             "CASE WHEN quantity = 50 THEN 1 ELSE 0 END AS is_restructure",
+            # With 1 % discount a second header uses the link number for another asset.
+            "explode(CASE WHEN discount_pct = 1 THEN array(1, 2) ELSE array(1) END) AS custom_flow_hdr_id",
+        ).withColumn(
+            "destination_asset_hdr_id", F.expr("CASE WHEN custom_flow_hdr_id = 2 THEN destination_asset_hdr_id + 1 ELSE destination_asset_hdr_id END")
         )
 
     @_once
     def po_row(self) -> DataFrame:
-        """Purchase-order rows that carry an asset id and a prefix as text."""
+        """Purchase-order rows that carry asset ids as text: one or two, and for large quantities something else."""
         return self.flow().where("link_no = 5").selectExpr(
-            "flow_id AS po_row_cf_id", "contract_id", "CAST(asset_hdr_id AS STRING) AS destination_csv",
-            "CASE WHEN discount_pct >= 8 THEN 'POxROWy' ELSE 'PO_ROW_' END AS ext_reference",
+            "flow_id AS po_row_cf_id", "contract_id",
+            "CASE WHEN quantity % 3 = 0 THEN concat(asset_hdr_id, ', ', asset_hdr_id + 1) WHEN quantity % 10 = 1 THEN concat(asset_hdr_id, ',n/a') "
+            "ELSE CAST(asset_hdr_id AS STRING) END AS destination_csv",
             "CASE WHEN quantity > 25 THEN 1 ELSE 0 END AS num_assets_received",
         )
 
+    @_once
+    def expected_row(self) -> DataFrame:
+        """The custom flows of the purchase-order rows, with the prefix as text; none without discount."""
+        return self.flow().where("link_no = 5 AND discount_pct > 0").selectExpr(
+            "flow_id AS contract_custom_flow_id", "contract_id",
+            "CASE WHEN discount_pct >= 8 THEN 'POxROWy' ELSE 'PO_ROW_' END AS ext_reference",
+        )
+
     # Contracts, assets, quotes, addresses ------------------------------------------------------
 
     @_once
@@ -220,7 +235,8 @@ class Fixtures:
             "CASE o_orderstatus WHEN 'F' THEN 11130 WHEN 'O' THEN 11140 ELSE 11150 END AS contract_state",
             "CASE o_orderpriority WHEN '1-URGENT' THEN 2011 WHEN '2-HIGH' THEN 2014 ELSE 2000 END AS product_style",
             "CASE WHEN o_orderkey % 4 = 2 THEN 12040 ELSE 12030 END AS credit_state",
-            "6510 AS approval_status1", "6520 AS approval_status2", "o_custkey AS approver1_id", "2200 AS save_status",
+            "6510 AS approval_status1", "6520 AS approval_status2", "o_custkey AS approver1_id", "o_custkey % 7 AS approver2_id",
+            "2200 AS save_status",
         )
 
     @_once
@@ -321,8 +337,16 @@ class Fixtures:
         return self.table("events").selectExpr(
             "event_id AS contract_alteration_id", "user_id AS contract_id",
             "CAST(floor(event_id / 1000) AS BIGINT) AS contract_restructure_id", "CAST(545 + event_id % 9 AS INT) AS fld_id",
+            "event_id % 50 AS obj_id",
         )
 
+    @_once
+    def restructure(self) -> DataFrame:
+        """The restructures of the contracts; every third contract has had one more, without any alteration."""
+        altered = self.alteration().select("contract_id", "contract_restructure_id").distinct()
+        empty = altered.where("contract_id % 3 = 0").groupBy("contract_id").agg(F.max("contract_restructure_id").alias("m"))
+        return altered.unionByName(empty.selectExpr("contract_id", "m + 1 AS contract_restructure_id"))
+
     # Parties, ledger, audit, notes -------------------------------------------------------------
 
     @_once
@@ -393,11 +417,12 @@ class Fixtures:
 
     @_once
     def lookup(self) -> DataFrame:
-        """Decode table of the code sets: nine fixed rows."""
+        """Decode table of the code sets: a few fixed rows."""
         rows = [
             (1001, "FlowType", "Rental"), (1010, "FlowType", "Custom"), (1014, "FlowType", "Security Deposit"),
             (1034, "FlowType", "Write Off"), (4200, "ReversalStatus", "Current"), (4201, "ReversalStatus", "Reversed"),
             (4202, "ReversalStatus", "Reversal"), (2100, "FlowStatus", "Pending"), (2101, "FlowStatus", "Settled"),
+            (5101, "FlowMethod", "Direct Debit"), (5102, "FlowMethod", "Cheque"), (5103, "FlowMethod", "Bank Transfer"),
         ]
         return self.spark.createDataFrame(rows, "lookupset_id int, set_name string, value string")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -9,25 +11,30 @@ from sparkledger.plans.hygiene import backfill_children
 
 
 def backfill_on_update(
-    updates: DataFrame, child_path: str, checkpoint: str, key: str, kind_column: str, kind: int, defaults: dict
+    updates: DataFrame, child_path: str, checkpoint: str, key: str, kind_column: str, kind: int, defaults: dict,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """For each batch of updated parents, append a default child row to those that lack one.
 
     The whole batch is handled as a set. Each batch writes to its own folder in overwrite mode, so a batch
-    that is repeated after a failure leaves the same rows.
+    that is repeated after a failure leaves the same rows. The folder names the checkpoint as well as the
+    batch: batches of another checkpoint are numbered from 0 again and must not take the place of these.
+    `trigger` holds the arguments of `DataStreamWriter.trigger`; by default, what is available is handled once.
     """
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def add_children(batch: DataFrame, batch_id: int) -> None:
-        # Earlier batches only: a repeated batch must not see its own first attempt.
-        child = batch.sparkSession.read.parquet(child_path)
-        child = child.where(F.col("batch") < batch_id)
+        own = f"run={run}/batch={batch_id}"
+        child = batch.sparkSession.read.option("basePath", child_path).option("recursiveFileLookup", "true").parquet(child_path)
+        # A repeated batch must not see its own first attempt.
+        child = child.where(~F.col("_metadata.file_path").contains(f"/{own}/"))
         rows = backfill_children(batch, child, key, kind_column, kind, defaults)
-        rows.write.mode("overwrite").parquet(f"{child_path}/batch={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{child_path}/{own}")
 
     return (
         updates.writeStream.foreachBatch(add_children)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import Row, functions as F
 
 from sparkledger import codes
 from sparkledger.functions import scalar as S
-from sparkledger.operators import export, joins, keys, masking, retention, updates
+from sparkledger.operators import export, hierarchy, joins, keys, masking, retention, updates
 from sparkledger.operators.changeset import ChangeSet
 from sparkledger.operators.hierarchy import ancestor_pairs
 from sparkledger.plans import clock, discovery, hygiene, ledger, listing, status
@@ -94,6 +94,16 @@ def test_changeset_round_trip_with_all_parts(spark, tmp_path):
     assert rows(change.rows().groupBy("op").count()) == [("delete", 1), ("insert", 1), ("update_after", 2), ("update_before", 2)]
 
 
+def test_changeset_of_updates_alone_is_loaded(spark, tmp_path):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
+    folder = str(tmp_path / "change")
+    ChangeSet.capture(target, ["k"], updates=spark.createDataFrame([(1, "x")], "k long, v string"), folder=folder)
+    loaded = ChangeSet.load(spark, folder, ["k"])
+    assert loaded.inserts is None and loaded.deletes is None
+    assert rows(loaded.apply(target)) == [(1, "x"), (2, "b")]
+    assert rows(loaded.revert(loaded.apply(target))) == rows(target)
+
+
 def test_runs_and_reverts_are_published_and_logged(spark, tmp_path):
     folder, log = str(tmp_path / "tables"), str(tmp_path / "event_log")
     target = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
@@ -133,14 +143,38 @@ def test_hierarchy_stops_at_cycles_and_self_parents(spark):
 
 
 def test_hierarchy_deeper_than_one_round(spark):
-    links = spark.createDataFrame([(i, i - 1) for i in range(1, 12)] + [(0, 0)], "id long, up long")
+    links = spark.createDataFrame([(i, i - 1) for i in range(1, 12)] + [(0, 0)], "id long, up long").selectExpr("id + 5 AS id", "up + 5 AS up")
     pairs = ancestor_pairs(links, "id", "up")
     assert pairs.count() == 11 * 12 // 2
     assert pairs.agg(F.max("depth")).first()[0] == 11
-    assert ancestor_pairs(links, "id", "up", seeds=links.where("id = 11")).count() == 11
-    with pytest.raises(ValueError, match="deeper"):
-        ancestor_pairs(links, "id", "up", max_depth=10)
-    assert ancestor_pairs(links, "id", "up", max_depth=11).count() == 11 * 12 // 2
+    assert ancestor_pairs(links, "id", "up", seeds=links.where("id = 16")).count() == 11
+
+
+def test_hierarchy_of_any_depth(spark):
+    """A chain of 150 links, from an id that is not 0, and a long cycle with a tail."""
+    chain = spark.createDataFrame([(i, i - 1) for i in range(2, 152)] + [(1, None)], "id long, up long")
+    pairs = ancestor_pairs(chain, "id", "up")
+    assert pairs.count() == 150 * 151 // 2
+    assert pairs.where("descendant_id - root_id <> depth").isEmpty()
+    cycle = spark.createDataFrame([(i, i % 21 + 1) for i in range(1, 22)] + [(100, 1), (101, 100)], "id long, up long")
+    found = ancestor_pairs(cycle, "id", "up")
+    # Each of the 21 reaches the 20 others, the tail reaches all of them and itself in order.
+    assert found.count() == found.select("root_id", "descendant_id").distinct().count() == 21 * 20 + 21 + 22
+    assert {r["depth"]: r["root_id"] for r in found.where("descendant_id = 101").collect()} == {1: 100, **{d: d - 1 for d in range(2, 23)}}
+
+
+def test_hierarchy_id_zero_is_no_owner(spark):
+    links = spark.createDataFrame([(0, 0), (10, 0), (11, 0), (12, 10)], "id long, up long")
+    assert rows(ancestor_pairs(links, "id", "up")) == [(10, 12, 1)]
+
+
+def test_hierarchy_joins_grow_with_the_logarithm_of_the_depth(spark, monkeypatch):
+    made = []
+    beyond = hierarchy._beyond
+    monkeypatch.setattr(hierarchy, "_beyond", lambda *a: made.append(1) or beyond(*a))
+    links = spark.createDataFrame([(i, i // 10) for i in range(1, 1500)], "id long, up long")
+    assert ancestor_pairs(links, "id", "up").agg(F.max("depth")).first()[0] == 3
+    assert len(made) <= 3
 
 
 # Ledger ------------------------------------------------------------------------------------------
@@ -326,6 +360,17 @@ def test_retention_keeps_null_dates_and_sentinels(spark):
     assert emptied["line"].count() == 0 and emptied["note"].count() == 3 and emptied["line"].schema == family["line"].schema
 
 
+def test_retention_counts_rows_of_repeated_parents_once(spark):
+    d = datetime.date
+    family = {
+        "doc": spark.createDataFrame([(1, d(1990, 1, 1)), (1, d(1990, 1, 1))], "doc_id long, dt date"),
+        "note": spark.createDataFrame([(1, 1), (2, 2)], "note_id long, doc_id long"),
+    }
+    steps = [retention.PurgeStep("note", ("dt",), (retention.Parent("doc", "doc_id", "doc_id"),))]
+    report = retention.purge_report(family, steps, "2024-01-31", 365)
+    assert rows(report.select("step", "n_total", "n_deleted", "n_kept")) == [(0, 2, 1, 1), (1, 2, 1, 1)]
+
+
 def test_retention_refuses_cycles(spark):
     a, b = retention.Parent("a", "a_id", "a_id"), retention.Parent("b", "b_id", "b_id")
     steps = [retention.PurgeStep("a", ("dt",), (b,)), retention.PurgeStep("b", ("dt",), (a,))]

@@ -112,9 +112,10 @@ def test_address_changes_of_a_hot_asset(spark, small_partitions):
 
 
 def test_hierarchy_with_a_hot_root(spark, small_partitions):
-    links = spark.range(30_000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 0 WHEN id < 10 THEN 1 ELSE id DIV 10 END AS up")
+    # Ids from 1, as 0 stands for none; a third of the nodes hang below 1.
+    links = spark.range(1, 30_001).selectExpr("id", "CASE WHEN id % 3 = 1 THEN 1 WHEN id < 10 THEN 2 ELSE id DIV 10 END AS up")
     pairs = ancestor_pairs(links, "id", "up")
-    parent = {i: 0 if i % 3 == 0 else (1 if i < 10 else i // 10) for i in range(30_000)}
+    parent = {i: 1 if i % 3 == 1 else (2 if i < 10 else i // 10) for i in range(1, 30_001)}
     expected = 0
     for node in parent:
         seen, at = {node}, parent[node]
@@ -123,13 +124,13 @@ def test_hierarchy_with_a_hot_root(spark, small_partitions):
             seen.add(at)
             at = parent[at]
     assert pairs.count() == expected
-    assert pairs.where("root_id = 0").count() == sum(1 for i in parent if i and _reaches(parent, i))
+    assert pairs.where("root_id = 1").count() == sum(1 for i in parent if i != 1 and _reaches(parent, i))
 
 
 def _reaches(parent, node):
     seen = set()
     while node not in seen:
-        if node == 0:
+        if node == 1:
             return True
         seen.add(node)
         node = parent[node]
