@@ -66,18 +66,18 @@ def contained(
     fits = F.exists("bounds", lambda b: (F.col("at") >= b["offset"]) & (F.col("at") - b["offset"] + b["size"] <= F.col("n")))
     met = places.join(lookup, "token").filter(fits).select("row", "token", "at")
     candidates = store(met.groupBy("row", "token").agg(F.collect_set("at").alias("places")), "leak-candidates")
-    # Only texts with candidates move.
-    needed = candidates.groupBy("row").agg(F.count("*").alias("n")).filter("n > 0")
-    text_rows = texts.select(row, "text")
-    chosen = text_rows.join(needed.select("row").hint("shuffle_hash"), "row").select("row", words(F.col("text")).alias("w")).dropDuplicates(["row"])
     tried = candidates.join(by_token, "token").select("row", "places", F.explode("windows").alias("p"))
     tried = tried.select("row", F.explode("places").alias("at"), "p").select("row", (F.col("at") - F.col("p.offset")).alias("start"), "p.window", "p.items")
     grouped = tried.filter("start >= 0").groupBy("row").agg(F.collect_list(F.struct("start", "window", "items")).alias("tried"))
+    # Only texts with candidates move, once.
+    grouped = store(grouped, "leak-tried").filter(F.size("tried") > 0).hint("shuffle_hash")
+    chosen = texts.select(row, "text").join(grouped, "row").select("row", words(F.col("text")).alias("w"), "tried")
     same = F.filter("tried", lambda t: F.slice("w", t["start"] + 1, F.size(t["window"])) == t["window"])
-    found = chosen.join(grouped, "row").select("row", same.alias("found")).filter(F.size("found") > 0)
+    found = chosen.select("row", same.alias("found")).filter(F.size("found") > 0)
     hit = F.array_sort(F.array_distinct(F.flatten(F.transform("found", lambda f: F.sequence(f["start"], f["start"] + F.size(f["window"]) - 1)))))
     items = F.array_sort(F.array_distinct(F.flatten(F.transform("found", lambda f: f["items"]))))
-    hits = found.select("row", hit.alias("hit"), items.alias("items"))
+    # Rows that repeat id and text have the same hits.
+    hits = found.select("row", hit.alias("hit"), items.alias("items")).dropDuplicates(["row"])
     every = texts.select("doc_id", row, F.size(words(F.col("text"))).cast("long").alias("n_words"))
     none = F.array().cast("array<int>"), F.array().cast("array<string>")
     return every.join(hits, "row", "left").select(
