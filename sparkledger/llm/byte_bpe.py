@@ -108,6 +108,13 @@ class Vocabulary:
                 memory.clear()
         return out
 
+    def forget(self) -> None:
+        """Let go of the words that are remembered, and of the last tables."""
+        self.units.clear()
+        self.words.clear()
+        for name in ("fresh", "tokens"):
+            self.duck.unregister(name)
+
     def _learn(self, words: set[str]) -> None:
         raw = {w: w.encode() for w in words}
         whole = {w: self.ranks[b] for w, b in raw.items() if b in self.ranks}
@@ -214,16 +221,18 @@ def _gathered(batches: Iterable[pa.RecordBatch], weigh) -> Iterator[tuple[pa.Rec
             yield batch.slice(start, len(held)), held
 
 
-def _mapped(df: DataFrame, value: str, out: str, kind: T.DataType, work, weigh) -> DataFrame:
+def _mapped(df: DataFrame, value: str, out: str, kind: T.DataType, ranks_path: str, pattern: str, work, weigh) -> DataFrame:
     """`df` with column `value` replaced by `out`, computed for groups of rows."""
     others = [f for f in df.schema.fields if f.name != value]
     schema = T.StructType([*others, T.StructField(out, kind)])
     arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]):
+        own = vocabulary(ranks_path, pattern)
         for rows, values in _gathered(batches, weigh):
-            result = pa.array(work(values), type=arrow.field(out).type)
+            result = pa.array(work(own, values), type=arrow.field(out).type)
             yield pa.RecordBatch.from_arrays([*rows.columns[:-1], result], schema=arrow)
+        own.forget()  # the process goes on to other work
 
     return df.select(*(f.name for f in others), value).mapInArrow(run, schema)
 
@@ -232,13 +241,13 @@ def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
     """doc_id and `ids`: the token ids of the whole text as little-endian unsigned 32-bit integers."""
     prepare(docs.sparkSession)
     texts = documents(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return _mapped(texts, "text", "ids", T.BinaryType(), lambda texts: vocabulary(ranks_path, pattern).encode(texts), len)
+    return _mapped(texts, "text", "ids", T.BinaryType(), ranks_path, pattern, Vocabulary.encode, len)
 
 
 def bpe_decode(encoded: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
     """The frame with `ids_col` replaced by `decoded`, the bytes of the text."""
     prepare(encoded.sparkSession)
-    return _mapped(encoded, ids_col, "decoded", T.BinaryType(), lambda ids: vocabulary(ranks_path, pattern).decode(ids), lambda i: len(i) // 2)
+    return _mapped(encoded, ids_col, "decoded", T.BinaryType(), ranks_path, pattern, Vocabulary.decode, lambda i: len(i) // 2)
 
 
 def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
