@@ -190,7 +190,7 @@ def write_pages(
     cuts, n_shards = _shards(documents(docs, id_col, text_col), shard_bytes)
     encoded = encode_words(docs, tokenizer_path, end_id, id_col, text_col)
     # The number of cuts below an id, found by halving: an expression of logarithmic depth.
-    encoded = encoded.withColumn("shard", F.coalesce(_place(F.col("doc_id"), cuts), F.lit(0)).cast("int"))
+    encoded = encoded.withColumn("shard", F.when(F.col("doc_id").isNull(), 0).otherwise(_place(F.col("doc_id"), cuts)).cast("int"))
     dealt = encoded.repartitionById(n_shards, "shard").sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), "ids")
     id_type = encoded.schema["doc_id"].dataType
     schema = T.StructType([
