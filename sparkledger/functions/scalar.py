@@ -94,6 +94,11 @@ def contains_text(text, needle: str) -> Column:
     return F.contains(text, F.lit(needle))
 
 
+def contains_ignore_case(text, needle: str) -> Column:
+    """The same without regard to case, as servers with a case-insensitive collation search."""
+    return F.contains(F.lower(text), F.lit(needle.lower()))
+
+
 def has_prefix(text, prefix: str) -> Column:
     """Literal prefix test; an underscore is an underscore."""
     return F.startswith(text, F.lit(prefix))

@@ -188,15 +188,25 @@ def mask_mail_lists(doc_list: DataFrame) -> DataFrame:
     return mask(doc_list, {"list_value": F.lit(EMAIL)}, filled)
 
 
-def mask_coverage(before: DataFrame, after: DataFrame, key: str = "party_id") -> DataFrame:
-    """Per category: parties, parties to be masked, and those among them whose name is still the old one."""
-    names = after.select(F.col(key).alias("_key"), F.col("name").alias("_masked"))
-    joined = before.join(names, F.col(key) == F.col("_key"), "left")
-    left = is_masked_party() & (F.col("name").eqNullSafe(F.col("_masked")))
-    return joined.groupBy(party_category().alias("category")).agg(
+def mask_coverage(party: DataFrame) -> DataFrame:
+    """Per category: parties, those to be masked, and the values that masking leaves as they were.
+
+    The mask is a projection, so that old and new values of a row are compared in one pass. Every masked column that
+    the frame has is counted, over all parties but the system row: `n_unmasked` is the values still the same in
+    parties to be masked (a value that was its own mask counts as well), `n_exempt_values` those of all others.
+    """
+    values = {name: value for name, value in _party_values().items() if name in party.columns}
+    hit = is_masked_party()
+    same = F.lit(0)
+    for name, value in values.items():
+        new = F.when(hit, value.cast(party.schema[name].dataType)).otherwise(F.col(name))
+        same = same + F.when(F.col(name).isNotNull() & (F.col(name) == new), 1).otherwise(0)
+    judged = party.where("party_id > 0").select(party_category().alias("category"), hit.alias("_hit"), same.alias("_same"))
+    return judged.groupBy("category").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_parties"),
-        F.count_if(is_masked_party()).cast("bigint").alias("n_to_mask"),
-        F.count_if(left).cast("bigint").alias("n_unmasked"),
+        F.count_if("_hit").cast("bigint").alias("n_to_mask"),
+        F.coalesce(F.sum(F.when(F.col("_hit"), F.col("_same"))), F.lit(0)).cast("bigint").alias("n_unmasked"),
+        F.coalesce(F.sum(F.when(~F.col("_hit"), F.col("_same"))), F.lit(0)).cast("bigint").alias("n_exempt_values"),
     )
 
 

@@ -427,7 +427,11 @@ QUERIES = {
                CASE WHEN hit THEN 'everyone@internet.com' ELSE email_business END AS email_business,
                CASE WHEN hit THEN 'XX000000000' || CAST(party_no AS VARCHAR) ELSE tax_no END AS tax_no
         FROM st_masked""",
-    "mask_coverage": "SELECT category, count(*) AS n_parties, count(*) FILTER (WHERE hit) AS n_to_mask, CAST(0 AS BIGINT) AS n_unmasked FROM st_masked GROUP BY category",
+    "mask_coverage": """
+        SELECT category, count(*) AS n_parties, count(*) FILTER (WHERE hit) AS n_to_mask,
+               CAST(coalesce(sum(CASE WHEN date_of_birth = DATE '1900-01-01' THEN 1 ELSE 0 END) FILTER (WHERE hit), 0) AS BIGINT) AS n_unmasked,
+               CAST(8 * count(*) FILTER (WHERE NOT hit) AS BIGINT) AS n_exempt_values
+        FROM st_masked WHERE party_id > 0 GROUP BY category""",
     "mask_accounts": "SELECT * REPLACE (CASE WHEN party_account_id > 0 THEN 'PartyAcc ' || CAST(party_account_id AS VARCHAR) ELSE name END AS name) FROM fx_party_account",
     "mask_addresses": "SELECT * REPLACE ('Sesame street ' || CAST(address_id AS VARCHAR) AS street, 'E14 5HQ' AS zip_code) FROM fx_address",
     "mask_users": "SELECT * REPLACE (CASE WHEN external_user_type IN (16801, 16803) THEN 'everyone@internet.com' ELSE email END AS email) FROM fx_user",
@@ -504,7 +508,7 @@ QUERIES = {
         SELECT TIMESTAMP '2024-01-31 23:00:00' AS local_clock, TIMESTAMP '2024-01-31 12:00:00' AS utc_clock, ts FROM events ORDER BY event_id DESC LIMIT 1""",
     "profile_columns": _profile(),
     "table_row_counts": _counts(),
-    "find_references": "SELECT DISTINCT source FROM documents WHERE contains(text, 'license')",
+    "find_references": "SELECT DISTINCT source FROM documents WHERE contains(lower(text), 'license')",
     "group_summary": """
         SELECT flow_type, reversal_status,
                CAST(((2 * CAST(sum(amount) * 100 AS HUGEINT) * 10000 + count(*)) // (2 * count(*))) / 1000000.0 AS DECIMAL(18,6)) AS avg_value,

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from sparkledger.functions.scalar import contains_text, row_count
+from sparkledger.functions.scalar import contains_ignore_case, row_count
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -50,5 +50,5 @@ def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def find_references(texts: DataFrame, name: str, text: str, needle: str) -> DataFrame:
-    """Distinct names of the objects whose whole text contains the needle."""
-    return texts.where(contains_text(text, needle)).select(name).distinct()
+    """Distinct names of the objects whose whole text contains the needle, in either case."""
+    return texts.where(contains_ignore_case(text, needle)).select(name).distinct()

@@ -62,19 +62,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def rotate_backup(rows: DataFrame, folder: str, name: str, version: str, previous: str | None, as_of: str) -> DataFrame:
     """Write `rows` as the new backup version; the previous one moves to the archive first.
 
-    The archive is created empty if missing, and keeps each archived row with the time of the rotation. The
-    previous version stays on disk until its folder is removed; readers use the newest version only.
-    Returns the archive.
+    The archive keeps each archived row with the time of the rotation, each version in a folder of its own: a run
+    that failed half-way can be repeated, and archives nothing twice. The previous version stays on disk until its
+    folder is removed; readers use the newest version only. Returns the archive.
     """
     spark = rows.sparkSession
     archive = f"{folder}/{name}_archive"
     stamp = F.lit(as_of).cast("timestamp_ntz").alias("save_dt")
-    if not path_exists(spark, archive):
-        append_rows(empty_like(rows, {"save_dt": "timestamp_ntz"}), archive)
+    if not path_exists(spark, f"{archive}/start"):
+        append_rows(empty_like(rows, {"save_dt": "timestamp_ntz"}), f"{archive}/start")
     if previous is not None and path_exists(spark, f"{folder}/{name}/version={previous}"):
-        append_rows(spark.read.parquet(f"{folder}/{name}/version={previous}").select("*", stamp), archive)
+        old = spark.read.parquet(f"{folder}/{name}/version={previous}").select("*", stamp)
+        old.write.mode("overwrite").parquet(f"{archive}/of-{previous}")
     rows.write.mode("errorifexists").parquet(f"{folder}/{name}/version={version}")
-    return spark.read.parquet(archive)
+    return spark.read.option("recursiveFileLookup", "true").parquet(archive)
 
 
 def backfill_children(parents: DataFrame, child: DataFrame, key: str, kind_column: str, kind: int, defaults: dict) -> DataFrame:
