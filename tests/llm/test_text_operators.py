@@ -465,6 +465,7 @@ def test_decontaminate(spark, docs, rows):
     benchmark = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, window string")
     columns = "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
     assert listed(decontaminate.decontaminate(docs, benchmark), *columns) == expected_leaks(rows, items)
+    assert listed(decontaminate.decontaminate(docs, benchmark, broadcast_bytes=0), *columns) == expected_leaks(rows, items)
     assert listed(decontaminate.decontaminate(docs, benchmark.limit(0)), *columns) == expected_leaks(rows, [])
 
 
