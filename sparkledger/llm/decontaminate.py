@@ -42,10 +42,14 @@ def item_windows(benchmark: DataFrame, size: int, id_col: str = "item_id", text_
     return each.groupBy("window").agg(F.collect_set("item").alias("items"))
 
 
-def rarest_words(windows: DataFrame, docs: DataFrame) -> DataFrame:
+def rarest_words(windows: DataFrame, docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The windows with `token`, their word that is rarest in all documents, and `offset`, its first place."""
     vocabulary = windows.select(F.explode("window").alias("word")).distinct()
-    counts = docs.select(F.explode("w").alias("word")).join(vocabulary, "word").groupBy("word").agg(F.count("*").alias("n"))
+    found, n = docs.select(F.explode("w").alias("word")), F.count("*").alias("n")
+    if _size(windows) <= broadcast_bytes:
+        counts = found.join(F.broadcast(vocabulary), "word").groupBy("word").agg(n)
+    else:  # tasks count before words move, so that a frequent word is a row of each
+        counts = found.groupBy("word").agg(n).join(vocabulary, "word")
     each = windows.select("window", F.posexplode("window").alias("offset", "word")).join(counts, "word", "left")
     rarest = each.groupBy("window").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "offset")).alias("r"))
     # A window with a word that no document has cannot occur.
@@ -61,7 +65,7 @@ def contained(
     prepare(docs.sparkSession)
     texts = documents(docs, id_col, text_col)
     split = texts.select("doc_id", words(F.col("text")).alias("w"))
-    tokens = store(rarest_words(store(item_windows(benchmark, window), "leak-windows"), split), "leak-tokens")
+    tokens = store(rarest_words(store(item_windows(benchmark, window), "leak-windows"), split, broadcast_bytes), "leak-tokens")
     # A document is its id and text; as a struct, a null id equals a null id.
     rows = texts.select(F.struct("doc_id", F.xxhash64("text").alias("digest")).alias("row"), words(F.col("text")).alias("w"), "text")
     look_up = _by_broadcast if _size(tokens) <= broadcast_bytes else _by_shuffle
@@ -75,10 +79,10 @@ def contained(
     )
 
 
-def _size(tokens: DataFrame) -> int:
-    """Bytes of the windows with their tokens and items, with a margin for each value's place."""
+def _size(windows: DataFrame) -> int:
+    """Bytes of the windows with their items and a token, with a margin for each value's place."""
     size = lambda c: F.octet_length(F.concat_ws(" ", c)) + 16 * F.size(c)
-    return tokens.select(F.sum(size("window") + size("items") + F.octet_length("token") + 64)).first()[0] or 0
+    return windows.select(F.sum(2 * size("window") + size("items") + 64)).first()[0] or 0
 
 
 def _by_broadcast(rows: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
