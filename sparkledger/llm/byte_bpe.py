@@ -32,6 +32,8 @@ LONG_WORD = 256
 # Text that a task gathers before it asks DuckDB for the new words, and words and units it remembers.
 GATHERED_CHARS = 4_000_000
 REMEMBERED = 400_000
+# Rows that one recursive query may gather: a word has at most its length in tokens at each of as many steps.
+QUERY_ROWS = 5_000_000
 DUCKDB_MEMORY = "400MB"
 
 # The characters that the pattern's \s stands for.
@@ -123,9 +125,17 @@ class Vocabulary:
         for word, data in rest:
             if len(data) > LONG_WORD:
                 self.words[word] = np.array(self.contract_long(data), "<u4").tobytes()
-        short = [(w, b) for w, b in rest if len(b) <= LONG_WORD]
-        for i in range(0, len(short), 50_000):
-            self._contract(short[i : i + 50_000])
+        held, steps = [], 0
+        for word, data in rest:
+            if len(data) > LONG_WORD:
+                continue
+            if steps + len(data) ** 2 > QUERY_ROWS and held:
+                self._contract(held)
+                held, steps = [], 0
+            held.append((word, data))
+            steps += len(data) ** 2
+        if held:
+            self._contract(held)
 
     def _contract(self, words: list[tuple[str, bytes]]) -> None:
         lengths = np.array([len(b) for _, b in words])
