@@ -17,11 +17,20 @@ from sparkledger.llm.queries import BYTE_PATTERN, BYTE_RANKS
 ORACLE_SQL = None
 
 
+def _unused(docs: DataFrame, *names: str) -> list[str]:
+    """These names with underscores before them until no column of `docs` has them."""
+    taken, before = {c.lower() for c in docs.columns}, "_"
+    while any(before + n in taken for n in names):
+        before += "_"
+    return [before + n for n in names]
+
+
 def _of(docs: DataFrame, chosen: DataFrame, how: str) -> DataFrame:
     """Rows of `docs` whose id is (left_semi) or is not (left_anti) among the chosen ones, with all their columns."""
-    ids = chosen.select(F.col("doc_id").alias("_chosen")).distinct()
-    ids = ids.withColumn("_right", key_of("_chosen"))
-    here = (key_of() == F.col("_right")) & F.col("doc_id").eqNullSafe(F.col("_chosen"))
+    one, right = _unused(docs, "chosen", "right")
+    ids = chosen.select(F.col("doc_id").alias(one)).distinct()
+    ids = ids.withColumn(right, key_of(one))
+    here = (key_of() == F.col(right)) & F.col("doc_id").eqNullSafe(F.col(one))
     return docs.join(ids.hint("shuffle_hash"), here, how)
 
 
@@ -34,12 +43,13 @@ def quality_filter(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
 def exact_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of equal ones."""
     found = exact_dedup.exact_dedup(docs)
-    kept = found.filter("kept").select(F.col("doc_id").alias("_kept"), F.col("text_sha256").alias("_sha"), key_of().alias("_right"))
-    same = (key_of() == F.col("_right")) & F.col("doc_id").eqNullSafe(F.col("_kept"))
+    one, sha, right = _unused(docs, "kept", "sha", "right")
+    kept = found.filter("kept").select(F.col("doc_id").alias(one), F.col("text_sha256").alias(sha), key_of().alias(right))
+    same = (key_of() == F.col(right)) & F.col("doc_id").eqNullSafe(F.col(one))
     texts = docs.join(kept.hint("shuffle_hash"), same)
-    texts = texts.filter(F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256) == F.col("_sha"))
+    texts = texts.filter(F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256) == F.col(sha))
     # Rows that repeat both id and text are one document; they are side by side already.
-    return texts.dropDuplicates(["_right", "_kept", "_sha"]).select(docs.columns)
+    return texts.dropDuplicates([right, one, sha]).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
