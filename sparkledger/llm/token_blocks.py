@@ -94,7 +94,9 @@ class WordEncoder:
     """The tokenizer's ids for whole texts, with each distinct word encoded once for as long as it is remembered.
 
     The tokenizer drops white space, and none of its steps looks past it, so that a text's ids are those of the
-    pieces between blanks and line ends. Pieces of printable ASCII need no normalising besides lower case.
+    pieces between blanks and line ends. Pieces of printable ASCII need no normalising besides lower case. Strings of
+    added tokens are cut out of the raw text before, as the library does; a tokenizer whose added tokens ask for more
+    than that encodes whole texts itself.
     """
 
     # How the tokenizer splits lower-case ASCII.
@@ -106,8 +108,11 @@ class WordEncoder:
 
         assert sys.byteorder == "little" and array("I").itemsize == 4
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.model = self.tokenizer.model
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = {t.content: array("I", [i]).tobytes() for i, t in added.items()}
+        self.cuts = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
+        self.by_library = any(t.normalized or t.single_word or t.lstrip or t.rstrip for t in added.values())
         self.words, self.units = Remembered(self._word), Remembered(self._unit)
 
     def _word(self, word: str) -> bytes:
@@ -122,6 +127,14 @@ class WordEncoder:
     def encode(self, text: str) -> bytes:
         self.words.trim()
         self.units.trim()
+        if self.by_library:
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if not any(token in text for token in self.added):
+            return self._ordinary(text)
+        pieces = self.cuts.split(text)
+        return b"".join([self.added[p] if k % 2 else self._ordinary(p) for k, p in enumerate(pieces)])
+
+    def _ordinary(self, text: str) -> bytes:
         return b"".join(map(self.units.__getitem__, text.replace("\n", " ").split(" ")))
 
 

@@ -287,6 +287,36 @@ def test_token_pages(docs, rows, options):
     assert listed(found, "doc_id", "start", "n_tokens", "ids_crc32") == sorted(expected, key=repr)
 
 
+ADDED = [
+    "end <|endoftext|> start", "<|startoftext|>Once<|endoftext|><|endoftext|>", "a<|endoftext|>b", "<|ENDOFTEXT|> <|endoftext |>", "<|endoftext|>",
+    "<|<|endoftext|>|>\n é <|startoftext|> it's", "<|endof", "plain",
+]
+
+
+def test_added_tokens_are_the_librarys(spark):
+    tokenizer = Tokenizer.from_file(WORDS)
+    encoder = token_blocks.word_encoder(WORDS)
+    assert np.frombuffer(encoder.encode(ADDED[0]), "<u4").tolist() == [806, 49407, 1572]
+    at, expected = 0, []
+    for i, text in enumerate(ADDED):
+        ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids + [1], "<u4")
+        expected.append((i, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    given = spark.createDataFrame(list(enumerate(ADDED)), "doc_id long, text string")
+    assert listed(token_blocks.page_digests(given, WORDS, 1), "doc_id", "start", "n_tokens", "ids_crc32") == expected
+
+
+def test_added_tokens_with_other_rules_are_encoded_by_the_library(tmp_path):
+    from tokenizers import AddedToken
+
+    tokenizer = Tokenizer.from_file(WORDS)
+    tokenizer.add_tokens([AddedToken("river", single_word=True, normalized=True)])
+    tokenizer.save(str(tmp_path / "own.json"))
+    encoder = token_blocks.WordEncoder(str(tmp_path / "own.json"))
+    for text in [*ADDED, "The RIVER rivers river"]:
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 # 6 and 9 ---------------------------------------------------------------------------------------------
 
 
