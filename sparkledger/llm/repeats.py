@@ -9,7 +9,8 @@ through is compared all the same.
 An edge's source is an occurrence in a document with a smaller id. Edges that follow each other in a document
 and in their source alike form a nonbranching path, which is compacted to one span with the coordinates of its source.
 Joins bring the texts of both ends of every span, and their words are compared by SHA-256, so that no span rests on
-the edges' hashes alone; should one differ, the job fails and asks for another seed.
+the edges' hashes alone; should one differ, the job fails and asks for another seed. `clean` gives the kept texts and
+the spans as stored tables; `remove_repeats` gives digests of those texts.
 
 Edges whose anchor is in `HOT` documents or more are dealt to several parts, and the earliest of each part meet again.
 
@@ -22,11 +23,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from sparkledger.llm.common import arrow_schema, bodies, in_batches, prepare, store
 
@@ -40,6 +42,7 @@ MOST_FILTER_BITS = 27
 SPANS_AT_ONCE = 1000
 REMEMBERED = 500_000
 LOWEST = -(1 << 63)
+COLLISION = "two different passages have the same hash: run again with another seed"
 
 
 class _WordHashes(dict):
@@ -197,7 +200,7 @@ def _spans(matched: DataFrame) -> DataFrame:
     def rows(batches):
         for batch in batches:
             for doc_id, text, src, src_text, ahead, places in zip(*(batch.column(i) for i in range(6))):
-                places = np.sort(places.values.to_numpy())
+                places = np.unique(places.values.to_numpy())  # rows that repeat id and text have the same places
                 cuts = np.flatnonzero(np.diff(places) != 1) + 1
                 for run in np.split(places, cuts):
                     yield doc_id.as_py(), text.as_py(), int(run[0]), src.as_py(), src_text.as_py(), int(run[0]) - ahead.as_py(), len(run)
@@ -206,46 +209,84 @@ def _spans(matched: DataFrame) -> DataFrame:
 
 
 def _read_back(docs: DataFrame, spans: DataFrame, window: int, seed: int) -> DataFrame:
-    """The texts at both ends of the spans: digests of the spans' words, and for targets what is kept.
+    """The texts at both ends of the spans: digests of the spans' words, and what is kept of every document.
 
-    Rows: (doc_id, text, start, n, source, digest) for spans, (doc_id, text, n_removed, kept_sha256) for documents.
+    Rows: (doc_id, text, start, n, source, digest) for spans, (doc_id, text, start, n, src_doc_id, src_text, src_start) for
+    spans that come again in their own document, (doc_id, text, n_words, n_removed, kept) for documents.
     """
-    task = F.struct("start", "n")
-    targets = spans.groupBy("doc_id", "text").agg(F.collect_list(task).alias("tasks")).withColumn("source", F.lit(False))
+    source = ("src_doc_id", "src_text", "src_start")
+    targets = spans.groupBy("doc_id", "text").agg(F.collect_list(F.struct("start", "n", *source)).alias("tasks"))
+    targets = store(targets, "repeats-targets").hint("shuffle_hash")
     ends = spans.select(F.col("src_doc_id").alias("doc_id"), F.col("src_text").alias("text"), F.col("src_start").alias("start"), "n").distinct()
     # A source of many spans is dealt out in parts.
     parts = ends.groupBy("doc_id", "text").agg(F.ceil(F.count("*") / SPANS_AT_ONCE).alias("parts"))
     part = F.pmod(F.xxhash64("start", "n"), F.col("parts"))
-    sources = ends.join(parts, ["doc_id", "text"]).groupBy("doc_id", "text", part.alias("part")).agg(F.collect_list(task).alias("tasks"))
-    tasks = targets.unionByName(sources.drop("part").withColumn("source", F.lit(True)))
-    tasks = store(tasks, "repeats-tasks").filter(F.size("tasks") > 0).hint("shuffle_hash")
+    sources = ends.join(parts, ["doc_id", "text"]).groupBy("doc_id", "text", part.alias("part")).agg(F.collect_list(F.struct("start", "n")).alias("tasks"))
+    sources = store(sources.drop("part"), "repeats-sources").filter(F.size("tasks") > 0).hint("shuffle_hash")
+    long, int_, places = T.LongType(), T.IntegerType(), ("doc_id", "text", "start", "n")
     schema = T.StructType([
-        T.StructField("doc_id", T.LongType()), T.StructField("text", T.IntegerType()), T.StructField("start", T.IntegerType()), T.StructField("n", T.IntegerType()),
-        T.StructField("source", T.BooleanType()), T.StructField("digest", T.BinaryType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType()),
+        *(T.StructField(c, long if c == "doc_id" else int_) for c in places),
+        T.StructField("source", T.BooleanType()), T.StructField("digest", T.BinaryType()),
+        *(T.StructField(c, long if c == "src_doc_id" else int_) for c in source),
+        T.StructField("n_words", long), T.StructField("n_removed", long), T.StructField("kept", T.BinaryType()),
     ])
+    nothing = (None,) * 3
 
-    def rows(batches):
+    def digest(words, start, n):
+        return hashlib.sha256(b" ".join(words[start : start + n + window - 1])).digest()
+
+    def at_sources(batches):
+        for batch in batches:
+            for doc_id, text, body, todo in zip(*(batch.column(c) for c in ("doc_id", "text", "body", "tasks"))):
+                words = body.as_py().split()
+                for t in todo.as_py():
+                    yield doc_id.as_py(), text.as_py(), t["start"], t["n"], True, digest(words, t["start"], t["n"]), *nothing, *nothing
+
+    def at_targets(batches):
         edges = Edges(window, seed)
         for batch in batches:
-            for doc_id, text, body, source, todo in zip(*(batch.column(c) for c in ("doc_id", "text", "body", "source", "tasks"))):
-                key, body, todo, source = (doc_id.as_py(), text.as_py()), body.as_py(), todo.as_py(), source.as_py()
+            for doc_id, text, body, todo in zip(*(batch.column(c) for c in ("doc_id", "text", "body", "tasks"))):
+                key, body, todo = (doc_id.as_py(), text.as_py()), body.as_py(), todo.as_py()
                 words = body.split()
-                for t in todo:
-                    piece = b" ".join(words[t["start"] : t["start"] + t["n"] + window - 1])
-                    yield *key, t["start"], t["n"], source, hashlib.sha256(piece).digest(), None, None
-                if source:
+                if not todo:
+                    yield *key, None, None, False, None, *nothing, len(words), 0, b" ".join(words)
                     continue
-                found = edges.of(body)[0]
-                gone = np.unique(np.concatenate([found[t["start"] : t["start"] + t["n"]] for t in todo]))
-                hit = np.flatnonzero(np.isin(found, gone))  # also where an edge comes again in the document
+                for t in todo:
+                    yield *key, t["start"], t["n"], False, digest(words, t["start"], t["n"]), *nothing, *nothing
                 change = np.zeros(len(words) + 1, np.int64)
-                np.add.at(change, hit, 1)
-                np.add.at(change, hit + window, -1)
+                for t in todo:
+                    change[t["start"]] += 1
+                    change[t["start"] + t["n"] + window - 1] -= 1
+                for start, n, first, t in _again(edges.of(body)[0], todo):
+                    if digest(words, start, n) != digest(words, first, n):
+                        raise ValueError(COLLISION)
+                    yield *key, start, n, False, None, t["src_doc_id"], t["src_text"], t["src_start"] + first - t["start"], *nothing
+                    change[start] += 1
+                    change[start + n + window - 1] -= 1
                 covered = np.cumsum(change[:-1]) > 0
                 kept = b" ".join([w for w, c in zip(words, covered.tolist()) if not c])
-                yield *key, None, None, False, None, int(covered.sum()), hashlib.sha256(kept).hexdigest()
-
-    return _mapped(docs.join(tasks, ["doc_id", "text"]), schema, rows)
+                yield *key, None, None, False, None, *nothing, len(words), int(covered.sum()), kept
+
+    every = _mapped(docs.join(targets, ["doc_id", "text"], "left"), schema, at_targets)
+    return every.unionByName(_mapped(docs.join(sources, ["doc_id", "text"]), schema, at_sources))
+
+
+def _again(found: np.ndarray, todo: list[dict]) -> Iterator[tuple[int, int, int, dict]]:
+    """(start, n, first, task): paths whose edges come from `first` on in a span of the same document."""
+    own = np.concatenate([np.arange(t["start"], t["start"] + t["n"]) for t in todo])
+    task = np.repeat(np.arange(len(todo)), [t["n"] for t in todo])
+    order = np.argsort(found[own], kind="stable")
+    own, task = own[order], task[order]
+    other = np.ones(len(found), bool)
+    other[own] = False
+    places = np.flatnonzero(other & np.isin(found, found[own]))
+    if not len(places):
+        return
+    at = np.searchsorted(found[own], found[places])
+    first, task = own[at], task[at]
+    cuts = np.flatnonzero((np.diff(places) != 1) | (np.diff(first) != 1) | (np.diff(task) != 0)) + 1
+    for run in np.split(np.arange(len(places)), cuts):
+        yield int(places[run[0]]), len(run), int(first[run[0]]), todo[task[run[0]]]
 
 
 def _verify(spans: DataFrame, read: DataFrame) -> None:
@@ -255,14 +296,26 @@ def _verify(spans: DataFrame, read: DataFrame) -> None:
     src = digests.filter("source").select(F.col("doc_id").alias("src_doc_id"), F.col("text").alias("src_text"), F.col("start").alias("src_start"), "n", F.col("digest").alias("theirs")).distinct()
     met = spans.join(at, ["doc_id", "text", "start", "n"], "left").join(src, ["src_doc_id", "src_text", "src_start", "n"], "left")
     if not met.filter(~F.coalesce(F.col("own") == F.col("theirs"), F.lit(False))).isEmpty():
-        raise ValueError("two different passages have the same hash: run again with another seed")
+        raise ValueError(COLLISION)
+
 
+class Cleaned(NamedTuple):
+    """What is kept of the documents, and the passages that were removed. Both are stored."""
 
-def remove_repeats(
+    texts: DataFrame
+    spans: DataFrame
+
+
+def clean(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, seed: int = 0, hot: int = HOT,
-) -> DataFrame:
-    """doc_id, n_words, n_removed and kept_sha256 of every document, less the passages that start in an earlier one."""
-    spark = prepare(docs.sparkSession)
+) -> Cleaned:
+    """The documents less the passages that start in an earlier one, and these passages with their sources.
+
+    `texts` has doc_id, n_words, n_removed and the kept text (its words with single blanks between them) of every
+    document. `spans` has doc_id, start, n_words, src_doc_id and src_start of every removed passage, in words, with the
+    hashes of both texts (text_hash, src_text_hash) to tell documents apart that share an id; passages may overlap.
+    """
+    prepare(docs.sparkSession)
     given = bodies(docs, id_col, text_col)
     # The place of a null id in the order; documents that share an id differ in `text`.
     keyed = given.select(
@@ -272,19 +325,24 @@ def remove_repeats(
     read = store(_read_back(keyed, spans, window, seed), "repeats-read")
     _verify(spans, read)
 
-    @F.arrow_udf(T.StructType([T.StructField("n", T.LongType()), T.StructField("sha", T.StringType())]))
-    def counted(found: pa.Array) -> pa.Array:
-        out = []
-        for body in found:
-            words = body.as_py().split()
-            out.append({"n": len(words), "sha": hashlib.sha256(b" ".join(words)).hexdigest()})
-        return pa.array(out, pa.struct([("n", pa.int64()), ("sha", pa.string())]))
-
-    every = keyed.select("doc_id", "text", counted("body").alias("all"))
-    changed = read.filter("kept_sha256 is not null").groupBy("doc_id", "text").agg(F.first("n_removed").alias("n_removed"), F.first("kept_sha256").alias("kept"))
-    out = every.join(changed, ["doc_id", "text"], "left")
-    own = F.when(F.col("doc_id") != LOWEST, F.col("doc_id")).cast(given.schema["doc_id"].dataType)
-    return out.select(
-        own.alias("doc_id"), F.col("all.n").alias("n_words"), F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
-        F.coalesce("kept", F.col("all.sha")).alias("kept_sha256"),
+    def own(column: str) -> Column:
+        return F.when(F.col(column) != LOWEST, F.col(column)).cast(given.schema["doc_id"].dataType).alias(column)
+
+    again = read.filter("src_doc_id is not null").select(spans.columns).distinct()
+    return Cleaned(
+        read.filter("kept is not null").select(own("doc_id"), "n_words", "n_removed", F.col("kept").cast("string").alias("text")),
+        spans.unionByName(again).select(
+            own("doc_id"), F.col("text").alias("text_hash"), "start", (F.col("n") + window - 1).alias("n_words"),
+            own("src_doc_id"), F.col("src_text").alias("src_text_hash"), "src_start",
+        ),
     )
+
+
+def removed_spans(docs: DataFrame, **options) -> DataFrame:
+    """The removed passages of all documents with their sources, after both ends were compared."""
+    return clean(docs, **options).spans
+
+
+def remove_repeats(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, n_words, n_removed and kept_sha256 of every document, from the kept texts as they were stored."""
+    return clean(docs, **options).texts.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))

@@ -168,6 +168,36 @@ def test_repeats(docs, rows, hot):
     assert listed(found, "doc_id", "n_words", "n_removed", "kept_sha256") == expected_repeats(rows)
 
 
+@pytest.mark.parametrize("hot", [repeats.HOT, 2])
+def test_kept_texts_and_spans(spark, docs, rows, hot):
+    """The operator gives the texts themselves, and spans that explain every removed word."""
+    kept, spans = repeats.clean(docs, hot=hot)
+    words = {}
+    for i, t in rows:
+        words.setdefault(i, set()).add(tuple((t or "").split()))
+    found = [(r["doc_id"], r["n_words"], r["n_removed"], sha(r["text"].encode())) for r in kept.collect()]
+    assert sorted(found, key=repr) == expected_repeats(rows)
+    gone = {}
+    for r in spans.collect():
+        assert low(r["src_doc_id"]) < low(r["doc_id"]) and r["n_words"] >= 13
+        ends = [{w[s : s + r["n_words"]] for w in words[i]} for i, s in ((r["doc_id"], r["start"]), (r["src_doc_id"], r["src_start"]))]
+        assert ends[0] & ends[1]
+        gone.setdefault(r["doc_id"], set()).update(range(r["start"], r["start"] + r["n_words"]))
+    for i, some in words.items():
+        if len(some) == 1:
+            assert {len(gone.get(i, ()))} == {n for j, _, n, _ in found if j == i}
+
+
+def test_passage_that_comes_again_has_a_span(spark):
+    passage = [f"w{i}" for i in range(20)]
+    text = " ".join([*passage, "x", "y", *passage[2:18], "z"])
+    docs = spark.createDataFrame([(1, "a " + " ".join(passage)), (2, text), (2, text)], "doc_id long, text string")
+    kept, spans = repeats.clean(docs)
+    assert listed(kept, "doc_id", "n_removed", "text") == [(1, 0, "a " + " ".join(passage)), (2, 36, "x y z"), (2, 36, "x y z")]
+    assert listed(repeats.removed_spans(docs), "doc_id", "start", "n_words", "src_doc_id", "src_start") == [(2, 0, 20, 1, 1), (2, 22, 16, 1, 3)]
+    assert spans.count() == 2
+
+
 def test_repeats_hash_collisions_are_noticed(spark, monkeypatch):
     """Words that hash alike but differ must not be taken for repeats."""
     monkeypatch.setattr(repeats, "_rolled", lambda each, size: np.zeros(len(each) - size + 1, np.uint64))
