@@ -471,6 +471,18 @@ def test_secrets(spark, docs, rows):
     assert secrets.secret_digests(docs).count() == len(rows)
 
 
+def test_guess_in_longer_names_and_beside_base_spans():
+    value = "p@ss!W0rd#92xK"
+    for name in ("dbPassword", "clientSecret", "accessToken", "DBPASSWORD", "db_password", "password"):
+        text = f'{name}="{value}"'
+        start = len(name) + 2
+        assert ("guess" in [k for _, k, _ in secrets.find_spans(text)]) and (start, "guess", start + len(value)) in secrets.find_spans(text)
+    text = 'password = "Summer2024xyz!kP9#qLm"'
+    assert secrets.find_spans(text) == [(0, "assign", 25), (12, "guess", 33)]
+    # One that a base span covers is not reported again.
+    assert [k for _, k, _ in secrets.find_spans('password = "kX9vQ2pL7zW4mN8s"')] == ["assign"]
+
+
 # 8 ---------------------------------------------------------------------------------------------------
 
 
