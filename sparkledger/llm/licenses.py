@@ -12,6 +12,9 @@ stay; empty tables give no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import re
+from importlib.resources import files
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sparkledger.llm.common import documents, prepare
@@ -23,8 +26,12 @@ SPELLINGS = (
     ("per cent", "percent"), ("copyright owner", "copyright holder"), ("copyright owners", "copyright holders"), ("merchantibility", "merchantability"),
     ("https", "http"), ("noninfringement", "non infringement"), ("acknowledgement", "acknowledgment"), ("judgement", "judgment"),
 )
-# Fixed value: a line that states who holds the copyright, not the terms.
-COPYRIGHT_LINE = r"^[^\p{L}\p{N}]*((copyright|\(c\)|©)[^\p{L}\p{N}]*)+([12][0-9]{3}|<).*$"
+# Fixed value: a line that states who holds the copyright, not the terms: copyright with a mark, a year, a placeholder,
+# "by" or a company. A name alone is not told from a line of prose that begins with that word.
+COPYRIGHT_LINE = (
+    r"^[^\p{L}\p{N}]*(copyright[^\p{L}\p{N}(©]*(\(c\)|©).*|©.*|((copyright|\(c\)|©)[^\p{L}\p{N}]*)+([12][0-9]{3}|[<\[{]).*|copyright by .*"
+    r"|copyright[^\p{L}\p{N}].*\b(inc|incorporated|llc|ltd|limited|corp|corporation|company|gmbh|foundation)\b[^\p{L}\p{N}]*)$"
+)
 # Fixed value: what separates words once the text is in lower case.
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
@@ -100,7 +107,49 @@ SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSE
 WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
 THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
 """
-TEXTS = (("MIT", MIT_TEXT), ("ISC", ISC_TEXT), ("BSD-2-Clause", BSD_TEXT))
+BSD_3_TEXT = BSD_TEXT.replace("BSD 2-", "BSD 3-", 1).replace("""
+THIS SOFTWARE IS""", """
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS""", 1)
+
+# Titles that whole texts go by, besides none.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "Simplified BSD License", "BSD 2-Clause \"Simplified\" License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "New BSD License", "BSD 3-Clause \"New\" or \"Revised\" License"),
+}
+# Whole texts that lie beside this module, with the start of the terms, and what may be left out after them.
+FILES = {
+    "Apache-2.0": ("TERMS AND CONDITIONS FOR USE", "END OF TERMS AND CONDITIONS"), "GPL-2.0": ("Everyone is permitted", "END OF TERMS AND CONDITIONS"),
+    "GPL-3.0": ("Everyone is permitted", "END OF TERMS AND CONDITIONS"), "LGPL-3.0": ("Everyone is permitted", None),
+    "MPL-2.0": ("1. Definitions", None), "CC0-1.0": ("Statement of Purpose", None), "CC-BY-SA-4.0": ("By exercising the Licensed Rights", None),
+}
+
+
+def _short(name: str, text: str) -> list[tuple[str, str]]:
+    """A short licence under each of its titles and without one, with numbered or plain conditions."""
+    body = text.split("\n", 1)[1]
+    bodies = {body, re.sub(r"(?m)^[0-9]\. ", "", body)}
+    reserved = ("", "All rights reserved.\n") if name.startswith("BSD") else ("",)
+    return [(name, f"{title}\n{line}{b}") for title in ("", *TITLES[name]) for line in reserved for b in sorted(bodies)]
+
+
+def _long(name: str) -> list[tuple[str, str]]:
+    """A licence from its file, with and without its title and with and without what follows the terms."""
+    text = (files(__package__) / "license_texts" / f"{name}.txt").read_text("utf-8")
+    start, end = FILES[name]
+    found = [text]
+    if end:
+        cut = text.index(end)
+        found += [text[: cut + len(end)], text[:cut]]
+    return [(name, t) for whole in found for t in (whole, whole[whole.index(start) :])]
+
+
+SHORT = (("MIT", MIT_TEXT), ("ISC", ISC_TEXT), ("BSD-2-Clause", BSD_TEXT), ("BSD-3-Clause", BSD_3_TEXT))
+TEXTS = (*(t for name, text in SHORT for t in _short(name, text)), *(t for name in FILES for t in _long(name)))
 
 
 def plain(line: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import os
 import random
 import re
 import struct
@@ -504,6 +505,30 @@ def test_licenses(spark, docs, rows):
     assert licenses.scan_licenses(docs).count() == len(rows)
 
 
+def test_whole_licenses(spark):
+    """Texts as projects hold them: titles, holders without a year, lists without numbers, long licences without their ends."""
+    folder = os.path.join(os.path.dirname(licenses.__file__), "license_texts")
+    long = {name: open(os.path.join(folder, name + ".txt"), encoding="utf-8").read() for name in licenses.FILES}
+    body = licenses.MIT_TEXT.split("\n", 1)[1]
+    bsd = licenses.BSD_3_TEXT.split("\n", 1)[1]
+    wrapped = " ".join(body.split())
+    given = [
+        ("MIT", "The MIT License (MIT)\n\nCopyright (c) Microsoft Corporation.\n" + body), ("MIT", body), ("MIT", "Copyright (c) [year] [fullname]\n" + wrapped),
+        ("MIT", "MIT License\n\nCopyright {yyyy} Someone\n" + body), ("MIT", "Copyright Facebook, Inc.\n" + body),
+        ("BSD-3-Clause", "Copyright (c) The Authors\nAll rights reserved.\n\n" + bsd), ("BSD-3-Clause", re.sub(r"(?m)^[0-9]\. ", "* ", bsd)),
+        ("Apache-2.0", long["Apache-2.0"].replace("[yyyy] [name of copyright owner]", "2020 Jane Doe").replace("http:", "https:")),
+        ("Apache-2.0", long["Apache-2.0"].split("END OF TERMS")[0]), ("GPL-3.0", long["GPL-3.0"].split("How to Apply These")[0]),
+        *long.items(), *((name, " \n".join(text.split("\n"))) for name, text in long.items()),
+        (None, long["GPL-2.0"] + "and more"), (None, "COPYRIGHT HOLDERS\nBE LIABLE"), (None, "Copyright (c) Me"),
+    ]
+    frame = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(given)], "doc_id long, text string")
+    found = {r["doc_id"]: r["whole_text"] for r in licenses.scan_licenses(frame).collect()}
+    assert [found[i] for i in range(len(given))] == [name for name, _ in given]
+    # Every licence with a notice, but those whose texts are not at hand (README).
+    missing = {"AGPL-3.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-NC-SA-4.0", "rights-reserved"}
+    assert {name for name, _ in licenses.NOTICES} - missing <= {name for name, _ in licenses.TEXTS}
+
+
 # 10 --------------------------------------------------------------------------------------------------
 
 
