@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkledger.llm import (
-    byte_bpe, covering, decontaminate, exact_dedup, licenses, quality, repeats, secrets, token_blocks, toxicity,
+    byte_bpe, covering, decontaminate, exact_dedup, licenses, prefix_trie, quality, repeats, secrets, token_blocks, toxicity,
+    turn_repair,
 )
 from sparkledger.llm.common import prepare, table
 
@@ -63,11 +64,21 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.decontaminate(_documents(spark, folder), table(spark, folder, "benchmark"))
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(prepare(spark), folder, "conversations")
+    return turn_repair.repair_digests(turn_repair.damaged(turns), turns)
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(prepare(spark), folder, "conversations")
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(turns), turns)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_byte_bpe, op3_substring_dedup, op4_simhash, op5_token_blocks, op6_quality, op7_secrets, op8_licenses,
-        op9_toxicity, op10_decontamination,
+        op9_toxicity, op10_decontamination, op12_conversation_repair, op13_prefix_trie,
     )
 }
 
@@ -109,6 +120,19 @@ def _license_sql() -> str:
     """
 
 
+# The table of CRC-32 and, after it, the checksum of an ASCII text.
+_CRC_TABLE = """
+    SELECT list(v ORDER BY i) AS crc FROM (
+        SELECT i, list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+        FROM range(256) t(i)
+    )"""
+
+
+def _crc32(text: str) -> str:
+    letters = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {letters}), lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
 ORACLES = {
     "op1_exact_dedup": f"""
     WITH t AS (SELECT doc_id, sha256({_LOWER}) AS text_sha256, {_LOWER} AS body FROM documents),
@@ -147,4 +171,124 @@ ORACLES = {
            sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
     FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    # The same grammar as a table of its four states: nothing, system, user, assistant.
+    "op12_conversation_repair": rf"""
+    WITH RECURSIVE crc AS ({_CRC_TABLE}),
+    faulty AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS fault
+        FROM conversations, crc
+    ),
+    turns AS (
+        SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+               CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+               unnest(range(CASE fault WHEN 3 THEN 2 ELSE 1 END)) AS copy
+        FROM faulty WHERE fault <> 0
+    ),
+    ordered AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+               rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM turns
+    ),
+    judged AS (
+        SELECT *, body = '' AS blank, body <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS duplicate,
+               lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair
+        FROM ordered
+    ),
+    faults AS (SELECT *, body <> '' AND NOT duplicate AND NOT regexp_matches(right(body, 1), '[.!?]') AS truncated FROM judged),
+    step AS (
+        SELECT * FROM (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)) s(before, symbol, after)
+    ),
+    inserts AS (
+        SELECT DISTINCT before AS before, before AS after, 0 AS n FROM (SELECT before FROM step)
+        UNION ALL SELECT before, after, 1 FROM step WHERE symbol <> 's'
+        UNION ALL SELECT a.before, b.after, 2 FROM step a JOIN step b ON a.after = b.before WHERE a.symbol <> 's' AND b.symbol <> 's'
+    ),
+    edits AS (
+        SELECT before, symbol, after, 'K' AS edit, 0 AS cost FROM step
+        UNION ALL SELECT before, NULL, after, 'R', 1 FROM step WHERE symbol <> 's'
+    ),
+    parse AS (
+        SELECT conv_id, 0::BIGINT AS i, 0 AS state, {{'cost': 0::BIGINT, 'audit': ''}} AS best FROM (SELECT DISTINCT conv_id FROM turns)
+        UNION ALL
+        SELECT conv_id, i + 1, state, min(best) FROM (
+            SELECT p.conv_id, p.i, n.after AS state, {{'cost': p.best.cost + 5 * n.n + 2, 'audit': p.best.audit || repeat('I', n.n) || 'D'}} AS best
+            FROM parse p JOIN faults f ON f.i = p.i + 1 AND f.conv_id IS NOT DISTINCT FROM p.conv_id JOIN inserts n ON n.before = p.state
+            UNION ALL
+            SELECT p.conv_id, p.i, e.after, {{'cost': p.best.cost + 5 * n.n + e.cost + CASE WHEN f.truncated THEN 5 ELSE 0 END, 'audit': p.best.audit || repeat('I', n.n) || e.edit}}
+            FROM parse p JOIN faults f ON f.i = p.i + 1 AND f.conv_id IS NOT DISTINCT FROM p.conv_id JOIN inserts n ON n.before = p.state
+            JOIN edits e ON e.before = n.after AND (e.symbol IS NULL OR e.symbol = left(f.role, 1))
+            WHERE NOT f.blank AND NOT f.duplicate
+        ) GROUP BY conv_id, i, state
+    ),
+    counted AS (
+        SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+               count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+               count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM faults GROUP BY conv_id
+    ),
+    chosen AS (
+        SELECT p.conv_id, min({{'cost': p.best.cost + 5 * n.n, 'audit': p.best.audit || repeat('I', n.n)}}) AS best
+        FROM parse p JOIN counted c ON c.n = p.i AND c.conv_id IS NOT DISTINCT FROM p.conv_id JOIN inserts n ON n.before = p.state
+        WHERE n.after IN (0, 3) GROUP BY p.conv_id
+    ),
+    letters AS (
+        SELECT conv_id, unnest(string_split(best.audit, '')) AS edit, unnest(range(length(best.audit))) AS nr FROM chosen WHERE best.audit <> ''
+    ),
+    placed AS (
+        SELECT *, count(*) FILTER (edit <> 'I') OVER w AS i, count(*) FILTER (edit <> 'D') OVER w - 1 AS place
+        FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY nr)
+    ),
+    kept AS (
+        SELECT l.conv_id, l.place, CASE WHEN l.edit = 'K' THEN f.role END AS role, CASE WHEN l.edit = 'I' THEN '' ELSE f.text END AS text,
+               coalesce(max(CASE WHEN l.place = 0 AND l.edit = 'K' AND left(f.role, 1) = 's' THEN 1 END) OVER (PARTITION BY l.conv_id), 0) AS system
+        FROM placed l LEFT JOIN faults f ON l.edit <> 'I' AND f.i = l.i AND f.conv_id IS NOT DISTINCT FROM l.conv_id WHERE l.edit <> 'D'
+    ),
+    repaired AS (
+        SELECT conv_id, string_agg(coalesce(role, CASE WHEN (place - system) % 2 = 0 THEN 'user' ELSE 'assistant' END) || ':' || text, chr(10) ORDER BY place) AS body
+        FROM kept GROUP BY conv_id
+    )
+    SELECT o.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0)::BIGINT AS blank, coalesce(c.duplicate, 0)::BIGINT AS duplicate,
+           coalesce(c.truncated, 0)::BIGINT AS truncated, coalesce(c.illegal, 0)::BIGINT AS illegal, coalesce(h.best.cost, 0)::BIGINT AS cost,
+           coalesce(h.best.audit, '') AS audit, sha256(coalesce(r.body, '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) o
+    LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+    LEFT JOIN chosen h ON h.conv_id IS NOT DISTINCT FROM o.conv_id
+    LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM o.conv_id
+    """,
+    "op13_prefix_trie": rf"""
+    WITH crc AS ({_CRC_TABLE}),
+    turns AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+        FROM conversations WHERE conv_id IS NOT NULL
+    ),
+    convs AS (SELECT conv_id, {_crc32("conv_id::VARCHAR")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM turns), crc),
+    rebuilt AS (
+        SELECT c.conv_id, t.place, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.place > c.h
+        UNION ALL SELECT c.conv_id, t.place, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 20 AND t.place <= c.h
+    ),
+    paths AS (
+        SELECT conv_id, coalesce(list({{'role': role, 'text': text}} ORDER BY place) FILTER (place IS NOT NULL), []) AS path
+        FROM convs LEFT JOIN rebuilt USING (conv_id) GROUP BY conv_id
+    ),
+    members AS (SELECT conv_id, unnest(range(len(path) + 1)) AS depth, path FROM paths),
+    nodes AS (
+        SELECT depth, path[1:depth] AS prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+               string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(path) = depth) AS ended
+        FROM members GROUP BY ALL
+    ),
+    valued AS (
+        SELECT *, (n_convs - 1) * len(regexp_extract_all(coalesce(prefix[depth].text, ''), '[^ 	-]+')) AS own,
+               (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.prefix[1:n.depth] = n.prefix) AS n_children
+        FROM nodes n
+    ),
+    sums AS (
+        SELECT a.depth, a.prefix, count(*) FILTER (b.n_children = 0) AS n_leaves, sum(b.own) AS saved
+        FROM valued b JOIN valued a ON a.depth <= b.depth AND a.prefix = b.prefix[1:a.depth] GROUP BY ALL
+    )
+    SELECT v.conv_id, v.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, v.n_convs::BIGINT AS n_convs, v.n_children::BIGINT AS n_children,
+           s.n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, sha256(coalesce(v.ended, '')) AS ends_sha256
+    FROM valued v JOIN sums s ON s.depth = v.depth AND s.prefix = v.prefix
+    LEFT JOIN valued p ON p.depth = v.depth - 1 AND p.prefix = v.prefix[1:v.depth - 1]
+    """,
 }

@@ -27,7 +27,7 @@ def rows(spark, data):
 
 
 def test_all_are_registered():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert QUERIES.items() <= entry_point.queries().items()
     assert ORACLES.items() <= entry_point.oracle_sql().items()
     assert entry_point.queries()["pipeline"] is corpus_pipeline.run
