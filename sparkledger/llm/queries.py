@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkledger.llm import (
-    byte_bpe, covering, decontaminate, exact_dedup, licenses, prefix_trie, quality, repeats, secrets, token_blocks, toxicity,
+    byte_bpe, covering, decontaminate, exact_dedup, licenses, main_text, prefix_trie, quality, repeats, secrets, token_blocks, toxicity,
     turn_repair,
 )
 from sparkledger.llm.common import prepare, table
@@ -64,6 +64,10 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.decontaminate(_documents(spark, folder), table(spark, folder, "benchmark"))
 
 
+def op11_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.main_text(table(prepare(spark), folder, "pages"))
+
+
 def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(prepare(spark), folder, "conversations")
     return turn_repair.repair_digests(turn_repair.damaged(turns), turns)
@@ -78,7 +82,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_byte_bpe, op3_substring_dedup, op4_simhash, op5_token_blocks, op6_quality, op7_secrets, op8_licenses,
-        op9_toxicity, op10_decontamination, op12_conversation_repair, op13_prefix_trie,
+        op9_toxicity, op10_decontamination, op11_main_text, op12_conversation_repair, op13_prefix_trie,
     )
 }
 
@@ -171,6 +175,19 @@ ORACLES = {
            sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
     FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    # Of the pages given, which all have one article of headings and paragraphs; other pages are in the tests.
+    "op11_main_text": r"""
+    WITH inner_html AS (SELECT page_id, url, regexp_extract(html, '<article>(.*?)(</article>|$)', 1, 's') AS body FROM pages),
+    parts AS (SELECT page_id, url, regexp_split_to_array(body, '</?(p|h1)>') AS parts FROM inner_html),
+    plain AS (SELECT page_id, url, list_transform(parts, lambda x: regexp_replace(x, '<[^>]*>', CASE WHEN contains(x, '<br>') THEN ' ' ELSE '' END, 'g')) AS parts FROM parts),
+    decoded AS (
+        SELECT page_id, url, list_transform(parts, lambda x: regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+            x, '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g')) AS parts FROM plain
+    ),
+    blocks AS (SELECT page_id, url, list_filter(list_transform(parts, lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '') AS blocks FROM decoded)
+    SELECT page_id, url, coalesce(array_to_string(blocks, chr(10) || chr(10)), '') AS text, length(coalesce(array_to_string(blocks, chr(10) || chr(10)), ''))::BIGINT AS n_chars
+    FROM blocks
+    """,
     # The same grammar as a table of its four states: nothing, system, user, assistant.
     "op12_conversation_repair": rf"""
     WITH RECURSIVE crc AS ({_CRC_TABLE}),
@@ -278,7 +295,8 @@ ORACLES = {
         FROM members GROUP BY ALL
     ),
     valued AS (
-        SELECT *, (n_convs - 1) * len(regexp_extract_all(coalesce(prefix[depth].text, ''), '[^ 	-]+')) AS own,
+        SELECT *, (n_convs - 1) * len(regexp_extract_all(coalesce(prefix[depth].text, ''), '[^ 	-
+]+')) AS own,
                (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.prefix[1:n.depth] = n.prefix) AS n_children
         FROM nodes n
     ),
