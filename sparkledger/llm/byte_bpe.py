@@ -1,12 +1,15 @@
 """Byte-level BPE by recursive DuckDB queries in every partition.
 
-Texts are split by the tokenizer's pattern. Each task keeps the words it has met with their ids; the new words of a
-few MB of text go to DuckDB as rows (word, position, token). A recursive query joins neighbouring tokens with the
-merge table and contracts each word's leftmost pair of least rank until no word has a pair left. Decoding joins ids
-with the vocabulary and puts the pieces together by an ordered aggregation.
+Texts are split by the tokenizer's pattern. Each worker keeps the words it has met lately with their ids; the new words of
+a few MB of text go to DuckDB as lists of tokens. A step of the recursive query turns them into rows (word, position,
+token), joins neighbouring tokens with the merge table and contracts each word's leftmost pair of least rank, until no
+word has a pair left. Decoding joins ids with the vocabulary and puts the pieces together by an ordered aggregation.
 
-A step contracts one pair of a word, which is quadratic in the word's length, so that words over `LONG_WORD` bytes
-contract the same pairs in the same order with a heap.
+Words over `LONG_WORD` bytes go through a recursive query of their own, which contracts all places of the least pair in a
+step, the leftmost first and without overlap. That is the same wherever the merged token makes no pair of lower rank than
+its own; of the tokens that do (`alone` in the merge table) one place is contracted in a step. Steps are as many as the
+pairs that differ, and each reads the word, so that words over `HEAP_WORD` bytes contract the same pairs in the same order
+with a heap instead.
 
 Defined results: null text is empty and has no ids; special tokens are ordinary text; repeated rows and null ids stay
 as they are, row by row; empty tables give no rows; other columns are ignored. Ids that the vocabulary lacks fail.
@@ -28,40 +31,66 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from sparkledger.llm.common import arrow_schema, documents, prepare
 
-LONG_WORD = 256
-# Text that a task gathers before it asks DuckDB for the new words, and words and units it remembers.
+LONG_WORD = 1024
+HEAP_WORD = 1 << 12
+# Text that a task gathers before it asks DuckDB for the new words, and strings of either generation that a worker remembers.
 GATHERED_CHARS = 4_000_000
-REMEMBERED = 400_000
-# Rows that one recursive query may gather: a word has at most its length in tokens at each of as many steps.
+REMEMBERED = 250_000
+# Tokens that one recursive query may gather: a word has at most its length in tokens at each of as many steps.
 QUERY_ROWS = 5_000_000
+DECODED_AT_ONCE = 1_000_000
 DUCKDB_MEMORY = "400MB"
 
 # The characters that the pattern's \s stands for.
 SPACE = r"[\t-\r \x85\xa0  -     　]"
 NOT_SPACE = "[^" + SPACE[1:]
 
+# A word's row of each step stays in the result; the one with the fewest tokens is the last.
 CONTRACT = """
-WITH RECURSIVE steps(step, word, pos, tok, following) AS (
-    SELECT 0, word, pos, tok, lead(tok) OVER (PARTITION BY word ORDER BY pos) FROM fresh
+WITH RECURSIVE steps(word, toks) AS (
+    SELECT word, toks FROM fresh
   UNION ALL
-    SELECT step + 1, word, pos, tok, lead(tok) OVER (PARTITION BY word ORDER BY pos)
+    SELECT s.word, list_concat(toks[:(best & 4294967295) - 1], [(best >> 32)::INT], toks[(best & 4294967295) + 2:])
+    FROM steps s
+    JOIN (
+        SELECT word, min(merged::BIGINT << 32 | pos) AS best
+        FROM (SELECT word, unnest(toks) AS tok, unnest(toks[2:]) AS following, unnest(range(1, len(toks))) AS pos FROM steps)
+        JOIN merges ON pair = (tok::BIGINT << 32 | following)
+        GROUP BY word
+    ) b ON s.word = b.word
+)
+SELECT word, arg_min(toks, len(toks)) AS ids FROM steps GROUP BY word
+"""
+
+# Only the current row of a word is kept. Neighbouring places of the least pair overlap, and every second one counts.
+CONTRACT_LONG = """
+WITH RECURSIVE steps(word, toks) USING KEY (word) AS (
+    SELECT word, toks FROM fresh
+  UNION
+    SELECT word, list(CASE WHEN starts THEN least >> 1 ELSE tok END::INT ORDER BY pos)
     FROM (
-        SELECT s.step, s.word, s.pos - (s.pos > b.at)::INT AS pos, CASE WHEN s.pos = b.at THEN b.merged ELSE s.tok END AS tok
-        FROM steps s
-        JOIN (
-            SELECT word, (min(rank_pos) & 4294967295)::INT AS at, (min(rank_pos) >> 32)::INT AS merged
-            FROM (SELECT word, merged::BIGINT << 32 | pos AS rank_pos FROM steps JOIN merges ON pair = (tok::BIGINT << 32 | following))
-            GROUP BY word
-        ) b ON s.word = b.word AND s.pos <> b.at + 1
-    )
+        SELECT word, pos, tok, least, starts, lag(starts, 1, false) OVER (PARTITION BY word ORDER BY pos) AS gone
+        FROM (
+            SELECT word, pos, tok, least, hit AND CASE WHEN least & 1 = 1 THEN pos = min(CASE WHEN hit THEN pos END) OVER (PARTITION BY word)
+                   ELSE (pos - max(CASE WHEN hit THEN 0 ELSE pos END) OVER (PARTITION BY word ORDER BY pos)) % 2 = 1 END AS starts
+            FROM (
+                SELECT word, pos, tok, min(code) OVER (PARTITION BY word) AS least, coalesce(code = least, false) AS hit
+                FROM (
+                    SELECT word, pos, tok, merged * 2 + alone::INT AS code
+                    FROM (SELECT word, unnest(toks) AS tok, unnest(toks[2:]) AS following, unnest(range(1, len(toks) + 1)) AS pos FROM steps)
+                    LEFT JOIN merges ON pair = (tok::BIGINT << 32 | following)
+                )
+            ) WHERE least IS NOT NULL
+        )
+    ) WHERE NOT gone GROUP BY word
 )
-SELECT s.word, list(s.tok ORDER BY s.pos) AS ids
-FROM steps s JOIN (SELECT word, max(step) AS step FROM steps GROUP BY word) USING (word, step)
-GROUP BY s.word
+SELECT word, toks AS ids FROM steps
 """
 
+# The rows are put in order before they are aggregated, by one thread, which keeps it.
 DECODE = """
-SELECT doc, string_agg(piece, '' ORDER BY pos) AS pieces FROM tokens JOIN vocabulary USING (tok) GROUP BY doc
+SELECT doc, string_agg(piece, '') AS pieces
+FROM (SELECT doc, piece FROM tokens JOIN vocabulary USING (tok) ORDER BY doc, pos) GROUP BY doc
 """
 
 
@@ -71,7 +100,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Vocabulary:
-    """A rank file with its DuckDB tables: `merges` (packed pair of ids, id of both together) and `vocabulary`."""
+    """A rank file with its DuckDB tables: `merges` (packed pair of ids, id of both together, `alone`) and `vocabulary`."""
 
     def __init__(self, path: str, pattern: str):
         self.ranks = read_ranks(path)
@@ -85,70 +114,84 @@ class Vocabulary:
                     pairs.append(left << 32 | right)
                     merged.append(rank)
         self.merge_of = dict(zip(pairs, merged))
-        self.duck = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY})
-        self.duck.register("given", pa.table({"pair": pa.array(pairs, pa.int64()), "merged": pa.array(merged, pa.int32())}))
+        # Never a file: what does not fit fails. Texts are decoded in pieces, so that they do.
+        self.duck = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY, "temp_directory": ""})
+        above = {part for p, m in self.merge_of.items() for part in (p >> 32, p & 0xFFFFFFFF) if m < part}
+        alone = pa.array([m in above for m in merged], pa.bool_())
+        self.duck.register("given", pa.table({"pair": pa.array(pairs, pa.int64()), "merged": pa.array(merged, pa.int32()), "alone": alone}))
         self.duck.execute("CREATE TABLE merges AS SELECT * FROM given")
         # A byte as the character of that number: DuckDB joins strings, and tokens may end within a character.
         tokens = {"tok": pa.array(self.ranks.values(), pa.int32()), "piece": [t.decode("latin-1") for t in self.ranks]}
         self.duck.register("given", pa.table(tokens))
         self.duck.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
-        self.words: dict[str, bytes] = {}
-        self.units: dict[str, bytes] = {}
+        # Words and units with their ids: those met of late, and those met before, which are forgotten next.
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     # Encoding ------------------------------------------------------------------------------------
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         split = [units_of(text) for text in texts]
-        fresh = {u: self.pattern.findall(u) for u in set().union(*split) if u not in self.units}
-        self._learn({w for words in fresh.values() for w in words if w not in self.words})
+        fresh = {u: self.pattern.findall(u) for u in self._unknown(set().union(*split))}
+        self._learn(self._unknown({w for words in fresh.values() for w in words}))
+        known = self.known
         for unit, words in fresh.items():
-            self.units[unit] = b"".join([self.words[w] for w in words])
-        out = [b"".join(map(self.units.__getitem__, units)) for units in split]
-        for memory in (self.units, self.words):
-            if len(memory) > REMEMBERED:
-                memory.clear()
+            if len(words) > 1:  # one word is its unit
+                known[unit] = b"".join([known[w] for w in words])
+        out = [b"".join(map(known.__getitem__, units)) for units in split]
+        if len(known) > REMEMBERED:
+            self.known, self.older = {}, known
         return out
 
-    def forget(self) -> None:
-        """Let go of the words that are remembered, and of the last tables."""
-        self.units.clear()
-        self.words.clear()
+    def _unknown(self, strings: set[str]) -> list[str]:
+        """Those that have to be learnt. What is met again counts as met of late."""
+        known, older = self.known, self.older
+        out = []
+        for s in strings - known.keys():
+            ids = older.get(s)
+            if ids is None:
+                out.append(s)
+            else:
+                known[s] = ids
+        return out
+
+    def rest(self) -> None:
+        """Let go of the last tables."""
         for name in ("fresh", "tokens"):
             self.duck.unregister(name)
 
-    def _learn(self, words: set[str]) -> None:
-        raw = {w: w.encode() for w in words}
-        whole = {w: self.ranks[b] for w, b in raw.items() if b in self.ranks}
-        self.words.update((w, rank.to_bytes(4, "little")) for w, rank in whole.items())
-        rest = [(w, b) for w, b in raw.items() if w not in whole]
-        for word, data in rest:
-            if len(data) > LONG_WORD:
-                self.words[word] = np.array(self.contract_long(data), "<u4").tobytes()
-        held, steps = [], 0
-        for word, data in rest:
-            if len(data) > LONG_WORD:
-                continue
-            if steps + len(data) ** 2 > QUERY_ROWS and held:
-                self._contract(held)
-                held, steps = [], 0
-            held.append((word, data))
-            steps += len(data) ** 2
+    def _learn(self, words: list[str]) -> None:
+        held, rows = [], 0
+        for word in words:
+            data = word.encode()
+            if (rank := self.ranks.get(data)) is not None:
+                self.known[word] = rank.to_bytes(4, "little")
+            elif len(data) > HEAP_WORD:
+                self.known[word] = np.array(self.contract_long(data), "<u4").tobytes()
+            elif len(data) > LONG_WORD:
+                self._contract([(word, data)], CONTRACT_LONG)
+            else:
+                if rows + len(data) ** 2 > QUERY_ROWS and held:
+                    self._contract(held)
+                    held, rows = [], 0
+                held.append((word, data))
+                rows += len(data) ** 2
         if held:
             self._contract(held)
 
-    def _contract(self, words: list[tuple[str, bytes]]) -> None:
+    def _contract(self, words: list[tuple[str, bytes]], query: str = CONTRACT) -> None:
         lengths = np.array([len(b) for _, b in words])
-        first = np.repeat(np.cumsum(lengths) - lengths, lengths)
         tokens = self.byte_ids[np.frombuffer(b"".join(b for _, b in words), np.uint8)]
-        fresh = {"word": np.repeat(np.arange(len(words), dtype=np.int32), lengths), "pos": (np.arange(len(tokens)) - first).astype(np.int32), "tok": tokens}
+        starts = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+        fresh = {"word": np.arange(len(words), dtype=np.int32), "toks": pa.ListArray.from_arrays(starts, pa.array(tokens))}
         self.duck.register("fresh", pa.table(fresh))
-        found = self.duck.sql(CONTRACT).to_arrow_table()
+        found = self.duck.sql(query).to_arrow_table()
         ids = found["ids"].combine_chunks()
         flat, cuts = ids.flatten().to_numpy().astype("<u4").tobytes(), ids.offsets.to_numpy()
         base = int(cuts[0])
-        for word, a, b in zip(found["word"].to_pylist(), cuts, cuts[1:]):
-            self.words[words[word][0]] = flat[4 * (a - base) : 4 * (b - base)]
+        for word, a, b in zip(found["word"].to_pylist(), cuts.tolist(), cuts[1:].tolist()):
+            self.known[words[word][0]] = flat[4 * (a - base) : 4 * (b - base)]
 
     def contract_long(self, data: bytes) -> list[int]:
         """The same contraction with a heap of (rank, position), for long words."""
@@ -180,17 +223,30 @@ class Vocabulary:
     # Decoding ------------------------------------------------------------------------------------
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
-        lengths = np.array([len(i) // 4 for i in ids], np.int64)
-        tokens = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
-        doc = np.repeat(np.arange(len(ids), dtype=np.int32), lengths)
-        self.duck.register("tokens", pa.table({"doc": doc, "pos": np.arange(len(tokens), dtype=np.int64), "tok": tokens}))
-        if len(tokens) and (tokens.min() < 0 or tokens.max() >= len(self.ranks)):
-            raise ValueError("an id is not in the vocabulary")
         out = [b""] * len(ids)
-        for doc, pieces in self.duck.execute(DECODE).fetchall():
-            out[doc] = pieces.encode("latin-1")
+        held, size = [], 0
+        for doc, own in enumerate(ids):
+            # Long documents in pieces: tokens decode one by one.
+            for at in range(0, len(own), 4 * DECODED_AT_ONCE):
+                piece = own[at : at + 4 * DECODED_AT_ONCE]
+                if size + len(piece) > 4 * DECODED_AT_ONCE:
+                    self._decode(held, out)
+                    held, size = [], 0
+                held.append((doc, piece))
+                size += len(piece)
+        self._decode(held, out)
         return out
 
+    def _decode(self, pieces: list[tuple[int, bytes]], out: list[bytes]) -> None:
+        lengths = np.array([len(i) // 4 for _, i in pieces], np.int64)
+        tokens = np.frombuffer(b"".join(i for _, i in pieces), "<u4").astype(np.int32)
+        doc = np.repeat(np.array([d for d, _ in pieces], np.int32), lengths)
+        if len(tokens) and (tokens.min() < 0 or tokens.max() >= len(self.ranks)):
+            raise ValueError("an id is not in the vocabulary")
+        self.duck.register("tokens", pa.table({"doc": doc, "pos": np.arange(len(tokens), dtype=np.int64), "tok": tokens}))
+        for doc, text in self.duck.execute(DECODE).fetchall():
+            out[doc] += text.encode("latin-1")
+
 
 _TWO_SPACES = re.compile(SPACE + "{2}")
 _UNIT = re.compile(f"{SPACE}*{NOT_SPACE}+|{SPACE}+")
@@ -242,7 +298,7 @@ def _mapped(df: DataFrame, value: str, out: str, kind: T.DataType, ranks_path: s
         for rows, values in _gathered(batches, weigh):
             result = pa.array(work(own, values), type=arrow.field(out).type)
             yield pa.RecordBatch.from_arrays([*rows.columns[:-1], result], schema=arrow)
-        own.forget()  # the process goes on to other work
+        own.rest()
 
     return df.select(*(f.name for f in others), value).mapInArrow(run, schema)
 
@@ -260,11 +316,15 @@ def bpe_decode(encoded: DataFrame, ranks_path: str, pattern: str, ids_col: str =
     return _mapped(encoded, ids_col, "decoded", T.BinaryType(), ranks_path, pattern, Vocabulary.decode, lambda i: len(i) // 2)
 
 
-def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every text, encoded and decoded."""
+def bpe_round_trip(
+    docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False
+) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every text, encoded and decoded, and on request its `ids`."""
     encoded = bpe_encode(docs, ranks_path, pattern, id_col, text_col)
+    kept = [F.col("ids").alias("own_ids")] if with_ids else []
     digested = encoded.select(
-        "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), "ids"
+        "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), *kept, "ids"
     )
     decoded = bpe_decode(digested, ranks_path, pattern)
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    kept = [F.col("own_ids").alias("ids")] if with_ids else []
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"), *kept)

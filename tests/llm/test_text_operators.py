@@ -8,10 +8,12 @@ import os
 import random
 import re
 import struct
+import time
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -81,10 +83,9 @@ def listed(df, *columns):
 
 
 def expected_groups(rows):
-    distinct = {(i, lower(t or "")) for i, t in rows}
     groups: dict[str, list] = {}
-    for i, t in distinct:
-        groups.setdefault(t, []).append(i)
+    for i, t in rows:
+        groups.setdefault(lower(t or ""), []).append(i)
     out = []
     for t, ids in groups.items():
         keep = max(ids, key=low)
@@ -99,6 +100,13 @@ def test_exact_dedup(docs, rows, options):
     assert listed(found, "doc_id", "keep_id", "group_size", "kept", "text_sha256") == expected_groups(rows)
 
 
+def test_exact_dedup_returns_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "COPIES_AT_ONCE", 100)
+    given = [(1, "abc"), (1, "abc"), (2, "ABC"), (3, "x"), (None, None), (None, ""), *[(4, "many")] * 250]
+    found = exact_dedup.exact_dedup(spark.createDataFrame(given, "doc_id long, text string"))
+    assert listed(found, "doc_id", "keep_id", "group_size", "kept", "text_sha256") == expected_groups(given)
+
+
 def test_fingerprints_compose():
     data = bytes(random.Random(1).randbytes(20_000))
     for cut in (0, 1, 4096, 7777, 20_000):
@@ -143,6 +151,23 @@ def test_byte_bpe_random(tiktoken_encoding):
         vocabulary.decode([struct.pack("<I", 60_000)])
 
 
+def test_byte_bpe_long_words_and_forgetting(tiktoken_encoding, monkeypatch):
+    """Words by all three ways give the library's ids, also when nearly all that was learnt is forgotten meanwhile."""
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 20)
+    monkeypatch.setattr(byte_bpe, "DECODED_AT_ONCE", 50)
+    rng = random.Random(8)
+    words = [unit * (n // len(unit)) for unit in ("a", "A", "the", "ing", "=", "é", "acgt", "th", "aab") for n in (900, 1500, 3000, 4000, 6000)]
+    words += ["".join(rng.choices(letters, k=k)) for letters in ("acgt", "theis", "abcdefghijklmnopqrstuvwxyz") for k in (1000, 1100, 2500, 5000)]
+    words += ["".join(rng.choices("theandingre", k=rng.randrange(1, 12))) for _ in range(3000)]
+    vocabulary = byte_bpe.Vocabulary(RANKS, public_tokenizers.PATTERN)
+    for at in range(0, len(words), 300):
+        some = [*words[at : at + 300], " ".join(words[at : at + 200])]
+        found = vocabulary.encode(some)
+        assert found == [struct.pack(f"<{len(i)}I", *i) for i in map(tiktoken_encoding.encode_ordinary, some)]
+        assert vocabulary.decode(found) == [w.encode() for w in some]
+        assert len(vocabulary.known) <= 20
+
+
 # 3 ---------------------------------------------------------------------------------------------------
 
 
@@ -199,16 +224,32 @@ def test_passage_that_comes_again_has_a_span(spark):
     assert spans.count() == 2
 
 
-def test_repeats_hash_collisions_are_noticed(spark, monkeypatch):
+def test_edges_are_equal_where_windows_are():
+    """Also of words for which polynomials modulo 2^64 collide, of words beyond a piece, and next to the borders of texts."""
+    thue = "a"
+    while len(thue) < 4096:
+        thue += thue.translate(str.maketrans("ab", "ba"))
+    rng = random.Random(6)
+    words = [thue, thue.translate(str.maketrans("ab", "ba")), "x" * 3_000_000, *(f"w{i}" for i in range(6)), "é", "z" * 64, "z" * 65]
+    texts_ = [" \t\n".join(rng.choices(words, [1, 1, 0.01, *[9] * 9], k=rng.randrange(30))) for _ in range(200)] + ["", "  ", "a"]
+    edges, anchors_of, windows_of = repeats.Edges(4, 7), {}, {}
+    column = pa.array([t.encode() for t in texts_], pa.binary())
+    at = set()
+    for text, place, found, anchors in edges.of_column(column):
+        for t, p, e, a in zip(text.tolist(), place.tolist(), found.tolist(), anchors.tolist()):
+            window = tuple(texts_[t].split()[p : p + 4])
+            assert len(window) == 4 and windows_of.setdefault(e, window) == window and anchors_of.setdefault(window, (e, a)) == (e, a)
+            at.add((t, p))
+    assert at == {(t, p) for t, x in enumerate(texts_) for p in range(len(x.split()) - 3)}
+
+
+def test_repeats_hash_collisions_are_noticed(spark):
     """Words that hash alike but differ must not be taken for repeats."""
-    monkeypatch.setattr(repeats, "_rolled", lambda each, size: np.zeros(len(each) - size + 1, np.uint64))
-    docs = spark.createDataFrame([(1, "a b c d"), (2, "e f g h")], "doc_id long, text string")
     spans = spark.createDataFrame([(2, 7, 0, 1, 7, 0, 1)], "doc_id long, text int, start int, src_doc_id long, src_text int, src_start int, n int")
     read = spark.createDataFrame(
         [(2, 7, 0, 1, False, b"x", None, None), (1, 7, 0, 1, True, b"y", None, None)],
         "doc_id long, text int, start int, n int, source boolean, digest binary, n_removed long, kept_sha256 string",
     )
-    assert docs.count() == 2
     with pytest.raises(ValueError):
         repeats._verify(spans, read)
 
@@ -448,15 +489,58 @@ def test_guess_cost():
     assert secrets.guess_cost("") == 0
 
 
-def test_guess_cost_is_the_least_segmentation():
-    """No segmentation costs less than that of the whole, and brute force bounds it."""
+def segment_cost(part, first, words):
+    """Guesses (log2) of one segment as it is defined: brute force, a word, a date, a repeat or a walk; None if it is none of the last four."""
+    bits = []
+    lower, plain = part.lower(), part.lower().translate(secrets.LEET)
+    rank = words.get(lower) or 4 * words.get(plain, 0)
+    if rank and len(part) >= 3:
+        bits.append(np.log2(rank) + 1 + (not (part.islower() or part[1:].islower())))
+    if any(d.fullmatch(part) for d in secrets.DATES):
+        bits.append(np.log2(120 * (366 if len(part) > 4 else 1)))
+    for p in range(1, len(part) // 3 + 1):
+        if len(part) % p == 0 and part == part[:p] * (len(part) // p):
+            bits.append(sum(map(secrets._brute, part[:p])) + np.log2(len(part)))
+    if len(part) >= 3 and all(map(secrets._adjacent, lower, lower[1:])):
+        bits.append(np.log2(47) + np.log2(len(part)) + 2 + 0.5 * (len(part) - 2))
+    return min(bits) + (not first) if bits else None
+
+
+def least_cost(value, words):
+    """Over all segmentations, each listed."""
+    best = np.inf
+    for cuts in itertools.product([False, True], repeat=max(0, len(value) - 1)):
+        places = [0, *(i + 1 for i, c in enumerate(cuts) if c), len(value)]
+        total = 0.0
+        for a, b in itertools.pairwise(places):
+            cost = segment_cost(value[a:b], a == 0, words)
+            if b - a == 1:
+                cost = min(secrets._brute(value[a]), np.inf if cost is None else cost)
+            total += np.inf if cost is None else cost
+        best = min(best, total)
+    return best if value else 0.0
+
+
+def test_guess_cost_is_the_least_of_all_segmentations():
     rng = random.Random(9)
-    for _ in range(300):
-        value = "".join(rng.choices("abcs1290qwep!A", k=rng.randint(1, 14)))
-        whole = secrets.guess_cost(value)
-        assert whole <= sum(map(secrets._brute, value)) + 1e-9
-        for cut in range(1, len(value)):
-            assert whole <= secrets.guess_cost(value[:cut]) + secrets.guess_cost(value[cut:]) + 1 + 1e-9
+    words = secrets.ranked_words(WORDS)
+    assert len(words) > 10_000 and words["password"] == 1
+    values = ["x7kx7kx7kx7k", "qwerdragon", "aaaaaaab", "19871205x", "P4ssw0rd", "abab1999", "zaq12wsx"]
+    values += ["".join(rng.choices("abcs1290qwep!A", k=rng.randint(1, 11))) for _ in range(60)]
+    values += ["".join(rng.choices(["ab", "a", "qwe", "19", "1999", "the", "12", "dragon"[:3]], k=4))[:12] for _ in range(30)]
+    for value in values:
+        assert secrets.guess_cost(value, words, 1000) == pytest.approx(least_cost(value, words)), value
+    assert secrets.guess_cost("x7k2px7k2px7k2p") < secrets.LEAST_LOG2 and secrets.guess_cost("qwerdragon") < 17
+    for value in values:
+        if (cost := secrets.guess_cost(value, words, 1000)) < secrets.LEAST_LOG2:
+            assert secrets.guess_cost(value, words) == pytest.approx(cost)
+
+
+def test_secrets_in_long_texts_take_linear_time():
+    text = "password='hunter2abcdefgh' x token=0123456789abcdef01 " * 100_000
+    start = time.time()
+    spans = secrets.find_spans(text + "pwd: " + "ab" * 100_000)
+    assert len(spans) == 300_001 and time.time() - start < 60
 
 
 def test_secrets(spark, docs, rows):
@@ -487,6 +571,17 @@ def test_guess_in_longer_names_and_beside_base_spans():
 # 8 ---------------------------------------------------------------------------------------------------
 
 
+def test_license_lines_that_would_recurse(spark):
+    """A pattern with a repeated group would overflow the stack of the executor here."""
+    many = 10**6
+    given = [
+        (1, "(c)" * 1500), (2, "(c) " * many + "2020"), (3, "copyright " * many), (4, "copyright copyright © 2020 x\nAll rights reserved."), (5, "© " * many),
+        (6, "a (c) " * many), (7, "x" * (20 << 20)), (8, "copyright " + "inc " * many + "x"), (9, "All rights reserved.\n" * 1000 + "copyright 1"),
+    ]
+    found = licenses.scan_licenses(spark.createDataFrame(given, "doc_id long, text string").repartition(3))
+    assert listed(found, "doc_id", "n_notices") == [(1, 0), (2, 0), (3, 0), (4, 1), (5, 0), (6, 0), (7, 0), (8, 0), (9, 1000)]
+
+
 def test_licenses(spark, docs, rows):
     mit = licenses.MIT_TEXT
     body = mit.split("\n", 1)[1]

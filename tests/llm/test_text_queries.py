@@ -64,7 +64,6 @@ def test_simhash(spark, data, rows):
 
 def test_token_blocks(spark, data, rows):
     tokenizer = Tokenizer.from_file(WORD_TOKENIZER)
-    tokenizer.encode_special_tokens = True
     found = {r["doc_id"]: r for r in QUERIES["op5_token_blocks"](spark, data).collect()}
     at = 0
     for i, text in sorted(rows):
