@@ -5,8 +5,8 @@ hashed wherever they lie: fp(ab) = fp(a) * 256^len(b) + fp(b). A text of more th
 that many tasks hash one huge document. Rows with the same fingerprint and length are then compared with one
 member of their group, in chunks that meet in a join; what differs forms a group of its own and is compared again.
 
-Defined results: null text counts as empty; empty texts equal each other; rows that repeat both id and text count
-once; a null id is an id like others, smaller than all; an empty table gives no rows; other columns are ignored.
+Defined results: null text counts as empty; empty texts equal each other; rows that repeat both id and text are
+rows like others; a null id is an id like others, smaller than all; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from sparkledger.llm.common import arrow_schema, bodies, in_batches, key_of, pre
 MODULUS = 85070591730234615865843651857942053687
 SEGMENT_BYTES = 1 << 20
 CHUNK_BYTES = 1 << 16
+COPIES_AT_ONCE = 100_000
 
 
 def fingerprint(data: bytes, modulus: int = MODULUS) -> int:
@@ -77,7 +78,7 @@ def _segments(docs: DataFrame, segment: int, modulus: int) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame, segment: int = SEGMENT_BYTES, modulus: int = MODULUS) -> DataFrame:
-    """doc_id, text_sha256, fp, n_bytes of the lower-cased (A-Z) text, from frames of doc_id and body."""
+    """doc_id, text_sha256, fp, n_bytes of the lower-cased (A-Z) text and `copies`, how many rows repeat both, from frames of doc_id and body."""
 
     @F.arrow_udf(T.BinaryType())
     def joined(parts: pa.Array) -> pa.Array:
@@ -91,12 +92,12 @@ def fingerprints(docs: DataFrame, segment: int = SEGMENT_BYTES, modulus: int = M
 
     # collect_set: rows that repeat id and text give the same parts. A document has one entry for each segment.
     parts = _segments(docs, segment, modulus).groupBy("doc_id", "text_sha256").agg(
-        F.collect_set(F.struct("part", "n_bytes", "fp")).alias("parts")
+        F.collect_set(F.struct("part", "n_bytes", "fp")).alias("parts"), F.count_if(F.col("part") == 0).alias("copies")
     )
     total = F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + p["n_bytes"])
     one = F.size("parts") == 1
     return parts.select(
-        "doc_id", "text_sha256", F.when(one, F.col("parts")[0]["fp"]).otherwise(joined("parts")).alias("fp"), total.alias("n_bytes")
+        "doc_id", "text_sha256", F.when(one, F.col("parts")[0]["fp"]).otherwise(joined("parts")).alias("fp"), total.alias("n_bytes"), "copies"
     )
 
 
@@ -147,6 +148,8 @@ def exact_dedup(
     prepare(docs.sparkSession)
     docs = bodies(docs, id_col, text_col)
     open_ = store(fingerprints(docs, segment, modulus), "dedup-fingerprints")
+    repeated = store(open_.filter("copies > 1").select("doc_id", "text_sha256", "copies"), "dedup-repeated")
+    open_ = open_.drop("copies")
     settled = None
     while True:
         groups = store(
@@ -164,8 +167,24 @@ def exact_dedup(
         open_ = compared.filter("not same").drop("same")
         if open_.isEmpty():
             break
-    sizes = settled.groupBy("rep_id", "rep_sha").agg(F.count("*").alias("group_size"))
+    settled = _with_copies(settled, repeated)
+    sizes = settled.groupBy("rep_id", "rep_sha").agg(F.sum("copies").alias("group_size"))
     sizes = sizes.select(F.col("rep_id").alias("_id"), F.col("rep_sha").alias("_sha"), "group_size")
     whole = settled.join(sizes, (F.col("rep_sha") == F.col("_sha")) & F.col("rep_id").eqNullSafe(F.col("_id")))
     kept = F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_sha256") == F.col("rep_sha"))
-    return whole.select("doc_id", F.col("rep_id").alias("keep_id"), "group_size", kept.alias("kept"), "text_sha256")
+    found = whole.select("doc_id", F.col("rep_id").alias("keep_id"), "group_size", kept.alias("kept"), "text_sha256", "copies")
+    if repeated.isEmpty():
+        return found.drop("copies")
+    # A row again for each copy, in two steps, so that no list is long.
+    some = F.sequence(F.lit(1), F.ceil(F.col("copies") / COPIES_AT_ONCE))
+    found = found.withColumn("_part", F.explode(some))
+    rest = F.least(F.col("copies") - (F.col("_part") - 1) * COPIES_AT_ONCE, F.lit(COPIES_AT_ONCE)).cast("int")
+    return found.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), rest))).drop("copies", "_part", "_copy")
+
+
+def _with_copies(settled: DataFrame, repeated: DataFrame) -> DataFrame:
+    """`copies` of each row: 1, unless it is among the repeated ones."""
+    many = repeated.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("copies").alias("_copies"))
+    same = (F.col("text_sha256") == F.col("_sha")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    found = settled.join(many, same, "left").withColumn("copies", F.coalesce("_copies", F.lit(1).cast("long")))
+    return found.drop("_id", "_sha", "_copies")

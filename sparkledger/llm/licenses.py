@@ -26,12 +26,16 @@ SPELLINGS = (
     ("per cent", "percent"), ("copyright owner", "copyright holder"), ("copyright owners", "copyright holders"), ("merchantibility", "merchantability"),
     ("https", "http"), ("noninfringement", "non infringement"), ("acknowledgement", "acknowledgment"), ("judgement", "judgment"),
 )
-# Fixed value: a line that states who holds the copyright, not the terms: copyright with a mark, a year, a placeholder,
-# "by" or a company. A name alone is not told from a line of prose that begins with that word.
-COPYRIGHT_LINE = (
-    r"^[^\p{L}\p{N}]*(copyright[^\p{L}\p{N}(©]*(\(c\)|©).*|©.*|((copyright|\(c\)|©)[^\p{L}\p{N}]*)+([12][0-9]{3}|[<\[{]).*|copyright by .*"
+# A line that states who holds the copyright, not the terms: copyright with a mark, a year, a placeholder,
+# "by" or a company. A name alone is not told from a line of prose that begins with that word. No pattern repeats a
+# group, which would make the matcher recurse: marks are taken off one after another before a year is looked for.
+HOLDER = (
+    r"^[^\p{L}\p{N}]*(copyright[^\p{L}\p{N}(©]*(\(c\)|©).*|©.*|copyright by .*"
     r"|copyright[^\p{L}\p{N}].*\b(inc|incorporated|llc|ltd|limited|corp|corporation|company|gmbh|foundation)\b[^\p{L}\p{N}]*)$"
 )
+FIRST_MARK = r"^[^\p{L}\p{N}]*(copyright|\(c\)|©)"
+MARK = r"copyright|\(c\)|©"
+YEAR_FIRST = r"^[^\p{L}\p{N}]*([12][0-9]{3}|[<\[{])"
 # Fixed value: what separates words once the text is in lower case.
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
@@ -155,7 +159,9 @@ TEXTS = (*(t for name, text in SHORT for t in _short(name, text)), *(t for name
 def plain(line: Column) -> Column:
     """A line in lower case with single blanks between its words; empty if it states a copyright."""
     lowered = F.lower(line)
-    return F.when(lowered.rlike(COPYRIGHT_LINE), "").otherwise(F.trim(F.regexp_replace(lowered, NOT_WORD, " ")))
+    unmarked = F.regexp_replace(F.regexp_replace(lowered, FIRST_MARK, ""), MARK, "")
+    holder = lowered.rlike(HOLDER) | (lowered.rlike(FIRST_MARK) & unmarked.rlike(YEAR_FIRST))
+    return F.when(holder, "").otherwise(F.trim(F.regexp_replace(lowered, NOT_WORD, " ")))
 
 
 def spelled(text: Column) -> Column:

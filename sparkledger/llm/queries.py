@@ -48,7 +48,7 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
-    return secrets.secret_digests(_documents(spark, folder))
+    return secrets.secret_digests(_documents(spark, folder), words_path=WORD_TOKENIZER)
 
 
 def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
@@ -94,7 +94,10 @@ def _quoted(text: str) -> str:
 
 
 def _license_sql() -> str:
-    line = f"CASE WHEN regexp_matches(lower(l), {_quoted(licenses.COPYRIGHT_LINE)}) THEN '' ELSE trim(regexp_replace(lower(l), {_quoted(licenses.NOT_WORD)}, ' ', 'g')) END"
+    first, mark = _quoted(licenses.FIRST_MARK), _quoted(licenses.MARK)
+    year = f"regexp_matches(regexp_replace(regexp_replace(lower(l), {first}, ''), {mark}, '', 'g'), {_quoted(licenses.YEAR_FIRST)})"
+    holder = f"regexp_matches(lower(l), {_quoted(licenses.HOLDER)}) OR regexp_matches(lower(l), {first}) AND {year}"
+    line = f"CASE WHEN {holder} THEN '' ELSE trim(regexp_replace(lower(l), {_quoted(licenses.NOT_WORD)}, ' ', 'g')) END"
 
     def spelled(text: str) -> str:
         out = f"' ' || replace({text}, ' ', '  ') || ' '"
