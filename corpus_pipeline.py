@@ -65,8 +65,8 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The documents' token ids, as counts and digests, and the digest of what they decode to."""
-    return byte_bpe.bpe_round_trip(docs, BYTE_RANKS, BYTE_PATTERN)
+    """The documents' token ids (`ids`, little-endian unsigned 32-bit integers), their counts and digests, and the digest of what they decode to."""
+    return byte_bpe.bpe_round_trip(docs, BYTE_RANKS, BYTE_PATTERN, with_ids=True)
 
 
 STAGES = [
