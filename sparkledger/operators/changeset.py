@@ -60,11 +60,89 @@ class ChangeSet:
         return target
 
     def revert(self, changed: DataFrame) -> DataFrame:
-        """The table as it was before: inserted rows go, touched rows come back."""
-        gone = self.before.select(*self.pk)
+        """The table without the change: a three-way merge of the rows before it, after it and now.
+
+        A column that still has the value the change gave it goes back; one that was edited later stays, and so do
+        columns the change did not touch. Deleted rows come back, unless their key exists again; inserted rows go, unless
+        they were edited; rows deleted later stay away. `conflicts` lists what stays.
+        """
+        columns = changed.columns
+        merged = self._beside(changed).select(
+            *[
+                F.col(c) if c in self.pk
+                else F.when((F.col("_kind") == "update") & F.col(c).eqNullSafe(F.col(f"_after.{c}")), F.col(f"_before.{c}")).otherwise(F.col(c)).alias(c)
+                for c in columns
+            ],
+            ((F.col("_kind") == "insert") & self._as_left(columns)).alias("_gone"),
+        )
+        merged = merged.where("NOT coalesce(_gone, false)").drop("_gone")
+        if self.deletes is None:
+            return merged
+        lost = self.before.join(self.deletes.select(*self.pk), self.pk, "left_semi")
+        return merged.unionByName(lost.join(changed.select(*self.pk), self.pk, "left_anti").select(*columns))
+
+    def conflicts(self, changed: DataFrame) -> DataFrame:
+        """What a revert leaves as it is: key, `column_name`, and the values before, after and now as text.
+
+        Edited columns of updated and inserted rows by name; `(row deleted)` for updated rows that are gone, `(row inserted)`
+        for deleted rows whose key exists again. Inserted rows that are gone are no conflict.
+        """
+        columns = [c for c in changed.columns if c not in self.pk]
+        beside = self._beside(changed)
+
+        def told(name, before, after, now):
+            return F.struct(F.lit(name).alias("column_name"), before.cast("string").alias("before"), after.cast("string").alias("after"), now.cast("string").alias("now"))
+
+        edited = [
+            F.when(
+                (F.col("_kind") == "insert") & ~F.col(c).eqNullSafe(F.col(f"_after.{c}"))
+                | (F.col("_kind") == "update") & ~F.col(f"_before.{c}").eqNullSafe(F.col(f"_after.{c}"))
+                & ~F.col(c).eqNullSafe(F.col(f"_after.{c}")) & ~F.col(c).eqNullSafe(F.col(f"_before.{c}")),
+                told(c, F.col(f"_before.{c}"), F.col(f"_after.{c}"), F.col(c)),
+            )
+            for c in columns
+        ]
+        none = F.lit(None)
+        again = F.when(F.col("_kind") == "delete", told("(row inserted)", none, none, none))
+        found = beside.where("_kind IS NOT NULL").select(*self.pk, F.explode(F.array_compact(F.array(*edited, again))).alias("_told"))
+        gone = self._changes(changed).where("_kind = 'update'").join(changed.select(*self.pk), self.pk, "left_anti")
+        found = found.unionByName(gone.select(*self.pk, told("(row deleted)", none, none, none).alias("_told")))
+        return found.select(*self.pk, "_told.*")
+
+    def _changes(self, like: DataFrame) -> DataFrame:
+        """The change as (pk, `_kind`, `_before` and `_after` structs of the other columns)."""
+        columns = [c for c in like.columns if c not in self.pk]
+        kind = "struct<" + ",".join(f"`{c}`:{like.schema[c].dataType.simpleString()}" for c in columns) + ">"
+
+        def packed(rows, name):
+            return rows.select(*self.pk, F.struct(*columns).cast(kind).alias(name))
+
+        parts, old, none = [], self.before, F.lit(None).cast(kind)
+        if self.deletes is not None:
+            deleted = old.join(self.deletes.select(*self.pk), self.pk, "left_semi")
+            parts.append(packed(deleted, "_before").select(*self.pk, F.lit("delete").alias("_kind"), "_before", none.alias("_after")))
+            old = old.join(self.deletes.select(*self.pk), self.pk, "left_anti")
+        if self.updates is not None:
+            both = packed(old, "_before").join(packed(update_from(old, self.updates, self.pk), "_after"), self.pk)
+            parts.append(both.select(*self.pk, F.lit("update").alias("_kind"), "_before", "_after"))
         if self.inserts is not None:
-            gone = gone.unionByName(self.inserts.select(*self.pk))
-        return changed.join(gone, self.pk, "left_anti").unionByName(self.before)
+            parts.append(packed(self.inserts, "_after").select(*self.pk, F.lit("insert").alias("_kind"), none.alias("_before"), "_after"))
+        result = parts[0] if parts else packed(old, "_before").select(*self.pk, F.lit("update").alias("_kind"), "_before", F.col("_before").alias("_after"))
+        for part in parts[1:]:
+            result = result.unionByName(part)
+        return result
+
+    def _beside(self, changed: DataFrame) -> DataFrame:
+        """The table's rows with the change to their key beside them, NULL where there is none."""
+        return changed.join(self._changes(changed), self.pk, "left")
+
+    def _as_left(self, columns: list[str]):
+        """Whether a row is as the change left it."""
+        same = F.lit(True)
+        for c in columns:
+            if c not in self.pk:
+                same = same & F.col(c).eqNullSafe(F.col(f"_after.{c}"))
+        return same
 
     def publish(
         self, table: DataFrame, folder: str, name: str, version: str, log: str, as_of: str, user_id: int, back: bool = False

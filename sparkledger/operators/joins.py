@@ -7,9 +7,10 @@ join, and both sides of an inner join; what it cannot split is reduced before th
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sparkledger.functions.scalar import required
+from sparkledger.session import snapshot
 
 
 def semi(rows: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
@@ -95,6 +96,48 @@ def latest_as_of(rows: DataFrame, keys: list[str], date: str, tie: str, as_of, v
     )
 
 
+def as_of(
+    rows: DataFrame, versions: DataFrame, keys: list[str], date: str, valid_from: str, tie: str, values: list[str],
+    range_days: int = 32, part_rows: int = 1_000_000,
+) -> DataFrame:
+    """All rows, each with the values of the version of its key in effect on its own date; NULLs where there is none.
+
+    That is the greatest `valid_from` not after the row's date, ties broken by the greatest `tie`. Both sides go through
+    one window, sorted by date, in which the last version is carried forward. A key is cut into ranges of `range_days`, which
+    begin with the version carried over from earlier ranges, and the rows of a range of more than `part_rows` are dealt to
+    several parts, each of which gets the range's versions: no key, however many rows it has, is one task. Rows with a
+    NULL key or date have no version.
+    """
+    taken = {c.lower() for c in [*rows.columns, *values]}
+    name = lambda n: next(x for x in (f"{'_' * i}{n}" for i in range(1, 99)) if x not in taken)
+    bucket, part, salt, at, side, version, row = map(name, ("bucket", "part", "salt", "at", "side", "version", "row"))
+    number = lambda c: F.floor(F.unix_date(F.col(c).cast("date")) / range_days)
+    valued = F.struct(F.col(valid_from).cast("date").alias("valid_from"), F.col(tie).alias("tie"), *values)
+    known = versions.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*keys, valid_from]))
+    known = known.groupBy(*keys, F.col(valid_from).cast("date").alias(at)).agg(F.max(valued).alias(version)).withColumn(bucket, number(at))
+
+    given = rows.select(*keys, F.struct(*rows.columns).alias(row), F.col(date).cast("date").alias(at)).withColumn(bucket, number(at))
+    # Only ranges that are cut have a row here.
+    cut = given.groupBy(*keys, bucket).agg(F.ceil(F.count(F.lit(1)) / part_rows).cast("int").alias(part)).where(F.col(part) > 1)
+    cut = snapshot(cut)
+    given = given.join(cut, [*keys, bucket], "left")
+    given = given.withColumn(salt, F.coalesce(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col(part)).cast("int"), F.lit(0))).drop(part)
+
+    # The last version of each range, carried over to the ranges after it: a row for each range of a key.
+    ranges = known.groupBy(*keys, bucket).agg(F.max(version).alias(version))
+    ranges = ranges.unionByName(given.select(*keys, bucket).distinct(), allowMissingColumns=True).groupBy(*keys, bucket).agg(F.max(version).alias(version))
+    before = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    carried = ranges.select(*keys, bucket, F.last(version, ignorenulls=True).over(before).alias(version), F.lit(None).cast("date").alias(at))
+    starts = known.unionByName(carried.where(F.col(version).isNotNull())).join(cut, [*keys, bucket], "left")
+    starts = starts.withColumn(salt, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(part), F.lit(1)) - 1))).drop(part)
+
+    # Carried versions have no date and come first; of a day, versions come before rows.
+    stream = starts.withColumn(side, F.lit(0)).unionByName(given.withColumn(side, F.lit(1)), allowMissingColumns=True)
+    order = Window.partitionBy(*keys, bucket, salt).orderBy(F.asc_nulls_first(at), side).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = stream.withColumn(version, F.last(version, ignorenulls=True).over(order)).where(F.col(side) == 1)
+    return found.select(*[F.col(f"{row}.{c}").alias(c) for c in rows.columns], *[F.col(f"{version}.{c}").alias(c) for c in values])
+
+
 def repeated_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Key values that occur more than once, with their number of rows."""
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias("n_rows")).where("n_rows > 1")

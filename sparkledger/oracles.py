@@ -353,6 +353,13 @@ QUERIES = {
                asset_hdr_id, 45101 AS asset_hdr_address_type, effective_dt, address_id
         FROM st_address_change WHERE insert_asset_hdr_address = 1""",
     "as_of_address": "SELECT * FROM st_as_of",
+    "flow_address": """
+        SELECT f.flow_id, f.asset_hdr_id, f.delivery_dt, a.address_id, a.effective_dt
+        FROM (SELECT flow_id, asset_hdr_id, DATE '2024-01-01' + CAST(date_diff('day', DATE '1970-01-01', calc_dt) % 31 AS INT) AS delivery_dt FROM fx_flow) f
+        ASOF LEFT JOIN (
+            SELECT asset_hdr_id, effective_dt, arg_max(address_id, asset_hdr_address_id) AS address_id
+            FROM fx_addr WHERE asset_hdr_address_type = 45101 GROUP BY ALL
+        ) a ON f.asset_hdr_id = a.asset_hdr_id AND f.delivery_dt >= a.effective_dt""",
     "asset_address_view": """
         SELECT r.row_type, r.address_id, r.contract_id, r.asset_id, r.asset_hdr_id, r.name, concat_ws(', ', d.street, d.zip_code, d.city) AS full_address,
                t.name AS asset_type_name, p.name AS manufacturer, r.model, r.asset_type_id, r.asset_status, v.registration_no, r.asset_hdr_address_type
@@ -474,6 +481,17 @@ QUERIES = {
                CASE WHEN hit THEN 0 ELSE amt_matched_netted END AS amt_matched_netted
         FROM (SELECT *, flow_id IN (SELECT flow_id FROM st_unmatched) AS hit FROM fx_flow)""",
     "changeset_apply_revert": "SELECT * FROM fx_flow",
+    "changeset_revert_edited": """
+        SELECT flow_id, CASE WHEN edited THEN 2101 ELSE status END AS status, CASE WHEN edited THEN 99 ELSE amt_matched END AS amt_matched,
+               amt_matched_principal, amt_matched_interest, amt_matched_tax, amt_matched_netted
+        FROM (SELECT *, flow_id % 3 = 0 AND zero AS edited FROM (
+            SELECT *, amt_matched = 0 OR flow_id IN (SELECT flow_id FROM st_unmatched) AS zero FROM fx_flow))
+        WHERE edited OR NOT (flow_id % 7 = 1 AND zero)""",
+    "changeset_conflicts": """
+        SELECT flow_id, CASE WHEN flow_id % 3 = 0 THEN 'amt_matched' ELSE '(row deleted)' END AS column_name,
+               CASE WHEN flow_id % 3 = 0 THEN CAST(amt_matched AS VARCHAR) END AS before, CASE WHEN flow_id % 3 = 0 THEN '0.00' END AS after,
+               CASE WHEN flow_id % 3 = 0 THEN '99.00' END AS now
+        FROM st_unmatched WHERE flow_id % 3 = 0 OR flow_id % 7 = 1""",
     "backup_rotation": "SELECT contract_id, credit_state, approver1_id, TIMESTAMP '2002-01-02 10:00:00' AS save_dt FROM fx_contract",
     "allocate_keys": """
         SELECT (SELECT max(flow_id) FROM fx_flow) + 1 + row_number() OVER (ORDER BY flow_id) AS new_id, flow_id AS old_id, contract_id

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from sparkledger import codes
 from sparkledger.operators.changeset import ChangeSet
 from sparkledger.operators.hierarchy import ancestor_pairs
-from sparkledger.operators.joins import anti, flag_any, latest_as_of, semi, semi_any
+from sparkledger.operators.joins import as_of, anti, flag_any, latest_as_of, semi, semi_any
 from sparkledger.operators.keys import max_key, number_rows
 from sparkledger.session import snapshot
 
@@ -219,6 +219,12 @@ def address_as_of(address: DataFrame, as_of: str) -> DataFrame:
     ).select("asset_hdr_id", "asset_hdr_address_type", "address_id", "effective_dt")
 
 
+def addresses_at(rows: DataFrame, address: DataFrame, date: str, **options) -> DataFrame:
+    """The rows of assets with the current address in effect on each row's date, and since when; NULLs where there is none."""
+    current = address.where(F.col("asset_hdr_address_type") == codes.ADDRESS_CURRENT)
+    return as_of(rows, current, ["asset_hdr_id"], date, "effective_dt", "asset_hdr_address_id", ["address_id", "effective_dt"], **options)
+
+
 def asset_address_view(
     asset: DataFrame,
     asset_hdr: DataFrame,

@@ -188,6 +188,13 @@ def as_of_address(fx):
     return status.address_as_of(fx.asset_address(), ADDRESS_DATE)
 
 
+def flow_address(fx):
+    """Flows with the address of their asset on a day of their own, in the month of the addresses."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.unix_date("calc_dt"), F.lit(31)).cast("int"))
+    flows = fx.flow().select("flow_id", "asset_hdr_id", day.alias("delivery_dt"))
+    return status.addresses_at(flows, fx.asset_address(), "delivery_dt", range_days=7)
+
+
 def asset_address_view(fx):
     return status.asset_address_view(
         fx.asset(), fx.asset_hdr(), fx.asset_address(), fx.asset_type(), fx.party(), fx.address(), fx.vehicle(), ADDRESS_DATE
@@ -430,6 +437,26 @@ def changeset_apply_revert(fx):
     return change.revert(change.apply(flow))
 
 
+def _edited_release(fx):
+    """A release of matched amounts, and the flow table after it and after later edits to some of the released flows."""
+    change = ledger.release_flows(_unmatched(fx))
+    changed = change.apply(fx.flow())
+    later = F.expr("flow_id % 3 = 0 AND amt_matched = 0")
+    edited = updates.set_where(changed, later, {"amt_matched": F.lit(99).cast("decimal(18,2)"), "status": 2101})
+    return change, edited.where("NOT (flow_id % 7 = 1 AND amt_matched = 0)")
+
+
+def changeset_revert_edited(fx):
+    """A change taken back after later edits: untouched columns go back, later edits and deletes stay."""
+    change, edited = _edited_release(fx)
+    return change.revert(edited).select("flow_id", "status", *ledger.MATCHED)
+
+
+def changeset_conflicts(fx):
+    change, edited = _edited_release(fx)
+    return change.conflicts(edited)
+
+
 def backup_rotation(fx):
     folder = new_folder(fx.spark, "backup")
     contract = fx.contract().select("contract_id", "credit_state", "approver1_id")
@@ -509,14 +536,14 @@ JOBS = (
     match_reconcile_recovery, match_recompute, match_soft_delete, match_unallocate, flows_to_reallocate,
     unallocated_bank_flows, code_remap, code_remap_back, state_reset,
     state_reset_events, save_status_reset, terminated_status_repair, terminated_address_insert, activated_status_repair,
-    status_classify, effective_address_insert, effective_address_rows, as_of_address, asset_address_view, hierarchy_descendants, contracts_missing_assets,
+    status_classify, effective_address_insert, effective_address_rows, as_of_address, flow_address, asset_address_view, hierarchy_descendants, contracts_missing_assets,
     latest_revision_rows, latest_revision_deleted, latest_revision_of_objects, gl_entries, gl_suspense, gl_orphans, duplicate_keys, duplicate_write_offs,
     writeoff_by_party, writeoff_duplicate_parties, audit_decode, audit_decode_filtered, queue_by_state, queue_backlog,
     recent_activity, used_definitions, invoice_lineage, invoice_origins, unreceived_custom_flows, lookup_contracts_by_product,
     lookup_products_with_tax_pricing, lookup_flows_by_type, lookup_flows_by_method, lookup_suspense_accounts, lookup_programs_and_units, lookup_bank_flow_pairs, mask_parties,
     mask_coverage, mask_accounts, mask_addresses, mask_users, mask_employment, mask_bank_flows, mask_bank_accounts,
     mask_duplicate_buckets, mask_party_addresses, mask_mail_lists, scrub_history, scrub_notes, retention_purge, retention_kept,
-    upsert_update_only, copy_distinct, changeset_apply, changeset_apply_revert, backup_rotation, allocate_keys, next_numbers,
+    upsert_update_only, copy_distinct, changeset_apply, changeset_apply_revert, changeset_revert_edited, changeset_conflicts, backup_rotation, allocate_keys, next_numbers,
     export_inserts, backfill_child_rows, time_normalise, utc_or_local, utc_or_local_latest, profile_columns, table_row_counts, find_references,
     group_summary,
 )

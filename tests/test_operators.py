@@ -177,6 +177,61 @@ def test_hierarchy_joins_grow_with_the_logarithm_of_the_depth(spark, monkeypatch
     assert len(made) <= 3
 
 
+def test_hierarchy_from_seeds_is_that_of_all_nodes(spark):
+    """Shallow and deep trees, cycles with tails; seeds that are no nodes have no pairs."""
+    links = [(i, i // 2) for i in range(2, 40)] + [(100 + i, 99 + i) for i in range(1, 60)] + [(100, None)]
+    links += [(200 + i, 200 + i % 19 + 1) for i in range(1, 20)] + [(300, 201), (301, 300), (302, 301), (1, 0)]
+    frame = spark.createDataFrame(links, "id long, up long")
+    whole = rows(ancestor_pairs(frame, "id", "up"))
+    for some in ([159, 5, 39, 219, 302, 999],):
+        seeds = spark.createDataFrame([(i,) for i in some], "id long")
+        assert rows(ancestor_pairs(frame, "id", "up", seeds=seeds)) == [p for p in whole if p[1] in some]
+
+
+def test_hierarchy_from_one_seed_writes_few_rows(spark, monkeypatch):
+    """A chain of 3,000 and a seed near its top: links once, and then only what the seed reaches."""
+    written = []
+    store = hierarchy.snapshot
+    monkeypatch.setattr(hierarchy, "snapshot", lambda df: (kept := store(df), written.append(kept.count()))[0])
+    chain = spark.range(1, 3001).selectExpr("id", "nullif(id - 1, 0) AS up")
+    assert ancestor_pairs(chain, "id", "up", seeds=chain.where("id = 5")).count() == 4
+    assert sum(written) < 3_100
+    written.clear()
+    assert ancestor_pairs(chain, "id", "up", seeds=chain.where("id = 3000")).count() == 2999
+    assert sum(written) < 50_000
+
+
+# As-of, revert -------------------------------------------------------------------------------------
+
+def test_as_of_takes_the_version_of_each_rows_date(spark):
+    versions = [(1, "2024-01-10", 1, "a"), (1, "2024-01-10", 2, "b"), (1, "2024-03-01", 3, "c"), (2, "2024-01-01", 4, None), (None, "2024-01-01", 5, "x"), (3, None, 6, "y")]
+    given = [(1, "2024-01-09"), (1, "2024-01-10"), (1, "2024-02-29"), (1, "2024-03-01"), (1, "2030-01-01"), (1, None), (2, "2024-05-05"), (3, "2024-05-05"), (None, "2024-05-05"), (1, "2024-02-29")]
+    left = spark.createDataFrame(given, "k long, d string").select("k", F.to_date("d").alias("d"), F.lit(0).alias("bucket"), F.lit(1).alias("version"))
+    right = spark.createDataFrame(versions, "k long, d string, n long, v string").select("k", F.to_date("d").alias("valid"), "n", "v")
+    for options in ({}, {"range_days": 1}, {"range_days": 400, "part_rows": 2}):
+        found = joins.as_of(left, right, ["k"], "d", "valid", "n", ["v"], **options).collect()
+        assert sorted((str(r["k"]), str(r["d"]), r["v"]) for r in found) == sorted(
+            (str(k), str(d), None if k is None or d is None else {1: None if d < "2024-01-10" else "b" if d < "2024-03-01" else "c", 2: None, 3: None}[k]) for k, d in given
+        )
+
+
+def test_revert_keeps_later_edits_and_lists_them(spark):
+    table = spark.createDataFrame([(1, 10, "a"), (2, 20, "b"), (3, 30, None), (4, 40, "d"), (5, 50, "e")], "id long, v int, t string")
+    change = ChangeSet.capture(
+        table, ["id"], updates=spark.createDataFrame([(1, 11), (2, 21), (3, None)], "id long, v int"),
+        inserts=spark.createDataFrame([(6, 60, "f"), (7, 70, "g")], "id long, v int, t string"), deletes=spark.createDataFrame([(4,), (5,)], "id long"),
+    )
+    changed = change.apply(table)
+    assert rows(change.revert(changed)) == rows(table) and change.conflicts(changed).isEmpty()
+    # Later: 1 is edited, 2 gets another text, 3 is deleted, 5 is inserted again, 7 is edited.
+    later = changed.where("id NOT IN (3)").selectExpr("id", "CASE id WHEN 1 THEN 99 WHEN 7 THEN 71 ELSE v END AS v", "CASE id WHEN 2 THEN 'z' ELSE t END AS t")
+    later = later.unionByName(spark.createDataFrame([(5, 51, "new")], "id long, v int, t string"))
+    assert rows(change.revert(later)) == [(1, 99, "a"), (2, 20, "z"), (4, 40, "d"), (5, 51, "new"), (7, 71, "g")]
+    assert sorted(map(tuple, change.conflicts(later).collect())) == [
+        (1, "v", "10", "11", "99"), (3, "(row deleted)", None, None, None), (5, "(row inserted)", None, None, None), (7, "v", None, "70", "71"),
+    ]
+
+
 # Ledger ------------------------------------------------------------------------------------------
 
 def test_reversal_nets_to_zero_and_reverts(fx):

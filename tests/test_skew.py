@@ -111,6 +111,18 @@ def test_address_changes_of_a_hot_asset(spark, small_partitions):
     assert got == {(HOT, 99): (0, 1), (HOT, 98): (1, 1), (4_999_999, 1): (1, 1)}
 
 
+def test_as_of_with_a_hot_key(spark, small_partitions):
+    """A third of the rows are of one key on a few days: whole, and dealt to many tasks."""
+    days = "date_add(DATE '2024-01-01', CAST(id % 90 AS INT))"
+    given = spark.range(ROWS).selectExpr("id", f"CASE WHEN id % 3 = 0 THEN {HOT} ELSE 1000 + id % 5000 END AS k", f"{days} AS d")
+    versions = spark.range(40).selectExpr(f"CAST({HOT} AS BIGINT) AS k", "date_add(DATE '2024-01-01', CAST(id * 2 AS INT)) AS since", "id AS v")
+    found = joins.as_of(given, versions, ["k"], "d", "since", "v", ["v"], range_days=30, part_rows=5_000)
+    expected = f"CASE WHEN k = {HOT} THEN least(datediff(d, DATE '2024-01-01') DIV 2, 39) END"
+    assert found.count() == ROWS and found.where(f"NOT v <=> {expected}").isEmpty()
+    parts = found.where(f"k = {HOT}").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(parts) >= 3 and max(r["count"] for r in parts) < ROWS / 3 / 2
+
+
 def test_hierarchy_with_a_hot_root(spark, small_partitions):
     # Ids from 1, as 0 stands for none; a third of the nodes hang below 1.
     links = spark.range(1, 30_001).selectExpr("id", "CASE WHEN id % 3 = 1 THEN 1 WHEN id < 10 THEN 2 ELSE id DIV 10 END AS up")
