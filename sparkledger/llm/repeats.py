@@ -12,7 +12,7 @@ Joins bring the texts of both ends of every span, and their words are compared b
 the edges' hashes alone; should one differ, the job fails and asks for another seed. `clean` gives the kept texts and
 the spans as stored tables; `remove_repeats` gives digests of those texts.
 
-Edges whose anchor is in `HOT` documents or more are dealt to several parts, and the earliest of each part meet again.
+Edges whose anchor occurs `HOT` times or more, in different places or documents, are dealt to several parts, and the earliest of each part meet again.
 
 Defined results: null and empty texts have no words, and texts with fewer words than a window lose none; ids must be
 integers, a null id is smaller than all others; documents that share an id are no sources for each other, and rows that
@@ -40,53 +40,111 @@ PLACE = ("doc_id", "text", "pos")
 MOST_FILTER_BITS = 27
 # Spans of one source document that one task compares.
 SPANS_AT_ONCE = 1000
-REMEMBERED = 500_000
+# Bytes of text that are hashed at once, and in one prefix sum; bytes of a word whose hash is a polynomial.
+GROUP_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
+PLAIN_BYTES = 64
+# 0x20 and 0x09-0x0D separate words.
+SPACES = np.zeros(256, bool)
+SPACES[[0x20, *range(0x09, 0x0E)]] = True
 LOWEST = -(1 << 63)
 COLLISION = "two different passages have the same hash: run again with another seed"
 
 
-class _WordHashes(dict):
-    """64-bit hashes of words; a word is hashed once for as long as it is remembered."""
-
-    def __init__(self, seed: int):
-        super().__init__()
-        self.seed = seed
-
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word, self.seed)
-        return value
-
-
 class Edges:
-    """Hashes of the edges and anchors of a text."""
+    """Hashes of the edges and anchors of texts, for many texts at once.
+
+    A word's hash is a polynomial of its bytes modulo 2^64, an edge's one of its words' hashes; both come from prefix sums,
+    mixed afterwards. Words of more than `PLAIN_BYTES` bytes are hashed one by one: polynomials modulo 2^64 have collisions
+    among long strings that hold for every seed.
+    """
 
     def __init__(self, window: int, seed: int):
-        self.window, self.size = window, min(ANCHOR_WORDS, window)
-        self.hashes = _WordHashes(seed)
+        self.window, self.size, self.seed = window, min(ANCHOR_WORDS, window), seed
+        rng = np.random.default_rng(seed)
+        self.of_byte = rng.integers(0, 1 << 64, 256, np.uint64) | np.uint64(1)
+        self.factors = [int(x) | 1 for x in rng.integers(0, 1 << 64, 2, np.uint64)]
+        self.powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+        self.inverse = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+    def _powers(self, kind: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The first n powers of a factor, and of its inverse."""
+        if n > len(self.powers[kind]):
+            for table, x in ((self.powers, self.factors[kind]), (self.inverse, pow(self.factors[kind], -1, 1 << 64))):
+                each = np.full(max(n, 1 << 16), x, np.uint64)
+                each[0] = 1
+                table[kind] = np.cumprod(each)
+        return self.powers[kind][:n], self.inverse[kind][:n]
+
+    def _words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The hash of each word, a piece of the data at a time."""
+        out = np.empty(len(starts), np.uint64)
+        at = 0
+        while at < len(starts):
+            low = int(starts[at])
+            end = max(int(np.searchsorted(ends, low + PIECE_BYTES, "right")), at + 1)
+            if end == at + 1 and ends[at] - low > PLAIN_BYTES:
+                at = end
+                continue
+            powers, inverse = self._powers(0, int(ends[end - 1]) - low)
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.of_byte[data[low : ends[end - 1]]] * powers)])
+            out[at:end] = (sums[ends[at:end] - low] - sums[starts[at:end] - low]) * inverse[starts[at:end] - low]
+            at = end
+        out = _mixed(out)
+        for i in np.flatnonzero(ends - starts > PLAIN_BYTES).tolist():
+            out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes(), self.seed)
+        return out
+
+    def _rolled(self, each: np.ndarray, size: int) -> np.ndarray:
+        """The hash of every run of `size` words."""
+        powers, inverse = self._powers(1, len(each))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(each * powers)])
+        return _mixed((sums[size:] - sums[:-size]) * inverse[: len(each) - size + 1])
+
+    def of_all(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+        """For each window of each text, a text being the bytes between two bounds: text, place, edge, and anchor of 48 bits."""
+        none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+        if len(data) < 2 * self.window - 1:
+            return none
+        inside = ~SPACES[data]
+        border = np.zeros(len(data) + 1, bool)
+        border[bounds] = True
+        starts = np.flatnonzero(inside & (border[:-1] | np.concatenate([[True], ~inside[:-1]])))
+        ends = np.flatnonzero(inside & (border[1:] | np.concatenate([~inside[1:], [True]]))) + 1
+        n = len(starts) - self.window + 1
+        if n <= 0:
+            return none
+        text = np.searchsorted(bounds, starts, "right") - 1
+        each = self._words(data, starts, ends)
+        least = self._rolled(each, self.size) >> np.uint64(16)
+        wanted, width = self.window - self.size + 1, 1
+        while 2 * width <= wanted:
+            least = np.minimum(least[:-width], least[width:])
+            width *= 2
+        least = np.minimum(least[:n], least[wanted - width : wanted - width + n])
+        whole = np.flatnonzero(text[:n] == text[self.window - 1 :])
+        place = whole - np.searchsorted(starts, bounds)[text[whole]]
+        return text[whole], place, self._rolled(each, self.window)[whole], least[whole]
 
     def of(self, body: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """For each window of the text: its hash, and its anchor of 48 bits."""
-        words = body.split()  # of bytes: at 0x20 and 0x09-0x0D
-        n = len(words) - self.window + 1
-        if n <= 0:
-            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        if len(self.hashes) > REMEMBERED:
-            self.hashes.clear()
-        each = np.fromiter(map(self.hashes.__getitem__, words), np.uint64, len(words))
-        runs = _rolled(each, self.size) >> np.uint64(16)
-        least = runs[:n].copy()
-        for i in range(1, self.window - self.size + 1):
-            np.minimum(least, runs[i : i + n], out=least)
-        return _rolled(each, self.window), least
-
-
-def _rolled(each: np.ndarray, size: int) -> np.ndarray:
-    """The hash of every run of `size` words: a polynomial modulo 2^64, mixed."""
-    n = len(each) - size + 1
-    value = np.zeros(n, np.uint64)
-    for i in range(size):
-        value = value * np.uint64(0x9E3779B97F4A7C15) + each[i : i + n]
-    value ^= value >> np.uint64(32)
+        """For each window of one text: its hash, and its anchor of 48 bits."""
+        return self.of_all(np.frombuffer(body, np.uint8), np.array([0, len(body)]))[2:]
+
+    def of_column(self, column: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
+        """`of_all` of a column of texts, for some MB of them at a time; texts are numbered as the column's rows."""
+        large = pa.types.is_large_binary(column.type)
+        bounds = np.frombuffer(column.buffers()[1], np.int64 if large else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+        data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+        at = 0
+        while at < len(column):
+            end = max(int(np.searchsorted(bounds, bounds[at] + GROUP_BYTES, "right")) - 1, at + 1)
+            text, *rest = self.of_all(data[bounds[at] : bounds[end]], bounds[at : end + 1] - bounds[at])
+            yield text + at, *rest
+            at = end
+
+
+def _mixed(value: np.ndarray) -> np.ndarray:
+    value = value ^ (value >> np.uint64(32))
     value *= np.uint64(0xD6E8FEB86659FD93)
     return value ^ (value >> np.uint64(29))
 
@@ -101,17 +159,19 @@ def _mapped(df: DataFrame, schema: T.StructType, rows) -> DataFrame:
 
 
 def _anchors(docs: DataFrame, window: int, seed: int) -> DataFrame:
-    """(anchor, doc_id), each once for a document."""
+    """(anchor, doc_id) of the anchors of a document, once for each run of windows that have it."""
     schema = T.StructType([T.StructField("anchor", T.LongType()), T.StructField("doc_id", T.LongType())])
     arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]):
         edges = Edges(window, seed)
         for batch in batches:
-            for doc_id, body in zip(batch.column("doc_id"), batch.column("body")):
-                found = np.unique(edges.of(body.as_py())[1]).view(np.int64)
-                if len(found):
-                    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.full(len(found), doc_id.as_py()))], schema=arrow)
+            ids = batch.column("doc_id").to_numpy()
+            for text, _, _, anchors in edges.of_column(batch.column("body")):
+                if len(text):
+                    # Neighbouring windows mostly have the same one.
+                    new = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (anchors[1:] != anchors[:-1])]))
+                    yield pa.RecordBatch.from_arrays([pa.array(anchors[new].view(np.int64)), pa.array(ids[text[new]])], schema=arrow)
 
     return docs.select("doc_id", "body").mapInArrow(run, schema)
 
@@ -152,16 +212,16 @@ def _candidates(docs: DataFrame, window: int, seed: int, hot: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]):
         edges = Edges(window, seed)
         for batch in batches:
-            for doc_id, text, body in zip(*(batch.column(c) for c in ("doc_id", "text", "body"))):
-                found, anchors = edges.of(body.as_py())
-                places = np.flatnonzero(_in_bitmap(anchors, wanted.value))
-                if not len(places):
+            ids, texts = batch.column("doc_id").to_numpy(), batch.column("text").to_numpy()
+            for text, place, found, anchors in edges.of_column(batch.column("body")):
+                chosen = np.flatnonzero(_in_bitmap(anchors, wanted.value))
+                if not len(chosen):
                     continue
-                unique, first = np.unique(found[places], return_index=True)
-                places = places[first]
+                order = chosen[np.lexsort((found[chosen], text[chosen]))]  # by text and edge, then by place
+                first = np.concatenate([[True], (np.diff(text[order]) != 0) | (found[order][1:] != found[order][:-1])])
+                own = order[first]
                 columns = [
-                    unique.view(np.int64), _in_bitmap(anchors[places], frequent.value), np.full(len(places), doc_id.as_py()),
-                    np.full(len(places), text.as_py(), np.int32), places.astype(np.int32),
+                    found[own].view(np.int64), _in_bitmap(anchors[own], frequent.value), ids[text[own]], texts[text[own]], place[own].astype(np.int32),
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=arrow)
 
