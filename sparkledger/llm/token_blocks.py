@@ -23,6 +23,7 @@ import re
 import struct
 import sys
 from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,8 @@ BLOCK_IDS = 4096
 PAGE_IDS = 1 << 18
 PERCENTILE = 99
 SHARD_BYTES = 32 << 20
+BUCKETS = 100_000
+# Pieces of text of either generation that a worker remembers.
 REMEMBERED = 500_000
 
 
@@ -90,18 +93,26 @@ def unpack_page(data: bytes, block: int = BLOCK_IDS) -> np.ndarray:
 # Encoding ----------------------------------------------------------------------------------------
 
 
+def _byte_characters() -> dict[int, str]:
+    """The character that byte-level models have for each byte: itself if it can be seen, else one after the first 256."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in seen]
+    return {**{b: chr(b) for b in seen}, **{b: chr(256 + n) for n, b in enumerate(rest)}}
+
+
 class WordEncoder:
     """The tokenizer's ids for whole texts, with each distinct word encoded once for as long as it is remembered.
 
     The tokenizer drops white space, and none of its steps looks past it, so that a text's ids are those of the
-    pieces between blanks and line ends. Pieces of printable ASCII need no normalising besides lower case. Strings of
-    added tokens are cut out of the raw text before, as the library does; a tokenizer whose added tokens ask for more
-    than that encodes whole texts itself.
+    pieces between blanks and line ends. Pieces of printable ASCII and Latin letters need no normalising besides lower
+    case, and split into words by a pattern. Strings of added tokens are cut out of the raw text before, as the library
+    does; a tokenizer whose added tokens ask for more than that encodes whole texts itself.
     """
 
-    # How the tokenizer splits lower-case ASCII.
-    WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-    PLAIN = re.compile(r"[!-~]+")
+    # How the tokenizer splits lower-case ASCII and Latin letters.
+    WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+    PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+    BYTES = _byte_characters()
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -113,19 +124,22 @@ class WordEncoder:
         self.added = {t.content: array("I", [i]).tobytes() for i, t in added.items()}
         self.cuts = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.by_library = any(t.normalized or t.single_word or t.lstrip or t.rstrip for t in added.values())
-        self.words, self.units = Remembered(self._word), Remembered(self._unit)
+        self.units = Remembered(self._unit)
 
     def _word(self, word: str) -> bytes:
+        """Ids of a word in the model's characters."""
         return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def _unit(self, unit: str) -> bytes:
         if self.PLAIN.fullmatch(unit):
-            return b"".join(map(self.words.__getitem__, self.WORDS.findall(unit.lower())))
+            words = self.WORDS.findall(unit.lower())
+            if words == [unit]:  # a word is a unit too
+                return self._word(unit if unit.isascii() else unit.encode().decode("latin-1").translate(self.BYTES))
+            return b"".join(map(self.units.__getitem__, words))
         normal = self.tokenizer.normalizer.normalize_str(unit)
-        return b"".join([self.words[word] for word, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)])
+        return b"".join([self._word(word) for word, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)])
 
     def encode(self, text: str) -> bytes:
-        self.words.trim()
         self.units.trim()
         if self.by_library:
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -139,18 +153,22 @@ class WordEncoder:
 
 
 class Remembered(dict):
-    """Values of a function, kept until there are too many."""
+    """Values of a function. Once there are too many, those asked for least recently are forgotten."""
 
     def __init__(self, function):
         super().__init__()
-        self.function = function
+        self.function, self.older = function, {}
 
     def __missing__(self, key):
-        value = self[key] = self.function(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.function(key)
+        self[key] = value
         return value
 
     def trim(self) -> None:
         if len(self) > REMEMBERED:
+            self.older = dict(self)
             self.clear()
 
 
@@ -160,13 +178,16 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def encode_words(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and `ids` (little-endian unsigned 32-bit integers), with the end id."""
+def encode_words(
+    docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", cuts: list | None = None
+) -> DataFrame:
+    """doc_id and `ids` (little-endian unsigned 32-bit integers) with the end id, and `shard`: how many of the cuts are not above the id."""
     prepare(docs.sparkSession)
     texts = documents(docs, id_col, text_col)
-    schema = T.StructType([texts.schema["doc_id"], T.StructField("ids", T.BinaryType())])
+    schema = T.StructType([texts.schema["doc_id"], T.StructField("ids", T.BinaryType()), T.StructField("shard", T.IntegerType())])
     arrow = arrow_schema(schema)
     end = end_id.to_bytes(4, "little")
+    cuts = cuts or []
 
     def encode(batches: Iterator[pa.RecordBatch]):
         encoder = word_encoder(tokenizer_path)
@@ -174,7 +195,9 @@ def encode_words(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str
         def rows():
             for batch in batches:
                 for doc_id, text in zip(batch.column(0), batch.column(1)):
-                    yield doc_id.as_py(), (encoder.encode(text.as_py()) if text.is_valid else b"") + end
+                    doc_id = doc_id.as_py()
+                    shard = 0 if doc_id is None else bisect_right(cuts, doc_id)
+                    yield doc_id, (encoder.encode(text.as_py()) if text.is_valid else b"") + end, shard
 
         return in_batches(rows(), arrow)
 
@@ -184,14 +207,40 @@ def encode_words(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str
 # Writing and reading -------------------------------------------------------------------------------
 
 
-def _shards(docs: DataFrame, shard_bytes: int) -> tuple[list, int]:
-    """Ids that part the documents into shards of about as many rows, by a sketch of bounded size."""
+def _cuts(docs: DataFrame, shard_bytes: int) -> list:
+    """Ids that part the documents into shards of about as many bytes.
+
+    Ids at even ranks part the documents into finer buckets first, whose bytes are then summed. At most `BUCKETS` buckets
+    reach the driver, so that beyond `BUCKETS` * `shard_bytes` / 4 of text shards grow instead; a task sorts and reads its
+    shard as a stream.
+    """
     size = docs.select(F.sum(F.octet_length("text")).alias("size"), F.count("doc_id").alias("n")).first()
-    n = max(1, min(100_000, -(-(size["size"] or 0) // shard_bytes)))
-    if n == 1 or not size["n"]:
-        return [], 1
-    cuts = docs.select(F.percentile_approx("doc_id", [i / n for i in range(1, n)], max(10_000, 20 * n))).first()[0]
-    return sorted(set(cuts)), len(set(cuts)) + 1
+    n = -(-(size["size"] or 0) // shard_bytes)
+    if n <= 1 or not size["n"]:
+        return []
+    buckets = min(4 * n, BUCKETS)
+    ranks = docs.select(F.percentile_approx("doc_id", [i / buckets for i in range(1, buckets)], max(10_000, 4 * buckets))).first()[0]
+    ranks = sorted(set(ranks))
+    sized = docs.filter("doc_id IS NOT NULL").select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
+    schema = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("size", T.LongType())])
+    arrow = arrow_schema(schema)
+
+    def sums(batches: Iterator[pa.RecordBatch]):
+        total = np.zeros(len(ranks) + 1, np.int64)
+        for batch in batches:
+            places = [bisect_right(ranks, i) for i in batch.column(0).to_pylist()]
+            total += np.bincount(places, batch.column(1).to_numpy(), len(total)).astype(np.int64)
+        places = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(places, pa.int32()), pa.array(total[places])], schema=arrow)
+
+    found = dict(sized.mapInArrow(sums, schema).groupBy("bucket").agg(F.sum("size").alias("size")).toArrow().to_pandas().itertuples(index=False))
+    cuts, held = [], 0
+    for bucket, cut in enumerate(ranks):
+        held += found.get(bucket, 0)
+        if held + found.get(bucket + 1, 0) // 2 >= shard_bytes:
+            cuts.append(cut)
+            held = 0
+    return cuts
 
 
 def write_pages(
@@ -200,11 +249,9 @@ def write_pages(
 ) -> None:
     """Encode the texts and write their ids to `folder`/pages in ascending order of doc_id, and `folder`/shards."""
     spark = prepare(docs.sparkSession)
-    cuts, n_shards = _shards(documents(docs, id_col, text_col), shard_bytes)
-    encoded = encode_words(docs, tokenizer_path, end_id, id_col, text_col)
-    # The number of cuts below an id, found by halving: an expression of logarithmic depth.
-    encoded = encoded.withColumn("shard", F.when(F.col("doc_id").isNull(), 0).otherwise(_place(F.col("doc_id"), cuts)).cast("int"))
-    dealt = encoded.repartitionById(n_shards, "shard").sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), "ids")
+    cuts = _cuts(documents(docs, id_col, text_col), shard_bytes)
+    encoded = encode_words(docs, tokenizer_path, end_id, id_col, text_col, cuts)
+    dealt = encoded.repartitionById(len(cuts) + 1, "shard").sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), "ids")
     id_type = encoded.schema["doc_id"].dataType
     schema = T.StructType([
         T.StructField("shard", T.IntegerType()), T.StructField("page", T.IntegerType()), T.StructField("start", T.LongType()),
@@ -241,13 +288,6 @@ def write_pages(
     shards.write.parquet(f"{folder}/shards")
 
 
-def _place(value, cuts: list):
-    if not cuts:
-        return F.lit(0)
-    middle = len(cuts) // 2
-    return F.when(value < cuts[middle], _place(value, cuts[:middle])).otherwise(_place(value, cuts[middle + 1 :]) + middle + 1)
-
-
 def read_pages(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start (ids of all documents before it) and ids, from the files that `write_pages` wrote."""
     prepare(spark)
