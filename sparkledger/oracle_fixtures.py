@@ -61,6 +61,10 @@ FIXTURES: dict[str, str] = {
         SELECT flow_id * 2 + 1, flow_id, contract_id, asset_hdr_id, CAST(contract_id % 3 + 1 AS INT), 2, amount, rate,
                CAST(1.50 AS DECIMAL(18,2))
         FROM fx_flow WHERE rate <> 0 AND quantity <= 10""",
+    "fx_tax_flow": """
+        SELECT tax_calc_flow_id AS tax_flow_id, flow_id, contract_id, tax_authority_id, tax_type_id AS tax_type_hdr_id, amt_tax AS amount,
+               amt_tax AS amt_financed, amt_tax AS amt_invoice, CASE WHEN flow_id % 2 = 0 THEN amt_tax ELSE 0 END AS amt_matched,
+               CAST(rate AS DECIMAL(18,4)) AS tax_rate, 1 AS image_no FROM fx_tax""",
     "fx_match": """
         SELECT flow_id AS bank_flow_match_id, contract_id AS bank_flow_id, flow_id,
                CASE WHEN discount_pct = 3 THEN flow_id ELSE 0 END AS recovery_flow_id,

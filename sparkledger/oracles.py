@@ -74,6 +74,21 @@ STEPS = {
         SELECT flow_id, row_number() OVER (ORDER BY flow_id) AS rn, count(*) OVER () AS n, (SELECT max(flow_id) FROM fx_flow) AS top
         FROM fx_flow WHERE flow_id IN (SELECT flow_id FROM st_invalid)
           AND (status = 2101 OR invoice_id <> 0 OR statement_id > 0 OR amt_matched <> 0)""",
+    "st_new_tax_flow": """
+        SELECT (SELECT max(tax_flow_id) FROM fx_tax_flow) + row_number() OVER (ORDER BY flow_id, tax_authority_id, tax_type_hdr_id) AS tax_flow_id, *
+        FROM (
+            SELECT f.top + 1 + f.rn AS flow_id, t.contract_id, t.tax_authority_id, t.tax_type_hdr_id, CAST(-t.amount AS DECIMAL(18,2)) AS amount,
+                   CAST(-t.amt_matched AS DECIMAL(18,2)) AS amt_financed, CAST(-t.amt_invoice AS DECIMAL(18,2)) AS amt_invoice,
+                   CAST(-t.amt_financed AS DECIMAL(18,2)) AS amt_matched, t.tax_rate, t.image_no
+            FROM fx_tax_flow t JOIN st_tax_numbered f ON f.flow_id = t.flow_id
+            UNION ALL
+            SELECT flow_id, contract_id, tax_authority_id, tax_type_id, s, s, s, s,
+                   CAST(CASE WHEN amount = 0 THEN NULL ELSE
+                     ((2 * CAST(s * 100 AS HUGEINT) * 10000 + CAST(amount * 100 AS HUGEINT)) // (2 * CAST(amount * 100 AS HUGEINT))) / 10000.0 END AS DECIMAL(18,4)), 0
+            FROM (SELECT f.top + 2 + f.n + f.rn AS flow_id, t.contract_id, t.tax_authority_id, t.tax_type_id, t.amount, CAST(sum(t.amt_tax) AS DECIMAL(18,2)) AS s
+                  FROM fx_tax t JOIN st_tax_numbered f ON f.flow_id = t.flow_id
+                  WHERE t.tax_calc_flow_id NOT IN (SELECT tax_calc_flow_id FROM st_invalid) GROUP BY ALL)
+        )""",
     "st_live": "SELECT * FROM fx_match WHERE is_deleted = 0 AND is_rejected = 0",
     "st_unmatched": """
         SELECT * FROM fx_flow f WHERE reversal_status = 4200 AND flow_type <> 1034 AND amt_matched <> 0 AND contract_id > 0
@@ -241,6 +256,22 @@ QUERIES = {
         SELECT f.top + 2 + f.n + f.rn, t.asset_hdr_id, t.contract_id, t.tax_authority_id, t.tax_type_id, t.amount, t.amt_tax, t.rate, 'replacement'
         FROM fx_tax t JOIN st_tax_numbered f ON f.flow_id = t.flow_id
         WHERE t.tax_calc_flow_id NOT IN (SELECT tax_calc_flow_id FROM st_invalid)""",
+    "posting_tax_flows": "SELECT * FROM st_new_tax_flow",
+    "posting_tables": """
+        SELECT 'flow' AS table_name, (SELECT count(*) FROM fx_flow) + 2 * (SELECT count(*) FROM st_tax_numbered) AS n_rows,
+               (SELECT CAST(sum(amount) AS DECIMAL(28,2)) FROM fx_flow) AS total
+        UNION ALL SELECT 'tax_calc_flow', count(*), CAST(sum(amt_tax) AS DECIMAL(28,2)) FROM (
+            SELECT amt_tax FROM fx_tax UNION ALL SELECT -amt_tax FROM fx_tax WHERE flow_id IN (SELECT flow_id FROM st_tax_numbered)
+            UNION ALL SELECT amt_tax FROM fx_tax WHERE flow_id IN (SELECT flow_id FROM st_tax_numbered)
+                AND tax_calc_flow_id NOT IN (SELECT tax_calc_flow_id FROM st_invalid))
+        UNION ALL SELECT 'tax_flow', count(*), CAST(sum(amt_matched) AS DECIMAL(28,2)) FROM (
+            SELECT amt_matched FROM fx_tax_flow UNION ALL SELECT amt_matched FROM st_new_tax_flow)
+        UNION ALL SELECT 'bank_flow_match', count(*), CAST(sum(CASE WHEN flow_id IN (SELECT flow_id FROM st_tax_numbered) THEN 1 ELSE is_deleted END) AS DECIMAL(28,2))
+        FROM fx_match""",
+    "release_unmatched_tax": """
+        SELECT *, 'update_before' AS op FROM fx_tax_flow WHERE flow_id IN (SELECT flow_id FROM st_unmatched)
+        UNION ALL BY NAME
+        SELECT * REPLACE (CAST(0 AS DECIMAL(18,2)) AS amt_matched), 'update_after' AS op FROM fx_tax_flow WHERE flow_id IN (SELECT flow_id FROM st_unmatched)""",
     "invalid_tax_lines": "SELECT * FROM st_invalid",
     "invalid_tax_lines_removed": """
         SELECT * FROM fx_tax WHERE tax_calc_flow_id NOT IN (

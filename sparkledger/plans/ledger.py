@@ -12,6 +12,7 @@ from sparkledger.operators.changeset import ChangeSet
 from sparkledger.operators.hierarchy import ancestor_pairs
 from sparkledger.operators.joins import anti, flag_any, semi
 from sparkledger.operators.keys import max_key, number_rows
+from sparkledger.operators.posting import Posting
 from sparkledger.operators.updates import delete_for_keys, set_for_keys, set_where, update_from
 from sparkledger.session import snapshot
 
@@ -158,6 +159,51 @@ def reversal_tax_lines(key_map: DataFrame, tax: DataFrame, invalid: DataFrame |
     )
 
 
+def reversal_tax_flows(reversal: Reversal, tax_flow: DataFrame, lines: DataFrame) -> DataFrame:
+    """Tax summary rows of the new flows, with keys: negated for reversals, summed from the new tax lines for replacements.
+
+    Of a reversal the financed amount is the negated matched one, and the other way round. `lines` are the tax lines of
+    `reversal_tax_lines`. New keys continue after the greatest, in the order of flow, authority and type.
+    """
+    new_ids = reversal.key_map.where("kind = 'reversal'").select(F.col("flow_id").alias("_new"), F.col("original_flow_id").alias("flow_id"))
+    negated = tax_flow.join(new_ids, "flow_id").select(
+        F.col("_new").alias("flow_id"), "contract_id", "tax_authority_id", "tax_type_hdr_id", (-F.col("amount")).alias("amount"),
+        (-F.col("amt_matched")).alias("amt_financed"), (-F.col("amt_invoice")).alias("amt_invoice"), (-F.col("amt_financed")).alias("amt_matched"),
+        "tax_rate", "image_no",
+    )
+    summed = tax_rollup(lines.where("kind = 'replacement'")).withColumn("image_no", F.lit(0))
+    rows = negated.unionByName(summed.select(negated.columns))
+    kinds = {f.name: f.dataType for f in tax_flow.schema.fields}
+    rows = snapshot(rows.select(*[F.col(c).cast(kinds[c]).alias(c) for c in rows.columns]))
+    numbered, _ = number_rows(rows, ["flow_id", "tax_authority_id", "tax_type_hdr_id"])
+    return numbered.withColumn("tax_flow_id", F.lit(max_key(tax_flow, "tax_flow_id")) + F.col("row_no")).select(*tax_flow.columns)
+
+
+def post_reversal(
+    flow: DataFrame, tax: DataFrame, tax_flow: DataFrame, match: DataFrame, affected: DataFrame, as_of: str, invalid: DataFrame | None = None
+) -> Posting:
+    """A reversal of the affected flows over all four tables: flows, their tax lines and tax summaries, and their bank matches.
+
+    Flow keys are allocated once and reach the children by the key map; new tax lines and summaries get keys of their
+    own. Matches of reversed flows are flagged deleted. Nothing is written but snapshots.
+    """
+    reversal = reverse_flows(flow, affected, as_of)
+    lines = snapshot(reversal_tax_lines(reversal.key_map, tax, invalid))
+    numbered, _ = number_rows(lines, ["flow_id", "tax_authority_id", "tax_type_id", "asset_hdr_id"])
+    new_lines = numbered.withColumn("tax_calc_flow_id", F.lit(max_key(tax, "tax_calc_flow_id")) + F.col("row_no")).select(*tax.columns)
+    before = snapshot(semi(match, reversal.before, ["flow_id"]))
+    after = before.select(
+        "bank_flow_match_id", *[F.lit(v).cast(match.schema[c].dataType).alias(c) for c, v in (("is_deleted", 1), ("unallocated_user_id", codes.SYSTEM_USER))],
+        F.lit(as_of).cast(match.schema["unallocated_dt"].dataType).alias("unallocated_dt"),
+    )
+    return Posting({
+        "flow": reversal.change_set(),
+        "tax_calc_flow": ChangeSet(["tax_calc_flow_id"], tax.where("1 = 0"), inserts=new_lines),
+        "tax_flow": ChangeSet(["tax_flow_id"], tax_flow.where("1 = 0"), inserts=reversal_tax_flows(reversal, tax_flow, lines)),
+        "bank_flow_match": ChangeSet(["bank_flow_match_id"], before, updates=after),
+    })
+
+
 def invoiced(flow: DataFrame) -> DataFrame:
     """Flows that can only be corrected by a reversal: settled, invoiced, on a statement or matched."""
     return flow.where(f"status = {codes.SETTLED} OR invoice_id <> 0 OR statement_id > 0 OR amt_matched <> 0")
@@ -311,6 +357,17 @@ def release_flows(affected: DataFrame) -> ChangeSet:
     return ChangeSet(["flow_id"], before, updates=before.select("flow_id", *zero))
 
 
+def release_tax(tax_flow: DataFrame, affected: DataFrame) -> ChangeSet:
+    """Set the matched amount of the affected flows' tax summaries to zero."""
+    before = snapshot(semi(tax_flow, affected, ["flow_id"]))
+    return ChangeSet(["tax_flow_id"], before, updates=before.select("tax_flow_id", F.lit(0).cast(before.schema["amt_matched"].dataType).alias("amt_matched")))
+
+
+def post_release(affected: DataFrame, tax_flow: DataFrame) -> Posting:
+    """The release of flows with that of their tax summaries."""
+    return Posting({"flow": release_flows(affected), "tax_flow": release_tax(tax_flow, affected)})
+
+
 def released_flow_list(affected: DataFrame, lookup: DataFrame, account: DataFrame, party: DataFrame, invoice: DataFrame) -> DataFrame:
     """The affected flows with decoded type, account, party and invoice."""
     kinds = lookup.select(F.col("lookupset_id").alias("flow_type"), F.col("value").alias("flow_type_name"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -63,6 +64,33 @@ def flow_reversal_tax(fx):
     return ledger.reversal_tax_lines(reversal.key_map, fx.tax(), invalid)
 
 
+def _tax_posting(fx: Fixtures):
+    flow, invalid = fx.flow(), _invalid_lines(fx)
+    affected = semi(ledger.invoiced(flow), invalid, ["flow_id"])
+    return ledger.post_reversal(flow, fx.tax(), fx.tax_flow(), fx.match(), affected, RUN_DATE, invalid)
+
+
+def posting_tax_flows(fx):
+    """Tax summary rows of the reversals and replacements, with their keys."""
+    return _tax_posting(fx).changes["tax_flow"].inserts
+
+
+def posting_tables(fx):
+    """Rows and amounts of the four tables after a reversal was posted to all of them."""
+    tables = {"flow": fx.flow(), "tax_calc_flow": fx.tax(), "tax_flow": fx.tax_flow(), "bank_flow_match": fx.match()}
+    posted = _tax_posting(fx).apply(tables)
+    amounts = {"flow": "amount", "tax_calc_flow": "amt_tax", "tax_flow": "amt_matched", "bank_flow_match": "is_deleted"}
+    sums = [
+        posted[name].agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col(column).cast("decimal(18,2)")).alias("total")).select(F.lit(name).alias("table_name"), "n_rows", "total")
+        for name, column in amounts.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, sums)
+
+
+def release_unmatched_tax(fx):
+    return ledger.post_release(_unmatched(fx), fx.tax_flow()).changes["tax_flow"].rows()
+
+
 def tax_rollup(fx):
     return ledger.tax_rollup(fx.tax())
 
@@ -531,7 +559,7 @@ def group_summary(fx):
 
 
 JOBS = (
-    flow_reversal, flow_reversal_keys, flow_reversal_tax, invalid_tax_lines, invalid_tax_lines_removed, tax_rollup, tax_rollup_gross,
+    flow_reversal, flow_reversal_keys, flow_reversal_tax, posting_tax_flows, posting_tables, release_unmatched_tax, invalid_tax_lines, invalid_tax_lines_removed, tax_rollup, tax_rollup_gross,
     tax_reconcile, tax_missing, affected_invoice_tax, release_unmatched, release_unmatched_list, match_reconcile,
     match_reconcile_recovery, match_recompute, match_soft_delete, match_unallocate, flows_to_reallocate,
     unallocated_bank_flows, code_remap, code_remap_back, state_reset,

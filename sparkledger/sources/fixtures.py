@@ -153,6 +153,16 @@ class Fixtures:
             "ELSE CAST(round(amount * rate, 2) AS DECIMAL(18,2)) END AS amt_tax",
         )
 
+    @_once
+    def tax_flow(self) -> DataFrame:
+        """Tax summaries, one per flow, authority and type; those of even flows are matched."""
+        return self.tax().selectExpr(
+            "tax_calc_flow_id AS tax_flow_id", "flow_id", "contract_id", "tax_authority_id", "tax_type_id AS tax_type_hdr_id",
+            "amt_tax AS amount", "amt_tax AS amt_financed", "amt_tax AS amt_invoice",
+            "CASE WHEN flow_id % 2 = 0 THEN amt_tax ELSE CAST(0 AS DECIMAL(18,2)) END AS amt_matched",
+            "CAST(rate AS DECIMAL(18,4)) AS tax_rate", "1 AS image_no",
+        )
+
     @_once
     def match(self) -> DataFrame:
         """Bank matches: none for quantities up to 16; by discount some are short, deleted, rejected or recovery."""

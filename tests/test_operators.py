@@ -8,7 +8,7 @@ from pyspark.sql import Row, functions as F
 
 from sparkledger import codes
 from sparkledger.functions import scalar as S
-from sparkledger.operators import export, hierarchy, joins, keys, masking, retention, updates
+from sparkledger.operators import export, hierarchy, joins, keys, masking, posting, retention, updates
 from sparkledger.operators.changeset import ChangeSet
 from sparkledger.operators.hierarchy import ancestor_pairs
 from sparkledger.plans import clock, discovery, hygiene, ledger, listing, status
@@ -232,6 +232,41 @@ def test_revert_keeps_later_edits_and_lists_them(spark):
     ]
 
 
+def test_posting_switches_all_tables_or_none(spark, tmp_path, monkeypatch):
+    flow = spark.createDataFrame([(1, 10), (2, 20)], "flow_id long, amt int")
+    tax = spark.createDataFrame([(5, 1, 1), (6, 2, 2)], "tax_flow_id long, flow_id long, amt int")
+    other = spark.createDataFrame([(9,)], "id long")
+    folder, log = str(tmp_path / "tables"), str(tmp_path / "log")
+    for name, table in (("flow", flow), ("tax_flow", tax), ("other", other)):
+        tables.write_version(table, folder, name, "1")
+    assert posting.current_versions(spark, folder) == (0, {})
+    posting.switch(spark, folder, {"flow": "1", "tax_flow": "1", "other": "1"})
+    change = posting.Posting({
+        "flow": ChangeSet.capture(flow, ["flow_id"], updates=spark.createDataFrame([(1, 0)], "flow_id long, amt int")),
+        "tax_flow": ChangeSet.capture(tax, ["tax_flow_id"], inserts=spark.createDataFrame([(7, 1, -1)], "tax_flow_id long, flow_id long, amt int")),
+    })
+    write, calls = posting.write_version, []
+
+    def failing(df, folder, name, version):
+        calls.append(name)
+        if len(calls) == 2:
+            raise OSError("lost")
+        return write(df, folder, name, version)
+
+    monkeypatch.setattr(posting, "write_version", failing)
+    with pytest.raises(OSError):
+        change.publish(posting.current_tables(spark, folder), folder, "2", log, "2024-01-01 00:00:00", 3)
+    now = posting.current_tables(spark, folder)
+    assert rows(now["flow"]) == [(1, 10), (2, 20)] and rows(now["tax_flow"]) == [(5, 1, 1), (6, 2, 2)]
+    change.publish(now, folder, "3", log, "2024-01-01 00:00:00", 3)
+    now = posting.current_tables(spark, folder)
+    assert rows(now["flow"]) == [(1, 0), (2, 20)] and rows(now["tax_flow"]) == [(5, 1, 1), (6, 2, 2), (7, 1, -1)] and rows(now["other"]) == [(9,)]
+    change.publish(now, folder, "4", log, "2024-01-02 00:00:00", 3, back=True)
+    now = posting.current_tables(spark, folder)
+    assert rows(now["flow"]) == rows(flow) and rows(now["tax_flow"]) == rows(tax)
+    assert posting.current_versions(spark, folder) == (3, {"flow": "4", "tax_flow": "4", "other": "1"})
+
+
 # Ledger ------------------------------------------------------------------------------------------
 
 def test_reversal_nets_to_zero_and_reverts(fx):
