@@ -530,6 +530,14 @@ QUERIES = {
     "next_numbers": """
         SELECT 'flow' AS table_name, max(flow_id) + 1 AS next_no FROM fx_flow UNION ALL SELECT 'contract', max(contract_id) + 1 FROM fx_contract
         UNION ALL SELECT 'party', max(party_id) + 1 FROM fx_party""",
+    "insert_values": """
+        SELECT event_queue_id, event_type, event_state_before FROM fx_event_queue UNION ALL SELECT 0, 24903, 12020""",
+    "audit_truncated": """
+        SELECT 'audit_hdr' AS table_name, 0::BIGINT AS n_rows UNION ALL SELECT 'audit_key', 0 UNION ALL SELECT 'audit_fld', 0
+        UNION ALL SELECT 'note', count(*) FROM fx_note""",
+    "parsed_dates": """
+        SELECT o_orderkey, strftime(o_orderdate, '%d-%b-%Y') AS date_text, CAST(o_orderdate AS DATE) AS order_dt,
+               strftime(o_orderdate, '%Y-%m-%d') || ' 00:00:00.000' AS time_text FROM orders""",
     "export_inserts": """
         SELECT 'INSERT customer(c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment) VALUES(' ||
                concat_ws(',', coalesce('''' || CAST(c_custkey AS VARCHAR) || '''', 'NULL'), coalesce('''' || replace(c_name, '''', '''''') || '''', 'NULL'),

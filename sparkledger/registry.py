@@ -8,13 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkledger import codes
-from sparkledger.functions.scalar import add_units, to_local
+from sparkledger.functions.scalar import add_units, format_millis, parse_date, to_local
 from sparkledger.operators import export, keys, masking, retention, updates
 from sparkledger.operators.joins import semi
 from sparkledger.plans import clock, discovery, hygiene, ledger, listing, status
 from sparkledger.session import configure, new_folder, snapshot
 from sparkledger.sources.fixtures import Fixtures
-from sparkledger.sources.tables import TABLES
+from sparkledger.sources.tables import TABLES, append_rows
 
 # Business clock of the runs; no job reads the machine's clock.
 RUN_DATE = "2002-01-01"
@@ -505,6 +505,29 @@ def next_numbers(fx):
     return keys.next_numbers({"flow": (fx.flow(), "flow_id"), "contract": (fx.contract(), "contract_id"), "party": (fx.party(), "party_id")})
 
 
+def insert_values(fx):
+    """The stored event queue after one row of values was inserted."""
+    folder = new_folder(fx.spark, "event-queue")
+    queue = fx.event_queue().select("event_queue_id", "event_type", "event_state_before")
+    append_rows(queue, folder)
+    row = fx.spark.range(1).select(*[F.lit(v).cast(queue.schema[c].dataType).alias(c) for c, v in (("event_queue_id", 0), ("event_type", 24903), ("event_state_before", 12020))])
+    append_rows(row, folder)
+    return fx.spark.read.schema(queue.schema).parquet(folder)
+
+
+def audit_truncated(fx):
+    """Rows of the audit tables after the history was emptied, next to those of a table that stays."""
+    tables = {"audit_hdr": fx.audit_hdr(), "audit_key": fx.audit_key(), "audit_fld": fx.audit_fld(), "note": fx.note()}
+    return discovery.table_row_counts(retention.empty_tables(tables, ["audit_hdr", "audit_key", "audit_fld"]))
+
+
+def parsed_dates(fx):
+    """Dates read back from their text, and as text with milliseconds."""
+    rows = fx.table("orders").select("o_orderkey", F.date_format("o_orderdate", "dd-MMM-yyyy").alias("date_text"))
+    parsed = rows.withColumn("order_dt", parse_date("date_text"))
+    return parsed.withColumn("time_text", format_millis(F.col("order_dt").cast("timestamp")))
+
+
 def export_inserts(fx):
     return export.insert_statements(fx.table("customer"), "customer")
 
@@ -572,7 +595,7 @@ JOBS = (
     mask_coverage, mask_accounts, mask_addresses, mask_users, mask_employment, mask_bank_flows, mask_bank_accounts,
     mask_duplicate_buckets, mask_party_addresses, mask_mail_lists, scrub_history, scrub_notes, retention_purge, retention_kept,
     upsert_update_only, copy_distinct, changeset_apply, changeset_apply_revert, changeset_revert_edited, changeset_conflicts, backup_rotation, allocate_keys, next_numbers,
-    export_inserts, backfill_child_rows, time_normalise, utc_or_local, utc_or_local_latest, profile_columns, table_row_counts, find_references,
+    insert_values, audit_truncated, parsed_dates, export_inserts, backfill_child_rows, time_normalise, utc_or_local, utc_or_local_latest, profile_columns, table_row_counts, find_references,
     group_summary,
 )
 
