@@ -157,11 +157,12 @@ TEXTS = (*(t for name, text in SHORT for t in _short(name, text)), *(t for name
 
 
 def plain(line: Column) -> Column:
-    """A line in lower case with single blanks between its words; empty if it states a copyright."""
-    lowered = F.lower(line)
-    unmarked = F.regexp_replace(F.regexp_replace(lowered, FIRST_MARK, ""), MARK, "")
-    holder = lowered.rlike(HOLDER) | (lowered.rlike(FIRST_MARK) & unmarked.rlike(YEAR_FIRST))
-    return F.when(holder, "").otherwise(F.trim(F.regexp_replace(lowered, NOT_WORD, " ")))
+    """A line in lower case, with single blanks between its words; empty if it states a copyright."""
+    # Every such line has a mark, which is quickly seen.
+    marked = F.contains(line, F.lit("copyright")) | F.contains(line, F.lit("(c)")) | F.contains(line, F.lit("©"))
+    unmarked = F.regexp_replace(F.regexp_replace(line, FIRST_MARK, ""), MARK, "")
+    holder = marked & (line.rlike(HOLDER) | (line.rlike(FIRST_MARK) & unmarked.rlike(YEAR_FIRST)))
+    return F.when(holder, "").otherwise(F.trim(F.regexp_replace(line, NOT_WORD, " ")))
 
 
 def spelled(text: Column) -> Column:
@@ -178,7 +179,7 @@ def _doubled(words: str) -> str:
 
 def parts(text: Column) -> tuple[Column, Column]:
     """Two arrays of (whole, part): the canonical lines that have words, and the canonical text as a whole."""
-    lines = F.filter(F.transform(F.split(text, "\n"), plain), lambda line: line != "")
+    lines = F.filter(F.transform(F.split(F.lower(text), "\n"), plain), lambda line: line != "")
     return F.transform(lines, lambda line: F.struct(F.lit(False).alias("whole"), spelled(line).alias("part"))), F.array(
         F.struct(F.lit(True).alias("whole"), spelled(F.array_join(lines, " ")).alias("part"))
     )
