@@ -89,6 +89,37 @@ STEPS = {
                   FROM fx_tax t JOIN st_tax_numbered f ON f.flow_id = t.flow_id
                   WHERE t.tax_calc_flow_id NOT IN (SELECT tax_calc_flow_id FROM st_invalid) GROUP BY ALL)
         )""",
+    "st_repair_flow": """
+        SELECT * REPLACE (CASE WHEN invoice_id = 0 AND status = 2100 THEN CAST(0 AS DECIMAL(18,2)) ELSE amt_matched END AS amt_matched) FROM fx_flow""",
+    "st_repair_closed": """
+        SELECT *, row_number() OVER (ORDER BY flow_id) AS rn, count(*) OVER () AS n, (SELECT max(flow_id) FROM fx_flow) AS top
+        FROM st_repair_flow WHERE flow_id IN (SELECT flow_id FROM st_invalid)
+          AND (status = 2101 OR invoice_id <> 0 OR statement_id > 0 OR amt_matched <> 0)""",
+    "st_repair_gone": """
+        SELECT * FROM st_invalid WHERE flow_id IN (
+          SELECT flow_id FROM st_repair_flow WHERE status <> 2101 AND invoice_id = 0 AND statement_id <= 0 AND amt_matched = 0)""",
+    "st_repair_tax": """
+        SELECT flow_id, amt_tax FROM fx_tax WHERE tax_calc_flow_id NOT IN (SELECT tax_calc_flow_id FROM st_repair_gone)
+        UNION ALL
+        SELECT f.top + 1 + f.rn, -t.amt_tax FROM fx_tax t JOIN st_repair_closed f ON f.flow_id = t.flow_id
+        UNION ALL
+        SELECT f.top + 2 + f.n + f.rn, t.amt_tax FROM fx_tax t JOIN st_repair_closed f ON f.flow_id = t.flow_id
+        WHERE t.tax_calc_flow_id NOT IN (SELECT tax_calc_flow_id FROM st_invalid)""",
+    "st_repair_sum": "SELECT flow_id, count(*) AS n_rows, CAST(sum(amt_tax) AS DECIMAL(38,2)) AS amt_tax FROM st_repair_tax GROUP BY flow_id",
+    "st_repair_rows": """
+        SELECT flow_id, contract_id, flow_link_id, image_no, status, 4201 AS reversal_status, amount, amt_gross, amt_gross_netted, amt_gross AS amt_matched
+        FROM st_repair_closed
+        UNION ALL
+        SELECT top + 1 + rn, contract_id, flow_id, image_no, 2100, 4202, -amount, -amt_gross, -amt_gross_netted, -amt_gross FROM st_repair_closed
+        UNION ALL
+        SELECT f.flow_id, f.contract_id, f.flow_link_id, f.image_no, f.status, f.reversal_status, f.amount, CAST(f.amount + coalesce(s.amt_tax, 0) AS DECIMAL(18,2)),
+               CAST(f.amount + coalesce(s.amt_tax, 0) AS DECIMAL(18,2)), f.amt_matched
+        FROM (SELECT top + 2 + n + rn AS flow_id, contract_id, 0 AS flow_link_id, image_no + 1 AS image_no, 2100 AS status, 4200 AS reversal_status, amount,
+                     CAST(0 AS DECIMAL(18,2)) AS amt_matched FROM st_repair_closed
+              UNION ALL
+              SELECT flow_id, contract_id, flow_link_id, image_no, status, reversal_status, amount, amt_matched FROM st_repair_flow
+              WHERE flow_id IN (SELECT flow_id FROM st_repair_gone)) f
+        LEFT JOIN st_repair_sum s ON s.flow_id = f.flow_id""",
     "st_live": "SELECT * FROM fx_match WHERE is_deleted = 0 AND is_rejected = 0",
     "st_unmatched": """
         SELECT * FROM fx_flow f WHERE reversal_status = 4200 AND flow_type <> 1034 AND amt_matched <> 0 AND contract_id > 0
@@ -268,6 +299,20 @@ QUERIES = {
             SELECT amt_matched FROM fx_tax_flow UNION ALL SELECT amt_matched FROM st_new_tax_flow)
         UNION ALL SELECT 'bank_flow_match', count(*), CAST(sum(CASE WHEN flow_id IN (SELECT flow_id FROM st_tax_numbered) THEN 1 ELSE is_deleted END) AS DECIMAL(28,2))
         FROM fx_match""",
+    "tax_repair_flows": "SELECT * FROM st_repair_rows",
+    "tax_repair_sums": "SELECT * FROM st_repair_sum",
+    "tax_repair_checks": """
+        SELECT 'affected_invoices' AS check_name, count(DISTINCT v.invoice_no) AS n_rows
+        FROM st_invalid i JOIN fx_flow f ON f.flow_id = i.flow_id JOIN fx_invoice v ON v.invoice_id = f.invoice_id WHERE f.invoice_id <> 0
+        UNION ALL
+        SELECT 'tax_mismatches', count(*) FROM st_repair_rows r JOIN st_repair_sum s ON s.flow_id = r.flow_id
+        WHERE r.reversal_status = 4200 AND r.amt_gross - r.amount <> s.amt_tax
+        UNION ALL
+        SELECT 'flows_to_reallocate', count(DISTINCT (c.flow_id, b.bank_flow_id)) FROM st_repair_closed c
+        JOIN fx_match m ON m.flow_id = c.flow_id JOIN fx_bank_flow b ON b.bank_flow_id = m.bank_flow_id
+        UNION ALL
+        SELECT 'unallocated_bank_flows', count(*) FROM fx_bank_flow b JOIN fx_party_account a ON a.party_account_id = b.party_account_id
+        WHERE b.bank_flow_id IN (SELECT m.bank_flow_id FROM fx_match m JOIN st_repair_closed c ON c.flow_id = m.flow_id)""",
     "release_unmatched_tax": """
         SELECT *, 'update_before' AS op FROM fx_tax_flow WHERE flow_id IN (SELECT flow_id FROM st_unmatched)
         UNION ALL BY NAME

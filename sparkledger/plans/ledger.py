@@ -187,7 +187,11 @@ def post_reversal(
     Flow keys are allocated once and reach the children by the key map; new tax lines and summaries get keys of their
     own. Matches of reversed flows are flagged deleted. Nothing is written but snapshots.
     """
-    reversal = reverse_flows(flow, affected, as_of)
+    return post_rows(reverse_flows(flow, affected, as_of), tax, tax_flow, match, as_of, invalid)
+
+
+def post_rows(reversal: Reversal, tax: DataFrame, tax_flow: DataFrame, match: DataFrame, as_of: str, invalid: DataFrame | None = None) -> Posting:
+    """A reversal whose flows are at hand as a posting over flows, tax lines, tax summaries and bank matches."""
     lines = snapshot(reversal_tax_lines(reversal.key_map, tax, invalid))
     numbered, _ = number_rows(lines, ["flow_id", "tax_authority_id", "tax_type_id", "asset_hdr_id"])
     new_lines = numbered.withColumn("tax_calc_flow_id", F.lit(max_key(tax, "tax_calc_flow_id")) + F.col("row_no")).select(*tax.columns)

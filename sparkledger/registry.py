@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkledger import codes
 from sparkledger.functions.scalar import add_units, format_millis, parse_date, to_local
-from sparkledger.operators import export, keys, masking, retention, updates
+from sparkledger.operators import deltas, export, keys, masking, retention, updates
 from sparkledger.operators.joins import semi
-from sparkledger.plans import clock, discovery, hygiene, ledger, listing, status
+from sparkledger.plans import clock, discovery, hygiene, ledger, listing, repair, status
 from sparkledger.session import configure, new_folder, snapshot
 from sparkledger.sources.fixtures import Fixtures
 from sparkledger.sources.tables import TABLES, append_rows
@@ -87,6 +87,35 @@ def posting_tables(fx):
     return functools.reduce(DataFrame.unionByName, sums)
 
 
+def _repair(fx: Fixtures):
+    """The repair over tables in which pending flows without invoice have no match, so that some lines can just be deleted."""
+    flow = updates.set_where(fx.flow(), F.expr("invoice_id = 0 AND status = 2100"), dict.fromkeys(ledger.MATCHED, 0))
+    tables = {
+        "flow": flow, "tax_calc_flow": fx.tax(), "tax_flow": fx.tax_flow(), "bank_flow_match": fx.match(), "contract": fx.contract(),
+        "flow_tax_sum": deltas.sums(fx.tax(), repair.SUM_KEYS, repair.SUM_MEASURES),
+    }
+    return repair.repair_tax(tables, _invalid_lines(fx), RUN_DATE), tables
+
+
+def tax_repair_flows(fx):
+    """Flow rows of the whole repair: reversed, reversals, replacements, and open flows that lost tax lines."""
+    run, _ = _repair(fx)
+    columns = ["flow_id", "contract_id", "flow_link_id", "image_no", "status", "reversal_status", "amount", *repair.GROSS, "amt_matched"]
+    return run.posting.changes["flow"].rows().where("op <> 'update_before'").select(*columns)
+
+
+def tax_repair_sums(fx):
+    """Stored tax per flow, moved by the lines that the repair deletes and adds."""
+    run, tables = _repair(fx)
+    return run.posting.changes["flow_tax_sum"].apply(tables["flow_tax_sum"])
+
+
+def tax_repair_checks(fx):
+    """Rows of the repair's own checks; no flow of its contracts may be left with another gross than amount plus tax."""
+    run, tables = _repair(fx)
+    return run.checks(tables, fx.invoice(), fx.bank_flow(), fx.party_account())
+
+
 def release_unmatched_tax(fx):
     return ledger.post_release(_unmatched(fx), fx.tax_flow()).changes["tax_flow"].rows()
 
@@ -582,7 +611,7 @@ def group_summary(fx):
 
 
 JOBS = (
-    flow_reversal, flow_reversal_keys, flow_reversal_tax, posting_tax_flows, posting_tables, release_unmatched_tax, invalid_tax_lines, invalid_tax_lines_removed, tax_rollup, tax_rollup_gross,
+    flow_reversal, flow_reversal_keys, flow_reversal_tax, posting_tax_flows, posting_tables, tax_repair_flows, tax_repair_sums, tax_repair_checks, release_unmatched_tax, invalid_tax_lines, invalid_tax_lines_removed, tax_rollup, tax_rollup_gross,
     tax_reconcile, tax_missing, affected_invoice_tax, release_unmatched, release_unmatched_list, match_reconcile,
     match_reconcile_recovery, match_recompute, match_soft_delete, match_unallocate, flows_to_reallocate,
     unallocated_bank_flows, code_remap, code_remap_back, state_reset,
