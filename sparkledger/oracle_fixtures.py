@@ -181,6 +181,11 @@ FIXTURES: dict[str, str] = {
                CAST(asset_hdr_id % 25 AS INT) AS gl_account_id, CAST(asset_hdr_id % 5 AS INT) AS gl_tag_id,
                CASE WHEN quantity <= 16 THEN 1 ELSE 0 END AS gl_interface_id
         FROM fx_flow""",
+    "fx_gl_journal": """
+        SELECT g.*, CASE WHEN g.flow_type = 1034 THEN 6002 ELSE 6001 END AS gl_entry_type, f.calc_dt + 1 AS input_dt,
+               'line ' || CAST(f.link_no AS VARCHAR) AS narration, f.asset_hdr_id, CAST(g.amount * 2 AS DECIMAL(18,2)) AS base_amount,
+               CAST(2 AS DECIMAL(9,4)) AS fx_rate, f.calc_dt AS fx_rate_dt
+        FROM fx_gl g JOIN fx_flow f ON f.flow_id = g.gl_entry_id""",
     "fx_currency": "SELECT n_nationkey AS currency_id, upper(substr(n_name, 1, 3)) AS code FROM nation",
     "fx_ledger": "SELECT r_regionkey AS ledger_id, r_name AS name FROM region",
     "fx_gl_tag": "SELECT r_regionkey AS gl_tag_id, lower(r_name) AS ext_name, r_regionkey % 2 AS account_class FROM region",
@@ -191,7 +196,8 @@ FIXTURES: dict[str, str] = {
         SELECT * FROM (VALUES (1001, 'FlowType', 'Rental'), (1010, 'FlowType', 'Custom'), (1014, 'FlowType', 'Security Deposit'),
             (1034, 'FlowType', 'Write Off'), (4200, 'ReversalStatus', 'Current'), (4201, 'ReversalStatus', 'Reversed'),
             (4202, 'ReversalStatus', 'Reversal'), (2100, 'FlowStatus', 'Pending'), (2101, 'FlowStatus', 'Settled'),
-            (5101, 'FlowMethod', 'Direct Debit'), (5102, 'FlowMethod', 'Cheque'), (5103, 'FlowMethod', 'Bank Transfer')) AS t(lookupset_id, set_name, value)""",
+            (5101, 'FlowMethod', 'Direct Debit'), (5102, 'FlowMethod', 'Cheque'), (5103, 'FlowMethod', 'Bank Transfer'), (6001, 'GLEntryType', 'Booking'),
+            (6002, 'GLEntryType', 'Adjustment')) AS t(lookupset_id, set_name, value)""",
     "fx_audit_hdr": """
         SELECT event_id AS audit_hdr_id, ts AS audit_dt, CAST(event_id % 6 AS INT) AS change_type, user_id,
                CASE event_type WHEN 'click' THEN 'party' WHEN 'view' THEN 'address' WHEN 'purchase' THEN 'party_account' ELSE event_type END AS tbl_name

@@ -5,6 +5,28 @@ from __future__ import annotations
 from sparkledger.oracle_fixtures import with_fixtures
 
 
+CUSTOMER = ("c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+def _pairs() -> str:
+    """Customers of two versions side by side."""
+    beside = ", ".join(f"o.{c} AS old_{c}, n.{c} AS new_{c}" for c in CUSTOMER)
+    differs = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in CUSTOMER)
+    return f"""
+        SELECT coalesce(o.c_custkey, n.c_custkey) AS k, o.c_custkey AS key_old, n.c_custkey AS key_new, {beside},
+               CASE WHEN o.c_custkey IS NULL THEN 1 WHEN n.c_custkey IS NULL THEN 3 WHEN {differs} THEN 2 END AS change_type
+        FROM customer o FULL JOIN st_customer2 n ON n.c_custkey = o.c_custkey"""
+
+
+def _changed_fields() -> str:
+    return " UNION ALL ".join(
+        f"""SELECT audit_hdr_id, change_type, CAST(key_old AS VARCHAR) AS key_old, CAST(key_new AS VARCHAR) AS key_new, '{c}' AS fld_name,
+               CAST(old_{c} AS VARCHAR) AS old_fld_value, CAST(new_{c} AS VARCHAR) AS new_fld_value
+        FROM st_customer_changed WHERE old_{c} IS DISTINCT FROM new_{c}"""
+        for c in CUSTOMER
+    )
+
+
 # Steps that several queries share --------------------------------------------------------------------
 
 STEPS = {
@@ -120,6 +142,13 @@ STEPS = {
               SELECT flow_id, contract_id, flow_link_id, image_no, status, reversal_status, amount, amt_matched FROM st_repair_flow
               WHERE flow_id IN (SELECT flow_id FROM st_repair_gone)) f
         LEFT JOIN st_repair_sum s ON s.flow_id = f.flow_id""",
+    "st_customer2": """
+        SELECT * REPLACE (CASE WHEN c_custkey % 5 = 1 THEN NULL ELSE c_acctbal END AS c_acctbal, CASE WHEN c_custkey % 5 = 1 THEN 'MOVED' ELSE c_mktsegment END AS c_mktsegment)
+        FROM customer WHERE c_custkey % 7 <> 3
+        UNION ALL
+        SELECT * REPLACE (c_custkey + 1000000000 AS c_custkey, NULL AS c_acctbal) FROM customer WHERE c_custkey % 11 = 0""",
+    "st_customer_pair": _pairs(),
+    "st_customer_changed": "SELECT row_number() OVER (ORDER BY k) AS audit_hdr_id, * FROM st_customer_pair WHERE change_type IS NOT NULL",
     "st_live": "SELECT * FROM fx_match WHERE is_deleted = 0 AND is_rejected = 0",
     "st_unmatched": """
         SELECT * FROM fx_flow f WHERE reversal_status = 4200 AND flow_type <> 1034 AND amt_matched <> 0 AND contract_id > 0
@@ -160,6 +189,13 @@ STEPS = {
     "st_latest_address": """
         SELECT a.* FROM fx_addr a WHERE a.asset_hdr_address_type = 45101
           AND a.effective_dt = (SELECT max(b.effective_dt) FROM fx_addr b WHERE b.asset_hdr_address_type = 45101 AND b.asset_hdr_id = a.asset_hdr_id)""",
+    "st_act_candidate": """
+        SELECT DISTINCT q.asset_hdr_id, CASE WHEN h.delivery_address_id > 0 THEN h.delivery_address_id ELSE c.default_asset_address_id END AS address_id,
+               c.calc_dt AS effective_dt
+        FROM st_act_quote q JOIN fx_asset_hdr h ON h.asset_hdr_id = q.asset_hdr_id JOIN fx_contract c ON c.contract_id = h.current_contract_id""",
+    "st_act_address": """
+        SELECT h.asset_hdr_id, h.current_contract_id, h.current_address_id, c.address_id FROM st_act_candidate c JOIN fx_asset_hdr h ON h.asset_hdr_id = c.asset_hdr_id
+        WHERE NOT EXISTS (SELECT 1 FROM st_latest_address l WHERE l.asset_hdr_id = c.asset_hdr_id AND (l.address_id = c.address_id OR l.effective_dt >= c.effective_dt))""",
     "st_address_change": """
         SELECT asset_hdr_id, address_id, effective_dt,
                CASE WHEN EXISTS (SELECT 1 FROM st_latest_address l WHERE l.asset_hdr_id = c.asset_hdr_id
@@ -188,6 +224,9 @@ STEPS = {
         FROM fx_gl g, fx_currency c, fx_currency b, fx_gl_account a, fx_lookup l1, fx_lookup l2, fx_ledger d, fx_gl_tag t
         WHERE g.currency_id = c.currency_id AND g.base_currency_id = b.currency_id AND g.gl_account_id = a.gl_account_id
           AND g.flow_type = l1.lookupset_id AND g.reversal_status = l2.lookupset_id AND g.ledger_id = d.ledger_id AND g.gl_tag_id = t.gl_tag_id""",
+    "st_gl_journal": """
+        SELECT s.*, l.value AS entry_type_name, j.input_dt, j.narration, j.asset_hdr_id, j.base_amount, j.fx_rate, j.fx_rate_dt
+        FROM st_gl s JOIN fx_gl_journal j ON j.gl_entry_id = s.gl_entry_id JOIN fx_lookup l ON l.lookupset_id = j.gl_entry_type""",
     "st_dup_writeoff": """
         SELECT contract_id, flow_link_id, amount, count(*) AS n_rows FROM fx_writeoff GROUP BY contract_id, flow_link_id, amount HAVING count(*) > 1""",
     "st_audit": """
@@ -390,6 +429,7 @@ QUERIES = {
     "code_remap": """
         SELECT * REPLACE (CASE o_orderpriority WHEN '1-URGENT' THEN 'URGENT' WHEN '2-HIGH' THEN 'HIGH' ELSE o_orderpriority END AS o_orderpriority) FROM orders""",
     "code_remap_back": "SELECT * FROM orders",
+    "code_remap_table": "SELECT * REPLACE (split_part(o_orderpriority, '-', 2) AS o_orderpriority) FROM orders",
     "state_reset": """
         SELECT contract_id, CASE WHEN hit THEN 12020 ELSE credit_state END AS credit_state, CASE WHEN hit THEN 6500 ELSE approval_status1 END AS approval_status1,
                CASE WHEN hit THEN 6500 ELSE approval_status2 END AS approval_status2, CASE WHEN hit THEN 0 ELSE approver1_id END AS approver1_id,
@@ -428,6 +468,9 @@ QUERIES = {
         SELECT (SELECT max(asset_hdr_address_id) FROM fx_addr) + row_number() OVER (ORDER BY asset_hdr_id, effective_dt, address_id) AS asset_hdr_address_id,
                asset_hdr_id, 45101 AS asset_hdr_address_type, effective_dt, address_id
         FROM st_address_change WHERE insert_asset_hdr_address = 1""",
+    "current_address_update": """
+        SELECT asset_hdr_id, current_contract_id, current_address_id, 'update_before' AS op FROM st_act_address
+        UNION ALL SELECT asset_hdr_id, current_contract_id, address_id, 'update_after' FROM st_act_address""",
     "as_of_address": "SELECT * FROM st_as_of",
     "flow_address": """
         SELECT f.flow_id, f.asset_hdr_id, f.delivery_dt, a.address_id, a.effective_dt
@@ -454,6 +497,10 @@ QUERIES = {
     "gl_orphans": """
         SELECT * FROM fx_gl WHERE gl_interface_id = 0 AND post_dt < DATE '1998-01-01'
           AND flow_id NOT IN (SELECT flow_id FROM fx_flow UNION ALL SELECT flow_id FROM fx_flow_image)""",
+    "gl_journal": "SELECT * FROM st_gl_journal",
+    "gl_orphans_decoded": """
+        SELECT * FROM st_gl_journal WHERE gl_interface_id = 0 AND post_dt < DATE '1998-01-01'
+          AND flow_id NOT IN (SELECT flow_id FROM fx_flow UNION ALL SELECT flow_id FROM fx_flow_image)""",
     "duplicate_keys": "SELECT contract_id, link_no, count(*) AS n_rows FROM fx_custom_flow WHERE is_deleted = 0 GROUP BY contract_id, link_no HAVING count(*) > 1",
     "duplicate_write_offs": "SELECT * FROM st_dup_writeoff",
     "writeoff_by_party": """
@@ -477,6 +524,9 @@ QUERIES = {
         SELECT DISTINCT f.flow_id, f.contract_id, f.calc_dt, f.invoice_id, i.invoice_no
         FROM fx_linked_flow f JOIN fx_invoice i ON i.invoice_id = f.invoice_id
         WHERE f.flow_id IN (SELECT flow_link_id FROM fx_linked_flow WHERE invoice_id IN (SELECT invoice_id FROM fx_invoice))""",
+    "invoice_origins_reversed": """
+        SELECT o.flow_id, o.contract_id, o.calc_dt, o.invoice_id, i.invoice_no FROM st_reversal_rows o JOIN fx_invoice i ON i.invoice_id = o.invoice_id
+        WHERE o.role = 'original' AND o.flow_id IN (SELECT flow_link_id FROM st_reversal_rows WHERE role = 'reversal')""",
     "unreceived_custom_flows": """
         SELECT r.contract_id, r.po_row_cf_id, r.destination_csv, e.ext_reference FROM fx_po_row r
         JOIN fx_expected_row e ON e.contract_custom_flow_id = r.po_row_cf_id AND e.contract_id = r.contract_id
@@ -543,6 +593,15 @@ QUERIES = {
                           CASE WHEN audit_hdr_id IN (SELECT audit_hdr_id FROM st_personal) THEN '' ELSE new_fld_value END AS new_fld_value), 'field' FROM fx_audit_fld""",
     "scrub_notes": "SELECT * REPLACE (CASE WHEN subject ILIKE '%src1%' THEN '' ELSE comments END AS comments) FROM fx_note",
     "retention_purge": _retention_report(),
+    "retention_by_month": f"""
+        SELECT 'event_log' AS table_name, event_log_id AS id FROM rt_event_log WHERE NOT coalesce(input_dt < {CUT}, false)
+        UNION ALL SELECT 'asset_balance', asset_balance_id FROM rt_asset_balance WHERE NOT coalesce(input_dt < {CUT} AND effective_dt < {CUT}, false)
+        UNION ALL SELECT 'workflow_task_todo', todo_id FROM rt_workflow_task_todo WHERE NOT coalesce(completion_date < {CUT}, false)
+        UNION ALL SELECT 'aii_event_queue_history', history_id FROM rt_aii_event_queue_history WHERE NOT coalesce(end_dt < {CUT}, false)
+        UNION ALL SELECT 'aii_event_queue_response', response_id FROM rt_aii_event_queue_response
+        WHERE history_id NOT IN (SELECT history_id FROM rt_aii_event_queue_history WHERE end_dt < {CUT})""",
+    "audit_of_versions": _changed_fields(),
+    "audit_rows_back": "SELECT *, 1 AS version FROM customer UNION ALL SELECT *, 2 FROM st_customer2",
     "retention_kept": f"SELECT * FROM rt_contract_write_off WHERE NOT ({' OR '.join(f'({c})' for c in RETENTION['contract_write_off'].values())})",
     "upsert_update_only": """
         SELECT c.* REPLACE (CASE WHEN s.s_suppkey IS NULL THEN c.c_name WHEN s.s_acctbal < 0 THEN NULL ELSE s.s_name END AS c_name,

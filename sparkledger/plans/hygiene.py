@@ -63,8 +63,8 @@ def rotate_backup(rows: DataFrame, folder: str, name: str, version: str, previou
     """Write `rows` as the new backup version; the previous one moves to the archive first.
 
     The archive keeps each archived row with the time of the rotation, each version in a folder of its own: a run
-    that failed half-way can be repeated, and archives nothing twice. The previous version stays on disk until its
-    folder is removed; readers use the newest version only. Returns the archive.
+    that failed half-way can be repeated, and archives nothing twice. The previous version stays on disk until
+    `drop_archived` removes it; readers use the newest version only. Returns the archive.
     """
     spark = rows.sparkSession
     archive = f"{folder}/{name}_archive"
@@ -78,6 +78,18 @@ def rotate_backup(rows: DataFrame, folder: str, name: str, version: str, previou
     return spark.read.option("recursiveFileLookup", "true").parquet(archive)
 
 
+def drop_archived(spark: SparkSession, folder: str, name: str, version: str) -> None:
+    """Remove a backup version from disk, once the archive holds all of its rows. A version that is gone already is no error."""
+    path = f"{folder}/{name}/version={version}"
+    if not path_exists(spark, path):
+        return
+    copy = f"{folder}/{name}_archive/of-{version}"
+    if not path_exists(spark, copy) or spark.read.parquet(copy).count() != spark.read.parquet(path).count():
+        raise RuntimeError(f"version {version} of {name} is not in the archive")
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(location, True)
+
+
 def backfill_children(parents: DataFrame, child: DataFrame, key: str, kind_column: str, kind: int, defaults: dict) -> DataFrame:
     """Default child rows for the parents that have none of the given kind."""
     missing = anti(parents.select(key).distinct(), child.where(F.col(kind_column) == kind), [key])

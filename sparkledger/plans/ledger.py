@@ -475,6 +475,16 @@ def remap_codes(table: DataFrame, code: str, mapping: dict[str, str]) -> DataFra
     return table.withColumn(code, F.coalesce(F.try_element_at(rule, F.col(code)), F.col(code)))
 
 
+def mapped_codes(table: DataFrame, pk: list[str], code: str, mapping: DataFrame) -> DataFrame:
+    """Rows to change as (pk, old_code, new_code), by a mapping that is a table of old_code and new_code."""
+    return table.select(*pk, F.col(code).alias("old_code")).join(mapping.select("old_code", "new_code"), "old_code").select(*pk, "old_code", "new_code")
+
+
+def apply_codes(table: DataFrame, mapping_rows: DataFrame, pk: list[str], code: str) -> DataFrame:
+    """The table with the new codes of the mapping's rows; `restore_codes` takes them back. Two new codes for a row fail the job."""
+    return update_from(table, mapping_rows.select(*pk, F.col("new_code").alias(code)), pk)
+
+
 def restore_codes(table: DataFrame, mapping_rows: DataFrame, pk: list[str], code: str) -> DataFrame:
     """Take a mapping back row by row: a row that had the new code all along keeps it."""
     return update_from(table, mapping_rows.select(*pk, F.col("old_code").alias(code)), pk)

@@ -29,6 +29,19 @@ def gl_entries(
     The dimensions are joined without hints, so Spark broadcasts those that measure small. Optional filters
     by contract and by account name.
     """
+    decoded = _decoded_gl(gl, lookup, currency, ledger, gl_tag, gl_account, contract_ids, account_name)
+    return decoded.select(*GL_COLUMNS)
+
+
+# Columns of a listing of ledger entries, and those that the whole journal adds.
+GL_COLUMNS = (
+    "contract_id", "gl_interface_id", "gl_entry_id", "post_dt", "currency_code", "base_currency_code", "account_name", "account_code", "amount",
+    "flow_id", "flow_type_name", "reversal_status_name", "ledger_name", "gl_tag_id", "tag_name", "account_class",
+)
+JOURNAL_COLUMNS = ("entry_type_name", "input_dt", "narration", "asset_hdr_id", "base_amount", "fx_rate", "fx_rate_dt")
+
+
+def _decoded_gl(gl, lookup, currency, ledger, gl_tag, gl_account, contract_ids=None, account_name=None) -> DataFrame:
     rows = gl if contract_ids is None else gl.where(F.col("contract_id").isin(*contract_ids))
     accounts = _renamed(gl_account, gl_account_id="gl_account_id", name="account_name", code="account_code")
     if account_name is not None:
@@ -41,14 +54,20 @@ def gl_entries(
         .join(_renamed(lookup, lookupset_id="reversal_status", value="reversal_status_name"), "reversal_status")
         .join(_renamed(ledger, ledger_id="ledger_id", name="ledger_name"), "ledger_id")
         .join(_renamed(gl_tag, gl_tag_id="gl_tag_id", ext_name="tag_name", account_class="account_class"), "gl_tag_id")
-        .select(
-            "contract_id", "gl_interface_id", "gl_entry_id", "post_dt", "currency_code", "base_currency_code", "account_name",
-            "account_code", "amount", "flow_id", "flow_type_name", "reversal_status_name", "ledger_name", "gl_tag_id", "tag_name",
-            "account_class",
-        )
     )
 
 
+def gl_journal(
+    gl: DataFrame, lookup: DataFrame, currency: DataFrame, ledger: DataFrame, gl_tag: DataFrame, gl_account: DataFrame, contract_ids: list[int] | None = None
+) -> DataFrame:
+    """Ledger entries with entry type, narration, input date, asset and base amount, decoded through their dimensions.
+
+    Lookup is used in three roles: type of the entry, type of its flow and reversal state.
+    """
+    kinds = _renamed(lookup, lookupset_id="gl_entry_type", value="entry_type_name")
+    return _decoded_gl(gl, lookup, currency, ledger, gl_tag, gl_account, contract_ids).join(kinds, "gl_entry_type").select(*GL_COLUMNS, *JOURNAL_COLUMNS)
+
+
 def gl_orphans(gl: DataFrame, flow: DataFrame, flow_image: DataFrame, before: str) -> DataFrame:
     """Entries not yet interfaced, posted before a date, whose flow is in neither flow table."""
     rows = gl.where((F.col("gl_interface_id") == 0) & (F.col("post_dt") < F.lit(before).cast("date")))

@@ -211,6 +211,26 @@ def insert_addresses(address: DataFrame, changes: DataFrame) -> ChangeSet:
     return ChangeSet(["asset_hdr_address_id"], address.where("1 = 0"), inserts=rows)
 
 
+def affected_addresses(affected: DataFrame, contract: DataFrame) -> DataFrame:
+    """The address each affected asset should have from its contract's calculation date: its delivery address, else the contract's default.
+
+    `affected` are the rows of `quotes_on_activated_contracts`.
+    """
+    defaults = contract.select("contract_id", "default_asset_address_id")
+    chosen = F.when(F.col("delivery_address_id") > 0, F.col("delivery_address_id")).otherwise(F.col("default_asset_address_id"))
+    rows = affected.select("contract_id", "asset_hdr_id", "delivery_address_id", "calc_dt").join(defaults, "contract_id")
+    return rows.select("asset_hdr_id", chosen.alias("address_id"), F.col("calc_dt").alias("effective_dt")).distinct()
+
+
+def write_current_addresses(asset_hdr: DataFrame, changes: DataFrame) -> ChangeSet:
+    """The current address of the assets that `address_changes` marks, as a change to the asset table.
+
+    An asset with two addresses to take fails the job.
+    """
+    wanted = snapshot(changes.where("update_current_address = 1").select("asset_hdr_id", F.col("address_id").alias("current_address_id")))
+    return ChangeSet(["asset_hdr_id"], snapshot(semi(asset_hdr, wanted, ["asset_hdr_id"])), updates=wanted)
+
+
 def address_as_of(address: DataFrame, as_of: str) -> DataFrame:
     """Per asset and address type the address in effect on a date; types without one are absent."""
     known = address.where(F.col("asset_hdr_address_type").isin(*codes.ADDRESS_TYPES))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkledger import codes
 from sparkledger.functions.scalar import add_units, format_millis, parse_date, to_local
-from sparkledger.operators import deltas, export, keys, masking, retention, updates
+from sparkledger.operators import audit, deltas, export, keys, masking, partitions, retention, updates
 from sparkledger.operators.joins import semi
 from sparkledger.plans import clock, discovery, hygiene, ledger, listing, repair, status
 from sparkledger.session import configure, new_folder, snapshot
@@ -196,6 +196,14 @@ def code_remap_back(fx):
     return ledger.restore_codes(changed, mapping, ["o_orderkey"], "o_orderpriority")
 
 
+def code_remap_table(fx):
+    """Codes changed by a mapping that is a table itself."""
+    orders = fx.table("orders")
+    mapping = orders.select(F.col("o_orderpriority").alias("old_code"), F.split_part("o_orderpriority", F.lit("-"), F.lit(2)).alias("new_code")).distinct()
+    rows = ledger.mapped_codes(orders, ["o_orderkey"], "o_orderpriority", mapping)
+    return ledger.apply_codes(orders, rows, ["o_orderkey"], "o_orderpriority")
+
+
 def state_reset(fx):
     return ledger.reset_credit_state(fx.contract(), fx.event_queue())[0].select(
         "contract_id", "credit_state", "approval_status1", "approval_status2", "approver1_id", "approver2_id"
@@ -241,6 +249,13 @@ def effective_address_rows(fx):
     return status.insert_addresses(fx.asset_address(), changes).inserts
 
 
+def current_address_update(fx):
+    """Assets of repaired quotes whose current address is written: the row before and after."""
+    affected = status.quotes_on_activated_contracts(fx.contract(), fx.asset_hdr(), fx.quote(), fx.asset(), fx.event_queue())
+    changes = status.address_changes(status.affected_addresses(affected, fx.contract()), fx.asset_address())
+    return status.write_current_addresses(fx.asset_hdr(), changes).rows().select("asset_hdr_id", "current_contract_id", "current_address_id", "op")
+
+
 def as_of_address(fx):
     return status.address_as_of(fx.asset_address(), ADDRESS_DATE)
 
@@ -302,6 +317,15 @@ def gl_orphans(fx):
     return listing.gl_orphans(fx.gl_entry(), fx.flow(), fx.flow_image(), POSTED_BEFORE)
 
 
+def gl_journal(fx):
+    return listing.gl_journal(fx.gl_journal(), *_gl_dimensions(fx))
+
+
+def gl_orphans_decoded(fx):
+    orphans = listing.gl_orphans(fx.gl_journal(), fx.flow(), fx.flow_image(), POSTED_BEFORE)
+    return listing.gl_journal(orphans, *_gl_dimensions(fx))
+
+
 def duplicate_keys(fx):
     return listing.duplicate_links(fx.custom_flow())
 
@@ -352,6 +376,13 @@ def invoice_origins(fx):
     return listing.invoice_origins(fx.linked_flow(), fx.invoice())
 
 
+def invoice_origins_reversed(fx):
+    """Reversed flows that the credit notes of a reversal run link back to: lineage over the run's own rows."""
+    posted = _deposit_reversal(fx).change_set().apply(fx.flow())
+    credited = updates.set_where(posted, F.expr(f"reversal_status = {codes.REVERSAL}"), {"invoice_id": F.col("contract_id")})
+    return listing.invoice_origins(credited, fx.invoice())
+
+
 def unreceived_custom_flows(fx):
     return listing.unreceived_custom_flows(fx.po_row(), fx.expected_row(), fx.contract(), fx.asset_hdr())
 
@@ -470,6 +501,60 @@ def retention_kept(fx):
     return retention.purge(fx.retention_tables(), hygiene.RETENTION_STEPS, RETENTION_DATE, RETENTION_DAYS)["contract_write_off"]
 
 
+# Tables that retention finds by their own dates alone, or by those of one parent.
+DATED = {"event_log": ("input_dt",), "asset_balance": ("input_dt", "effective_dt"), "workflow_task_todo": ("completion_date",), "aii_event_queue_history": ("end_dt",)}
+
+
+def retention_by_month(fx):
+    """Rows that stay after tables stored by month lost their expired months, and children of one of them."""
+    spark, tables = fx.spark, fx.retention_tables()
+    folder, kept = new_folder(spark, "dated"), {}
+    stores = {name: f"{folder}/{name}" for name in DATED}
+    for name, dates in DATED.items():
+        partitions.write_dated(tables[name], stores[name], dates)
+    # Children first: they go by the parents that are still there.
+    history = partitions.read_dated(spark, stores["aii_event_queue_history"], tables["aii_event_queue_history"].schema)
+    gone = partitions.expired(history, DATED["aii_event_queue_history"], RETENTION_DATE, RETENTION_DAYS)
+    kept["aii_event_queue_response"] = snapshot(updates.delete_for_keys(tables["aii_event_queue_response"], gone, ["history_id"]))
+    for name, dates in DATED.items():
+        partitions.drop_expired(spark, stores[name], tables[name].schema, dates, RETENTION_DATE, RETENTION_DAYS)
+        kept[name] = partitions.read_dated(spark, stores[name], tables[name].schema)
+    ids = {name: tables[name].columns[0] for name in kept}
+    rows = [kept[name].select(F.lit(name).alias("table_name"), F.col(ids[name]).alias("id")) for name in sorted(kept)]
+    return functools.reduce(DataFrame.unionByName, rows)
+
+
+def _customer_versions(fx: Fixtures):
+    """Three versions of the customers: rows leave, change and come in, and some that left come back under another name."""
+    first = fx.table("customer")
+    moved = F.expr("c_custkey % 5 = 1")
+    second = updates.set_where(first.where("c_custkey % 7 <> 3"), moved, {"c_acctbal": None, "c_mktsegment": "MOVED"})
+    second = second.unionByName(
+        first.where("c_custkey % 11 = 0").withColumns({"c_custkey": F.expr("c_custkey + 1000000000L"), "c_acctbal": F.lit(None).cast(first.schema["c_acctbal"].dataType)})
+    )
+    third = updates.set_where(second.where("NOT (c_custkey > 1000000000 AND c_custkey % 2 = 0)"), F.expr("c_custkey % 2 = 0"), {"c_mktsegment": None})
+    return first, second, third.unionByName(first.where("c_custkey % 14 = 3").withColumn("c_name", F.lit("back")))
+
+
+def audit_of_versions(fx):
+    """Audit rows from two versions of a table: header, key and each changed field."""
+    first, second, _ = _customer_versions(fx)
+    told = audit.audit_rows(first, second, ["c_custkey"], "customer", "2002-01-01 10:00:00", codes.SYSTEM_USER)
+    keys_ = told.key.selectExpr("audit_hdr_id", "old_fld_value AS key_old", "new_fld_value AS key_new")
+    return told.header.select("audit_hdr_id", "change_type").join(keys_, "audit_hdr_id").join(told.field, "audit_hdr_id")
+
+
+def audit_rows_back(fx):
+    """The first and second version of a table, taken back from the third by the audit rows of two runs."""
+    first, second, third = _customer_versions(fx)
+    pk = ["c_custkey"]
+    one = audit.audit_rows(first, second, pk, "customer", "2002-01-01 10:00:00", codes.SYSTEM_USER)
+    two = audit.audit_rows(second, third, pk, "customer", "2002-01-01 12:00:00", codes.SYSTEM_USER, keys.max_key(one.header, "audit_hdr_id"))
+    both = one.union(two)
+    times = {1: "2002-01-01 09:00:00", 2: "2002-01-01 11:00:00"}
+    return functools.reduce(DataFrame.unionByName, [audit.rows_at(third, both, pk, "customer", at).withColumn("version", F.lit(n)) for n, at in times.items()])
+
+
 def upsert_update_only(fx):
     source = fx.table("supplier").selectExpr(
         "s_suppkey AS c_custkey", "CASE WHEN s_acctbal < 0 THEN NULL ELSE s_name END AS c_name", "s_acctbal AS c_acctbal"
@@ -519,7 +604,9 @@ def backup_rotation(fx):
     contract = fx.contract().select("contract_id", "credit_state", "approver1_id")
     hygiene.rotate_backup(contract, folder, "contract_bk", "1", None, "2002-01-01 10:00:00")
     changed = updates.set_where(contract, F.col("credit_state") == codes.CREDIT_DECLINED, {"approver1_id": 0})
-    return hygiene.rotate_backup(changed, folder, "contract_bk", "2", "1", "2002-01-02 10:00:00")
+    archive = hygiene.rotate_backup(changed, folder, "contract_bk", "2", "1", "2002-01-02 10:00:00")
+    hygiene.drop_archived(fx.spark, folder, "contract_bk", "1")
+    return archive
 
 
 def allocate_keys(fx):
@@ -614,15 +701,16 @@ JOBS = (
     flow_reversal, flow_reversal_keys, flow_reversal_tax, posting_tax_flows, posting_tables, tax_repair_flows, tax_repair_sums, tax_repair_checks, release_unmatched_tax, invalid_tax_lines, invalid_tax_lines_removed, tax_rollup, tax_rollup_gross,
     tax_reconcile, tax_missing, affected_invoice_tax, release_unmatched, release_unmatched_list, match_reconcile,
     match_reconcile_recovery, match_recompute, match_soft_delete, match_unallocate, flows_to_reallocate,
-    unallocated_bank_flows, code_remap, code_remap_back, state_reset,
+    unallocated_bank_flows, code_remap, code_remap_back, code_remap_table, state_reset,
     state_reset_events, save_status_reset, terminated_status_repair, terminated_address_insert, activated_status_repair,
-    status_classify, effective_address_insert, effective_address_rows, as_of_address, flow_address, asset_address_view, hierarchy_descendants, contracts_missing_assets,
-    latest_revision_rows, latest_revision_deleted, latest_revision_of_objects, gl_entries, gl_suspense, gl_orphans, duplicate_keys, duplicate_write_offs,
+    status_classify, effective_address_insert, effective_address_rows, current_address_update, as_of_address, flow_address, asset_address_view, hierarchy_descendants, contracts_missing_assets,
+    latest_revision_rows, latest_revision_deleted, latest_revision_of_objects, gl_entries, gl_suspense, gl_orphans, gl_journal, gl_orphans_decoded, duplicate_keys, duplicate_write_offs,
     writeoff_by_party, writeoff_duplicate_parties, audit_decode, audit_decode_filtered, queue_by_state, queue_backlog,
-    recent_activity, used_definitions, invoice_lineage, invoice_origins, unreceived_custom_flows, lookup_contracts_by_product,
+    recent_activity, used_definitions, invoice_lineage, invoice_origins, invoice_origins_reversed, unreceived_custom_flows, lookup_contracts_by_product,
     lookup_products_with_tax_pricing, lookup_flows_by_type, lookup_flows_by_method, lookup_suspense_accounts, lookup_programs_and_units, lookup_bank_flow_pairs, mask_parties,
     mask_coverage, mask_accounts, mask_addresses, mask_users, mask_employment, mask_bank_flows, mask_bank_accounts,
-    mask_duplicate_buckets, mask_party_addresses, mask_mail_lists, scrub_history, scrub_notes, retention_purge, retention_kept,
+    mask_duplicate_buckets, mask_party_addresses, mask_mail_lists, scrub_history, scrub_notes, retention_purge, retention_kept, retention_by_month,
+    audit_of_versions, audit_rows_back,
     upsert_update_only, copy_distinct, changeset_apply, changeset_apply_revert, changeset_revert_edited, changeset_conflicts, backup_rotation, allocate_keys, next_numbers,
     insert_values, audit_truncated, parsed_dates, export_inserts, backfill_child_rows, time_normalise, utc_or_local, utc_or_local_latest, profile_columns, table_row_counts, find_references,
     group_summary,

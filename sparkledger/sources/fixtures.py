@@ -392,8 +392,8 @@ class Fixtures:
         )
 
     @_once
-    def gl_entry(self) -> DataFrame:
-        """Ledger entries; those with 4 % discount point at a flow that does not exist."""
+    def gl_journal(self) -> DataFrame:
+        """Ledger entries with all their columns; those with 4 % discount point at a flow that does not exist."""
         return self.flow().selectExpr(
             "flow_id AS gl_entry_id", f"CASE WHEN discount_pct = 4 THEN flow_id + {OFFSET} ELSE flow_id END AS flow_id",
             "contract_id", "calc_dt AS post_dt", "amount", "flow_type", "reversal_status",
@@ -401,8 +401,15 @@ class Fixtures:
             "CAST(contract_id % 25 AS INT) AS base_currency_id", "CAST(asset_hdr_id % 25 AS INT) AS gl_account_id",
             "CAST(asset_hdr_id % 5 AS INT) AS gl_tag_id",
             "CASE WHEN quantity <= 16 THEN 1 ELSE 0 END AS gl_interface_id",
+            "CASE WHEN flow_type = 1034 THEN 6002 ELSE 6001 END AS gl_entry_type", "date_add(calc_dt, 1) AS input_dt",
+            "concat('line ', CAST(link_no AS STRING)) AS narration", "asset_hdr_id",
+            "CAST(amount * 2 AS DECIMAL(18,2)) AS base_amount", "CAST(2 AS DECIMAL(9,4)) AS fx_rate", "calc_dt AS fx_rate_dt",
         )
 
+    @_once
+    def gl_entry(self) -> DataFrame:
+        return self.gl_journal().drop("gl_entry_type", "input_dt", "narration", "asset_hdr_id", "base_amount", "fx_rate", "fx_rate_dt")
+
     @_once
     def currency(self) -> DataFrame:
         return self.table("nation").selectExpr("n_nationkey AS currency_id", "upper(substring(n_name, 1, 3)) AS code")
@@ -433,6 +440,7 @@ class Fixtures:
             (1034, "FlowType", "Write Off"), (4200, "ReversalStatus", "Current"), (4201, "ReversalStatus", "Reversed"),
             (4202, "ReversalStatus", "Reversal"), (2100, "FlowStatus", "Pending"), (2101, "FlowStatus", "Settled"),
             (5101, "FlowMethod", "Direct Debit"), (5102, "FlowMethod", "Cheque"), (5103, "FlowMethod", "Bank Transfer"),
+            (6001, "GLEntryType", "Booking"), (6002, "GLEntryType", "Adjustment"),
         ]
         return self.spark.createDataFrame(rows, "lookupset_id int, set_name string, value string")
 
