@@ -29,9 +29,8 @@ def write_dated(rows: DataFrame, path: str, dates: tuple[str, ...], nonzero: tup
     for key in nonzero:
         system = system | F.coalesce(F.col(key) == 0, F.lit(True))
     month = F.when(~system, F.date_format(last_date(dates), "yyyyMM").cast("int"))
-    # A month with a third of all rows is written by several tasks.
-    parts = F.pmod(F.hash(*rows.columns), F.lit(16))
-    rows.withColumn(PERIOD, month).repartition(PERIOD, parts).write.mode("errorifexists").partitionBy(PERIOD).parquet(path)
+    # Adaptive execution splits a month that holds much of the table by its size, and puts small months together.
+    rows.withColumn(PERIOD, month).hint("rebalance", F.col(PERIOD)).write.mode("errorifexists").partitionBy(PERIOD).parquet(path)
 
 
 def _cutoff(as_of: str, days: int) -> datetime.date:
@@ -76,7 +75,7 @@ def drop_expired(spark: SparkSession, path: str, schema: StructType, dates: tupl
         if stays.isEmpty():
             files.delete(months[border], True)
         else:
-            stays.repartition(PERIOD).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PERIOD).parquet(path)
+            stays.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PERIOD).parquet(path)
     gone = sorted(month for month in months if month < border)
     for month in gone:
         files.delete(months[month], True)
