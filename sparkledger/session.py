@@ -38,7 +38,9 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    # Not `local-cluster`: its executors are processes of their own.
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     application = spark.conf.get("spark.app.id")
     if application not in _LOCAL_FOLDERS:

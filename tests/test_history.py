@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sparkledger.operators import audit, partitions
 from sparkledger.plans import hygiene, ledger, status
-from sparkledger.session import snapshot
+from sparkledger.session import shared_folder, snapshot
 
 ROW = "a long, b string, name string, amount decimal(18,2), day date, at timestamp_ntz, ok boolean, ratio double"
 PK = ["a", "b"]
@@ -187,3 +187,12 @@ def test_current_address_of_affected_assets(spark):
     after = change.apply(asset_hdr)
     assert {r["asset_hdr_id"]: r["current_address_id"] for r in after.collect()} == {10: 0, 11: 77, 12: 3}
     assert same(change.revert(after), asset_hdr)
+
+
+@pytest.mark.parametrize("master", ["local-cluster[2,1,1024]", "spark://host:7077", "yarn", ""])
+def test_a_cluster_needs_a_shared_folder(master):
+    class Session:
+        conf = {"spark.master": master}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session)
