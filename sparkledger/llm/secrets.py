@@ -5,9 +5,9 @@ or sequences and brute-force spans, the one with the fewest guesses counts. Valu
 kind `guess`, beside the spans of the patterns, unless one of those covers the whole value. Words are those of
 `COMMON_WORDS` and, ranked after them, the whole words of a tokenizer's vocabulary, which are in order of their frequency.
 
-The cost is the exact minimum for values of up to `EXACT_CHARS` characters. In longer ones repeats and walks count at
-their full length only. Repeats whose one period alone costs `LEAST_LOG2` are left out: they cannot lower a cost to below
-it. Values of under 6 characters are never judged, as even brute force costs less.
+The cost is the exact minimum wherever it is below `LEAST_LOG2`, for values of any length: every number of copies of a
+repeat and every length of a walk counts. Repeats whose one period alone costs `LEAST_LOG2`, and walks that do, are left
+out: they cannot lower a cost to below it. Values of under 6 characters are never judged, as even brute force costs less.
 
 Positions are code points, ends exclusive. Defined results: null and empty texts have no spans; repeated rows and null
 ids stay row by row; empty tables give no rows; other columns are ignored. Long values are judged whole.
@@ -28,7 +28,6 @@ from sparkledger.llm.common import documents, prepare
 
 KINDS = ("assign", "access", "hex", "guess")
 LEAST_LOG2 = 36.0
-EXACT_CHARS = 128
 
 # The base patterns, with the least length of what they find.
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -76,6 +75,42 @@ def _adjacent(a: str, b: str) -> bool:
     return abs(r - s) <= 1 and abs(c - d) <= 1 and a != b
 
 
+def _walk_bits(length: int) -> float:
+    return math.log2(47) + math.log2(length) + 2 + 0.5 * (length - 2)
+
+
+class Starts:
+    """Places where a span may start, for the cheapest one of each end; a span costs its start and log2 of its length.
+
+    Ends only grow, and with them the lead of an earlier start over a later one, as the logarithm flattens. So the starts
+    are a stack with the cheapest on top; it gives way for good to the one below it at the end where both cost the same.
+    """
+
+    def __init__(self):
+        self.stack: list[tuple[int, float, float]] = []  # place, cost, and the end from which the one below is no dearer
+
+    def add(self, place: int, cost: float, end: int) -> None:
+        """A start later than all others; `end` is the first end that it serves."""
+        self.least(end)
+        meet = math.inf
+        while self.stack:
+            below, other, until = self.stack[-1]
+            lead = cost - other
+            meet = place + (place - below) / math.expm1(min(lead, 512.0) * math.log(2)) if lead > 0 else math.inf
+            if meet <= end:
+                return
+            if meet < until:
+                break
+            self.stack.pop()
+        self.stack.append((place, cost, meet if self.stack else math.inf))
+
+    def least(self, end: int) -> float:
+        """The least cost of a span to this end."""
+        while len(self.stack) > 1 and self.stack[-1][2] <= end:
+            self.stack.pop()
+        return self.stack[-1][1] + math.log2(end - self.stack[-1][0]) if self.stack else math.inf
+
+
 class Words(dict):
     """Ranks of lower-case words, and the length of the longest."""
 
@@ -116,10 +151,22 @@ def guess_cost(value: str, words: Words | None = None, least_log2: float = LEAST
         for i in range(n - p - 1, -1, -1):
             run[i] = run[i + 1] + 1 if value[i] == value[i + p] else 0
         if max(run) >= 2 * p:
-            same.append((p, run))
-    every = n <= EXACT_CHARS
+            same.append((p, run, {}))
+    walks = []  # (length, cost)
+    while len(walks) + 3 <= n and (bits := _walk_bits(len(walks) + 3)) < least_log2:
+        walks.append((len(walks) + 3, bits))
     cost = [0.0] + [math.inf] * n
-    for i in range(n):
+    for i in range(n + 1):
+        # Repeats that end here: of three copies and more, by the place in the period where they start.
+        for p, run, starts in same:
+            if (first := i - 3 * p) >= 0 and run[first] >= 2 * p:
+                if first == 0 or not run[first - 1]:
+                    starts.clear()
+                known = starts.setdefault(i % p, Starts())
+                known.add(first, cost[first] + (1 if first else 0) + brute[first + p] - brute[first], i)
+                cost[i] = min(cost[i], known.least(i))
+        if i == n:
+            break
         start = cost[i] + (1 if i else 0)
 
         def offer(end: int, bits: float) -> None:
@@ -135,13 +182,8 @@ def guess_cost(value: str, words: Words | None = None, least_log2: float = LEAST
         for date in DATES:
             if (found := date.match(value, i)) is not None:
                 offer(found.end(), math.log2(120 * (366 if found.end() - i > 4 else 1)))
-        for p, run in same:
-            most = run[i] // p + 1
-            for copies in range(3 if every else most, most + 1) if most >= 3 else ():
-                offer(i + copies * p, brute[i + p] - brute[i] + math.log2(copies * p))
-        if walk[i] >= 3:
-            for length in range(3, walk[i] + 1) if every else (3, walk[i]):
-                offer(i + length, math.log2(47) + math.log2(length) + 2 + 0.5 * (length - 2))
+        for length, bits in walks[: max(0, walk[i] - 2)]:
+            offer(i + length, bits)
     return cost[n]
 
 

@@ -536,6 +536,43 @@ def test_guess_cost_is_the_least_of_all_segmentations():
             assert secrets.guess_cost(value, words) == pytest.approx(cost)
 
 
+def offered_cost(value, words):
+    """The least cost over all segmentations, by offering every segment from every place."""
+    n, repeats, walks = len(value), {}, {}
+    for p in range(1, n // 3 + 1):
+        end = n  # how far the text repeats with this period
+        for i in range(n - 1, -1, -1):
+            end = end if i + p >= n or value[i] == value[i + p] else i + p
+            for stop in range(i + 3 * p, end + 1, p):
+                repeats[i, stop] = min(repeats.get((i, stop), np.inf), sum(map(secrets._brute, value[i : i + p])) + np.log2(stop - i))
+    for i in range(n):
+        stop = i + 1
+        while stop < n and secrets._adjacent(value[stop - 1].lower(), value[stop].lower()):
+            stop += 1
+            walks[i, stop] = np.log2(47) + np.log2(stop - i) + 2 + 0.5 * (stop - i - 2) if stop - i >= 3 else np.inf
+    cost = [0.0] + [np.inf] * n
+    for stop in range(1, n + 1):
+        for i in range(stop):
+            short = segment_cost(value[i:stop], i == 0, words) if stop - i <= 12 else None
+            long = min(repeats.get((i, stop), np.inf), walks.get((i, stop), np.inf)) + (i > 0)
+            one = secrets._brute(value[i]) if stop - i == 1 else np.inf
+            cost[stop] = min(cost[stop], cost[i] + min(np.inf if short is None else short, long, one))
+    return cost[n]
+
+
+def test_guess_cost_of_long_values_is_the_least_too():
+    """Values of one make have costs of one kind, however long they are: at 128 characters nothing changes."""
+    rng = random.Random(10)
+    words = secrets.ranked_words()
+    # The best cut leaves a repeat before its end, as the word that follows begins with its last character.
+    values = ["a" * n + "dmin" for n in (20, 127, 128, 129, 140)] + ["xy" * 70 + "y1987", "abcdef" * 25, "ab" * 60 + "abcdefg" + "ba" * 8, "qwe" * 50 + "asd"]
+    values += ["".join(rng.choice(["ab", "aba", "a", "b"]) * rng.randint(1, 30) for _ in range(6))[:170] for _ in range(12)]
+    for value in values:
+        assert secrets.guess_cost(value, words, 1000) == pytest.approx(offered_cost(value, words)), value
+        assert min(secrets.guess_cost(value, words), 36) == pytest.approx(min(offered_cost(value, words), 36)), value
+    assert secrets.guess_cost("ab" * 200_000 + "admin", words) < secrets.LEAST_LOG2
+
+
 def test_secrets_in_long_texts_take_linear_time():
     text = "password='hunter2abcdefgh' x token=0123456789abcdef01 " * 100_000
     start = time.time()
