@@ -7,12 +7,72 @@ join, and both sides of an inner join; what it cannot split is reduced before th
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from sparkledger.functions.scalar import required
 from sparkledger.session import snapshot
 
 
+# Bits of a key filter, as a power of two: 8 MB, in rows of 64 words, which Spark broadcasts by their measured size.
+FILTER_BITS = 26
+
+
+def key_filter(others: DataFrame, keys: list[str]) -> DataFrame:
+    """A bitmap of the hashes of the others' keys, of bounded size however many keys there are. A snapshot (`_part`, `_words`)."""
+    words = others.select(*_filter_place(keys)).selectExpr("_part", "_word", "shiftleft(1L, _bit) AS _bits")
+    parts = words.groupBy("_part", "_word").agg(F.bit_or("_bits").alias("_bits"))
+    parts = parts.groupBy("_part").agg(F.map_from_entries(F.collect_list(F.struct("_word", "_bits"))).alias("_found"))
+    return snapshot(parts.selectExpr("_part", "transform(sequence(0, 63), w -> coalesce(try_element_at(_found, w), 0L)) AS _words"))
+
+
+def _filter_place(keys: list[str]) -> list[Column]:
+    place = F.xxhash64(*keys).bitwiseAND(F.lit((1 << FILTER_BITS) - 1)).cast("int")
+    return [
+        F.shiftright(place, 12).alias("_part"), F.shiftright(place, 6).bitwiseAND(F.lit(63)).alias("_word"), place.bitwiseAND(F.lit(63)).alias("_bit")
+    ]
+
+
+def _filterable(rows: DataFrame, others: DataFrame, keys: list[str]) -> bool:
+    """Whether equal keys have equal hashes: whole numbers of the same type on both sides."""
+    return all(isinstance(rows.schema[k].dataType, T.IntegralType) and rows.schema[k].dataType == others.schema[k].dataType for k in keys)
+
+
+def possible(rows: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key may occur among the others: all that do, and the few whose hash meets another key's.
+
+    A large table that joins few others goes through this first, so that most of it is not shuffled. The others are read
+    once more, so pass a stored frame or a cheap one.
+    """
+    if not _filterable(rows, others, keys):
+        return rows
+    return _marked(rows, key_filter(others, keys), keys).where("_possible").select(*rows.columns)
+
+
+def _marked(rows: DataFrame, bits: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows with `_possible`: true, or false or NULL for keys that the filter does not have."""
+    part, word, bit = _filter_place(keys)
+    placed = rows.select("*", part, word, bit).join(bits, "_part", "left")
+    return placed.withColumn("_possible", F.expr("getbit(_words[_word], _bit) = 1"))
+
+
+def semi_few(rows: DataFrame, others: DataFrame, keys: list[str], nulls_match: bool = False) -> DataFrame:
+    """`semi` for a large table of which few rows stay: most others go before the shuffle. `nulls_match`: a NULL is a key like any other.
+
+    The others are read twice. The join is an inner one with distinct keys, as Spark moves a semi join below the filter.
+    """
+    marks = others.select(*[F.col(k).alias(f"_key_{k}") for k in keys]).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) if nulls_match else F.col(k) == F.col(f"_key_{k}") for k in keys]
+    return possible(rows, others, keys).join(marks, same).select(*rows.columns)
+
+
+def split_possible(rows: DataFrame, others: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame | None]:
+    """The rows as those whose key may occur among the others, and the rest; no rest if the keys cannot be told."""
+    if not _filterable(rows, others, keys):
+        return rows, None
+    marked = _marked(rows, key_filter(others, keys), keys)
+    return marked.where("_possible").select(*rows.columns), marked.where("NOT coalesce(_possible, false)").select(*rows.columns)
+
+
 def semi(rows: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key occurs among the others; a key that fills the other side is reduced to one row per task."""
     return rows.join(others.select(*keys).distinct(), keys, "left_semi")

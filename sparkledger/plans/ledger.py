@@ -10,7 +10,7 @@ from sparkledger import codes
 from sparkledger.functions.scalar import money, safe_ratio, total
 from sparkledger.operators.changeset import ChangeSet
 from sparkledger.operators.hierarchy import ancestor_pairs
-from sparkledger.operators.joins import anti, flag_any, semi
+from sparkledger.operators.joins import anti, flag_any, possible, semi, semi_few
 from sparkledger.operators.keys import max_key, number_rows
 from sparkledger.operators.posting import Posting
 from sparkledger.operators.updates import delete_for_keys, set_for_keys, set_where, update_from
@@ -345,13 +345,20 @@ def affected_invoice_tax(invalid: DataFrame, flow: DataFrame, invoice: DataFrame
 # Bank matches ------------------------------------------------------------------------------------
 
 def unmatched_flows(flow: DataFrame, match: DataFrame, contract: DataFrame, style: int = codes.STYLE_LOAN) -> DataFrame:
-    """Current cash flows of one product style that claim a matched amount but have no live match."""
+    """Current cash flows of one product style that claim a matched amount but have no live match.
+
+    Flows are told by their keys first, so that only the rows that are left are shuffled with all their columns.
+    """
     candidates = flow.where(
         f"reversal_status = {codes.CURRENT} AND flow_type <> {codes.FLOW_WRITE_OFF} AND amt_matched <> 0 "
         "AND contract_id > 0 AND is_cash = 1 AND nett_no = 0"
     )
     contracts = contract.where(F.col("product_style") == style).select("contract_id")
-    return anti(candidates.join(contracts, "contract_id", "left_semi"), live_matches(match), ["flow_id"])
+    # Whether a flow counts beyond its own row follows from these two columns; a flow without id has no match.
+    keys = ["flow_id", "contract_id"]
+    told = snapshot(semi_few(candidates.select(*keys), contracts, ["contract_id"]))
+    unmatched = snapshot(anti(told, possible(live_matches(match), told, ["flow_id"]), ["flow_id"]))
+    return semi_few(candidates, unmatched, keys, nulls_match=True)
 
 
 def release_flows(affected: DataFrame) -> ChangeSet:
@@ -363,13 +370,14 @@ def release_flows(affected: DataFrame) -> ChangeSet:
 
 def release_tax(tax_flow: DataFrame, affected: DataFrame) -> ChangeSet:
     """Set the matched amount of the affected flows' tax summaries to zero."""
-    before = snapshot(semi(tax_flow, affected, ["flow_id"]))
+    before = snapshot(semi_few(tax_flow, affected, ["flow_id"]))
     return ChangeSet(["tax_flow_id"], before, updates=before.select("tax_flow_id", F.lit(0).cast(before.schema["amt_matched"].dataType).alias("amt_matched")))
 
 
 def post_release(affected: DataFrame, tax_flow: DataFrame) -> Posting:
-    """The release of flows with that of their tax summaries."""
-    return Posting({"flow": release_flows(affected), "tax_flow": release_tax(tax_flow, affected)})
+    """The release of flows with that of their tax summaries. The affected flows are found once."""
+    flows = release_flows(affected)
+    return Posting({"flow": flows, "tax_flow": release_tax(tax_flow, flows.before)})
 
 
 def released_flow_list(affected: DataFrame, lookup: DataFrame, account: DataFrame, party: DataFrame, invoice: DataFrame) -> DataFrame:

@@ -175,3 +175,35 @@ def test_update_with_a_hot_foreign_key(spark, small_partitions):
     marked = updates.set_for_keys(target, spark.createDataFrame([(HOT,)], "k long"), ["k"], {"v": 1})
     assert marked.count() == ROWS
     assert marked.where("v = 1").count() == target.where(f"k = {HOT}").count()
+
+
+def test_few_rows_of_a_large_table_are_found_before_the_shuffle(spark):
+    """A bitmap of hashes drops the rest; nulls, repeated rows, signs and keys of other types go through as in a semi join."""
+    large = spark.range(200_000).selectExpr("id - 1000 AS a", "CAST(id % 7 AS INT) AS b", "id AS v")
+    odd = spark.createDataFrame([(None, 1, -1), (5, None, -2), (5, 5, -3), (5, 5, -3)], "a long, b int, v long")
+    rows = large.unionByName(odd)
+    few = spark.createDataFrame([(5, 5), (-999, 1), (5, None), (None, 1), (7, 5), (5, 5)], "a long, b int")
+    kept = joins.possible(rows, few, ["a", "b"]).count()
+    assert 5 <= kept < 200
+    for keys in (["a"], ["a", "b"]):
+        assert sorted(r["v"] for r in joins.semi_few(rows, few, keys).collect()) == sorted(r["v"] for r in joins.semi(rows, few, keys).collect())
+    found = joins.semi_few(rows, few, ["a", "b"], nulls_match=True)
+    assert sorted(r["v"] for r in found.collect()) == [-3, -3, -2, -1, 1] and found.columns == rows.columns
+    text = rows.selectExpr("CAST(a AS STRING) AS a", "v")
+    assert joins.semi_few(text, few.selectExpr("CAST(a AS STRING) AS a"), ["a"]).count() == 6
+    assert joins.semi_few(rows, few.limit(0), ["a"]).count() == 0
+
+
+def test_a_release_finds_its_flows_once(spark):
+    """The affected flows are stored once, and their tax summaries are found by that."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def counted(flow_id):
+        seen.add(1)
+        return flow_id % 2 == 0
+
+    flow = spark.range(10).selectExpr("id AS flow_id", *[f"CAST(1 AS DECIMAL(18,2)) AS {c}" for c in ledger.MATCHED])
+    tax_flow = spark.range(20).selectExpr("id AS tax_flow_id", "id % 10 AS flow_id", "CAST(3 AS DECIMAL(18,2)) AS amt_matched")
+    change = ledger.post_release(flow.where(counted("flow_id")), tax_flow).changes["tax_flow"]
+    assert sorted(r["tax_flow_id"] for r in change.before.collect()) == list(range(0, 20, 2)) and seen.value == 10
