@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sparkledger.operators.joins import split_possible
 from sparkledger.operators.updates import update_from
 from sparkledger.session import new_folder
 from sparkledger.sources.tables import log_event, write_version
@@ -49,12 +50,19 @@ class ChangeSet:
             pk, spark.read.schema(target.schema).parquet(f"{folder}/before"), written.updates, written.inserts, written.deletes
         )
 
-    def apply(self, target: DataFrame) -> DataFrame:
-        """The table after the change."""
+    def apply(self, target: DataFrame, read_twice: bool = False) -> DataFrame:
+        """The table after the change.
+
+        `read_twice` is for a target that is cheap to read, of which the change touches a small part: rows that no update
+        can meet go past the join, so that a large table is not shuffled for a few rows. The updates are read once more, too.
+        """
         if self.deletes is not None:
             target = target.join(self.deletes, self.pk, "left_anti")
         if self.updates is not None:
-            target = update_from(target, self.updates, self.pk)
+            touched, rest = split_possible(target, self.updates, self.pk) if read_twice else (target, None)
+            target = update_from(touched, self.updates, self.pk)
+            if rest is not None:
+                target = target.unionByName(rest)
         if self.inserts is not None:
             target = target.unionByName(self.inserts)
         return target

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkledger.operators import joins, updates
+from sparkledger.operators.changeset import ChangeSet
 from sparkledger.operators.hierarchy import ancestor_pairs
 from sparkledger.plans import ledger, listing, status
 
@@ -207,3 +208,14 @@ def test_a_release_finds_its_flows_once(spark):
     tax_flow = spark.range(20).selectExpr("id AS tax_flow_id", "id % 10 AS flow_id", "CAST(3 AS DECIMAL(18,2)) AS amt_matched")
     change = ledger.post_release(flow.where(counted("flow_id")), tax_flow).changes["tax_flow"]
     assert sorted(r["tax_flow_id"] for r in change.before.collect()) == list(range(0, 20, 2)) and seen.value == 10
+
+
+def test_a_change_of_few_rows_does_not_shuffle_the_table(spark):
+    """Rows that no update can meet go past the join; the rest as ever, with repeated and missing keys."""
+    target = spark.range(100_000).selectExpr("id", "id AS v").unionByName(spark.createDataFrame([(None, 1), (7, 8), (7, 9)], "id long, v long"))
+    updates = spark.createDataFrame([(7, 70), (8, None), (-1, 1), (None, 5)], "id long, v long")
+    change = ChangeSet(["id"], target, updates=updates)
+    once, twice = change.apply(target), change.apply(target, read_twice=True)
+    assert once.exceptAll(twice).isEmpty() and twice.exceptAll(once).isEmpty()
+    touched, rest = joins.split_possible(target, updates, ["id"])
+    assert touched.count() < 100 and touched.count() + rest.count() == target.count()
