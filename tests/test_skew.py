@@ -5,7 +5,7 @@ import contextlib
 import pytest
 from pyspark.sql import functions as F
 
-from sparkledger.operators import joins, updates
+from sparkledger.operators import joins, keys, updates
 from sparkledger.operators.changeset import ChangeSet
 from sparkledger.operators.hierarchy import ancestor_pairs
 from sparkledger.plans import ledger, listing, status
@@ -219,3 +219,15 @@ def test_a_change_of_few_rows_does_not_shuffle_the_table(spark):
     assert once.exceptAll(twice).isEmpty() and twice.exceptAll(once).isEmpty()
     touched, rest = joins.split_possible(target, updates, ["id"])
     assert touched.count() < 100 and touched.count() + rest.count() == target.count()
+
+
+@pytest.mark.parametrize("shuffle_parts", ["1", "200"])
+def test_a_sorted_listing_has_ranges_of_bounded_size(spark, shuffle_parts):
+    """The rows are in order as by `orderBy`, and a task sorts `part_rows` of them, whatever the session's shuffle partitions."""
+    rows = spark.range(40_000).selectExpr("IF(id % 100 = 3, NULL, id % 977) AS amount", "id * 7919 % 40009 AS entry")
+    with conf(spark, **{"spark.sql.shuffle.partitions": shuffle_parts}):
+        found = keys.sorted_rows(rows, ["amount", "entry"], part_rows=5_000)
+        assert [tuple(r) for r in found.collect()] == [tuple(r) for r in rows.orderBy("amount", "entry").collect()]
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 8 and max(sizes) < 10_000
+    assert keys.sorted_rows(rows.limit(0), ["amount"]).count() == 0
