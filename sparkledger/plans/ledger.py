@@ -148,7 +148,7 @@ def reversal_tax_lines(key_map: DataFrame, tax: DataFrame, invalid: DataFrame |
     `invalid` lists tax lines that replacements must not take over.
     """
     new_ids = key_map.select(F.col("flow_id").alias("new_id"), F.col("original_flow_id").alias("flow_id"), "kind")
-    lines = tax.join(new_ids, "flow_id")
+    lines = possible(tax, new_ids, ["flow_id"]).join(new_ids, "flow_id")
     if invalid is not None:
         marks = invalid.select("tax_calc_flow_id", F.lit(True).alias("_invalid"))
         lines = lines.join(marks, "tax_calc_flow_id", "left").where("kind = 'reversal' OR _invalid IS NULL")
@@ -166,7 +166,7 @@ def reversal_tax_flows(reversal: Reversal, tax_flow: DataFrame, lines: DataFrame
     `reversal_tax_lines`. New keys continue after the greatest, in the order of flow, authority and type.
     """
     new_ids = reversal.key_map.where("kind = 'reversal'").select(F.col("flow_id").alias("_new"), F.col("original_flow_id").alias("flow_id"))
-    negated = tax_flow.join(new_ids, "flow_id").select(
+    negated = possible(tax_flow, new_ids, ["flow_id"]).join(new_ids, "flow_id").select(
         F.col("_new").alias("flow_id"), "contract_id", "tax_authority_id", "tax_type_hdr_id", (-F.col("amount")).alias("amount"),
         (-F.col("amt_matched")).alias("amt_financed"), (-F.col("amt_invoice")).alias("amt_invoice"), (-F.col("amt_financed")).alias("amt_matched"),
         "tax_rate", "image_no",
@@ -195,7 +195,7 @@ def post_rows(reversal: Reversal, tax: DataFrame, tax_flow: DataFrame, match: Da
     lines = snapshot(reversal_tax_lines(reversal.key_map, tax, invalid))
     numbered, _ = number_rows(lines, ["flow_id", "tax_authority_id", "tax_type_id", "asset_hdr_id"])
     new_lines = numbered.withColumn("tax_calc_flow_id", F.lit(max_key(tax, "tax_calc_flow_id")) + F.col("row_no")).select(*tax.columns)
-    before = snapshot(semi(match, reversal.before, ["flow_id"]))
+    before = snapshot(semi_few(match, reversal.before, ["flow_id"]))
     after = before.select(
         "bank_flow_match_id", *[F.lit(v).cast(match.schema[c].dataType).alias(c) for c, v in (("is_deleted", 1), ("unallocated_user_id", codes.SYSTEM_USER))],
         F.lit(as_of).cast(match.schema["unallocated_dt"].dataType).alias("unallocated_dt"),
@@ -208,6 +208,11 @@ def post_rows(reversal: Reversal, tax: DataFrame, tax_flow: DataFrame, match: Da
     })
 
 
+def flows_of_lines(flow: DataFrame, lines: DataFrame) -> DataFrame:
+    """The few flows that the tax lines are of, with all their columns, read once. A snapshot."""
+    return snapshot(semi_few(flow, lines, ["flow_id"]))
+
+
 def invoiced(flow: DataFrame) -> DataFrame:
     """Flows that can only be corrected by a reversal: settled, invoiced, on a statement or matched."""
     return flow.where(f"status = {codes.SETTLED} OR invoice_id <> 0 OR statement_id > 0 OR amt_matched <> 0")
@@ -255,10 +260,11 @@ def invalid_tax_lines(
     ).select("flow_id", *keys)
     if exempt_flows is not None:
         flows = anti(flows, exempt_flows, ["flow_id"])
-    targets = flows.join(destinations, keys).select(
+    # Stored, to drop the other flows' lines before the shuffle.
+    targets = snapshot(flows.join(destinations, keys).select(
         "flow_id", F.col("contract_id").alias("flow_contract_id"), "destination"
-    )
-    lines = tax.join(targets, "flow_id")
+    ))
+    lines = possible(tax, targets, ["flow_id"]).join(targets, "flow_id")
     # The suspects are few: a snapshot keeps the joins above from running once per use.
     elsewhere = snapshot(lines.where("asset_hdr_id <> destination"))
     # Only the assets that occur on them have to be walked up.

@@ -11,7 +11,7 @@ from sparkledger import codes
 from sparkledger.functions.scalar import money, row_count
 from sparkledger.operators.changeset import ChangeSet
 from sparkledger.operators.deltas import move_sums
-from sparkledger.operators.joins import anti, semi
+from sparkledger.operators.joins import anti, semi, semi_few
 from sparkledger.operators.keys import next_numbers
 from sparkledger.operators.posting import Posting
 from sparkledger.plans import ledger
@@ -71,19 +71,21 @@ def repair_tax(tables: dict[str, DataFrame], invalid: DataFrame, as_of: str) ->
     contracts wait for their ledger entries. `invalid` is a stored frame, as `ledger.invalid_tax_lines` gives it.
     """
     flow, tax = tables["flow"], tables["tax_calc_flow"]
-    affected = semi(ledger.invoiced(flow), invalid, ["flow_id"])
-    reversal = ledger.reverse_flows(flow, affected, as_of)
+    held = ledger.flows_of_lines(flow, invalid)
+    reversal = ledger.reverse_flows(flow, ledger.invoiced(held), as_of)
     posted = ledger.post_rows(reversal, tax, tables["tax_flow"], tables["bank_flow_match"], as_of, invalid).changes
 
-    removed = snapshot(ledger.deletable_tax_lines(invalid, flow).select(*tax.columns))
+    removed = snapshot(ledger.deletable_tax_lines(invalid, held).select(*tax.columns))
     lines = ChangeSet(["tax_calc_flow_id"], removed, inserts=snapshot(posted["tax_calc_flow"].inserts), deletes=removed.select("tax_calc_flow_id"))
     moved = move_sums(tables["flow_tax_sum"], lines, SUM_KEYS, SUM_MEASURES)
-    opened = snapshot(semi(flow, removed, ["flow_id"]))
+    opened = snapshot(semi(held, removed, ["flow_id"]))
 
     contracts = snapshot(semi(tables["contract"], invalid, ["contract_id"]))
     waiting = F.lit(codes.SAVE_PENDING_GL).cast(contracts.schema["save_status"].dataType).alias("save_status")
     touched = reversal.before.select("flow_id").unionByName(opened.select("flow_id"))
-    before = semi(flow.where(f"reversal_status = {codes.CURRENT}"), invalid, ["contract_id"])
+    # Their taxes are summed from their own lines alone.
+    current = flow.where(f"reversal_status = {codes.CURRENT}").select("flow_id", "contract_id", "reversal_status", "amount", "amt_gross")
+    before = snapshot(semi_few(current, invalid, ["contract_id"]))
     return TaxRepair(
         invalid=invalid,
         reversal=reversal,
@@ -94,7 +96,7 @@ def repair_tax(tables: dict[str, DataFrame], invalid: DataFrame, as_of: str) ->
             "contract": ChangeSet(["contract_id"], contracts, updates=contracts.select("contract_id", waiting)),
             "flow_tax_sum": moved,
         }),
-        known=snapshot(anti(ledger.tax_mismatches(before, tax), touched, ["flow_id"]).select("flow_id")),
+        known=snapshot(anti(ledger.tax_mismatches(before, semi_few(tax.select("flow_id", "amt_tax"), before, ["flow_id"])), touched, ["flow_id"]).select("flow_id")),
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from sparkledger import registry
-from sparkledger.operators import deltas, posting
+from sparkledger.operators import deltas, joins, posting
 from sparkledger.operators.changeset import ChangeSet
 from sparkledger.plans import ledger, repair
 from sparkledger.session import snapshot
@@ -125,3 +125,26 @@ def test_repair_that_does_not_add_up_is_not_published(spark, fx, tmp_path):
     with pytest.raises(RuntimeError, match="nothing was published"):
         run.publish(tables, str(tmp_path / "tables"), "2", str(tmp_path / "log"), "2002-01-01 00:00:00", 3)
     assert posting.current_versions(spark, str(tmp_path / "tables")) == (0, {})
+
+
+def test_lines_of_other_flows_are_dropped_before_the_shuffle(fx, monkeypatch):
+    """Of the tax lines only those of flows that may hold an invalid line, or of the reversed flows, are joined."""
+    kept = []
+
+    def counted(rows, others, keys):
+        found = joins.possible(rows, others, keys)
+        kept.append((rows.count(), found.count()))
+        return found
+
+    monkeypatch.setattr(ledger, "possible", counted)
+    reversal, invalid = registry._tax_reversal(fx)
+    ledger.reversal_tax_lines(reversal.key_map, fx.tax(), invalid)
+    assert len(kept) == 2 and all(found < n / 2 for n, found in kept)
+
+
+def test_known_mismatches_sum_only_their_own_lines(fx, monkeypatch):
+    """The flows of the affected contracts are few: their taxes are not summed from the whole table."""
+    summed, mismatches = [], ledger.tax_mismatches
+    monkeypatch.setattr(ledger, "tax_mismatches", lambda flow, tax, *more: summed.append(tax.count()) or mismatches(flow, tax, *more))
+    registry._repair(fx)
+    assert len(summed) == 1 and summed[0] < fx.tax().count() / 2
