@@ -569,3 +569,10 @@ def test_find_references_is_literal(spark):
 def test_profile_without_match(spark):
     with pytest.raises(ValueError, match="no column"):
         discovery.profile_columns({"t": spark.range(1)}, "*user*")
+
+
+def test_the_decode_table_has_a_known_size(spark, data):
+    """Of unknown size it is not broadcast: its joins shuffle the ledger by a handful of codes, most of it into one task."""
+    lookup = Fixtures(spark, data).lookup()
+    assert int(str(lookup._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 100_000
+    assert lookup.count() == 14 and [t for _, t in lookup.dtypes] == ["int", "string", "string"]
