@@ -29,7 +29,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from sparkledger.llm.common import arrow_schema, documents, prepare
+from sparkledger.llm.common import arrow_schema, documents, prepare, serve
 
 LONG_WORD = 1024
 HEAP_WORD = 1 << 12
@@ -268,7 +268,8 @@ def units_of(text: str) -> list[str]:
 
 @functools.lru_cache(maxsize=2)
 def vocabulary(path: str, pattern: str) -> Vocabulary:
-    """One for each worker process, which serves many tasks."""
+    """One for each worker process, which serves many tasks; kept until it serves another operator."""
+    serve("byte_bpe", vocabulary.cache_clear)
     return Vocabulary(path, pattern)
 
 
@@ -287,44 +288,52 @@ def _gathered(batches: Iterable[pa.RecordBatch], weigh) -> Iterator[tuple[pa.Rec
             yield batch.slice(start, len(held)), held
 
 
-def _mapped(df: DataFrame, value: str, out: str, kind: T.DataType, ranks_path: str, pattern: str, work, weigh) -> DataFrame:
-    """`df` with column `value` replaced by `out`, computed for groups of rows."""
+def _mapped(df: DataFrame, value: str, outs: list[str], ranks_path: str, pattern: str, work, weigh) -> DataFrame:
+    """`df` with column `value` replaced by the binary columns `outs`, computed for groups of rows."""
     others = [f for f in df.schema.fields if f.name != value]
-    schema = T.StructType([*others, T.StructField(out, kind)])
+    schema = T.StructType([*others, *(T.StructField(o, T.BinaryType()) for o in outs)])
     arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]):
         own = vocabulary(ranks_path, pattern)
         for rows, values in _gathered(batches, weigh):
-            result = pa.array(work(own, values), type=arrow.field(out).type)
-            yield pa.RecordBatch.from_arrays([*rows.columns[:-1], result], schema=arrow)
+            results = [pa.array(r, type=pa.binary()) for r in work(own, values)]
+            yield pa.RecordBatch.from_arrays([*rows.columns[:-1], *results], schema=arrow)
         own.rest()
 
     return df.select(*(f.name for f in others), value).mapInArrow(run, schema)
 
 
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    prepare(docs.sparkSession)
+    return documents(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+
+
 def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and `ids`: the token ids of the whole text as little-endian unsigned 32-bit integers."""
-    prepare(docs.sparkSession)
-    texts = documents(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return _mapped(texts, "text", "ids", T.BinaryType(), ranks_path, pattern, Vocabulary.encode, len)
+    return _mapped(_texts(docs, id_col, text_col), "text", ["ids"], ranks_path, pattern, lambda v, texts: [v.encode(texts)], len)
 
 
 def bpe_decode(encoded: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
     """The frame with `ids_col` replaced by `decoded`, the bytes of the text."""
     prepare(encoded.sparkSession)
-    return _mapped(encoded, ids_col, "decoded", T.BinaryType(), ranks_path, pattern, Vocabulary.decode, lambda i: len(i) // 2)
+    return _mapped(encoded, ids_col, ["decoded"], ranks_path, pattern, lambda v, ids: [v.decode(ids)], lambda i: len(i) // 2)
 
 
 def bpe_round_trip(
     docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False
 ) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every text, encoded and decoded, and on request its `ids`."""
-    encoded = bpe_encode(docs, ranks_path, pattern, id_col, text_col)
-    kept = [F.col("ids").alias("own_ids")] if with_ids else []
-    digested = encoded.select(
-        "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), *kept, "ids"
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every text, encoded and decoded, and on request its `ids`.
+
+    Both in one Python step: two would take two workers for each core, either with a vocabulary of its own.
+    """
+
+    def both(own: Vocabulary, texts: list[str]) -> list[list[bytes]]:
+        ids = own.encode(texts)
+        return [ids, own.decode(ids)]
+
+    done = _mapped(_texts(docs, id_col, text_col), "text", ["ids", "decoded"], ranks_path, pattern, both, len)
+    return done.select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), *(["ids"] if with_ids else []),
     )
-    decoded = bpe_decode(digested, ranks_path, pattern)
-    kept = [F.col("own_ids").alias("ids")] if with_ids else []
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"), *kept)

@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from sparkledger.llm.common import bodies, prepare, store
+from sparkledger.llm.common import bodies, prepare, serve, store
 
 SHINGLE_WORDS = 4
 RADIUS = 4
@@ -58,6 +58,7 @@ def fingerprint_column(body: Column, size: int = SHINGLE_WORDS, seed: int = SEED
 
     @F.arrow_udf(T.LongType())
     def prints(bodies_: pa.Array) -> pa.Array:
+        serve("covering")
         return pa.array(np.array([simhash(b.as_py(), size, seed) for b in bodies_], np.uint64).view(np.int64))
 
     return prints(body)

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from sparkledger.llm.common import arrow_schema, bodies, in_batches, key_of, prepare, store
+from sparkledger.llm.common import arrow_schema, bodies, in_batches, key_of, prepare, serve, store
 
 # A safe prime just above 2^126 (both it and (p - 1) / 2 are prime), so that powers of 256 do not repeat.
 MODULUS = 85070591730234615865843651857942053687
@@ -53,6 +53,8 @@ def _segments(docs: DataFrame, segment: int, modulus: int) -> DataFrame:
     arrow = arrow_schema(schema)
 
     def cut(batches: Iterator[pa.RecordBatch]):
+        serve("exact_dedup")
+
         def rows():
             for batch in batches:
                 for doc_id, body in zip(batch.column(0), batch.column(1)):
@@ -68,6 +70,7 @@ def _segments(docs: DataFrame, segment: int, modulus: int) -> DataFrame:
         return in_batches(rows(), arrow)
 
     def hash_pieces(batches: Iterator[pa.RecordBatch]):
+        serve("exact_dedup")
         for batch in batches:
             pieces, known = batch.column("piece"), batch.column("fp")
             values = [_packed(fingerprint(p.as_py(), modulus)) if p.is_valid else k.as_py() for p, k in zip(pieces, known)]
@@ -82,6 +85,8 @@ def fingerprints(docs: DataFrame, segment: int = SEGMENT_BYTES, modulus: int = M
 
     @F.arrow_udf(T.BinaryType())
     def joined(parts: pa.Array) -> pa.Array:
+        serve("exact_dedup")
+
         def whole(row):
             value = 0
             for part in sorted(row, key=lambda p: p["part"]):
@@ -108,6 +113,8 @@ def _chunks(docs: DataFrame, chosen: DataFrame, chunk: int) -> DataFrame:
     arrow = arrow_schema(schema)
 
     def cut(batches: Iterator[pa.RecordBatch]):
+        serve("exact_dedup")
+
         def rows():
             for batch in batches:
                 bodies_, names = batch.column("body"), batch.schema.names

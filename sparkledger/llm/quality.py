@@ -22,7 +22,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from sparkledger.llm.common import documents, prepare
+from sparkledger.llm.common import documents, prepare, serve
 from sparkledger.llm.learning import Linear, fit_newton, fold, sample_labelled
 
 PIECE_BYTES = 512
@@ -84,6 +84,7 @@ class QualityModel:
 
         @F.arrow_udf(T.DoubleType())
         def score(bodies: pa.Array) -> pa.Array:
+            serve("quality")
             sizer = Sizer(good, bad)
             return pa.array(linear(np.array([sizer.inputs(b) for b in bodies.to_pylist()])) if len(bodies) else [], pa.float64())
 
@@ -102,6 +103,8 @@ def fit_quality(
 
     @F.arrow_udf(T.ArrayType(T.BinaryType()))
     def spread(bodies: pa.Array) -> pa.Array:
+        serve("quality")
+
         def chosen(body):
             pieces = pieces_of(body)
             return [pieces[i] for i in np.unique(np.linspace(0, len(pieces) - 1, sample_pieces).astype(int))]
@@ -113,6 +116,7 @@ def fit_quality(
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def inputs(bodies: pa.Array) -> pa.Array:
+        serve("quality")
         sizer = Sizer(good, bad)
         return pa.array([sizer.inputs(b) for b in bodies.to_pylist()], pa.list_(pa.float64()))
 

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sparkledger.llm import byte_bpe, covering, decontaminate, exact_dedup, licenses, quality, repeats, secrets, token_blocks, toxicity
-from sparkledger.llm.learning import fold
+from sparkledger.llm.common import bodies
+from sparkledger.llm.learning import Linear, fold
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -138,6 +139,37 @@ def test_byte_bpe(docs, rows, tiktoken_encoding):
     assert listed(found, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == sorted(expected, key=repr)
 
 
+def test_byte_bpe_round_trip_is_one_python_step(docs):
+    found = byte_bpe.bpe_round_trip(docs, RANKS, public_tokenizers.PATTERN, with_ids=True)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def captured_steps(monkeypatch, docs):
+    """The functions that workers run for the operators of the corpus pipeline other than the tokenizer, with input."""
+    udfs, model = [], quality.QualityModel(b"", b"", Linear(np.zeros(4), np.ones(4), np.zeros(4), 0.0))
+    with monkeypatch.context() as patch:
+        patch.setattr(F, "arrow_udf", lambda kind: lambda f: udfs.append(f) or (lambda column: column))
+        covering.fingerprint_column(F.col("body"))
+        model.column(F.col("text"))
+    maps = []
+    with monkeypatch.context() as patch:
+        patch.setattr(type(docs), "mapInArrow", lambda df, f, schema: maps.append(f) or df.select(*(F.lit(None).cast(t.dataType).alias(t.name) for t in schema)))
+        exact_dedup._segments(bodies(docs), 1 << 20, exact_dedup.MODULUS)
+    body = pa.array([b"a few words of one text"])
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), body], names=["doc_id", "body"])
+    return [lambda f=f: f(body) for f in udfs] + [lambda: list(maps[0](iter([batch])))]
+
+
+def test_workers_let_go_of_the_tokenizer(monkeypatch, docs):
+    steps = captured_steps(monkeypatch, docs)
+    assert len(steps) == 3
+    for step in steps:
+        byte_bpe.vocabulary(RANKS, public_tokenizers.PATTERN)
+        assert byte_bpe.vocabulary.cache_info().currsize == 1
+        step()
+        assert byte_bpe.vocabulary.cache_info().currsize == 0
+
+
 def test_byte_bpe_random(tiktoken_encoding):
     rng = random.Random(2)
     alphabet = ["a", "B", "é", " ", "\n", "\t", "\x1c", "\x85", "\xa0", "​", " ", "'s", "1", "½", "漢", "😀", "!", "_", "́"]
